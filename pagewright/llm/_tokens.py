@@ -21,12 +21,14 @@ from array import array
 import numpy as np
 
 #: Chunks remembered by a Python worker, and the longest that is. The first ones seen stay: frequent chunks come early.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 CACHED_BYTES = 40
 #: Bytes of text cut at once, whole documents.
 GROUP_BYTES = 1 << 18
 
 _CUT = b"\xff"  # in no UTF-8 text
+#: How a byte-level vocabulary writes the space before a word.
+_SPACED = "\u0120"
 _LETTER, _MARK, _SPACE, _TAIL, _LEAD = 1, 2, 4, 8, 16
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
@@ -50,9 +52,9 @@ class ChunkEncoder:
     def chunks(self, text: bytes) -> list[bytes]:
         plain = b"<|" in text
         if self.kind == "word":
-            text = text if plain else text.lower()
             if plain:
                 return text.split()
+            text = text.lower()
         data = np.frombuffer(text, np.uint8)
         kinds = _CLASS[data]
         before, after = kinds[:-1], kinds[1:]
@@ -69,8 +71,16 @@ class ChunkEncoder:
 
     def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
         found: dict[bytes, bytes] = {}
-        for at in range(0, len(new), 2048):
-            some = new[at : at + 2048]
+        tokenize, hard = self.tokenizer.model.tokenize, []
+        for chunk in new:  # a run of ASCII letters is one piece for the vocabulary's merges as it stands
+            word = chunk[1:] if self.kind == "byte" and chunk[:1] == b" " else chunk
+            if word.isalpha() and word.isascii() and (self.kind == "byte" or word.islower()) and len(word) <= CACHED_BYTES:
+                piece = word.decode()
+                found[chunk] = array("I", [t.id for t in tokenize(piece if word is chunk else _SPACED + piece)]).tobytes()
+            else:
+                hard.append(chunk)
+        for at in range(0, len(hard), 2048):
+            some = hard[at : at + 2048]
             encoded = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in some], add_special_tokens=False)
             found.update(zip(some, [array("I", e.ids).tobytes() for e in encoded]))
         return found
@@ -81,30 +91,18 @@ class ChunkEncoder:
         known = self.known
         new = set().union(*cut).difference(known)
         found = self._learn(list(new)) if new else {}
-        room = CACHE_ENTRIES - len(known)
-        if room > 0:
-            known.update([(c, v) for c, v in found.items() if len(c) <= CACHED_BYTES][:room])
-            found = {c: v for c, v in found.items() if c not in known}
-        if not found:
-            return [b"".join(map(known.__getitem__, x)) for x in cut]
-        merged = _Both(found, known)
-        return [b"".join(map(merged.__getitem__, x)) for x in cut]
+        known.update(found)
+        ids = [b"".join(map(known.__getitem__, x)) for x in cut]
+        over = len(known) - CACHE_ENTRIES
+        for at, chunk in enumerate(found):
+            if at < over or len(chunk) > CACHED_BYTES:
+                del known[chunk]
+        return ids
 
     def encode(self, text: bytes) -> bytes:
         return self.encode_all([text])[0]
 
 
-class _Both(dict):
-    """The chunks of one call, and behind them those remembered."""
-
-    def __init__(self, found: dict, known: dict):
-        super().__init__(found)
-        self.known = known
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        return self.known[chunk]
-
-
 def in_groups(items, text_at: int):
     """Lists of consecutive rows whose texts have GROUP_BYTES or so together."""
     group, held = [], 0
