@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, embeddings, licenses, packing, sharding, simhash, token_files
+from . import decontamination, embeddings, licenses, packing, sharding, simhash, substring_dedup, suffix_dedup, token_files
 
-_MODULES = (simhash, sharding, licenses, embeddings, decontamination, token_files, packing)
+_MODULES = (suffix_dedup, substring_dedup, simhash, sharding, licenses, embeddings, decontamination, token_files, packing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
