@@ -17,18 +17,21 @@ from __future__ import annotations
 
 import os
 from array import array
+from unicodedata import is_normalized
 
 import numpy as np
 
 #: Chunks remembered by a Python worker, and the longest that is. The first ones seen stay: frequent chunks come early.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
 CACHED_BYTES = 40
 #: Bytes of text cut at once, whole documents.
 GROUP_BYTES = 1 << 18
 
 _CUT = b"\xff"  # in no UTF-8 text
-#: How a byte-level vocabulary writes the space before a word.
-_SPACED = "\u0120"
+#: Letters below are taken as such by every version of Unicode.
+_LATIN = "\u0250"
+#: How byte-level vocabularies write bytes that aren't printable Latin-1: as the characters from U+0100 on.
+_WRITTEN = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE))}
 _LETTER, _MARK, _SPACE, _TAIL, _LEAD = 1, 2, 4, 8, 16
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
@@ -38,16 +41,17 @@ _CLASS[0x80:0xC0] = _TAIL
 _CLASS[0xC3:0xE0] = _LEAD
 
 
-class ChunkEncoder:
-    """Encodes whole texts to little-endian unsigned 32-bit ids."""
+class ChunkEncoder(dict):
+    """Encodes whole texts to little-endian unsigned 32-bit ids; as a dict, the chunks it remembers."""
 
     def __init__(self, path: str, kind: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
         self.kind = kind
-        self.known: dict[bytes, bytes] = {}
 
     def chunks(self, text: bytes) -> list[bytes]:
         plain = b"<|" in text
@@ -59,45 +63,35 @@ class ChunkEncoder:
         kinds = _CLASS[data]
         before, after = kinds[:-1], kinds[1:]
         cut = np.zeros(len(before), bool) if plain else (before | after) == (_LETTER | _MARK)
-        if self.kind == "byte":
-            solid = (before & (_LETTER | _MARK)) != 0
-            solid |= data[:-1] == 0x27
-            solid[1:] |= (before[1:] == _TAIL) & (before[:-1] == _LEAD)
-            cut |= (after == _SPACE) & solid
-        at = np.flatnonzero(cut) + 1
         if self.kind == "word":
-            return np.insert(data, at, 0x20).tobytes().split()
-        return np.insert(data, at, 0xFF).tobytes().split(_CUT)
-
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        found: dict[bytes, bytes] = {}
-        tokenize, hard = self.tokenizer.model.tokenize, []
-        for chunk in new:  # a run of ASCII letters is one piece for the vocabulary's merges as it stands
-            word = chunk[1:] if self.kind == "byte" and chunk[:1] == b" " else chunk
-            if word.isalpha() and word.isascii() and (self.kind == "byte" or word.islower()) and len(word) <= CACHED_BYTES:
-                piece = word.decode()
-                found[chunk] = array("I", [t.id for t in tokenize(piece if word is chunk else _SPACED + piece)]).tobytes()
-            else:
-                hard.append(chunk)
-        for at in range(0, len(hard), 2048):
-            some = hard[at : at + 2048]
-            encoded = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in some], add_special_tokens=False)
-            found.update(zip(some, [array("I", e.ids).tobytes() for e in encoded]))
-        return found
+            return np.insert(data, np.flatnonzero(cut) + 1, 0x20).tobytes().split()
+        solid = (before & (_LETTER | _MARK)) != 0
+        solid |= data[:-1] == 0x27
+        solid[1:] |= (before[1:] == _TAIL) & (before[:-1] == _LEAD)
+        cut |= (after == _SPACE) & solid
+        breaks = np.flatnonzero((data[1:-1] == 0x0A) & solid[:-1] & ((after[1:] & (_LETTER | _MARK)) != 0))
+        cut[breaks] = True
+        cut[breaks + 1] = True
+        return np.insert(data, np.flatnonzero(cut) + 1, 0xFF).tobytes().split(_CUT)
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = array("I", self._ids(chunk)).tobytes()
+        if len(self) < CACHE_ENTRIES and len(chunk) <= CACHED_BYTES:
+            self[chunk] = ids
+        return ids
+
+    def _ids(self, chunk: bytes) -> list[int]:
+        text = chunk.decode("utf-8", "replace")
+        word = text[1:] if self.kind == "byte" and text[:1] == " " else text
+        if len(chunk) <= CACHED_BYTES and word.isalpha() and (word.isascii() or max(word) < _LATIN and is_normalized("NFC", word)) and (self.kind == "byte" or word == word.lower()):
+            # a run of letters is one piece for the vocabulary's merges; bytes are written as letters
+            piece = chunk.decode("latin-1").translate(_WRITTEN) if not word.isascii() else word if word is text else "\u0120" + word
+            return [t.id for t in self.merge(piece)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text; the texts share one call for the chunks that aren't known."""
-        cut = [self.chunks(x) if x else [] for x in texts]
-        known = self.known
-        new = set().union(*cut).difference(known)
-        found = self._learn(list(new)) if new else {}
-        known.update(found)
-        ids = [b"".join(map(known.__getitem__, x)) for x in cut]
-        over = len(known) - CACHE_ENTRIES
-        for at, chunk in enumerate(found):
-            if at < over or len(chunk) > CACHED_BYTES:
-                del known[chunk]
-        return ids
+        get = self.__getitem__
+        return [b"".join(map(get, self.chunks(x))) if x else b"" for x in texts]
 
     def encode(self, text: bytes) -> bytes:
         return self.encode_all([text])[0]
