@@ -30,8 +30,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from ._common import doc_key, flush, partitions, rows, text_bytes, written
 
@@ -340,7 +341,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], units: Units, targets: int) ->
         for column, x in zip(out, row):
             column.append(x)
 
-    for key, th, text, asked in rows(batches):
+    for key, th, text, asked, _ in rows(batches):
         whole = units.split(text)
         for want in asked:
             pos, gram, among = want["pos"], want["gram"], want["among"]
@@ -357,8 +358,8 @@ def _contexts(batches: Iterator[pa.RecordBatch], units: Units, targets: int) ->
     yield flush(out, schema)
 
 
-def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, finish: Callable, finish_ddl: str) -> DataFrame:
-    """``finish`` applied to every document and the runs of units that repeat.
+def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, finish: Callable, finish_ddl: str, carry: list[Column] | None = None) -> DataFrame:
+    """``finish`` applied to every document and the runs of units that repeat; ``carry`` comes along as a struct column ``carried``.
 
     ``keep_first``: the first place of a window doesn't count as a repeat.
     ``decide``: from a list of (gram, key, th, start, units as bytes) with equal windows together to a list of (key, th, start, end).
@@ -367,14 +368,16 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
     spark = docs.sparkSession
     n = partitions(spark)
     targets = 4 * n
-    keyed = docs.select(doc_key().alias("key"), text_bytes().alias("text")).select("key", F.xxhash64("text").alias("th"), "text")
+    carried = F.struct(*carry) if carry else F.lit(None).cast("int")
+    whole = docs.select(doc_key().alias("key"), text_bytes().alias("text"), carried.alias("carried")).withColumn("th", F.xxhash64("text"))
+    keyed = whole.select("key", "th", "text")
     flow = keyed.mapInArrow(lambda b: _anchors(b, units, targets, keep_first), _FLOW_DDL)
     flow = written(flow.repartition(n, "target").mapInArrow(lambda b: _resolve(b, units, keep_first), _FLOW_DDL).drop("target"), "repeats")
     asked = flow.where("pos is not null").groupBy("key", "th").agg(F.collect_list(F.struct("pos", "gram", "among")).alias("asked"))  # as long as the document at most
-    dealt = keyed.repartition(n, "key", "th")  # shuffled once, for both joins
+    dealt = whole.select("key", "th", "text", "carried").repartition(n, "key", "th")  # shuffled once, for both joins: they take the same columns
     found = (
         dealt.join(asked.hint("shuffle_hash"), ["key", "th"])
-        .select("key", "th", "text", "asked")
+        .select("key", "th", "text", "asked", "carried")
         .mapInArrow(lambda b: _contexts(b, units, targets), "bucket int, gram long, key long, th long, start int, units binary")
         .repartition(n, "bucket")
         .select("gram", "key", "th", "start", "units")
@@ -390,9 +393,11 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
                 for blobs in part.column(2).to_pylist():
                     x = np.frombuffer(b"".join(blobs or ()), "<i4").reshape(-1, 2)
                     spans.append(np.stack(merge(x[:, 0], x[:, 1]), 1) if len(x) else x)
-                yield finish(part.column(0).to_pylist(), part.column(1).to_pylist(), spans)
+                out = finish(part.column(0).to_pylist(), part.column(1).to_pylist(), spans)
+                yield pa.RecordBatch.from_arrays([*out.columns, part.column(3)], names=[*out.schema.names, "carried"])
 
-    return dealt.join(runs.hint("shuffle_hash"), ["key", "th"], "left").select("key", "text", "runs").mapInArrow(done, finish_ddl)
+    schema = StructType([*_parse_datatype_string(finish_ddl), whole.schema["carried"]])
+    return dealt.join(runs.hint("shuffle_hash"), ["key", "th"], "left").select("key", "text", "runs", "carried").mapInArrow(done, schema)
 
 
 def _decided(batches: Iterator[pa.RecordBatch], decide: Callable) -> Iterator[pa.RecordBatch]:

@@ -13,16 +13,19 @@ suffix order lies in its run.
 A null text is an empty one. Rows that repeat doc_id and text are one document and get its result each; rows
 that repeat a doc_id with different texts are ordered by the texts' hashes; null ids sort first. An
 empty table gives no rows. Text that remains may have lost parts of a character at a cut; such bytes are
-left out of ``kept_text``.
+left out of the text ``clean`` gives.
 """
 
 from __future__ import annotations
 
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ._common import from_key
 from ._repeats import Units, merge, repeats
@@ -110,8 +113,8 @@ def earlier_matches(contexts: list[tuple[int, int, int, int, bytes]], length: in
     return [(*ids[a >> 32], int(a & 0xFFFFFFFF), int((a & 0xFFFFFFFF) + b - a)) for a, b in zip(start.tolist(), end.tolist())]
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, kept (binary: the remaining bytes), n_bytes, n_removed, n_spans and spans (binary, pairs of little-endian 32-bit numbers) a document."""
+def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, carry: list[Column] | None = None) -> DataFrame:
+    """doc_id, kept (binary: the remaining bytes), n_bytes, n_removed, n_spans and spans (binary, pairs of little-endian 32-bit numbers) a document, and a struct ``carried`` of ``carry``."""
     names = ("key", "kept", "n_bytes", "n_removed", "n_spans", "spans")
 
     def finish(keys, texts, spans) -> pa.RecordBatch:
@@ -128,8 +131,23 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
         kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=list(names))
 
-    found = repeats(docs, Units("bytes", length, min(gram, length)), True, lambda c: earlier_matches(c, length), finish, "key long, kept binary, n_bytes long, n_removed long, n_spans long, spans binary")
-    return found.select(from_key(F.col("key")).alias("doc_id"), *names[1:])
+    found = repeats(docs, Units("bytes", length, min(gram, length)), True, lambda c: earlier_matches(c, length), finish, "key long, kept binary, n_bytes long, n_removed long, n_spans long, spans binary", carry)
+    return found.select(from_key(F.col("key")).alias("doc_id"), *names[1:], "carried")
+
+
+def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents with the columns they had and the text that remains; n_chars, where there is one, is counted anew. Documents that are left empty stay."""
+    found = dedup(docs, length, carry=[F.struct(*docs.columns).alias("row"), F.col("text").isNull().alias("no_text")])
+    text = F.when(F.col("carried.no_text"), F.lit(None).cast("string")).otherwise(F.col("kept_text"))
+    found = found.mapInArrow(_decoded, StructType([*found.schema, StructField("kept_text", StringType())]))
+    out = {"text": text} | ({"n_chars": F.when(~F.col("carried.no_text"), F.char_length("kept_text")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return found.select(*[out.get(c, F.col(f"carried.row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = [x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, "kept_text"])
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
