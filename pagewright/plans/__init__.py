@@ -1 +1,15 @@
-"""Plans of the layout engine."""
+"""Queries of the layout engine and their DuckDB SQL."""
+
+from __future__ import annotations
+
+from . import documents, lines_and_sections, tables_and_grids
+
+_MODULES = (lines_and_sections, tables_and_grids, documents)
+
+
+def queries() -> dict:
+    return {name: f for m in _MODULES for name, f in m.QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
