@@ -87,7 +87,7 @@ def assign(docs: DataFrame, keep: list[str], dimensions: list[str] | None = None
     levels = 1 << bits
     cuts = slim.select(*[F.percentile_approx(F.col("dims")[i], [k / levels for k in range(1, levels)], 10_000).alias(f"d{i}") for i in range(n_dims)]).first()
     level = [
-        F.coalesce(sum([(F.col("dims")[i] > float(c)).cast("int") for c in cuts[i]] or [F.lit(0)], F.lit(0)), F.lit(0))
+        F.coalesce(sum([(F.col("dims")[i] > float(c)).cast("int") for c in cuts[i] or []] or [F.lit(0)], F.lit(0)), F.lit(0))
         for i in range(n_dims)
     ]
     ordered = written(
