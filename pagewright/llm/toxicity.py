@@ -2,8 +2,8 @@
 
 Examples are at most SAMPLE labelled documents of the learning folds (those with the smallest hashes of
 doc_id; the bound is a parameter). Terms are words (``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z in lower case)
-and the first PREFIX bytes of longer ones; those whose presence goes with the label (chi-squared of MIN_CHI2
-or more, at least MIN_DOCS examples) are kept, TERMS at most. A document's weights are (1 + ln tf) * idf, scaled to
+and the first PREFIX bytes of longer ones; those that go with toxic examples (chi-squared of MIN_CHI2
+or more, LIFT times as often toxic as all, at least MIN_DOCS examples) are kept, TERMS at most. A document's weights are (1 + ln tf) * idf, scaled to
 length 1, with document frequencies counted over the whole corpus.
 
 The index holds, for every term, postings in blocks of BLOCK examples and the block's greatest weight. A
@@ -36,10 +36,13 @@ from ._common import annotate, lower_alnum_words, text_bytes
 
 SAMPLE = 8192
 PREFIX = 5
-MIN_CHI2 = 25.0
+MIN_CHI2 = 40.0
+LIFT = 2.0
 MIN_DOCS = 5
 TERMS = 4096
 BLOCK = 64
+#: Blocks of a query's first visit.
+FIRST_BLOCKS = 8
 K = 15
 DISTANCE = 0.1
 THRESHOLD = 0.7
@@ -69,35 +72,55 @@ class BlockMaxIndex:
     def __init__(self, vectors: list[dict[int, float]], n_terms: int):
         self.n = len(vectors)
         self.blocks = -(-self.n // BLOCK)
-        self.most = np.zeros((n_terms, self.blocks))
-        postings: list[tuple[int, int, int, float]] = sorted((t, d // BLOCK, d, w) for d, v in enumerate(vectors) for t, w in v.items())
-        self.docs = np.array([p[2] for p in postings], np.int64)
-        self.weights = np.array([p[3] for p in postings])
-        self.runs: dict[int, dict[int, tuple[int, int]]] = {}
-        for i, (t, b, _, w) in enumerate(postings):
-            self.most[t, b] = max(self.most[t, b], w)
-            first, _ = self.runs.setdefault(t, {}).get(b, (i, i))
-            self.runs[t][b] = (first, i + 1)
+        postings = sorted((t, d, w) for d, v in enumerate(vectors) for t, w in v.items())
+        terms_ = np.array([p[0] for p in postings], np.int64)
+        self.docs = np.array([p[1] for p in postings], np.int64)
+        self.weights = np.array([p[2] for p in postings])
+        run = terms_ * self.blocks + self.docs // BLOCK  # of one term and block
+        self.starts = np.searchsorted(run, np.arange(n_terms * self.blocks + 1)).astype(np.int32)
+        most = np.zeros(n_terms * self.blocks)
+        np.maximum.at(most, run, self.weights)
+        self.most = most.reshape(n_terms, self.blocks)
+
+    def _scores(self, terms_: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of some blocks, and their cosines with the query: exact sums over their postings."""
+        runs = terms_[:, None] * self.blocks + blocks[None, :]
+        starts = self.starts[runs]
+        sizes = self.starts[runs + 1] - starts
+        n = sizes.ravel()
+        at = np.repeat(starts.ravel() - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        products = self.weights[at] * np.repeat(weights, sizes.sum(1))
+        docs = self.docs[at]
+        scores = np.bincount(docs, products, self.n)
+        found = np.flatnonzero(scores)
+        return found, scores[found]
 
     def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The k (cosine, example) of greatest cosine above zero, ties by example; ``but`` is left out."""
+        """The k (cosine, example) of greatest cosine above zero, ties by example; ``but`` is left out.
+
+        Blocks are visited by falling bound, each time twice as many as before, until no bound left can pass the k-th best.
+        """
         if not query or not self.n:
             return []
-        bounds = np.zeros(self.blocks)
-        for t, w in query.items():
-            bounds += w * self.most[t]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] * (1 + 1e-12) < -best[-1][0]:
-                break
-            scores = np.zeros(BLOCK)
-            for t, w in query.items():
-                run = self.runs.get(t, {}).get(b)
-                if run:
-                    scores[self.docs[run[0] : run[1]] - b * BLOCK] += w * self.weights[run[0] : run[1]]
-            found = [(-float(scores[i]), b * BLOCK + int(i)) for i in np.flatnonzero(scores > 0) if b * BLOCK + i != but]
-            best = sorted(best + found)[:k]
-        return [(-s, d) for s, d in best]
+        terms_, weights = np.fromiter(query.keys(), np.int64, len(query)), np.fromiter(query.values(), float, len(query))
+        bounds = weights @ self.most[terms_]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[: np.count_nonzero(bounds)]
+        docs, scores = np.zeros(0, np.int64), np.zeros(0)
+        at, many = 0, FIRST_BLOCKS
+        while at < len(order):
+            some = order[at : at + many]
+            if len(scores) == k:
+                some = some[bounds[some] * (1 + 1e-12) >= scores[-1]]
+                if not len(some):
+                    break
+            more, cosines = self._scores(terms_, weights, some)
+            keep = more != but
+            docs, scores = np.concatenate([docs, more[keep]]), np.concatenate([scores, cosines[keep]])
+            best = np.lexsort((docs, -scores))[:k]
+            docs, scores = docs[best], scores[best]
+            at, many = at + many, 2 * many
+        return list(zip(scores.tolist(), docs.tolist()))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,6 +155,7 @@ class Model:
         self.unknown = (sum(without) + rate) / (len(without) + 1)
         votes = np.array([self.vote(self.index.nearest(vectors[i], K, at)) for at, i in enumerate(known)])
         heard = np.isfinite(votes)
+        self.single: dict[int, tuple[float, list[int], list[float]]] = {}  # answers to queries of one term
         self.curve = isotonic(votes[heard], self.labels[heard]) if heard.any() else (np.zeros(1), np.full(1, rate))
 
     def weigh(self, counts: dict[int, int]) -> dict[int, float]:
@@ -153,7 +177,16 @@ class Model:
 
     def score(self, text: bytes | None) -> tuple[float, list[int], list[float]]:
         """Probability of label 1, and the neighbours' ids and cosines."""
-        near = self.index.nearest(self.vector(lower_alnum_words(text or b"")), K)
+        query = self.vector(lower_alnum_words(text or b""))
+        if len(query) == 1:  # one term is one direction, whatever its count
+            (term,) = query
+            if term not in self.single:
+                self.single[term] = self._judged(query)
+            return self.single[term]
+        return self._judged(query)
+
+    def _judged(self, query: dict[int, float]) -> tuple[float, list[int], list[float]]:
+        near = self.index.nearest(query, K)
         vote = self.vote(near)
         p = self.unknown if math.isnan(vote) else float(np.interp(vote, *self.curve))
         return min(1.0, max(0.0, p)), [self.ids[d] for _, d in near], [c for c, _ in near]
@@ -188,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         total = counts.where(F.col("term") == b"").first() or {"n": 0, "both": 0}
         n, toxic = total["n"], total["both"]
         score = F.lit(float(n)) * F.pow(F.col("both") * float(n - toxic) - (F.col("n") - F.col("both")) * float(toxic), 2) / F.greatest(F.col("n") * (float(n) - F.col("n")) * float(toxic) * float(n - toxic), F.lit(1.0))
-        top = counts.where(F.col("term") != b"").withColumn("chi2", score).where(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
+        top = counts.where(F.col("term") != b"").withColumn("chi2", score).where((F.col("chi2") >= MIN_CHI2) & (F.col("both") * float(n) >= LIFT * toxic * F.col("n"))).orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
     finally:
         counts.unpersist()
     vocabulary = [bytes(r["term"]) for r in top]
