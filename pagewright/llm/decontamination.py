@@ -145,4 +145,20 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_decontamination": op8_decontamination}
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+ORACLES = {
+    "op8_decontamination": f"""
+WITH b AS (SELECT item_id, {_WORDS} AS ws FROM benchmark),
+iw AS (SELECT item_id, least(len(ws), {WINDOW}) AS n, unnest(range(0, greatest(len(ws) - {WINDOW - 1}, 1))) AS i, ws FROM b WHERE len(ws) > 0),
+items AS (SELECT DISTINCT item_id, n, array_to_string(ws[i + 1:i + n], ' ') AS s FROM iw),
+d AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+dm AS (SELECT doc_id, n, list_transform(range(0, greatest(len(ws) - n + 1, 0)), lambda i: md5_number(array_to_string(ws[i + 1:i + n], ' '))) AS ms FROM d, (SELECT DISTINCT n FROM items)),
+dw AS (SELECT doc_id, n, unnest(ms) AS m, generate_subscripts(ms, 1) - 1 AS i FROM dm),
+hits AS (SELECT dw.doc_id, dw.i, dw.n, items.item_id FROM dw JOIN (SELECT *, md5_number(s) AS m FROM items) items USING (n, m)),
+words AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM hits), range({WINDOW}) AS o(k) WHERE k < n GROUP BY doc_id),
+owners AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN owners USING (doc_id)
+"""
+}

@@ -244,4 +244,14 @@ def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_embeddings": op7_embeddings}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op7_embeddings": f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e) AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+roots AS (SELECT reach.a AS r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a),
+counts AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN roots USING (r) LEFT JOIN counts USING (r)
+"""
+}

@@ -149,4 +149,15 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_substring_dedup": op3_substring_dedup}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_substring_dedup": f"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+m AS (SELECT doc_id, list_transform(range(0, greatest(len(ws) - {LENGTH - 1}, 0)), lambda i: md5_number(array_to_string(ws[i + 1:i + {LENGTH}], ' '))) AS ms FROM d),
+w AS (SELECT doc_id, unnest(ms) AS m, generate_subscripts(ms, 1) - 1 AS i FROM m),
+f AS (SELECT doc_id, i, count(*) OVER (PARTITION BY m) AS n FROM w),
+c AS (SELECT DISTINCT doc_id, i + k AS i FROM f, range({LENGTH}) AS o(k) WHERE n > 1),
+p AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM d),
+k AS (SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) FILTER (c.i IS NULL) AS kept, count(c.i) AS removed FROM p LEFT JOIN c ON c.doc_id = p.doc_id AND c.i = p.i GROUP BY p.doc_id)
+SELECT d.doc_id, len(ws) AS n_words, coalesce(removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+}

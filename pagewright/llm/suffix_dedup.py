@@ -156,4 +156,17 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_suffix_dedup": op2_suffix_dedup}
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_suffix_dedup": f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+m AS (SELECT doc_id, list_transform(range(0, greatest(length(h) // 2 - {LENGTH - 1}, 0)), lambda i: md5_number(substr(h, 2 * i + 1, {2 * LENGTH}))) AS ms FROM d),
+w AS (SELECT doc_id, unnest(ms) AS m, generate_subscripts(ms, 1) - 1 AS i FROM m),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS k FROM w),
+r AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM f WHERE k > 1),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM r),
+s AS (SELECT doc_id, min(i) AS a, max(i) + {LENGTH} AS b FROM g GROUP BY doc_id, run),
+t AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS p FROM s),
+k AS (SELECT doc_id, string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(max(h), 2 * max(b) + 1) AS kept, sum(b - a) AS removed, count(*) AS spans FROM t JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)
+"""
+}
