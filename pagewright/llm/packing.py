@@ -8,8 +8,10 @@ the remainder, the others are full. Pieces are packed into as few sequences as t
 2. few sizes are left, so the best mix of configurations (multisets of sizes that fit) comes from
    the configuration linear programme by column generation; what rounding down leaves over is
    packed by best fit;
-3. actual pieces take the places of their group's size, the longest first;
-4. the small lengths go, the longest first, each to the sequence with the least room that holds it.
+3. actual pieces take the places of their group's size, the longest first, and the last place of a sequence goes to the
+   longest that fits what is left of it;
+4. the small lengths, and what steps 2 and 3 leave, go, the longest first, each to the sequence with the least room that
+   holds it.
 
 Steps 1 to 4 work on the histogram of lengths, at most ``capacity`` rows, and give a plan of runs of
 equal sequences; a piece's rank among those of its length finds its run. So the driver holds a
@@ -70,65 +72,45 @@ def _best_mix(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tupl
     return [(patterns[:, j].round().astype(int), float(amount[j])) for j in range(m)]
 
 
-def plan_packing(histogram: dict[int, int], capacity: int, large: float = 0.25, groups: int = 48) -> list[tuple[tuple[int, ...], int]]:
+def plan_packing(histogram: dict[int, int], capacity: int, large: float = 0.25, groups: int = 96) -> list[tuple[tuple[int, ...], int]]:
     """Runs of equal sequences: the lengths in each, and how many there are. Every piece of the histogram is placed."""
     runs: list[tuple[tuple[int, ...], int]] = []
-    lengths = sorted((n for n, c in histogram.items() if c and n > large * capacity), reverse=True)
-    total = sum(histogram[n] for n in lengths)
+    left = {n: histogram[n] for n in sorted(histogram, reverse=True) if histogram[n] > 0}
+    big = [(n, c) for n, c in left.items() if n > large * capacity]
+    total = sum(c for _, c in big)
     if total:
-        # groups of equal cardinality, as runs of lengths, the longest first
+        # groups of equal cardinality, the longest first, each named by its longest
         each = -(-total // groups)
-        stock: list[list[list[int]]] = [[]]
-        held = 0
-        for n in lengths:
-            left = histogram[n]
-            while left:
-                take = min(left, each - held)
-                stock[-1].append([n, take])
-                held, left = held + take, left - take
-                if held == each:
-                    stock.append([])
-                    held = 0
-        stock = [g for g in stock if g]
-        sizes = np.array([g[0][0] for g in stock])
-        demand = np.array([sum(c for _, c in g) for g in stock], float)
-        unique, where = np.unique(sizes, return_inverse=True)
-        pooled: list[list[list[int]]] = [[] for _ in unique]
-        for g, u in zip(stock, where):
-            pooled[u] += g
-        left = np.array([sum(c for _, c in p) for p in pooled])
-        for config, times in _best_mix(unique, np.bincount(where, demand, len(unique)), capacity):
-            whole = min([int(times + 1e-9), *(int(left[u] // k) for u, k in enumerate(config) if k)]) if config.any() else 0
-            if whole <= 0:
-                continue
-            left -= config * whole
-            slots = [u for u, k in enumerate(config) for _ in range(k)]
-            while whole:  # actual pieces in the places of their group's size
-                need = {u: slots.count(u) for u in slots}
-                step = min([whole, *(pooled[u][0][1] // k for u, k in need.items())])
-                if step:
-                    chosen = [pooled[u][0][0] for u in slots]
-                    for u, k in need.items():
-                        pooled[u][0][1] -= k * step
-                        if not pooled[u][0][1]:
-                            pooled[u].pop(0)
-                else:  # a run of lengths ends within this sequence
-                    step, chosen = 1, []
-                    for u in slots:
-                        chosen.append(pooled[u][0][0])
-                        pooled[u][0][1] -= 1
-                        if not pooled[u][0][1]:
-                            pooled[u].pop(0)
+        demand: dict[int, int] = {}
+        name, held = big[0][0], 0
+        for n, count in big:
+            while count:
+                name = n if held == 0 else name
+                take = min(count, each - held)
+                demand[name] = demand.get(name, 0) + take
+                held, count = (held + take) % each, count - take
+        sizes = np.array(sorted(demand))
+        mix = _best_mix(sizes, np.array([demand[n] for n in sizes], float), capacity)
+        mix = [(sorted((int(sizes[u]) for u, k in enumerate(config) for _ in range(k)), reverse=True), int(times + 1e-9)) for config, times in mix]
+        for slots, times in sorted(mix, reverse=True):
+            while times > 0 and slots:
+                # actual pieces in the places: the longest that its group's size allows, in the last place the longest that fits
+                chosen: list[int] = []
+                for i, size in enumerate(slots):
+                    room = capacity - sum(chosen) if i == len(slots) - 1 else size
+                    n = next((n for n, c in left.items() if n <= room and c > chosen.count(n)), None)
+                    if n is not None:
+                        chosen.append(n)
+                if not chosen:
+                    break
+                step = min([times, *(left[n] // chosen.count(n) for n in chosen)])
+                for n in chosen:
+                    left[n] -= step
+                    if not left[n]:
+                        del left[n]
                 runs.append((tuple(chosen), step))
-                whole -= step
-        rest: dict[int, int] = {}
-        for p in pooled:
-            for n, c in p:
-                rest[n] = rest.get(n, 0) + c
-    else:
-        rest = {}
-    rest |= {n: c for n, c in histogram.items() if c and n <= large * capacity}
-    return best_fit(runs, rest, capacity)
+                times -= step
+    return best_fit(runs, left, capacity)
 
 
 def best_fit(runs: list[tuple[tuple[int, ...], int]], histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -203,7 +185,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity:
         yield flush(out, schema)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 1024, large: float = 0.25, groups: int = 48, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 1024, large: float = 0.25, groups: int = 96, with_ids: bool = True) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and ids
     (binary, little-endian unsigned 32-bit) unless ``with_ids`` is false, when they stay where they are written.
     """
