@@ -70,11 +70,11 @@ def _signed(x: int) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("key", pa.int64()), ("fp", pa.int64())])
-    out: list[list] = [[], []]
-    for key, text in rows(batches):
-        out[0].append(key)
-        out[1].append(_signed(fingerprint(text)))
+    schema = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("fp", pa.int64())])
+    out: list[list] = [[], [], []]
+    for key, th, text in rows(batches):
+        for column, x in zip(out, (key, th, _signed(fingerprint(text)))):
+            column.append(x)
         if len(out[0]) >= 4096:
             yield flush(out, schema)
     yield flush(out, schema)
@@ -94,20 +94,26 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(least.select("a", F.explode("all").alias("b")).where("a != b").distinct())
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with key (doc_id, NULL_ID for null) and th (hash of the text)."""
+    return docs.withColumns({"_pw": doc_key(), "_pw_th": F.xxhash64(text_bytes())})
+
+
 def components(docs: DataFrame) -> DataFrame:
-    """key (doc_id, NULL_ID for null), fp (signed) and component (the smallest key of its component), a row per row of ``docs``."""
-    found = written(docs.select(doc_key().alias("key"), text_bytes().alias("text")).mapInArrow(_fingerprints, "key long, fp long"), "fingerprints")
-    distinct = found.groupBy("fp").agg(F.min("key").alias("least"))
-    roots = connected_components(links(distinct)).withColumnRenamed("node", "fp")
+    """key (doc_id, NULL_ID for null), th, fp (signed), component (the smallest key of its component) and component_th (that of the smallest key, then hash), a row per row of ``docs``."""
+    texts = _keyed(docs.select("doc_id", "text")).select(F.col("_pw").alias("key"), F.col("_pw_th").alias("th"), text_bytes().alias("text"))
+    found = written(texts.mapInArrow(_fingerprints, "key long, th long, fp long"), "fingerprints")
+    distinct = found.groupBy("fp").agg(F.min(F.struct("key", "th")).alias("least"))
+    roots = connected_components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
     grouped = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = grouped.groupBy("root").agg(F.min("least").alias("component"))
-    return found.join(grouped.select("fp", "root").join(named, "root").select("fp", "component"), "fp")
+    named = grouped.groupBy("root").agg(F.min("least").alias("first"))
+    return found.join(grouped.select("fp", "root").join(named, "root").select("fp", F.col("first.key").alias("component"), F.col("first.th").alias("component_th")), "fp")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest doc_id, with the columns it had; of rows that repeat a doc_id, one."""
-    kept = components(docs).where("key = component").select("key").distinct()
-    return docs.withColumn("_pw", doc_key()).join(kept.withColumnRenamed("key", "_pw"), "_pw", "left_semi").dropDuplicates(["_pw"]).select(docs.columns)
+    """One document of each component, with the columns it had: that with the smallest doc_id (then text hash); of rows that repeat both, one."""
+    kept = components(docs).where("key = component and th = component_th").select(F.col("key").alias("_pw"), F.col("th").alias("_pw_th")).distinct()
+    return _keyed(docs).join(kept, ["_pw", "_pw_th"], "left_semi").dropDuplicates(["_pw", "_pw_th"]).select(docs.columns)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
