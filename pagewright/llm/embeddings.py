@@ -69,15 +69,17 @@ def principal_axes(unit: DataFrame, size: int) -> np.ndarray:
         for b in batches:
             x = np.frombuffer(b"".join(b.column(0).to_pylist()), "<f8").reshape(-1, size)
             total += x.T @ x
-        yield pa.RecordBatch.from_pydict({"row": pa.array(range(size), pa.int32()), "sums": [r.tolist() for r in total]})
+        yield pa.RecordBatch.from_pydict({"row": pa.array(range(size), pa.int32()), "sums": [r.astype("<f8").tobytes() for r in total]})
 
-    summed = (
-        unit.select("unit").mapInArrow(products, "row int, sums array<double>")
-        .select("row", F.posexplode("sums").alias("col", "x")).groupBy("row", "col").agg(F.sum("x").alias("x"))
-    )
+    def added(t: pa.Table) -> pa.Table:
+        sums = np.sum([np.frombuffer(x, "<f8") for x in t.column("sums").to_pylist()], axis=0)
+        return pa.table({"row": t.column("row")[:1], "sums": pa.array([sums.tobytes()], pa.binary())})
+
+    # a row of the matrix from each task, and size rows to the driver
+    partial = unit.select("unit").mapInArrow(products, "row int, sums binary")
     matrix = np.zeros((size, size))
-    for r in summed.collect():  # size * size rows
-        matrix[r["row"], r["col"]] = r["x"]
+    for r in partial.groupBy("row").applyInArrow(added, "row int, sums binary").collect():
+        matrix[r["row"]] = np.frombuffer(r["sums"], "<f8")
     _, axes = np.linalg.eigh((matrix + matrix.T) / 2)
     return axes[:, ::-1]
 
