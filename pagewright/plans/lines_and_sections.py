@@ -350,7 +350,20 @@ def _heading_lines(spark, d):
     return part.withColumn("v", v).withColumn("text", t).withColumn("bold", F.col("p_size") % 5 != 0)
 
 
-@query()
+_ENTRIES = ", ".join(f"('{v}', '{v.replace(' ', '').replace('/', '')}', '{V.proper_case(v)}', {i}, {len(v.split())})" for i, v in enumerate(sorted(V.SUBSECTION_VOCAB, key=lambda v: (-len(v), v))))
+_PROPER = "[" + _q(*[V.proper_case(v) for v in V.SUBSECTION_VOCAB]) + "]"
+
+
+@query(
+    f"""WITH e(entry, key, shown, rk, nw) AS (VALUES {_ENTRIES}),
+    h AS (SELECT p_partkey, p_size % 5 <> 0 AS bold, {_PROPER}[(p_partkey % 35) + 1] AS v FROM part),
+    t AS (SELECT p_partkey, bold, CASE p_partkey % 4 WHEN 1 THEN substr(v, 1, 4) || substr(v, 6) WHEN 2 THEN upper(v) ELSE v END AS text FROM h),
+    n AS (SELECT *, replace(text, ' ', '') AS nosp, lower(replace(text, ' ', '')) AS bare, replace(lower(regexp_replace(regexp_replace(text, '([A-Z]) ([A-Z])', '\\1\\2', 'g'), '([A-Z]) ([A-Z])', '\\1\\2', 'g')), ' ', '') AS norm FROM t),
+    m AS (SELECT n.*, e.*, CASE WHEN bare = key THEN shown WHEN norm = key THEN CASE WHEN upper(nosp) = nosp AND len(string_split(text, ' ')) > nw THEN shown WHEN length(text) > length(entry) THEN text ELSE shown END END AS exact,
+      CASE WHEN length(bare) BETWEEN length(key) - 3 AND length(key) AND list_reduce(list_prepend(bare, string_split(key, '')), lambda rest, ch: CASE WHEN starts_with(rest, ch) THEN substr(rest, 2) ELSE rest END) = '' THEN shown END AS near FROM n, e),
+    r AS (SELECT p_partkey, text, bold, arg_min(exact, rk) FILTER (exact IS NOT NULL) AS ex, arg_min(near, rk) FILTER (near IS NOT NULL) AS ne, arg_min(coalesce(exact, near), rk) FILTER (coalesce(exact, near) IS NOT NULL) AS bo, arg_min(shown, rk) FILTER (bare = key) AS pl FROM m GROUP BY ALL)
+    SELECT p_partkey, text, CASE WHEN NOT bold THEN pl ELSE coalesce(ex, ne) END AS heading, CASE WHEN NOT bold THEN pl ELSE bo END AS compat_heading FROM r"""
+)
 def subsection_class(spark, d):
     h = _heading_lines(spark, d)
     args = (F.col("text"), F.col("bold"), F.lit(10.0), F.lit(54.0), F.lit(False))

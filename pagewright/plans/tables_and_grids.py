@@ -236,7 +236,19 @@ def left_compact_rows(spark, d):
     return G.generic_rows(_tables(spark, d)).select(*KEYS, "r", "kind", F.array_join("values", "|").alias("row_values"))
 
 
-@query()
+def _sql(text: str) -> str:
+    return "'" + text.replace("\n", "' || chr(10) || '") + "'"
+
+
+_ESC = "replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+
+
+@query(f"""WITH {_SHAPE}, k AS (SELECT doc_id, page, table_idx, r, len(labels) AS n_cols, CASE WHEN r = 0 THEN 'header' WHEN len(vs) = 1 AND n > 1 AND v0 = '' THEN 'group' ELSE 'data' END AS kind, labels, vs FROM filled JOIN header USING (doc_id, page, table_idx) WHERE r = 0 OR len(vs) > 0),
+    v AS (SELECT *, CASE kind WHEN 'header' THEN labels WHEN 'group' THEN vs ELSE list_concat(vs, list_transform(range(n_cols), lambda i: ''))[1:n_cols] END AS vals FROM k),
+    l AS (SELECT *, CASE kind WHEN 'header' THEN {_sql("   <thead>" + chr(10) + G.HEAD_ROW + chr(10))} || array_to_string(list_transform(vals, lambda x: '     <th>' || {_ESC.format("x")} || '</th>'), chr(10)) || {_sql(chr(10) + "    </tr>" + chr(10) + "   </thead>" + chr(10) + "   <tbody>")}
+      WHEN 'group' THEN '{G.GROUP_ROW}<td colspan="' || n_cols || '" style="font-weight:bold">' || {_ESC.format("vals[1]")} || '</td></tr>'
+      ELSE '    <tr>' || chr(10) || array_to_string(list_transform(vals, lambda x: '     <td style="vertical-align:top">' || {_ESC.format("x")} || '</td>'), chr(10)) || chr(10) || '    </tr>' END AS line FROM v)
+    SELECT doc_id, page, table_idx, {_sql(G.TABLE_OPEN + chr(10))} || string_agg(line, chr(10) ORDER BY r) || {_sql(chr(10) + "   </tbody>" + chr(10) + "  </table>")} AS html FROM l GROUP BY doc_id, page, table_idx""")
 def render_generic(spark, d):
     return G.render_generic(G.generic_rows(_tables(spark, d)))
 
