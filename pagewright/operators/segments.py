@@ -162,31 +162,35 @@ def subsection_of(text: Column, bold: Column, size: Column, x0: Column, in_table
     matches with up to three characters left out; ``compat`` tries both at each entry, so that a short heading can
     be taken for a longer entry.
     """
-    entries = sorted(V.SUBSECTION_VOCAB, key=lambda v: (-len(v), v))
-    norm = F.replace(T.normalize_heading(text), F.lit(" "), F.lit(""))
-    bare = F.lower(F.replace(T.strip(text), F.lit(" "), F.lit("")))
+    ranked = sorted(V.SUBSECTION_VOCAB, key=lambda v: (-len(v), v))
+    entries = F.array(*[F.struct(F.lit(v.replace(" ", "").replace("/", "")).alias("key"), F.lit(V.proper_case(v)).alias("shown"), F.lit(len(v)).alias("long"), F.lit(len(v.split())).alias("words")) for v in ranked])
     raw = T.strip(text)
-    spaced = (F.upper(F.replace(raw, F.lit(" "), F.lit(""))) == F.replace(raw, F.lit(" "), F.lit("")))
-    exact, near = F.lit(None).cast("string"), F.lit(None).cast("string")
-    both = None
-    for v in reversed(entries):
-        key, shown = v.replace(" ", "").replace("/", ""), F.lit(V.proper_case(v))
-        as_raw = F.when(spaced & (F.size(F.split(raw, r"\s+")) > len(v.split())), shown).when(F.char_length(raw) > len(v), raw).otherwise(shown)
-        garbled = (F.char_length(bare) >= len(key) - 3) & (F.char_length(bare) <= len(key)) & T.is_garbled(bare, F.lit(key))
-        exact = F.when(bare == key, shown).when(norm == key, as_raw).otherwise(exact)
-        near = F.when(garbled, shown).otherwise(near)
+    tight = F.replace(raw, F.lit(" "), F.lit(""))
+    line = F.struct(
+        raw.alias("raw"), F.lower(tight).alias("bare"), F.replace(T.normalize_heading(text), F.lit(" "), F.lit("")).alias("norm"),
+        (F.upper(tight) == tight).alias("capitals"), F.size(F.split(raw, r"\s+")).alias("words"),
+    )
+
+    def found(x: Column) -> Column:
+        is_exact = lambda v: (v["key"] == x["bare"]) | (v["key"] == x["norm"])
+        length = F.char_length(x["bare"])
+        is_near = lambda v: F.when(length.between(F.char_length(v["key"]) - 3, F.char_length(v["key"])), T.is_garbled(x["bare"], v["key"])).otherwise(False)
+        first = lambda test: F.get(F.filter(entries, test), F.lit(0))
+
+        def shown(v: Column) -> Column:
+            as_written = F.when(x["capitals"] & (x["words"] > v["words"]), v["shown"]).when(F.char_length(x["raw"]) > v["long"], x["raw"]).otherwise(v["shown"])
+            return F.when((x["bare"] == v["key"]) | (x["norm"] != v["key"]), v["shown"]).otherwise(as_written)
+
         if compat:
-            both = F.when(bare == key, shown).when(norm == key, as_raw).when(garbled, shown).otherwise(both if both is not None else F.lit(None).cast("string"))
-    plain = F.lit(None).cast("string")
-    for v in reversed(entries):
-        plain = F.when(bare == v.replace(" ", "").replace("/", ""), V.proper_case(v)).otherwise(plain)
+            either = first(lambda v: is_exact(v) | is_near(v))
+            return F.struct(shown(either).alias("bold"), first(lambda v: v["key"] == x["bare"])["shown"].alias("plain"))
+        return F.struct(F.coalesce(shown(first(is_exact)), first(is_near)["shown"]).alias("bold"), first(lambda v: v["key"] == x["bare"])["shown"].alias("plain"))
+
+    # one-element array: the line's forms are worked out once, not for every entry
+    hit = F.get(F.transform(F.array(line), found), F.lit(0))
     starts_lower = F.substring(text, 1, 1).rlike(r"^\p{Ll}")
     barred = in_table | (size < 7) | (size >= 11.5) | T.is_boilerplate(text, publisher) | starts_lower | text.startswith("•") | text.rlike(r"^\d+\.")
-    return (
-        F.when(barred, F.lit(None).cast("string"))
-        .when(~bold, F.when((x0 < 70) & (size >= 9.5), plain))
-        .when(x0 <= 120, both if compat else F.coalesce(exact, near))
-    )
+    return F.when(barred, F.lit(None).cast("string")).when(~bold, F.when((x0 < 70) & (size >= 9.5), hit["plain"])).when(x0 <= 120, hit["bold"])
 
 
 def subsubsection_of(text: Column, bold: Column, italic: Column, size: Column, x0: Column, in_table: Column, publisher: str = "publisher") -> Column:
