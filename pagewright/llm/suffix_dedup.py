@@ -19,15 +19,12 @@ left out of the text ``clean`` gives.
 from __future__ import annotations
 
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from ._common import from_key
+from ._common import flush, from_key
 from ._repeats import Units, merge, repeats
 
 LENGTH = 100
@@ -115,10 +112,17 @@ def earlier_matches(contexts: list[tuple[int, int, int, int, bytes]], length: in
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, carry: list[Column] | None = None) -> DataFrame:
     """doc_id, kept (binary: the remaining bytes), n_bytes, n_removed, n_spans and spans (binary, pairs of little-endian 32-bit numbers) a document, and a struct ``carried`` of ``carry``."""
-    names = ("key", "kept", "n_bytes", "n_removed", "n_spans", "spans")
+    found = _removed(docs, length, gram, pa.binary(), carry)
+    return found.select(from_key(F.col("key")).alias("doc_id"), "kept", "n_bytes", "n_removed", "n_spans", "spans", "carried")
+
+
+def _removed(docs: DataFrame, length: int, gram: int, kind: pa.DataType, carry: list[Column] | None) -> DataFrame:
+    """``dedup`` with ``kept`` as bytes or, for ``kind`` string, as text without broken characters."""
+    as_text = pa.types.is_string(kind)
+    schema = pa.schema([("key", pa.int64()), ("kept", kind), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("spans", pa.binary())])
 
     def finish(keys, texts, spans) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in names]
+        out: list[list] = [[] for _ in schema]
         for key, text, runs in zip(keys, texts, spans):
             parts, at = [], 0
             for a, b in runs.tolist():
@@ -126,28 +130,23 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, carry: list[C
                 at = b
             parts.append(text[at:])
             kept = b"".join(parts)
-            for column, x in zip(out, (key, kept, len(text), len(text) - len(kept), len(runs), runs.astype("<i4").tobytes())):
+            shown = kept.decode("utf-8", "ignore") if as_text else kept
+            for column, x in zip(out, (key, shown, len(text), len(text) - len(kept), len(runs), runs.astype("<i4").tobytes())):
                 column.append(x)
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=list(names))
+        return flush(out, schema)
 
-    found = repeats(docs, Units("bytes", length, min(gram, length)), True, lambda c: earlier_matches(c, length), finish, "key long, kept binary, n_bytes long, n_removed long, n_spans long, spans binary", carry)
-    return found.select(from_key(F.col("key")).alias("doc_id"), *names[1:], "carried")
+    ddl = f"key long, kept {'string' if as_text else 'binary'}, n_bytes long, n_removed long, n_spans long, spans binary"
+    return repeats(docs, Units("bytes", length, min(gram, length)), True, lambda c: earlier_matches(c, length), finish, ddl, carry)
 
 
 def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The documents with the columns they had and the text that remains; n_chars, where there is one, is counted anew. Documents that are left empty stay."""
-    found = dedup(docs, length, carry=[F.struct(*docs.columns).alias("row"), F.col("text").isNull().alias("no_text")])
-    text = F.when(F.col("carried.no_text"), F.lit(None).cast("string")).otherwise(F.col("kept_text"))
-    found = found.mapInArrow(_decoded, StructType([*found.schema, StructField("kept_text", StringType())]))
-    out = {"text": text} | ({"n_chars": F.when(~F.col("carried.no_text"), F.char_length("kept_text")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return found.select(*[out.get(c, F.col(f"carried.row.`{c}`")).alias(c) for c in docs.columns])
-
-
-def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = [x.decode("utf-8", "ignore") for x in b.column("kept").to_pylist()]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, "kept_text"])
+    others = [c for c in docs.columns if c != "text"]  # the text itself isn't carried along
+    row = F.struct(*others) if others else F.lit(None).cast("int")
+    found = _removed(docs, length, GRAM, pa.string(), [row.alias("row"), F.col("text").isNull().alias("no_text")])
+    text = F.when(~F.col("carried.no_text"), F.col("kept"))
+    out = {"text": text} | ({"n_chars": F.char_length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return found.select(*[out[c].alias(c) if c in out else F.col(f"carried.row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
