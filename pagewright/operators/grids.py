@@ -211,6 +211,13 @@ def subrow_parents(rows: DataFrame) -> DataFrame:
     return r.withColumn("clip", F.when(full, clip))
 
 
+def chars_in_box(chars: DataFrame, boxes: DataFrame, slack: float = 2.0) -> DataFrame:
+    """``chars`` that begin within a box of their page (doc_id, page, x0, top, x1, bottom), with 2 points to spare."""
+    held = boxes.groupBy("doc_id", "page").agg(F.collect_list(F.struct("x0", "top", "x1", "bottom")).alias("_boxes"))
+    hit = F.exists("_boxes", lambda b: F.col("x0").between(b["x0"] - slack, b["x1"] + slack) & F.col("top").between(b["top"] - slack, b["bottom"] + slack))
+    return chars.join(held, ["doc_id", "page"]).where(hit).drop("_boxes")
+
+
 def assemble_chars(chars: DataFrame, rules: DataFrame) -> DataFrame:
     """doc_id, page, text: characters in lines of two points, underlined runs in <u>, a break before bullets.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import text as T
 from pagewright.functions import vocabulary as V
 
-from .relational import joined
+from .relational import first_within, joined
 
 PAGE = ["doc_id", "page"]
 
@@ -353,3 +353,9 @@ def backfill_titles(nodes: DataFrame, detected: DataFrame) -> DataFrame:
     """``nodes`` (doc_id, page, top, title) with empty titles filled from the detected table at the same rounded top; the last of several counts."""
     titles = detected.groupBy(*PAGE, F.bround(F.round(F.col("bbox.top"), 1), 0).alias("_top")).agg(F.max_by("title", "table_idx").alias("_title"))
     return nodes.withColumn("_top", F.bround("top", 0)).join(titles, [*PAGE, "_top"], "left").withColumn("title", F.coalesce(F.nullif("title", F.lit("")), "_title", F.lit(""))).drop("_top", "_title")
+
+
+def nearby_titles(nodes: DataFrame, detected: DataFrame, tolerance: float = 5.0) -> DataFrame:
+    """``nodes`` (doc_id, page, top) with the title of the first detected table of the page whose top is less than 5 points away; empty without one."""
+    found = detected.select(*PAGE, "table_idx", F.col("bbox.top").alias("_box_top"), "title")
+    return first_within(nodes, found, PAGE, "top", "_box_top", tolerance, ["table_idx"], "title", strict=True).withColumn("title", F.coalesce("title", F.lit("")))

@@ -381,3 +381,16 @@ def lower_headings(spark, d):
     c = F.col
     level = S.mm_heading_level(c("text"), c("bold"), c("size"), c("x0"), c("in_table"), c("top") % 3 == 0, F.lit("Coverage Policy"))
     return _lines(spark, d).select("doc_id", "page", "top", S.subsubsection_of(c("text"), c("bold"), c("italic"), c("size"), c("x0"), c("in_table")).alias("heading"), level.alias("level"))
+
+
+@query(
+    f"""WITH {RAW_SQL}, f AS (SELECT doc_id, page, top, CASE WHEN doc_id % 3 = 0 AND page = 1 AND top = 88 THEN 'DOS' WHEN doc_id % 3 = 0 AND page = 1 AND top = 100 THEN 'ING now' ELSE text END AS text, bold OR (doc_id % 3 = 0 AND page = 1 AND top IN (88, 100)) AS bold, CASE WHEN doc_id % 3 = 0 AND page = 1 AND top = 100 THEN 96 ELSE top END AS t2 FROM raw),
+    s AS (SELECT *, bold AND upper(replace(text, ' ', '')) = replace(text, ' ', '') AND lower(replace(text, ' ', '')) <> replace(text, ' ', '') AND length(text) <= 6 AS short FROM f),
+    b AS (SELECT *, lag(short) OVER w AS ps, lag(text) OVER w AS pt, lag(t2) OVER w AS ptop, lag(page) OVER w AS pp FROM s WINDOW w AS (PARTITION BY doc_id ORDER BY page, t2))
+    SELECT doc_id, page, t2 AS top, CASE WHEN bold AND coalesce(ps AND pp = page AND abs(t2 - ptop) <= 10, false) THEN pt || text ELSE text END AS text FROM b WHERE NOT short"""
+)
+def fragment_join(spark, d):
+    at = (F.col("doc_id") % 3 == 0) & (F.col("page") == 1)
+    text = F.when(at & (F.col("top") == 88), "DOS").when(at & (F.col("top") == 100), "ING now").otherwise(F.col("text"))
+    lines = _lines(spark, d).withColumn("text", text).withColumn("bold", F.col("bold") | (at & F.col("top").isin(88, 100)))
+    return S.join_fragments(lines.withColumn("top", F.when(at & (F.col("top") == 100), 96).otherwise(F.col("top")))).select("doc_id", "page", "top", "text")

@@ -463,3 +463,42 @@ def row_loss(spark, d):
 @query(f"WITH {_LOSS} SELECT doc_id, count(*) AS n_tables, sum(missing) AS n_missing FROM loss GROUP BY doc_id")
 def missing_rollup(spark, d):
     return Q.missing_by_document(_losses(spark, d))
+
+
+# Lookups ------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {grids.GRIDS_SQL} SELECT t.doc_id, t.page, t.table_idx, EXISTS (SELECT 1 FROM gwords w WHERE w.doc_id = t.doc_id AND w.page = t.page AND contains(w.fontname, 'Bold') AND w.top BETWEEN t.top AND t.top + 20 AND w.x0 BETWEEN t.x0 AND t.x1) AS bold_header FROM tables t")
+def bold_header(spark, d):
+    t, w, _ = _all(spark, d)
+    return B.bold_header(t, w.where("doc_id >= 0")).select(*KEYS, "bold_header")
+
+
+@query(f"WITH {grids.GRIDS_SQL}, n AS (SELECT doc_id, page, table_idx, top + CAST(doc_id % 8 AS DOUBLE) AS top FROM tables) SELECT n.doc_id, n.page, n.table_idx, coalesce((SELECT arg_min('title ' || t.table_idx, t.table_idx) FROM tables t WHERE t.doc_id = n.doc_id AND t.page = n.page AND abs(t.top - n.top) < 5), '') AS title FROM n")
+def tolerant_title(spark, d):
+    t = _tables(spark, d)
+    nodes = t.select(*KEYS, (F.col("bbox.top") + (F.col("doc_id") % 8).cast("double")).alias("top"))
+    return B.nearby_titles(nodes, t.withColumn("title", F.concat(F.lit("title "), F.col("table_idx").cast("string")))).select(*KEYS, "title")
+
+
+@query(f"WITH {TYPE_SQL} SELECT doc_id, page, table_idx, CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE table_type END AS table_type FROM typed")
+def type_attach(spark, d):
+    t, w, r = _all(spark, d)
+    return Q.with_types(t, B.detect(t, w, r).where("doc_id % 3 != 0")).select(*KEYS, "table_type")
+
+
+@query("""WITH p AS (SELECT p_partkey AS doc_id, generate_subscripts(string_split(p_name, ''), 1) - 1 AS i, unnest(string_split(p_name, '')) AS ch FROM part)
+    SELECT doc_id, count(*) AS n_chars FROM p WHERE ch <> '' AND 5.0 * (i % 6) BETWEEN 3 AND 17 AND 100.0 + 12 * (i // 6) BETWEEN 98 AND 114 GROUP BY doc_id""")
+def chars_in_box(spark, d):
+    chars = _chars(spark, d)
+    boxes = chars.select("doc_id", "page").distinct().select("doc_id", "page", F.lit(5.0).alias("x0"), F.lit(100.0).alias("top"), F.lit(15.0).alias("x1"), F.lit(112.0).alias("bottom"))
+    return G.chars_in_box(chars, boxes).groupBy("doc_id").agg(F.count("*").alias("n_chars"))
+
+
+@query(f"WITH {grids.GRIDS_SQL}, last AS (SELECT doc_id, max(page) AS n_pages FROM tables GROUP BY doc_id) SELECT r.doc_id, r.page, arg_min(r.top, r.rect_idx) AS top FROM grects r JOIN last l ON l.doc_id = r.doc_id AND l.n_pages = r.page WHERE r.bottom - r.top - 17 < 5 AND r.x1 - r.x0 > 400 AND NOT (r.r = 0 AND r.g = 0 AND r.b = 0) GROUP BY r.doc_id, r.page")
+def footer_rule(spark, d):
+    from pagewright.operators import segments as S
+
+    t, _, r = _all(spark, d)
+    thin = r.withColumn("bottom", F.col("bottom") - 17).withColumn("color_kind", F.lit("tuple"))
+    return S.footer_rule(thin, t.groupBy("doc_id").agg(F.max("page").alias("n_pages")))
