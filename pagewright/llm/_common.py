@@ -28,10 +28,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, read back: its lineage ends there and survives lost executors."""
+def written(df: DataFrame, name: str, merge: int = 1) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: its lineage ends there and survives lost executors.
+
+    ``merge``: so many small shuffle partitions go to a task and a file.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    out = df.coalesce(max(8, partitions(df.sparkSession) // merge)) if merge > 1 else df
+    out.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

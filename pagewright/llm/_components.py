@@ -58,7 +58,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     A union-find within each task first, then alternating large and small stars (Kiveris et al.,
     2014) over all edges until nothing changes. Each round is a table in the shared folder.
     """
-    now = written(edges.where("a != b").select("a", "b").mapInArrow(_local, "a long, b long").distinct(), "edges")
+    now = written(edges.where("a != b").select("a", "b").mapInArrow(_local, "a long, b long").distinct(), "edges", 8)
     mark = None
     while True:
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
@@ -70,5 +70,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = written(small.select("e.*").where("a != b").distinct(), "edges")
+        now = written(small.select("e.*").where("a != b").distinct(), "edges", 8)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

@@ -372,7 +372,7 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
     whole = docs.select(doc_key().alias("key"), text_bytes().alias("text"), carried.alias("carried")).withColumn("th", F.xxhash64("text"))
     keyed = whole.select("key", "th", "text")
     flow = keyed.mapInArrow(lambda b: _anchors(b, units, targets, keep_first), _FLOW_DDL)
-    flow = written(flow.repartition(n, "target").mapInArrow(lambda b: _resolve(b, units, keep_first), _FLOW_DDL).drop("target"), "repeats")
+    flow = written(flow.repartition(n, "target").mapInArrow(lambda b: _resolve(b, units, keep_first), _FLOW_DDL).drop("target"), "repeats", 4)
     asked = flow.where("pos is not null").groupBy("key", "th").agg(F.collect_list(F.struct("pos", "gram", "among")).alias("asked"))  # as long as the document at most
     dealt = whole.select("key", "th", "text", "carried").repartition(n, "key", "th")  # shuffled once, for both joins: they take the same columns
     found = (

@@ -118,7 +118,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
     usable = every.where("label is not null and v is not null").mapInArrow(lambda b: _batched(_usable(b)), "key long, label string, raw binary")
     usable = written(usable.withColumn("size", F.octet_length("raw") / F.lit(8)).withColumn("size", F.col("size").cast("int")), "vectors")
     nodes = usable.groupBy("label", "size", "raw").agg(F.count("*").alias("copies"), F.min("key").alias("least"))
-    nodes = written(nodes, "vector-nodes")
+    nodes = written(nodes, "vector-nodes", 4)
     sizes = [r["size"] for r in nodes.select("size").distinct().limit(10_001).collect()]
     if len(sizes) > 10_000:
         raise ValueError("vectors of more than 10,000 different sizes")
@@ -151,7 +151,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
         .sortWithinPartitions("label", "size", "first", "least")
         .withColumn("place", F.monotonically_increasing_id())  # its first row's place names a tile
     )
-    tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, data binary"), "vector-tiles")
+    tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, data binary"), "vector-tiles", 4)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9  # unit vectors with this cosine are no farther apart, on any axis
     left = tiles.select("label", "size", F.col("tile").alias("s"), "low", "high")
     right = tiles.select("label", "size", F.col("tile").alias("t"), F.col("low").alias("low2"), F.col("high").alias("high2"))
@@ -164,7 +164,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
         .repartition(partitions(embeddings.sparkSession), "s", "t")
         .select("s", "t", "size", "a", "b")
     )
-    found = written(pairs.mapInArrow(lambda b: _compared(b, threshold), "node long, other long, links long"), "vector-links")
+    found = written(pairs.mapInArrow(lambda b: _compared(b, threshold), "node long, other long, links long"), "vector-links", 4)
     roots = connected_components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("linked"))
     known = (

@@ -85,7 +85,7 @@ def links(distinct: DataFrame) -> DataFrame:
     masks = [_signed(m) for m in covering_masks()]
     tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("masked")) for t, m in enumerate(masks)])
     keyed = distinct.select("fp", F.explode(tables).alias("e")).select("fp", "e.t", "e.masked")
-    buckets = written(keyed.groupBy("t", "masked").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "buckets")
+    buckets = written(keyed.groupBy("t", "masked").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"), "buckets", 8)
     pairs = buckets.where("n = 2").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS).select("a", "b")
     members = keyed.join(buckets.where("n > 2").select("t", "masked"), ["t", "masked"]).select("fp").distinct()
     near = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)])
