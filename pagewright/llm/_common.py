@@ -77,15 +77,22 @@ def flush(columns: list[list], schema: pa.Schema) -> pa.RecordBatch:
     return batch
 
 
-def annotate(docs: DataFrame, keep: list[str], fields: str, make) -> DataFrame:
-    """The ``keep`` columns of ``docs`` and a struct column ``_pw`` of ``fields`` worked out from the text.
+def fresh(columns: list[str], name: str = "_pw") -> str:
+    """``name``, with underscores until no column has it."""
+    while name in columns:
+        name += "_"
+    return name
+
+
+def annotate(docs: DataFrame, keep: list[str], fields: str, make, name: str = "_pw") -> DataFrame:
+    """The ``keep`` columns of ``docs`` and a struct column ``name`` of ``fields`` worked out from the text.
 
     ``make()`` is called once a task and returns a function from a list of texts (UTF-8 bytes, None
-    where null) to a list of tuples. A column of ``docs`` named ``_pw`` would be replaced.
+    where null) to a list of tuples. A column of ``keep`` called ``name`` gives way.
     """
-    keep = [c for c in keep if c != "_pw"]
-    source = docs.select(F.col("text").cast("string").cast("binary").alias("_pw"), *keep)
-    kept = docs.select(*keep).schema
+    keep = [c for c in keep if c != name]
+    source = docs.select(F.col("text").cast("string").cast("binary").alias(name), *[f"`{c}`" for c in keep])
+    kept = docs.select(*[f"`{c}`" for c in keep]).schema
     names = [x.split()[0] for x in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,11 +102,11 @@ def annotate(docs: DataFrame, keep: list[str], fields: str, make) -> DataFrame:
                 part = batch.slice(at, 256)
                 found = work(part.column(0).to_pylist())
                 structs = pa.StructArray.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(arrow)], names)
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], structs], names=[*keep, "_pw"])
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], structs], names=[*keep, name])
 
     from pyspark.sql.pandas.types import to_arrow_type
     from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
     schema = _parse_datatype_string(fields)
     arrow = [to_arrow_type(f.dataType) for f in schema]
-    return source.mapInArrow(run, StructType([*kept, StructField("_pw", schema)]))
+    return source.mapInArrow(run, StructType([*kept, StructField(name, schema)]))

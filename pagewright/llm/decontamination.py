@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import annotate, lower_alnum_words
+from ._common import annotate, fresh, lower_alnum_words
 
 WINDOW = 13
 #: Bytes of item texts whose tables a task holds at once.
@@ -92,8 +92,8 @@ def _shards(benchmark: DataFrame) -> list[list[tuple[str | None, bytes]]]:
     return [items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) for k in range(n)]
 
 
-def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, share: int = 20) -> DataFrame:
-    """``keep`` columns and ``_pw``: n_words, n_hit, n_items, items_sha256, contaminated, spans (starts and ends of runs of hit words).
+def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, share: int = 20, name: str = "_pw") -> DataFrame:
+    """``keep`` columns and a struct ``name``: n_words, n_hit, n_items, items_sha256, contaminated, spans (starts and ends of runs of hit words).
 
     A document is contaminated if at least one word in ``share`` is hit.
     """
@@ -131,12 +131,13 @@ def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = W
 
         return work
 
-    return annotate(docs, keep, "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<long>", make)
+    return annotate(docs, keep, "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<long>", make, name)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that aren't contaminated, with the columns they had."""
-    return flag(docs, benchmark, docs.columns).where("not _pw.contaminated").select(docs.columns)
+    name = fresh(docs.columns)
+    return flag(docs, benchmark, docs.columns, name=name).where(~F.col(name)["contaminated"]).drop(name)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ._common import doc_key, partitions, written
+from ._common import doc_key, fresh, partitions, written
 
 BITS = 5
 SHARDS = 24
@@ -65,19 +65,19 @@ def _number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def assign(docs: DataFrame, keep: list[str], dimensions: list[str] | None = None, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
-    """``keep`` columns and ``_pw``: size, text_crc32, law, shard, slot, grown_shard (null by this law), hilbert.
+def assign(docs: DataFrame, keep: list[str], dimensions: list[str] | None = None, shards: int = SHARDS, bits: int = BITS, name: str = "_pw") -> DataFrame:
+    """``keep`` columns and a struct ``name``: size, text_crc32, law, shard, slot, grown_shard (null by this law), hilbert.
 
     ``dimensions``: columns that order the rows; by default those of source, lang and doc_id that are there,
     and the size.
     """
-    keep = [c for c in keep if c != "_pw"]
+    keep = [c for c in keep if c != name]
     named = dimensions if dimensions is not None else [c for c in ("source", "lang", "doc_id") if c in docs.columns]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = (F.octet_length(text) + ROW_BYTES).cast("long")
     slim = written(
         docs.select(
-            F.struct(*keep).alias("kept") if keep else F.lit(None).cast("struct<none:int>").alias("kept"),
+            F.struct(*[f"`{c}`" for c in keep]).alias("kept") if keep else F.lit(None).cast("struct<none:int>").alias("kept"),
             doc_key().alias("key"), size.alias("size"), F.crc32(text.cast("binary")).alias("crc"),
             F.array(*[_number(docs, c) for c in named], size.cast("double")).alias("dims"),
         ),
@@ -114,20 +114,22 @@ def assign(docs: DataFrame, keep: list[str], dimensions: list[str] | None = None
             F.struct(
                 "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
                 (rank - first).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "hilbert",
-            ).alias("_pw"),
+            ).alias(name),
         )
     )
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, rows_per_file: int = 1_000_000) -> None:
-    """Writes all columns as files of Parquet, one folder a shard, each file a run of the curve."""
-    found = assign(docs, docs.columns, shards=shards)
+    """Writes all columns as files of Parquet, one folder a shard, each file a run of the curve; a column named shard gives way to the folders'."""
+    name = fresh(docs.columns)
+    run = fresh([*docs.columns, name], "_run")
+    found = assign(docs, docs.columns, shards=shards, name=name)
     (
-        found.withColumn("shard", F.col("_pw.shard"))
-        .withColumn("_run", F.floor(F.col("_pw.slot") / rows_per_file))
-        .repartition(partitions(docs.sparkSession), "shard", "_run")
-        .sortWithinPartitions("shard", "_pw.slot")
-        .drop("_run", "_pw")
+        found.withColumn("shard", F.col(name)["shard"])
+        .withColumn(run, F.floor(F.col(name)["slot"] / rows_per_file))
+        .repartition(partitions(docs.sparkSession), "shard", run)
+        .sortWithinPartitions("shard", F.col(name)["slot"])
+        .drop(run, name)
         .write.partitionBy("shard")
         .option("maxRecordsPerFile", rows_per_file)
         .parquet(path)

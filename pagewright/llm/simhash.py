@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, doc_key, flush, from_key, rows, text_bytes, written
+from ._common import doc_key, flush, fresh, from_key, rows, text_bytes, written
 from ._components import connected_components
 
 SHINGLE = 3
@@ -94,14 +94,14 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(least.select("a", F.explode("all").alias("b")).where("a != b").distinct())
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with key (doc_id, NULL_ID for null) and th (hash of the text)."""
-    return docs.withColumns({"_pw": doc_key(), "_pw_th": F.xxhash64(text_bytes())})
+def _keyed(docs: DataFrame, key: str = "key", th: str = "th") -> DataFrame:
+    """``docs`` with ``key`` (doc_id, NULL_ID for null) and ``th`` (hash of the text)."""
+    return docs.withColumns({key: doc_key(), th: F.xxhash64(text_bytes())})
 
 
 def components(docs: DataFrame) -> DataFrame:
     """key (doc_id, NULL_ID for null), th, fp (signed), component (the smallest key of its component) and component_th (that of the smallest key, then hash), a row per row of ``docs``."""
-    texts = _keyed(docs.select("doc_id", "text")).select(F.col("_pw").alias("key"), F.col("_pw_th").alias("th"), text_bytes().alias("text"))
+    texts = _keyed(docs.select("doc_id", "text")).select("key", "th", text_bytes().alias("text"))
     found = written(texts.mapInArrow(_fingerprints, "key long, th long, fp long"), "fingerprints")
     distinct = found.groupBy("fp").agg(F.min(F.struct("key", "th")).alias("least"))
     roots = connected_components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
@@ -112,8 +112,9 @@ def components(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component, with the columns it had: that with the smallest doc_id (then text hash); of rows that repeat both, one."""
-    kept = components(docs).where("key = component and th = component_th").select(F.col("key").alias("_pw"), F.col("th").alias("_pw_th")).distinct()
-    return _keyed(docs).join(kept, ["_pw", "_pw_th"], "left_semi").dropDuplicates(["_pw", "_pw_th"]).select(docs.columns)
+    key, th = fresh(docs.columns, "_key"), fresh(docs.columns, "_th")
+    kept = components(docs).where("key = component and th = component_th").select(F.col("key").alias(key), F.col("th").alias(th)).distinct()
+    return _keyed(docs, key, th).join(kept, [key, th], "left_semi").dropDuplicates([key, th]).drop(key, th)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import annotate, lower_alnum_words, text_bytes
+from ._common import annotate, fresh, lower_alnum_words, text_bytes
 
 SAMPLE = 8192
 PREFIX = 5
@@ -255,8 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(vocabulary, found, found.get(b"", 0), [(i, dict(t), y) for i, t, y in examples[: 2 * sample]])
 
 
-def flag(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``_pw``: score, predicted, neighbours (their ids) and cosines."""
+def flag(docs: DataFrame, labels: DataFrame, keep: list[str], name: str = "_pw") -> DataFrame:
+    """``keep`` columns and a struct ``name``: score, predicted, neighbours (their ids) and cosines."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def make():
@@ -265,12 +265,13 @@ def flag(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
 
         return work
 
-    return annotate(docs, keep, "score double, predicted int, neighbours array<long>, cosines array<double>", make)
+    return annotate(docs, keep, "score double, predicted int, neighbours array<long>, cosines array<double>", make, name)
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that aren't predicted toxic, with the columns they had."""
-    return flag(docs, labels, docs.columns).where("_pw.predicted = 0").select(docs.columns)
+    name = fresh(docs.columns)
+    return flag(docs, labels, docs.columns, name).where(F.col(name)["predicted"] == 0).drop(name)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,6 +88,7 @@ def test_one_document_of_a_group_stays(docs, rows):
     assert kept.columns == docs.columns
     assert kept.count() == simhash.components(docs).select("component", "component_th").distinct().count()
     assert kept.where("doc_id = 7").count() == 2  # two texts of one id, unlike each other
+    assert kept.where("doc_id < 60 and _pw != doc_id and doc_id != 7").count() == 0  # a column with an inner name keeps its values
 
 
 def test_components_of_long_chains(spark):
@@ -233,6 +234,7 @@ def test_decontamination(spark, docs, rows, nothing):
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in found), key=order) == sorted(want, key=order)
     kept = decontamination.clean(docs, bench)
     assert kept.columns == docs.columns and kept.count() == sum(not w[-1] for w in want)
+    assert kept.where("doc_id < 60 and _pw != doc_id and doc_id != 7").count() == 0
     assert decontamination.flag(docs, bench.limit(0), ["doc_id"]).where("_pw.contaminated").count() == 0
     assert decontamination.clean(nothing, bench).count() == 0
 
