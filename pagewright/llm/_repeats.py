@@ -39,8 +39,8 @@ from ._common import doc_key, flush, partitions, rows, text_bytes, written
 #: Units hashed at once, and anchors a task settles at once.
 PIECE = 1 << 18
 BATCH = 1 << 19
-#: Contexts of a gram that one task compares; beyond that they are dealt by window.
-HOT = 30_000
+#: Contexts of a gram that one task compares; beyond that they are dealt by window. An automaton takes more memory than an array.
+HOT = {"bytes": 30_000, "words": 4_000}
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK64 = (1 << 64) - 1
@@ -346,7 +346,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], units: Units, targets: int) ->
         for want in asked:
             pos, gram, among = want["pos"], want["gram"], want["among"]
             a, b = max(0, pos - units.side), min(len(whole), pos + units.window)
-            if among <= HOT:
+            if among <= HOT[units.kind]:
                 put((gram & _MASK64) % targets, gram, key, th, a, units.join(whole[a:b]))
                 continue
             for s in range(a, b - units.window + 1):

@@ -16,6 +16,8 @@ each; null ids sort first. An empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,7 +97,18 @@ class SuffixAutomaton:
 def repeated_runs(contexts: list[tuple[int, int, int, int, bytes]], window: int) -> list[tuple[int, int, int, int]]:
     """Runs (key, th, start, end) of words in windows that occur at two places, among contexts (gram, key, th, start, words)."""
     stretches: list[tuple[int, int, int, list[bytes]]] = []
-    for _, key, th, start, text in sorted(contexts, key=lambda c: c[1:4]):
+    runs, longer = [], []
+    for _, group in groupby(sorted(contexts), key=lambda c: c[0]):
+        own = list(group)
+        if any(c[4].count(b" ") != window - 1 for c in own):
+            longer += own
+            continue
+        # a gram dealt by window: each is one window, and repeats if it is met at two places
+        same: dict[bytes, set[tuple[int, int, int]]] = {}
+        for _, key, th, start, text in own:
+            same.setdefault(text, set()).add((key, th, start))
+        runs += [(*place, place[2] + window) for places in same.values() if len(places) > 1 for place in places]
+    for _, key, th, start, text in sorted(longer, key=lambda c: c[1:4]):
         words = text.split()
         if stretches and stretches[-1][:2] == (key, th) and start <= stretches[-1][2] + len(stretches[-1][3]):
             mine = stretches[-1]
@@ -107,7 +120,6 @@ def repeated_runs(contexts: list[tuple[int, int, int, int, bytes]], window: int)
     for c in coded:
         automaton.add(c)
     automaton.count()
-    runs = []
     for (key, th, start, _), c in zip(stretches, coded):
         first = last = None
         for end in automaton.repeated_ends(c, window):

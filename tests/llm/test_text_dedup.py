@@ -73,7 +73,7 @@ def test_cleaned_documents_keep_their_columns(docs, rows, nothing):
 @pytest.mark.parametrize("hot", [30_000, 2])
 def test_contexts_dealt_by_window_decide_the_same(hot, monkeypatch):
     """Grams with too many contexts are dealt by window; the result can't differ."""
-    monkeypatch.setattr(_repeats, "HOT", hot)
+    monkeypatch.setattr(_repeats, "HOT", {"bytes": hot, "words": hot})
     rnd = random.Random(1)
     same = bytes(rnd.randrange(97, 123) for _ in range(40))
     texts = [bytes(rnd.randrange(97, 100) for _ in range(30)) + same + bytes(rnd.randrange(97, 99) for _ in range(30)) for _ in range(20)]
