@@ -21,6 +21,25 @@ def _held(df: DataFrame, columns: list[str], name: str, order: list[str] | None
     return df.groupBy(*PAGE).agg(F.array_sort(F.collect_list(F.struct(*(order or []), *columns))).alias(name))
 
 
+_WORD = ["text", "x0", "x1", "top", "fontname", "size"]
+_RECT = ["x0", "x1", "top", "bottom", "fill", "color"]
+
+
+def on_page(tables: DataFrame, words: DataFrame | None = None, rects: DataFrame | None = None, others: bool = False) -> DataFrame:
+    """``tables`` with what their page holds, each gathered once: _words, _rects and _others (its tables).
+
+    All are grouped and joined by (doc_id, page), so operators that take several of them share the shuffles.
+    """
+    t = tables
+    if others:
+        t = t.join(_held(tables, ["bbox"], "_others", ["table_idx"]), PAGE)
+    if words is not None:
+        t = t.join(_held(words, [c for c in _WORD if c in words.columns], "_words", ["word_idx"]), PAGE, "left")
+    if rects is not None:
+        t = t.join(_held(rects, _RECT, "_rects"), PAGE, "left")
+    return t
+
+
 def _filled(value: Column) -> Column:
     return T.cell(value) != ""
 
@@ -31,17 +50,17 @@ def _at(row: Column, i: int) -> Column:
 
 def spurious(tables: DataFrame, rects: DataFrame | None = None) -> DataFrame:
     """``tables`` with a flag: rules, empty boxes, boxes within boxes, stripes and bordered paragraphs are no tables."""
-    others = _held(tables, ["bbox"], "_others", ["table_idx"])
-    t = tables.join(others, PAGE)
-    if rects is not None:
-        t = t.join(_held(rects.where(T.is_green_stripe(F.col("fill"), F.col("color"))), ["top", "bottom"], "_stripes"), PAGE, "left")
-    else:
-        t = t.withColumn("_stripes", F.lit(None).cast("array<struct<top:double,bottom:double>>"))
+    t = on_page(tables, rects=rects, others=True)
+    return t.withColumn("spurious", _spurious(rects is not None)).drop("_others", "_rects")
+
+
+def _spurious(stripes: bool) -> Column:
     b, cells = F.col("bbox"), F.col("cells")
     n_rows, row0 = F.size("cells"), F.get("cells", F.lit(0))
     cols = F.size(row0)
     flat_cells = F.flatten(cells)
-    stripe = F.coalesce(F.exists("_stripes", lambda r: (r["top"] >= b["top"] - 2) & (r["bottom"] <= b["bottom"] + 2)), F.lit(False))
+    green = lambda r: F.coalesce(T.is_green_stripe(r["fill"], r["color"]), F.lit(False))
+    stripe = F.coalesce(F.exists("_rects", lambda r: green(r) & (r["top"] >= b["top"] - 2) & (r["bottom"] <= b["bottom"] + 2)), F.lit(False)) if stripes else F.lit(False)
     other = lambda o: o["table_idx"] != F.col("table_idx")
     within = F.exists("_others", lambda o: other(o) & (o["bbox"]["x0"] < b["x0"]) & (o["bbox"]["top"] <= b["top"]) & (o["bbox"]["x1"] > b["x1"]) & (o["bbox"]["bottom"] >= b["bottom"]))
     within_wide = F.exists(
@@ -61,16 +80,19 @@ def spurious(tables: DataFrame, rects: DataFrame | None = None) -> DataFrame:
         (n_rows == 0) | stripe | ((b["bottom"] - b["top"] < 30) & (cols <= 2))
         | ((cols == 1) & (F.forall(flat_cells, lambda c: ~_filled(c)) | within)) | within_wide | prose | lone | footnote
     )
-    return t.withColumn("spurious", F.coalesce(flag, F.lit(True))).drop("_others", "_stripes")
+    return F.coalesce(flag, F.lit(True))
 
 
 def visual_top(tables: DataFrame, rects: DataFrame) -> DataFrame:
     """``tables`` with ``true_top``: vertical borders that reach above an open table show where it begins."""
-    thin = _held(rects.where(F.col("x1") - F.col("x0") < 2), ["x0", "top", "bottom"], "_borders")
+    return on_page(tables, rects=rects).withColumn("true_top", _true_top()).drop("_rects")
+
+
+def _true_top() -> Column:
     b = F.col("bbox")
-    hit = F.filter("_borders", lambda r: (r["bottom"] >= b["top"] - 2) & (r["top"] < b["top"]) & ((F.abs(r["x0"] - b["x0"]) < 3) | (F.abs(r["x0"] - b["x1"]) < 3)))
-    top = F.least(b["top"], F.coalesce(F.array_min(F.transform(hit, lambda r: r["top"])), b["top"]))
-    return tables.join(thin, PAGE, "left").withColumn("true_top", top).drop("_borders")
+    border = lambda r: (r["x1"] - r["x0"] < 2) & (r["bottom"] >= b["top"] - 2) & (r["top"] < b["top"]) & ((F.abs(r["x0"] - b["x0"]) < 3) | (F.abs(r["x0"] - b["x1"]) < 3))
+    reach = F.array_min(F.transform(F.filter("_rects", border), lambda r: r["top"]))
+    return F.least(b["top"], F.coalesce(reach, b["top"]))
 
 
 def rotated_headers(tiny_words: DataFrame) -> DataFrame:
@@ -81,21 +103,26 @@ def rotated_headers(tiny_words: DataFrame) -> DataFrame:
 
 def continuations(tables: DataFrame) -> DataFrame:
     """``tables`` (with spurious and true_top) with ``is_continuation``: like the last real table before it, with no page without tables between, and near the top of the page."""
-    pages = tables.select(*PAGE).distinct()
-    order = Window.partitionBy("doc_id").orderBy("page")
-    runs = pages.withColumn("_run", F.col("page") - F.row_number().over(order))
+    runs = F.col("page") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("page"))  # of pages in a row
     last = Window.partitionBy("doc_id", "_run").orderBy("page", "table_idx").rowsBetween(Window.unboundedPreceding, -1)
-    t = tables.join(runs, PAGE).withColumn("_prev", F.last(F.when(~F.col("spurious"), F.col("bbox")), ignorenulls=True).over(last))
+    t = tables.withColumn("_run", runs).withColumn("_prev", F.last(F.when(~F.col("spurious"), F.col("bbox")), ignorenulls=True).over(last))
     like = (F.abs(F.col("bbox.x0") - F.col("_prev.x0")) < 5) & (F.abs(F.col("bbox.x1") - F.col("_prev.x1")) < 30) & (F.col("true_top") < 120)
     return t.withColumn("is_continuation", ~F.col("spurious") & F.coalesce(like, F.lit(False))).drop("_run", "_prev")
 
 
 def word_titles(tables: DataFrame, words: DataFrame, most: int | None = 80) -> DataFrame:
     """``tables`` with ``title``: the bold words up to 16 points above."""
-    bold = _held(words.where(F.col("fontname").contains("Bold")), ["top", "text"], "_bold", ["word_idx"])
-    near = F.filter("_bold", lambda w: (w["top"] >= F.col("bbox.top") - 16) & (w["top"] < F.col("bbox.top")))
-    title = F.coalesce(F.array_join(F.transform(near, lambda w: w["text"]), " "), F.lit(""))
-    return tables.join(bold, PAGE, "left").withColumn("title", F.substring(title, 1, most) if most else title).drop("_bold")
+    return on_page(tables, words).withColumn("title", _word_title(most)).drop("_words")
+
+
+def _texts(test) -> Column:
+    """Texts of the page's words that pass, in order."""
+    return F.coalesce(F.array_join(F.transform(F.filter("_words", test), lambda w: w["text"]), " "), F.lit(""))
+
+
+def _word_title(most: int | None) -> Column:
+    title = _texts(lambda w: w["fontname"].contains("Bold") & (w["top"] >= F.col("bbox.top") - 16) & (w["top"] < F.col("bbox.top")))
+    return F.substring(title, 1, most) if most else title
 
 
 def corpus_titles(tables: DataFrame, words: DataFrame) -> DataFrame:
@@ -143,10 +170,12 @@ def walked_titles(tables: DataFrame, lines: DataFrame, most: int | None = 80, sa
 
 def left_overhang(tables: DataFrame, words: DataFrame) -> DataFrame:
     """``tables`` with ``left_text``: words that end left of the table, at its height."""
-    held = _held(words, ["x1", "top", "text"], "_words", ["word_idx"])
+    return on_page(tables, words).withColumn("left_text", _left_text()).drop("_words")
+
+
+def _left_text() -> Column:
     b = F.col("bbox")
-    near = F.filter("_words", lambda w: (w["x1"] <= b["x0"] + 10) & (w["top"] >= b["top"] - 5) & (w["top"] <= b["bottom"] + 5))
-    return tables.join(held, PAGE, "left").withColumn("left_text", F.coalesce(F.array_join(F.transform(near, lambda w: w["text"]), " "), F.lit(""))).drop("_words")
+    return _texts(lambda w: (w["x1"] <= b["x0"] + 10) & (w["top"] >= b["top"] - 5) & (w["top"] <= b["bottom"] + 5))
 
 
 def gray_bottom(tables: DataFrame, rects: DataFrame, low: float = 0.3, slack: float = 2.0) -> DataFrame:
@@ -216,8 +245,9 @@ def detected_type() -> Column:
 
 def detect(tables: DataFrame, words: DataFrame, rects: DataFrame, tiny_words: DataFrame | None = None) -> DataFrame:
     """One row per table with spurious, true_top, is_continuation, title, left_text, tiny_cols, table_type, covered."""
-    t = continuations(visual_top(spurious(tables, rects), rects))
-    t = left_overhang(word_titles(t, words), words).join(rotated_headers(tiny_words if tiny_words is not None else words), PAGE, "left")
+    t = on_page(tables, words, rects, others=True).join(rotated_headers(tiny_words if tiny_words is not None else words), PAGE, "left")
+    t = t.withColumns({"spurious": _spurious(True), "true_top": _true_top(), "title": _word_title(80), "left_text": _left_text()}).drop("_others", "_words", "_rects")
+    t = continuations(t)
     t = t.withColumn("table_type", detected_type())
     return t.withColumn("covered", ~F.col("table_type").isin("spurious", "unknown"))
 
