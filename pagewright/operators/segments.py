@@ -20,9 +20,9 @@ def _lookup(key: Column, table: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*entries), key)
 
 
-def section_of(text: Column, bold: Column, size: Column, x0: Column, vocab: list[str] = V.SECTION_VOCAB) -> Column:
-    """The section that a line is the heading of; null if none."""
-    norm = T.normalize_heading(text)
+def section_of(text: Column, bold: Column, size: Column, x0: Column, vocab: list[str] = V.SECTION_VOCAB, norm: Column | None = None) -> Column:
+    """The section that a line is the heading of; null if none. ``norm``: the normalised heading, if it is worked out already."""
+    norm = T.normalize_heading(text) if norm is None else norm
     titles = _titles(vocab)
     bare: dict[str, str] = {}
     for v in vocab:
@@ -48,13 +48,13 @@ def boundaries(lines: DataFrame, footers: DataFrame | None = None, vocab: list[s
     before = Window.partitionBy("doc_id").orderBy("page", "top").rowsBetween(Window.unboundedPreceding, -1)
     lower = F.lower(T.strip(F.col("text")))
     is_ifu = F.col("bold") & (lower.contains("instructions for use") | ((F.col("size") <= 11) & lower.contains("following coverage policy")))
-    live = lines.where(~T.is_footer(F.col("top"), F.col("text"))).withColumn("_ifu", is_ifu)
+    live = lines.where(~T.is_footer(F.col("top"), F.col("text"))).withColumn("_norm", T.normalize_heading(F.col("text"))).withColumn("_ifu", is_ifu)
     live = live.withColumn("_seen_ifu", F.coalesce(F.max("_ifu").over(before), F.lit(False)))
     live = live.withColumn("_product", ~F.col("_seen_ifu") & (F.col("page") == 1) & T.strip(F.col("text")).startswith("•"))
     live = live.withColumn("_product", F.col("_product") & ~F.coalesce(F.max("_product").over(before), F.lit(False)))
     # a line that is the first product line is nothing else
     live = live.withColumn("_ifu", F.col("_ifu") & ~F.col("_product")).withColumn("_seen_ifu", F.coalesce(F.max("_ifu").over(before), F.lit(False)))
-    section = section_of(F.col("text"), F.col("bold"), F.col("size"), F.col("x0"), vocab)
+    section = section_of(F.col("text"), F.col("bold"), F.col("size"), F.col("x0"), vocab, F.col("_norm"))
     live = live.withColumn("_sec", F.when(~F.col("_product") & ~(F.col("_ifu") & ~F.col("_seen_ifu")), section))
     live = live.withColumn("_revised", F.coalesce(F.max(F.coalesce(F.lower("_sec") == "revision details", F.lit(False))).over(before), F.lit(False)))
     segment = (
@@ -63,9 +63,13 @@ def boundaries(lines: DataFrame, footers: DataFrame | None = None, vocab: list[s
         .when((F.lower("_sec") == "appendix") & ~F.col("_revised"), F.lit(None).cast("string"))
         .otherwise(F.col("_sec"))
     )
-    found = live.withColumn("segment", segment).where("segment is not null").select("doc_id", "segment", F.col("page").cast("int").alias("page"), F.col("top").cast("double").alias("top"), F.lit(1).alias("seq"))
-    heads = found.select("doc_id").distinct().select("doc_id", F.lit("header").alias("segment"), F.lit(1).alias("page"), F.lit(0.0).alias("top"), F.lit(0).alias("seq"))
-    out = found.unionByName(heads)
+    mark = lambda name, page, top, seq: F.struct(name.alias("segment"), page.cast("int").alias("page"), top.cast("double").alias("top"), F.lit(seq).alias("seq"))
+    own, head = mark(F.col("segment"), F.col("page"), F.col("top"), 1), mark(F.lit("header"), F.lit(1), F.lit(0.0), 0)
+    found = live.withColumn("segment", segment).where("segment is not null")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "top")) == 1
+    # the first boundary brings the header's along, so the lines are gone through once
+    marks = F.explode(F.when(F.col("_first"), F.array(head, own)).otherwise(F.array(own)))
+    out = found.withColumn("_first", first).select("doc_id", marks.alias("b")).select("doc_id", "b.*")
     if footers is not None:
         out = out.unionByName(footers.select("doc_id", F.lit("footer").alias("segment"), "page", "top", F.lit(2).alias("seq")))
     return out
