@@ -28,14 +28,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, merge: int = 1) -> DataFrame:
-    """``df`` as a table in the shared folder, read back: its lineage ends there and survives lost executors.
+def merged(df: DataFrame, merge: int = 4) -> DataFrame:
+    """``df`` with so many small shuffle partitions to a task, and so to a file where it is written."""
+    return df.coalesce(max(8, partitions(df.sparkSession) // merge))
 
-    ``merge``: so many small shuffle partitions go to a task and a file.
-    """
+
+def written(df: DataFrame, name: str, merge: int = 1) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: its lineage ends there and survives lost executors."""
     path = scratch(df.sparkSession, name)
-    out = df.coalesce(max(8, partitions(df.sparkSession) // merge)) if merge > 1 else df
-    out.write.parquet(path)
+    (merged(df, merge) if merge > 1 else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

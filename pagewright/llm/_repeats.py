@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from ._common import doc_key, flush, partitions, rows, text_bytes, written
+from ._common import doc_key, flush, merged, partitions, rows, text_bytes, written
 
 #: Units hashed at once, and anchors a task settles at once.
 PIECE = 1 << 18
@@ -397,7 +397,7 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
                 yield pa.RecordBatch.from_arrays([*out.columns, part.column(3)], names=[*out.schema.names, "carried"])
 
     schema = StructType([*_parse_datatype_string(finish_ddl), whole.schema["carried"]])
-    return dealt.join(runs.hint("shuffle_hash"), ["key", "th"], "left").select("key", "text", "runs", "carried").mapInArrow(done, schema)
+    return merged(dealt.join(runs.hint("shuffle_hash"), ["key", "th"], "left").select("key", "text", "runs", "carried").mapInArrow(done, schema))
 
 
 def _decided(batches: Iterator[pa.RecordBatch], decide: Callable) -> Iterator[pa.RecordBatch]:
