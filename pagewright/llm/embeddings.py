@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, partitions, rows, written
+from ._common import NULL_ID, merged, partitions, rows, written
 from ._components import Forest, connected_components
 
 THRESHOLD = 0.93
@@ -147,24 +147,25 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
     # tiles along the first axis: a range partition of (label, size, first), cut into at most ``tile`` rows
     turned = (
         nodes.mapInArrow(directions(axes), kinds)
+        .drop("unit")
         .repartitionByRange(partitions(embeddings.sparkSession), "label", "size", "first", "least")
         .sortWithinPartitions("label", "size", "first", "least")
         .withColumn("place", F.monotonically_increasing_id())  # its first row's place names a tile
     )
-    tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, data binary"), "vector-tiles", 4)
+    tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, narrow boolean, data binary"), "vector-tiles", 4)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9  # unit vectors with this cosine are no farther apart, on any axis
     left = tiles.select("label", "size", F.col("tile").alias("s"), "low", "high")
     right = tiles.select("label", "size", F.col("tile").alias("t"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     met = left.join(right, ["label", "size"]).where((F.col("s") <= F.col("t")) & (F.col("low2") <= F.col("high") + reach) & (F.col("low") <= F.col("high2") + reach))
-    bodies = tiles.select("tile", "data")
+    bodies = tiles.select("tile", "narrow", "data")  # the vectors alone: a task turns them again, which costs less than to send them twice
     pairs = (
         met.select("s", "t", "size")
-        .join(bodies.select(F.col("tile").alias("s"), F.col("data").alias("a")), "s")
-        .join(bodies.select(F.col("tile").alias("t"), F.col("data").alias("b")), "t")
+        .join(bodies.select(F.col("tile").alias("s"), F.col("narrow").alias("narrow_a"), F.col("data").alias("a")), "s")
+        .join(bodies.select(F.col("tile").alias("t"), F.col("narrow").alias("narrow_b"), F.col("data").alias("b")), "t")
         .repartition(partitions(embeddings.sparkSession), "s", "t")
-        .select("s", "t", "size", "a", "b")
+        .select("s", "t", "size", "narrow_a", "a", "narrow_b", "b")
     )
-    found = written(pairs.mapInArrow(lambda b: _compared(b, threshold), "node long, other long, links long"), "vector-links", 4)
+    found = written(pairs.mapInArrow(lambda b: _compared(b, threshold, axes), "node long, other long, links long"), "vector-links", 4)
     roots = connected_components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("linked"))
     known = (
@@ -175,19 +176,23 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
     )
     linked = usable.join(known, ["label", "raw"]).select("key", "n_links", "component")
     alone = every.join(usable.select("key").distinct(), "key", "left_anti").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component"))
-    return linked.union(alone)
+    return merged(linked).union(merged(alone))
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one label and size, in order, as tiles: per node id, copies, raw and turned vector in one blob."""
+    """Rows of one label and size, in order, as tiles: ids, copies and raw vectors in one blob, in single precision where that loses nothing."""
     held: list[tuple] = []
 
     def out() -> pa.RecordBatch:
         label, size = held[0][0], held[0][1]
         ids = np.array([h[4] for h in held], "<i8")
         copies = np.array([h[3] for h in held], "<i8")
-        data = ids.tobytes() + copies.tobytes() + b"".join(h[2] for h in held) + b"".join(h[5] for h in held)
-        row = {"label": [label], "size": pa.array([size], pa.int32()), "tile": pa.array([held[0][7]], pa.int64()), "low": [held[0][6]], "high": [held[-1][6]], "data": [data]}
+        raw = np.frombuffer(b"".join(h[2] for h in held), "<f8")
+        with np.errstate(over="ignore"):
+            single = raw.astype("<f4")
+        narrow = bool((single.astype("<f8") == raw).all())
+        data = ids.tobytes() + copies.tobytes() + (single if narrow else raw).tobytes()
+        row = {"label": [label], "size": pa.array([size], pa.int32()), "tile": pa.array([held[0][6]], pa.int64()), "low": [held[0][5]], "high": [held[-1][5]], "narrow": [narrow], "data": [data]}
         return pa.RecordBatch.from_pydict(row)
 
     for row in rows(batches):
@@ -199,18 +204,19 @@ def _tiles(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
         yield out()
 
 
-def _compared(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], threshold: float, axes: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """For each tile pair: (node, null, copies linked) of nodes with links, and (node, other, 0) of a spanning forest."""
 
-    def parts(data: bytes, size: int):
-        n = len(data) // (16 + 16 * size)
+    def parts(data: bytes, size: int, narrow: bool):
+        kind = np.dtype("<f4" if narrow else "<f8")
+        n = len(data) // (16 + kind.itemsize * size)
         ids, copies = np.frombuffer(data, "<i8", n), np.frombuffer(data, "<i8", n, 8 * n)
-        raw = np.frombuffer(data, "<f8", n * size, 16 * n).reshape(n, size)
-        return ids, copies, raw, np.frombuffer(data, "<f8", n * size, 16 * n + 8 * n * size).reshape(n, size)
+        raw = np.frombuffer(data, kind, n * size, 16 * n).reshape(n, size).astype("<f8")
+        return ids, copies, raw, _unit(raw) @ axes[size]
 
-    for s, t, size, a, b in (r for batch in batches for i in range(batch.num_rows) for r in rows([batch.slice(i, 1)])):
-        ids, copies, raw, unit = parts(a, size)
-        ids2, copies2, raw2, unit2 = parts(b, size)
+    for s, t, size, narrow_a, a, narrow_b, b in (r for batch in batches for i in range(batch.num_rows) for r in rows([batch.slice(i, 1)])):
+        ids, copies, raw, unit = parts(a, size, narrow_a)
+        ids2, copies2, raw2, unit2 = parts(b, size, narrow_b)
         i, j = tile_pairs(unit, unit2, s == t, threshold)
         if not len(i):
             continue

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import doc_key, flush, fresh, from_key, rows, text_bytes, written
+from ._common import doc_key, flush, fresh, from_key, merged, rows, text_bytes, written
 from ._components import connected_components
 
 SHINGLE = 3
@@ -107,14 +107,14 @@ def components(docs: DataFrame) -> DataFrame:
     roots = connected_components(links(distinct.select("fp"))).withColumnRenamed("node", "fp")
     grouped = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = grouped.groupBy("root").agg(F.min("least").alias("first"))
-    return found.join(grouped.select("fp", "root").join(named, "root").select("fp", F.col("first.key").alias("component"), F.col("first.th").alias("component_th")), "fp")
+    return merged(found.join(grouped.select("fp", "root").join(named, "root").select("fp", F.col("first.key").alias("component"), F.col("first.th").alias("component_th")), "fp"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component, with the columns it had: that with the smallest doc_id (then text hash); of rows that repeat both, one."""
     key, th = fresh(docs.columns, "_key"), fresh(docs.columns, "_th")
     kept = components(docs).where("key = component and th = component_th").select(F.col("key").alias(key), F.col("th").alias(th)).distinct()
-    return _keyed(docs, key, th).join(kept, [key, th], "left_semi").dropDuplicates([key, th]).drop(key, th)
+    return merged(_keyed(docs, key, th).join(kept, [key, th], "left_semi").dropDuplicates([key, th]).drop(key, th))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
