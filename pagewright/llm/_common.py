@@ -29,10 +29,18 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def merged(df: DataFrame, merge: int = 4) -> DataFrame:
-    """``df`` with so many small shuffle partitions to a task, and so to a file where it is written."""
+    """``df`` with so many small shuffle partitions to a task, and so to a file where it is written.
+
+    Not for what Python makes in the same stage: a task would start a worker for each partition before it gives back the last.
+    """
     return df.coalesce(max(8, partitions(df.sparkSession) // merge))
 
 
+def few_files(df: DataFrame, merge: int = 4) -> DataFrame:
+    """Narrow rows that Python makes, dealt anew to fewer partitions."""
+    return df.repartition(max(8, partitions(df.sparkSession) // merge))
+
+
 def written(df: DataFrame, name: str, merge: int = 1) -> DataFrame:
     """``df`` as a table in the shared folder, read back: its lineage ends there and survives lost executors."""
     path = scratch(df.sparkSession, name)

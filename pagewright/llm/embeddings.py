@@ -152,7 +152,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
         .sortWithinPartitions("label", "size", "first", "least")
         .withColumn("place", F.monotonically_increasing_id())  # its first row's place names a tile
     )
-    tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, narrow boolean, data binary"), "vector-tiles", 4)
+    tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, narrow boolean, data binary"), "vector-tiles")
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9  # unit vectors with this cosine are no farther apart, on any axis
     left = tiles.select("label", "size", F.col("tile").alias("s"), "low", "high")
     right = tiles.select("label", "size", F.col("tile").alias("t"), F.col("low").alias("low2"), F.col("high").alias("high2"))
@@ -165,7 +165,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
         .repartition(partitions(embeddings.sparkSession), "s", "t")
         .select("s", "t", "size", "narrow_a", "a", "narrow_b", "b")
     )
-    found = written(pairs.mapInArrow(lambda b: _compared(b, threshold, axes), "node long, other long, links long"), "vector-links", 4)
+    found = written(pairs.mapInArrow(lambda b: _compared(b, threshold, axes), "node long, other long, links long"), "vector-links")
     roots = connected_components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("linked"))
     known = (

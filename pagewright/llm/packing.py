@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import doc_key, flush, from_key, merged, rows, text_bytes, written
+from ._common import doc_key, few_files, flush, from_key, rows, text_bytes, written
 from ._tokens import encoder, in_groups, vocabulary
 
 _PIECE = "part int, rank long, key long, piece int, start long, length int, ids binary"
@@ -207,7 +207,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
             sequence, offset = plan.find(cols["length"].to_numpy(), ranks)
             yield pa.RecordBatch.from_pydict(cols | {"sequence_id": pa.array(sequence), "offset": pa.array(offset)})
 
-    return merged(
+    return (
         pieces.withColumn("ids_crc32", F.crc32("ids"))
         .select("part", "rank", *carried)
         .join(bases, ["part", "length"])
@@ -218,7 +218,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary("byte_bpe_50k.json"), with_ids=False)
+    return few_files(pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary("byte_bpe_50k.json"), with_ids=False))
 
 
 QUERIES = {"op10_packing": op10_packing}

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import from_key
+from ._common import few_files, from_key
 from ._repeats import Units, repeats
 
 LENGTH = 35
@@ -157,7 +157,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return few_files(found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")))
 
 
 QUERIES = {"op3_substring_dedup": op3_substring_dedup}

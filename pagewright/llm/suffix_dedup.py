@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import flush, from_key
+from ._common import few_files, flush, from_key
 from ._repeats import Units, merge, repeats
 
 LENGTH = 100
@@ -151,7 +151,7 @@ def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return few_files(found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
 
 
 QUERIES = {"op2_suffix_dedup": op2_suffix_dedup}

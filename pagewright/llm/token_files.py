@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import doc_key, flush, from_key, merged, partitions, rows, scratch, text_bytes
+from ._common import doc_key, few_files, flush, from_key, partitions, rows, scratch, text_bytes
 from ._tokens import encoder, in_groups, vocabulary
 
 MAGIC = b"DAC1"
@@ -168,7 +168,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         .join(buckets, "bucket")
         .select("bucket", "segment", (F.col("bucket_start") + F.col("inner")).alias("before"))
     )
-    return merged(
+    return (
         segments.join(starts, ["bucket", "segment"])
         .select("before", "doc_ids", "lengths", "payload")
         .mapInArrow(_documents, "key long, start long, ids binary")
@@ -180,8 +180,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = scratch(spark, "tokens")
     write_token_files(docs, path, vocabulary("word_bpe_49k.json"))
-    return read_token_files(spark, path).select(
-        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    return few_files(
+        read_token_files(spark, path).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
     )
 
 
