@@ -85,14 +85,13 @@ def principal_axes(unit: DataFrame, size: int) -> np.ndarray:
 
 
 def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, label and the raw vector as doubles; vectors that link with nothing are left out."""
+    """key, label and the raw vector as doubles, null where it links with nothing: a row per row."""
     for key, label, vector in rows(batches):
-        if any(x is None for x in vector):
-            continue
-        v = np.array(vector, "<f8")
-        if not len(v) or not np.isfinite(v).all() or not v.any():
-            continue
-        yield pa.RecordBatch.from_pydict({"key": pa.array([key], pa.int64()), "label": [label], "raw": [v.tobytes()]})
+        raw = None
+        if label is not None and vector and not any(x is None for x in vector):
+            v = np.array(vector, "<f8")
+            raw = v.tobytes() if np.isfinite(v).all() and v.any() else None
+        yield pa.RecordBatch.from_pydict({"key": pa.array([key], pa.int64()), "label": pa.array([label], pa.string()), "raw": pa.array([raw], pa.binary())})
 
 
 def _batched(it: Iterator[pa.RecordBatch], n: int = 1024) -> Iterator[pa.RecordBatch]:
@@ -112,13 +111,17 @@ def _unit(raw: np.ndarray) -> np.ndarray:
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """key (vec_id, NULL_ID for null), n_links, component (smallest key reachable): a row per row of ``embeddings``."""
+    """key (vec_id, NULL_ID for null), n_links, component (smallest key reachable): a row per row of ``embeddings``.
+
+    Ids may be null or repeated: a row is judged by its own vector and a node has a number of its own; keys only name components.
+    """
     ids = F.coalesce(F.col("vec_id").cast("long"), F.lit(NULL_ID))
     every = embeddings.select(ids.alias("key"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
-    usable = every.where("label is not null and v is not null").mapInArrow(lambda b: _batched(_usable(b)), "key long, label string, raw binary")
-    usable = written(usable.withColumn("size", F.octet_length("raw") / F.lit(8)).withColumn("size", F.col("size").cast("int")), "vectors")
+    judged = every.mapInArrow(lambda b: _batched(_usable(b)), "key long, label string, raw binary")
+    judged = written(judged.withColumn("size", F.octet_length("raw") / F.lit(8)).withColumn("size", F.col("size").cast("int")), "vectors")
+    usable = judged.where("raw is not null")
     nodes = usable.groupBy("label", "size", "raw").agg(F.count("*").alias("copies"), F.min("key").alias("least"))
-    nodes = written(nodes, "vector-nodes", 4)
+    nodes = written(merged(nodes).withColumn("node", F.monotonically_increasing_id()), "vector-nodes")  # fixed once written
     sizes = [r["size"] for r in nodes.select("size").distinct().limit(10_001).collect()]
     if len(sizes) > 10_000:
         raise ValueError("vectors of more than 10,000 different sizes")
@@ -140,16 +143,16 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
 
         return turn
 
-    kinds = "label string, size int, raw binary, copies long, least long, unit binary, first double"
-    nodes = nodes.select("label", "size", "raw", "copies", "least")
-    plain = nodes.mapInArrow(directions({}), kinds)
+    kinds = "label string, size int, raw binary, copies long, node long, unit binary, first double"
+    bare = nodes.select("label", "size", "raw", "copies", "node")
+    plain = bare.mapInArrow(directions({}), kinds)
     axes = {n: principal_axes(plain.where(F.col("size") == n), n) for n in sizes}
     # tiles along the first axis: a range partition of (label, size, first), cut into at most ``tile`` rows
     turned = (
-        nodes.mapInArrow(directions(axes), kinds)
+        bare.mapInArrow(directions(axes), kinds)
         .drop("unit")
-        .repartitionByRange(partitions(embeddings.sparkSession), "label", "size", "first", "least")
-        .sortWithinPartitions("label", "size", "first", "least")
+        .repartitionByRange(partitions(embeddings.sparkSession), "label", "size", "first", "node")
+        .sortWithinPartitions("label", "size", "first", "node")
         .withColumn("place", F.monotonically_increasing_id())  # its first row's place names a tile
     )
     tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, narrow boolean, data binary"), "vector-tiles")
@@ -168,14 +171,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
     found = written(pairs.mapInArrow(lambda b: _compared(b, threshold, axes), "node long, other long, links long"), "vector-links")
     roots = connected_components(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
     counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("linked"))
+    named = roots.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("first_key"))
     known = (
-        nodes.select("label", "size", "raw", "copies", F.col("least").alias("node"))
-        .join(counts, "node", "left")
-        .join(roots, "node", "left")
-        .select("label", "raw", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("component"))
+        nodes.join(counts, "node", "left")
+        .join(roots.join(named, "root"), "node", "left")
+        .select("label", "raw", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("first_key", "least").alias("component"))
     )
     linked = usable.join(known, ["label", "raw"]).select("key", "n_links", "component")
-    alone = every.join(usable.select("key").distinct(), "key", "left_anti").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component"))
+    alone = judged.where("raw is null").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component"))
     return merged(linked).union(merged(alone))
 
 

@@ -206,6 +206,25 @@ def test_embeddings(spark):
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_with_null_and_repeated_ids(spark):
+    """An id names no row: unusable rows stay beside usable ones of their id, different vectors of an id keep their own links."""
+    x, near, y, z = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [
+        (None, x, 1), (None, y, 1), (None, z, 2), (None, None, 1), (None, [0.0] * 3, 1), (None, x, None),
+        (5, x, 2), (5, y, 2), (5, None, 2), (5, [float("nan")] * 3, 2), (5, y, 1),
+        (7, near, 2), (8, z, 1), (8, z, 1), (8, None, 1), (9, y, 1), (9, y, None), (4, [0.0, 1.0, 0.1], 1),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    cosine = lambda a, b: np.dot(a, b) / math.sqrt(np.dot(a, a) * np.dot(b, b))
+    ok = [r[2] is not None and bool(r[1]) and all(map(math.isfinite, r[1])) and any(r[1]) for r in rows]
+    linked = [[j for j in range(len(rows)) if j != i and ok[i] and ok[j] and rows[i][2] == rows[j][2] and cosine(rows[i][1], rows[j][1]) >= 0.93] for i in range(len(rows))]
+    keys = [r[0] if r[0] is not None else -(2**63) for r in rows]
+    roots = reachable(len(rows), lambda u: linked[u])
+    want = sorted((keys[i], len(linked[i]), min(k for k, r in zip(keys, roots) if r == roots[i])) for i in range(len(rows)))
+    for tile in (1024, 2):
+        assert sorted((r["key"], r["n_links"], r["component"]) for r in embeddings.near_duplicates(df.repartition(3), tile=tile).collect()) == want
+
+
 # Decontamination ---------------------------------------------------------------------------------
 
 
