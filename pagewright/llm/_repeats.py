@@ -194,24 +194,30 @@ def merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 #: Rows of step 1 and 2. blob alone: anchors; key and blob: covered runs; pos: a request.
 _FLOW = pa.schema([("target", pa.int32()), ("key", pa.int64()), ("th", pa.int64()), ("blob", pa.binary()), ("pos", pa.int32()), ("gram", pa.int64()), ("among", pa.int32())])
 _FLOW_DDL = "target int, key long, th long, blob binary, pos int, gram long, among int"
-_FIELDS = (("gram", "<u8"), ("context", "<u8"), ("low", "<u4"), ("high", "<u4"), ("doc", "<u4"), ("pos", "<u4"), ("left", "u1"), ("right", "u1"))
+_FIELDS = (("gram", "<u8"), ("context", "<u8"), ("low", "<u4"), ("high", "<u4"), ("doc", "<u4"), ("pos", "<u4"))
 
 
-def _pack(a: dict[str, np.ndarray], docs: np.ndarray) -> bytes:
+def _fields(units: Units) -> tuple[tuple[str, str], ...]:
+    """Columns of an anchor; left and right are as long as a window at most."""
+    kind = "u1" if units.window < 256 else "<u4"
+    return (*_FIELDS, ("left", kind), ("right", kind))
+
+
+def _pack(a: dict[str, np.ndarray], docs: np.ndarray, units: Units) -> bytes:
     """Columns one after the other, wide integers by byte plane, so that they compress."""
     used, doc = np.unique(a["doc"], return_inverse=True)
     parts = [np.array([len(doc), len(used)], "<u4").tobytes(), np.ascontiguousarray(docs[used]).tobytes()]
-    for name, kind in _FIELDS:
+    for name, kind in _fields(units):
         v = (doc if name == "doc" else a[name]).astype(kind)
         parts.append(np.ascontiguousarray(v.view(np.uint8).reshape(-1, v.itemsize).T).tobytes())
     return b"".join(parts)
 
 
-def _unpack(blob: bytes) -> dict[str, np.ndarray]:
+def _unpack(blob: bytes, units: Units) -> dict[str, np.ndarray]:
     n, used = np.frombuffer(blob, "<u4", 2)
     docs = np.frombuffer(blob, "<i8", 2 * used, 8).reshape(-1, 2)
     at, out = 8 + 16 * int(used), {}
-    for name, kind in _FIELDS:
+    for name, kind in _fields(units):
         size = np.dtype(kind).itemsize
         planes = np.frombuffer(blob, np.uint8, int(n) * size, at).reshape(size, int(n))
         out[name] = np.ascontiguousarray(planes.T).view(kind).reshape(-1)
@@ -243,7 +249,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], units: Units, targets: int, keep
         go, target = go[order], target[order]
         cut = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(go) else np.zeros(0, int)
         for x, y in zip(cut, [*cut[1:], len(go)]):
-            blob = _pack({k: a[k][go[x:y]] for k, _ in _FIELDS}, ids)
+            blob = _pack({k: a[k][go[x:y]] for k, _ in _fields(units)}, ids, units)
             yield flush([[int(target[x])], [None], [None], [blob], [None], [None], [None]], _FLOW)
 
     group: list[np.ndarray] = []
@@ -304,7 +310,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool)
         mine = batch.column("key").is_null().to_numpy(zero_copy_only=False)
         if not mine.all():
             yield batch.filter(pa.array(~mine))
-        held += [_unpack(b) for b in batch.filter(pa.array(mine)).column("blob").to_pylist()]
+        held += [_unpack(b, units) for b in batch.filter(pa.array(mine)).column("blob").to_pylist()]
     if not held:
         return
     a = {k: np.concatenate([h[k] for h in held]) for k in held[0]}

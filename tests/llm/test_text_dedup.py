@@ -104,6 +104,23 @@ def test_contexts_dealt_by_window_decide_the_same(hot, monkeypatch):
         assert got.tolist() == [bool(m) for m in mask]
 
 
+def test_lengths_over_a_byte(spark):
+    """Copies of a passage in several partitions are found whatever the length of a window."""
+    rnd = random.Random(7)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(6000)]
+    passage = [f"p{rnd.randrange(10**6)}" for _ in range(400)]
+    rows = [(i, " ".join([*rnd.sample(words, 40 + i), *passage[i % 3 : 400 - i % 5], *rnd.sample(words, 30)])) for i in range(12)]
+    rows += [(20 + i, rows[i][1]) for i in range(3)] + [(40, " ".join(passage[:299])), (41, " ".join(passage[100:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    kept = {r["doc_id"]: bytes(r["kept"]) for r in suffix_dedup.dedup(df, length=300).collect()}
+    texts = [t.encode() for _, t in rows]
+    for (i, _), text, mask in zip(rows, texts, brute(texts, 300, True)):
+        assert kept[i] == bytes(b for b, m in zip(text, mask) if not m), i
+    kept = {r["doc_id"]: bytes(r["kept"]) for r in substring_dedup.dedup(df, length=300).collect()}
+    for (i, _), units, mask in zip(rows, [t.split() for t in texts], brute([t.split() for t in texts], 300, False)):
+        assert kept[i] == b" ".join(w for w, m in zip(units, mask) if not m), i
+
+
 def test_longest_previous_factor():
     text = b"abracadabra abracadabra"
     for i, n in enumerate(suffix_dedup.longest_previous_factor(text)):
