@@ -13,8 +13,9 @@ anchors travel: about two of every ``window - gram`` units.
    share the gram and one half of the context may share some windows; their contexts are requested.
 3. ``contexts``: the requested contexts are cut from the documents and meet by gram again, where the
    operator's own index (a suffix array, a suffix automaton) decides every window. A gram with more
-   than HOT contexts sends its windows one by one, dealt by their own hash, so that no task
-   gets an unbounded group.
+   than HOT contexts sends its windows one by one, dealt by their own hash. Equal windows are settled
+   within each task first and one place goes on from each HELD, so a window that a third of all documents
+   share sends a few rows a task, not one a document.
 
 Hashes of 64 bits and more choose what meets and what is equal in step 2; step 3 compares units.
 
@@ -29,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +43,8 @@ PIECE = 1 << 18
 BATCH = 1 << 19
 #: Contexts of a gram that one task compares; beyond that they are dealt by window. An automaton takes more memory than an array.
 HOT = {"bytes": 30_000, "words": 4_000}
+#: Single windows a task settles at once.
+HELD = 1 << 16
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK64 = (1 << 64) - 1
@@ -364,6 +368,46 @@ def _contexts(batches: Iterator[pa.RecordBatch], units: Units, targets: int) ->
     yield flush(out, schema)
 
 
+def _settled(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_contexts``; of equal rows of just one window the first place goes on, and places known to repeat leave as runs (start -1, units the run)."""
+    held: dict[tuple[int, int, bytes], set[tuple[int, int, int]]] = {}
+    n, schema = 0, None
+
+    def settle() -> Iterator[pa.RecordBatch]:
+        out: list[list] = [[] for _ in schema]
+        covered: dict[tuple[int, int], list[int]] = {}
+        for (bucket, gram, one), places in held.items():
+            first = min(places)
+            for column, x in zip(out, (bucket, gram, *first, one)):
+                column.append(x)
+            if len(places) > 1:
+                for place in places:
+                    if not keep_first or place != first:
+                        covered.setdefault(place[:2], []).append(place[2])
+        held.clear()
+        for (key, th), starts in covered.items():
+            start = np.array(starts, np.int64)
+            runs = np.stack(merge(start, start + units.window), 1).astype("<i4").tobytes()
+            for column, x in zip(out, (th & 0x7FFFFFFF, 0, key, th, -1, runs)):
+                column.append(x)
+        yield flush(out, schema)
+
+    for batch in batches:
+        schema, cut = batch.schema, batch.column("units")
+        size = pc.binary_length(cut) if units.kind == "bytes" else pc.add(pc.count_substring(cut, b" "), 1)
+        single = pc.equal(size, units.window)
+        yield batch.filter(pc.invert(single))
+        for bucket, gram, key, th, start, one in rows(iter([batch.filter(single)])):
+            places = held.setdefault((bucket, gram, one), set())
+            n += (key, th, start) not in places
+            places.add((key, th, start))
+            if n >= HELD:
+                yield from settle()
+                n = 0
+    if held:
+        yield from settle()
+
+
 def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, finish: Callable, finish_ddl: str, carry: list[Column] | None = None) -> DataFrame:
     """``finish`` applied to every document and the runs of units that repeat; ``carry`` comes along as a struct column ``carried``.
 
@@ -384,7 +428,7 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
     found = (
         dealt.join(asked.hint("shuffle_hash"), ["key", "th"])
         .select("key", "th", "text", "asked", "carried")
-        .mapInArrow(lambda b: _contexts(b, units, targets), "bucket int, gram long, key long, th long, start int, units binary")
+        .mapInArrow(lambda b: _settled(_contexts(b, units, targets), units, keep_first), "bucket int, gram long, key long, th long, start int, units binary")
         .repartition(n, "bucket")
         .select("gram", "key", "th", "start", "units")
         .mapInArrow(lambda b: _decided(b, decide), "key long, th long, blob binary")
@@ -408,7 +452,14 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
 
 def _decided(batches: Iterator[pa.RecordBatch], decide: Callable) -> Iterator[pa.RecordBatch]:
     """Contexts by gram, whole grams together up to about a million units at a time."""
-    held = sorted(rows(batches))
+    held = []
+    for batch in batches:
+        run = pc.less(batch.column("start"), 0)  # settled before
+        if pc.any(run).as_py():
+            known = batch.filter(run)
+            yield pa.RecordBatch.from_arrays([known.column("key"), known.column("th"), known.column("units")], names=["key", "th", "blob"])
+        held += rows(iter([batch.filter(pc.invert(run))]))
+    held.sort()
     at = 0
     while at < len(held):
         end, size = at, 0

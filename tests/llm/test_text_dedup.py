@@ -104,6 +104,42 @@ def test_contexts_dealt_by_window_decide_the_same(hot, monkeypatch):
         assert got.tolist() == [bool(m) for m in mask]
 
 
+@pytest.mark.parametrize(("kind", "keep_first"), [("bytes", True), ("words", False)])
+def test_hot_windows_send_a_row_a_task(kind, keep_first, monkeypatch):
+    """A passage that many documents share in different surroundings leaves a task once, and the result can't differ."""
+    monkeypatch.setattr(_repeats, "HOT", {"bytes": 2, "words": 2})
+    monkeypatch.setattr(_repeats, "HELD", 4096)
+    rnd = random.Random(3)
+    word = lambda: bytes(rnd.randrange(97, 123) for _ in range(1 if kind == "bytes" else 4))
+    glue = b"" if kind == "bytes" else b" "
+    same = [word() for _ in range(50)]
+    texts = [glue.join([*[word() for _ in range(30)], *same, *[word() for _ in range(30)]]) for _ in range(60)]
+    units = _repeats.Units(kind, 45, 20)
+    flow = [r for b in _repeats._resolve(_repeats._anchors(iter([pa.RecordBatch.from_pydict({"key": list(range(60)), "th": [0] * 60, "text": texts})]), units, 1, keep_first), units, keep_first) for r in b.to_pylist()]
+    asked = defaultdict(list)
+    for r in flow:
+        if r["blob"] is None:
+            asked[r["key"]].append({n: r[n] for n in ("pos", "gram", "among")})
+    sent = []
+    list_of = pa.list_(pa.struct([("pos", pa.int32()), ("gram", pa.int64()), ("among", pa.int32())]))
+    for keys in (range(0, 30), range(30, 60)):  # two tasks
+        want = pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([0] * 30), pa.array([texts[k] for k in keys]), pa.array([asked[k] for k in keys], list_of), pa.nulls(30)], names=["key", "th", "text", "asked", "carried"])
+        sent += _repeats._settled(_repeats._contexts(iter([want]), units, 1), units, keep_first)
+    window = glue.join(same[:45])
+    assert sum(r["units"] == window for b in sent for r in b.to_pylist()) == 2
+    decide = suffix_dedup.earlier_matches if kind == "bytes" else substring_dedup.repeated_runs
+    decided = _repeats._decided((b.select(["gram", "key", "th", "start", "units"]) for b in sent), lambda c: decide(c, 45))
+    spans = defaultdict(bytes)
+    for r in [*(r for b in decided for r in b.to_pylist()), *(r for r in flow if r["blob"] is not None)]:
+        spans[r["key"]] += r["blob"]
+    split = [units.split(t) for t in texts]
+    for k, mask in enumerate(brute(split, 45, keep_first)):
+        got = np.zeros(len(split[k]), bool)
+        for a, b in np.frombuffer(spans[k], "<i4").reshape(-1, 2):
+            got[a:b] = True
+        assert got.tolist() == [bool(m) for m in mask]
+
+
 def test_lengths_over_a_byte(spark):
     """Copies of a passage in several partitions are found whatever the length of a window."""
     rnd = random.Random(7)
