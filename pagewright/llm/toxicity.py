@@ -3,7 +3,9 @@
 Examples are at most SAMPLE labelled documents of the learning folds (those with the smallest hashes of
 doc_id; the bound is a parameter). Terms are words (``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z in lower case)
 and the first PREFIX bytes of longer ones; those that go with toxic examples (chi-squared of MIN_CHI2
-or more, LIFT times as often toxic as all, at least MIN_DOCS examples) are kept, TERMS at most. A document's weights are (1 + ln tf) * idf, scaled to
+or more, LIFT times as often toxic as all, at least MIN_DOCS examples) are kept, TERMS at most. That gate is a test of
+significance and passes fewer terms where examples are few; documents without such a term are searched among the
+same examples by the TERMS terms of greatest chi-squared, whatever it is. A document's weights are (1 + ln tf) * idf, scaled to
 length 1, with document frequencies counted over the whole corpus.
 
 The index holds, for every term, postings in blocks of BLOCK examples and the block's greatest weight. A
@@ -11,8 +13,8 @@ query sums the greatest weights of its terms to a bound for each block, visits b
 and stops when no bound can pass the K-th best cosine: the neighbours are the exact K nearest.
 
 Each neighbour votes with weight 1 / (DISTANCE + 1 - cosine). The share of toxic votes is turned into a
-probability by isotonic regression on the examples, each judged by the others; a document without any
-term gets the rate of examples without any. Neighbours are evidence: their ids and cosines come with a score.
+probability by isotonic regression on the examples, each judged by the others (for the second search, on examples
+that need it); a document without any term of either gets the rate of examples without any. Neighbours are evidence: their ids and cosines come with a score.
 
 Null and empty texts have no term. Without examples of both labels every score is the rate of toxic ones (0
 without any). Null labels and null ids don't teach; of several labels of a document the greatest counts. A
@@ -139,13 +141,16 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Vocabulary, index and calibration; as large as SAMPLE and TERMS allow."""
+    """Vocabulary, index and calibration; as large as SAMPLE and TERMS allow. Terms of examples outside the vocabulary don't count.
 
-    def __init__(self, vocabulary: list[bytes], frequencies: dict[bytes, int], n_docs: int, examples: list[tuple[int, dict[bytes, int], int]]):
+    ``wide`` is the vocabulary for documents without a term; ``judged``: the examples (by place) that calibrate, all if None.
+    """
+
+    def __init__(self, vocabulary: list[bytes], frequencies: dict[bytes, int], n_docs: int, examples: list[tuple[int, dict[bytes, int], int]], wide: list[bytes] | None = None, judged: set[int] | None = None):
         self.number = {t: i for i, t in enumerate(vocabulary)}
         self.prefixes = {t[1:]: i for t, i in self.number.items() if t[:1] == b"^"}
         self.idf = [math.log((n_docs + 1) / (frequencies.get(t, 0) + 1)) + 1 for t in vocabulary]
-        vectors = [self.weigh({self.number[t]: c for t, c in e[1].items()}) for e in examples]
+        vectors = [self.weigh({self.number[t]: c for t, c in e[1].items() if t in self.number}) for e in examples]
         known = [i for i, v in enumerate(vectors) if v]
         self.ids = [examples[i][0] for i in known]
         self.labels = np.array([examples[i][2] for i in known], float)
@@ -153,10 +158,11 @@ class Model:
         without = [e[2] for e, v in zip(examples, vectors) if not v]
         rate = sum(e[2] for e in examples) / len(examples) if examples else 0.0
         self.unknown = (sum(without) + rate) / (len(without) + 1)
-        votes = np.array([self.vote(self.index.nearest(vectors[i], K, at)) for at, i in enumerate(known)])
+        votes = np.array([self.vote(self.index.nearest(vectors[i], K, at)) if judged is None or i in judged else math.nan for at, i in enumerate(known)])
         heard = np.isfinite(votes)
         self.single: dict[int, tuple[float, list[int], list[float]]] = {}  # answers to queries of one term
         self.curve = isotonic(votes[heard], self.labels[heard]) if heard.any() else (np.zeros(1), np.full(1, rate))
+        self.wide = Model(wide, frequencies, n_docs, examples, judged={i for i, v in enumerate(vectors) if not v}) if wide else None
 
     def weigh(self, counts: dict[int, int]) -> dict[int, float]:
         w = {t: (1 + math.log(c)) * self.idf[t] for t, c in counts.items()}
@@ -177,7 +183,12 @@ class Model:
 
     def score(self, text: bytes | None) -> tuple[float, list[int], list[float]]:
         """Probability of label 1, and the neighbours' ids and cosines."""
-        query = self.vector(lower_alnum_words(text or b""))
+        return self._answer(lower_alnum_words(text or b""))
+
+    def _answer(self, words: list[bytes]) -> tuple[float, list[int], list[float]]:
+        query = self.vector(words)
+        if not query and self.wide:
+            return self.wide._answer(words)
         if len(query) == 1:  # one term is one direction, whatever its count
             (term,) = query
             if term not in self.single:
@@ -221,11 +232,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         total = counts.where(F.col("term") == b"").first() or {"n": 0, "both": 0}
         n, toxic = total["n"], total["both"]
         score = F.lit(float(n)) * F.pow(F.col("both") * float(n - toxic) - (F.col("n") - F.col("both")) * float(toxic), 2) / F.greatest(F.col("n") * (float(n) - F.col("n")) * float(toxic) * float(n - toxic), F.lit(1.0))
-        top = counts.where(F.col("term") != b"").withColumn("chi2", score).where((F.col("chi2") >= MIN_CHI2) & (F.col("both") * float(n) >= LIFT * toxic * F.col("n"))).orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
+        scored = counts.where(F.col("term") != b"").withColumn("chi2", score)
+        top = scored.where((F.col("chi2") >= MIN_CHI2) & (F.col("both") * float(n) >= LIFT * toxic * F.col("n"))).orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
+        ranked = scored.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
     finally:
         counts.unpersist()
-    vocabulary = [bytes(r["term"]) for r in top]
-    wanted = frozenset(vocabulary)
+    vocabulary, wide = [bytes(r["term"]) for r in top], [bytes(r["term"]) for r in ranked]
+    wanted = frozenset(vocabulary + wide)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -240,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         yield pa.RecordBatch.from_pydict({"term": pa.array(list(held), pa.binary()), "n": pa.array(list(held.values()), pa.int64())})
 
     df = docs.select(text_bytes()).mapInArrow(frequencies, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = {bytes(r["term"]): r["n"] for r in df.collect()}  # TERMS + 1 rows at most
+    found = {bytes(r["term"]): r["n"] for r in df.collect()}  # 2 * TERMS + 1 rows at most
 
     def example(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     taught_rows = rows.select("_id", "_text", "_toxic").mapInArrow(example, "id long, toxic int, terms array<binary>, counts array<long>").collect()
     examples = sorted({(r["id"], tuple(zip(map(bytes, r["terms"]), r["counts"])), r["toxic"]) for r in taught_rows})
-    return Model(vocabulary, found, found.get(b"", 0), [(i, dict(t), y) for i, t, y in examples[: 2 * sample]])
+    return Model(vocabulary, found, found.get(b"", 0), [(i, dict(t), y) for i, t, y in examples[: 2 * sample]], wide)
 
 
 def flag(docs: DataFrame, labels: DataFrame, keep: list[str], name: str = "_pw") -> DataFrame:

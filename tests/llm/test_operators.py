@@ -396,6 +396,22 @@ def test_toxicity_held_out(spark, nothing):
     assert [r["score"] for r in none] == [0.0]
 
 
+def test_every_document_is_searched_however_few_the_examples(spark):
+    """With few examples no term passes the gate; documents with words still get their nearest examples."""
+    rows = toxic_corpus(60)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(5000, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert not model.number and model.wide.number
+    taught = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    texts = {i: t for i, t, _ in rows}
+    for r in toxicity.flag(docs, labels, ["doc_id"]).select("doc_id", "_pw.*").collect():
+        query = model.wide.vector(WORD.findall(lower(texts.get(r["doc_id"], "").encode())))
+        assert (len(r["neighbours"]) > 0) == bool(query) and set(r["neighbours"]) <= taught
+        assert r["cosines"] == sorted(r["cosines"], reverse=True) and 0 <= r["score"] <= 1
+        assert query or r["doc_id"] == 5000
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     rows = toxic_corpus(300)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
