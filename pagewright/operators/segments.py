@@ -38,34 +38,42 @@ def section_of(text: Column, bold: Column, size: Column, x0: Column, vocab: list
     )
 
 
-def boundaries(lines: DataFrame, footers: DataFrame | None = None, vocab: list[str] = V.SECTION_VOCAB) -> DataFrame:
-    """doc_id, segment, page, top, seq: where each section begins.
+def marked(lines: DataFrame, vocab: list[str] = V.SECTION_VOCAB) -> DataFrame:
+    """``lines`` with ``_mark``: the section that begins at the line; null at the others.
 
     The first bullet of page 1 before the instructions begins ``applicable_products``; the first bold instructions line
-    begins ``ifu``; other section headings begin theirs, an appendix only after revision details. A document with
-    any gets ``header`` at its start; ``footers`` (doc_id, page, top) add ``footer``.
+    begins ``ifu``; other section headings begin theirs, an appendix only after revision details. Footers begin nothing.
+    All windows share one partitioning and order.
     """
     before = Window.partitionBy("doc_id").orderBy("page", "top").rowsBetween(Window.unboundedPreceding, -1)
     lower = F.lower(T.strip(F.col("text")))
     is_ifu = F.col("bold") & (lower.contains("instructions for use") | ((F.col("size") <= 11) & lower.contains("following coverage policy")))
-    live = lines.where(~T.is_footer(F.col("top"), F.col("text"))).withColumn("_norm", T.normalize_heading(F.col("text"))).withColumn("_ifu", is_ifu)
+    live = lines.withColumn("_live", ~T.is_footer(F.col("top"), F.col("text"))).withColumn("_norm", T.normalize_heading(F.col("text"))).withColumn("_ifu", F.col("_live") & is_ifu)
     live = live.withColumn("_seen_ifu", F.coalesce(F.max("_ifu").over(before), F.lit(False)))
-    live = live.withColumn("_product", ~F.col("_seen_ifu") & (F.col("page") == 1) & T.strip(F.col("text")).startswith("•"))
+    live = live.withColumn("_product", F.col("_live") & ~F.col("_seen_ifu") & (F.col("page") == 1) & T.strip(F.col("text")).startswith("•"))
     live = live.withColumn("_product", F.col("_product") & ~F.coalesce(F.max("_product").over(before), F.lit(False)))
     # a line that is the first product line is nothing else
     live = live.withColumn("_ifu", F.col("_ifu") & ~F.col("_product")).withColumn("_seen_ifu", F.coalesce(F.max("_ifu").over(before), F.lit(False)))
     section = section_of(F.col("text"), F.col("bold"), F.col("size"), F.col("x0"), vocab, F.col("_norm"))
-    live = live.withColumn("_sec", F.when(~F.col("_product") & ~(F.col("_ifu") & ~F.col("_seen_ifu")), section))
+    live = live.withColumn("_sec", F.when(F.col("_live") & ~F.col("_product") & ~(F.col("_ifu") & ~F.col("_seen_ifu")), section))
     live = live.withColumn("_revised", F.coalesce(F.max(F.coalesce(F.lower("_sec") == "revision details", F.lit(False))).over(before), F.lit(False)))
-    segment = (
+    mark = (
         F.when(F.col("_product"), "applicable_products")
         .when(F.col("_ifu") & ~F.col("_seen_ifu"), "ifu")
         .when((F.lower("_sec") == "appendix") & ~F.col("_revised"), F.lit(None).cast("string"))
         .otherwise(F.col("_sec"))
     )
+    return live.withColumn("_mark", mark).drop("_live", "_norm", "_ifu", "_seen_ifu", "_product", "_sec", "_revised")
+
+
+def boundaries(lines: DataFrame, footers: DataFrame | None = None, vocab: list[str] = V.SECTION_VOCAB) -> DataFrame:
+    """doc_id, segment, page, top, seq: where each section begins (``marked``).
+
+    A document with any gets ``header`` at its start; ``footers`` (doc_id, page, top) add ``footer``.
+    """
     mark = lambda name, page, top, seq: F.struct(name.alias("segment"), page.cast("int").alias("page"), top.cast("double").alias("top"), F.lit(seq).alias("seq"))
-    own, head = mark(F.col("segment"), F.col("page"), F.col("top"), 1), mark(F.lit("header"), F.lit(1), F.lit(0.0), 0)
-    found = live.withColumn("segment", segment).where("segment is not null")
+    own, head = mark(F.col("_mark"), F.col("page"), F.col("top"), 1), mark(F.lit("header"), F.lit(1), F.lit(0.0), 0)
+    found = marked(lines, vocab).where("_mark is not null")
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "top")) == 1
     # the first boundary brings the header's along, so the lines are gone through once
     marks = F.explode(F.when(F.col("_first"), F.array(head, own)).otherwise(F.array(own)))
@@ -75,6 +83,27 @@ def boundaries(lines: DataFrame, footers: DataFrame | None = None, vocab: list[s
     return out
 
 
+def segmented(lines: DataFrame, vocab: list[str] = V.SECTION_VOCAB, footers: DataFrame | None = None, default: str | None = "header") -> DataFrame:
+    """``lines`` with the segment each belongs to: the boundary is marked on the line itself, so the lines are read and shuffled once.
+
+    Same result as ``assign_segments`` with ``boundaries`` of the same lines. ``footers`` (doc_id, page, top; one a document)
+    begin ``footer``.
+    """
+    here = Window.partitionBy("doc_id").orderBy("page", "top").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.last("_mark", ignorenulls=True).over(here)
+    out = marked(lines, vocab)
+    if footers is None:
+        found = own
+    else:
+        out = out.join(footers.select("doc_id", F.struct(F.col("page").cast("int").alias("p"), F.col("top").cast("double").alias("t")).alias("_foot")), "doc_id", "left")
+        place = F.struct(F.col("page").cast("int").alias("p"), F.col("top").cast("double").alias("t"))
+        # a section that begins after the footer's rule takes over again
+        last = F.max(F.when(F.col("_mark").isNotNull(), place)).over(here)
+        found = F.when(F.col("_foot").isNotNull() & (place >= F.col("_foot")) & (last.isNull() | (last <= F.col("_foot"))), F.lit("footer")).otherwise(own)
+    found = F.coalesce(found, F.lit(default)) if default is not None else found
+    return out.withColumn("segment", found).withColumn("page", F.col("page").cast("int")).withColumn("top", F.col("top").cast("double")).drop("_mark", "_foot")
+
+
 def footer_rule(rects: DataFrame, pages: DataFrame) -> DataFrame:
     """doc_id, page, top of the first thin wide coloured rectangle on the last page (``pages``: doc_id, n_pages)."""
     c = F.col("color")

@@ -28,11 +28,12 @@ _RECT = ["x0", "x1", "top", "bottom", "fill", "color"]
 def on_page(tables: DataFrame, words: DataFrame | None = None, rects: DataFrame | None = None, others: bool = False) -> DataFrame:
     """``tables`` with what their page holds, each gathered once: _words, _rects and _others (its tables).
 
-    All are grouped and joined by (doc_id, page), so operators that take several of them share the shuffles.
+    All are grouped by (doc_id, page), so operators that take several of them share the shuffles. Where a reader gives whole
+    pages, ``page_tables`` has the same columns without any join.
     """
     t = tables
     if others:
-        t = t.join(_held(tables, ["bbox"], "_others", ["table_idx"]), PAGE)
+        t = t.withColumn("_others", F.array_sort(F.collect_list(F.struct("table_idx", "bbox")).over(Window.partitionBy(*PAGE))))
     if words is not None:
         t = t.join(_held(words, [c for c in _WORD if c in words.columns], "_words", ["word_idx"]), PAGE, "left")
     if rects is not None:
@@ -40,6 +41,16 @@ def on_page(tables: DataFrame, words: DataFrame | None = None, rects: DataFrame
     return t
 
 
+def page_tables(pages: DataFrame) -> DataFrame:
+    """Tables of whole pages (doc_id, page, tables, words, rects: arrays) with _words, _rects and _others of their page: no shuffle, no join.
+
+    ``tables``: structs of table_idx, bbox, cells; ``words`` and ``rects`` in the order of the reader.
+    """
+    others = F.transform("tables", lambda t: F.struct(t["table_idx"].alias("table_idx"), t["bbox"].alias("bbox")))
+    rows = pages.select(*PAGE, F.col("words").alias("_words"), F.col("rects").alias("_rects"), others.alias("_others"), F.explode("tables").alias("t"))
+    return rows.select(*PAGE, "t.*", "_words", "_rects", "_others")
+
+
 def _filled(value: Column) -> Column:
     return T.cell(value) != ""
 
@@ -101,6 +112,12 @@ def rotated_headers(tiny_words: DataFrame) -> DataFrame:
     return by_column.groupBy(*PAGE).agg(F.count_if(F.col("n") >= 4).alias("tiny_cols"))
 
 
+def _tiny_columns() -> Column:
+    """``rotated_headers`` of the words on the table's page."""
+    at = F.transform(F.filter("_words", lambda w: (w["size"] < 8) & (F.char_length(w["text"]) <= 3)), lambda w: T.quantize(w["x0"], 8))
+    return F.coalesce(F.size(F.filter(F.array_distinct(at), lambda k: F.size(F.filter(at, lambda x: x == k)) >= 4)), F.lit(0)).cast("long")
+
+
 def continuations(tables: DataFrame) -> DataFrame:
     """``tables`` (with spurious and true_top) with ``is_continuation``: like the last real table before it, with no page without tables between, and near the top of the page."""
     runs = F.col("page") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("page"))  # of pages in a row
@@ -187,10 +204,18 @@ def gray_bottom(tables: DataFrame, rects: DataFrame, low: float = 0.3, slack: fl
 
 def bold_header(tables: DataFrame, words: DataFrame) -> DataFrame:
     """``tables`` with a flag: a bold word in the first 20 points."""
-    held = _held(words.where(F.col("fontname").contains("Bold")), ["top", "x0"], "_bold")
+    return on_page(tables, words).withColumn("bold_header", _bold_header()).drop("_words")
+
+
+def _bold_header() -> Column:
     b = F.col("bbox")
-    hit = F.exists("_bold", lambda w: w["top"].between(b["top"], b["top"] + 20) & w["x0"].between(b["x0"], b["x1"]))
-    return tables.join(held, PAGE, "left").withColumn("bold_header", F.coalesce(hit, F.lit(False))).drop("_bold")
+    hit = lambda w: w["fontname"].contains("Bold") & w["top"].between(b["top"], b["top"] + 20) & w["x0"].between(b["x0"], b["x1"])
+    return F.coalesce(F.exists("_words", hit), F.lit(False))
+
+
+def _gray_bottom(low: float = 0.3, slack: float = 2.0) -> Column:
+    hit = F.filter("_rects", lambda r: T.is_gray(r["fill"], r["color"], low) & (r["top"] >= F.col("bbox.top") - slack) & (r["bottom"] <= F.col("bbox.bottom") + slack))
+    return F.array_max(F.transform(hit, lambda r: r["bottom"]))
 
 
 # Cascades: three, with orders and predicates of their own -------------------------------------------
@@ -244,10 +269,24 @@ def detected_type() -> Column:
 
 
 def detect(tables: DataFrame, words: DataFrame, rects: DataFrame, tiny_words: DataFrame | None = None) -> DataFrame:
-    """One row per table with spurious, true_top, is_continuation, title, left_text, tiny_cols, table_type, covered."""
-    t = on_page(tables, words, rects, others=True).join(rotated_headers(tiny_words if tiny_words is not None else words), PAGE, "left")
-    t = t.withColumns({"spurious": _spurious(True), "true_top": _true_top(), "title": _word_title(80), "left_text": _left_text()}).drop("_others", "_words", "_rects")
-    t = continuations(t)
+    """One row per table with spurious, true_top, is_continuation, title, left_text, tiny_cols, bold_header, first_word, gray_bottom, table_type, covered."""
+    t = on_page(tables, words, rects, others=True)
+    if tiny_words is not None:
+        t = t.join(rotated_headers(tiny_words), PAGE, "left")
+    return _detected(t)
+
+
+def detect_pages(pages: DataFrame) -> DataFrame:
+    """``detect`` of whole pages (``page_tables``): one shuffle, by document."""
+    return _detected(page_tables(pages))
+
+
+def _detected(t: DataFrame) -> DataFrame:
+    first = F.array_min(F.transform("_words", lambda w: w["top"]))
+    found = {"spurious": _spurious(True), "true_top": _true_top(), "title": _word_title(80), "left_text": _left_text(), "bold_header": _bold_header(), "first_word": first, "gray_bottom": _gray_bottom()}
+    if "tiny_cols" not in t.columns:
+        found["tiny_cols"] = _tiny_columns()
+    t = continuations(t.withColumns(found).drop("_others", "_words", "_rects"))
     t = t.withColumn("table_type", detected_type())
     return t.withColumn("covered", ~F.col("table_type").isin("spurious", "unknown"))
 
@@ -310,73 +349,91 @@ CONTINUES = {
 }
 
 
-def stitch(tables: DataFrame, words: DataFrame) -> DataFrame:
-    """``tables`` (with handler, segment, bold_header) with ``consumed``: the pages whose first table continues this one.
+def stitch(tables: DataFrame, words: DataFrame | None = None) -> DataFrame:
+    """``tables`` (with handler, segment, bold_header, first_word: the top of the page's first word) with ``consumed``: the pages whose first
+    table continues this one, and ``parts``: their cells.
 
     A chain goes page by page; every condition compares with the first table, and the first page that fails ends it.
-    The first tables of a document are gathered once, so the chain is folded without a join of tables with tables.
+    A document's tables are gathered into one row, where the chains are folded: no join of tables with tables. ``words`` give
+    first_word where it isn't there.
     """
-    first_words = words.groupBy(*PAGE).agg(F.min("top").alias("_first_word"))
-    firsts = tables.groupBy(*PAGE).agg(F.min_by(F.struct("bbox", "cells", "segment"), "table_idx").alias("f")).join(first_words, PAGE, "left")
-    row0 = F.get("f.cells", F.lit(0))
-    flat0 = F.array_join(F.filter(row0, lambda c: F.coalesce(c, F.lit("")) != ""), " ")
-    other = T.flat(F.col("f.cells"), 3).contains("Mechanism of Action") | T.contains_any(flat0, ["HCPCS", "CPT"]) | (_at(row0, 0) == "Product")
-    chain = firsts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(
-        "page", F.col("f.bbox.x0").alias("x0"), F.col("f.bbox.top").alias("top"), F.coalesce(F.size(row0), F.lit(0)).alias("cols"), F.col("f.segment").alias("segment"),
-        F.coalesce(F.col("_first_word") < F.col("f.bbox.top") - 5, F.lit(False)).alias("words_above"), other.alias("other"),
-    ))).alias("_firsts"))
-    limit = F.lit(0)
-
-    def test(p: Column) -> Column:
+    if words is not None:
+        tables = tables.drop("first_word").join(words.groupBy(*PAGE).agg(F.min("top").alias("first_word")), PAGE, "left")
+    fields = [c for c in tables.columns if c not in ("doc_id", "page", "table_idx")]
+    held = tables.groupBy("doc_id").agg(F.collect_list(F.struct(F.col("page").cast("int").alias("page"), F.col("table_idx").cast("int").alias("table_idx"), F.struct(*fields).alias("t"))).alias("_tables"))
+    held = held.withColumn("_tables", F.array_sort("_tables", lambda a, b: F.when((a["page"] < b["page"]) | ((a["page"] == b["page"]) & (a["table_idx"] < b["table_idx"])), -1).otherwise(1)))
+    place = F.transform("_tables", lambda x, i: F.struct(x["page"].alias("page"), x["t"].alias("t"), F.coalesce(F.get("_tables", i - 1)["page"] == x["page"], F.lit(False)).alias("later")))
+
+    def first(x: Column) -> Column:
+        t = x["t"]
+        row0 = F.get(t["cells"], F.lit(0))
+        flat0 = F.array_join(F.filter(row0, lambda c: F.coalesce(c, F.lit("")) != ""), " ")
+        other = T.flat(t["cells"], 3).contains("Mechanism of Action") | T.contains_any(flat0, ["HCPCS", "CPT"]) | (_at(row0, 0) == "Product")
+        return F.struct(
+            x["page"].alias("page"), t["bbox"]["x0"].alias("x0"), t["bbox"]["top"].alias("top"), F.coalesce(F.size(row0), F.lit(0)).alias("cols"), t["segment"].alias("segment"),
+            F.coalesce(t["first_word"] < t["bbox"]["top"] - 5, F.lit(False)).alias("words_above"), other.alias("other"), t["cells"].alias("cells"),
+        )
+
+    held = held.withColumn("_firsts", F.transform(F.filter(place, lambda x: ~x["later"]), first))
+    kind = "struct<next:int,open:boolean,got:array<int>>"
+
+    def test(t: Column, p: Column) -> Column:
         found = F.lit(False)
         for name, (_, dx, top, no_words, same, bold) in CONTINUES.items():
             ok = F.lit(True)
             if dx is not None:
-                ok = ok & (F.abs(p["x0"] - F.col("bbox.x0")) < dx) & (p["top"] < top)
+                ok = ok & (F.abs(p["x0"] - t["bbox"]["x0"]) < dx) & (p["top"] < top)
             if no_words:
                 ok = ok & ~p["words_above"]
             if same:
-                ok = ok & p["segment"].eqNullSafe(F.col("segment"))
+                ok = ok & p["segment"].eqNullSafe(t["segment"])
             if bold:
-                ok = ok & F.col("bold_header")
+                ok = ok & t["bold_header"]
             if name == "revision":
                 ok = ok & (p["cols"] <= 3) & ~p["other"]
             if name == "moa":
-                ok = ok & ((p["cols"] == F.size(F.get("cells", F.lit(0)))) | (p["cols"] == 3))
-            found = F.when(F.col("handler") == name, ok).otherwise(found)
+                ok = ok & ((p["cols"] == F.size(F.get(t["cells"], F.lit(0)))) | (p["cols"] == 3))
+            found = F.when(t["handler"] == name, ok).otherwise(found)
         return found
 
-    for name, (pages, *_) in CONTINUES.items():
-        limit = F.when(F.col("handler") == name, 1_000_000 if pages == 0 else pages).otherwise(limit)
-    later = F.filter("_firsts", lambda p: p["page"] > F.col("page"))
-    kind = "struct<next:int,open:boolean,got:array<int>>"
-    start = F.struct((F.col("page") + 1).cast("int").alias("next"), F.lit(True).alias("open"), F.array().cast("array<int>").alias("got")).cast(kind)
+    def chained(x: Column) -> Column:
+        t, limit = x["t"], F.lit(0)
+        for name, (pages, *_) in CONTINUES.items():
+            limit = F.when(t["handler"] == name, 1_000_000 if pages == 0 else pages).otherwise(limit)
+        start = F.struct((x["page"] + 1).cast("int").alias("next"), F.lit(True).alias("open"), F.array().cast("array<int>").alias("got")).cast(kind)
 
-    def step(acc: Column, p: Column) -> Column:
-        goes = acc["open"] & (p["page"] == acc["next"]) & (F.size(acc["got"]) < limit) & test(p)
-        on = F.struct((acc["next"] + 1).cast("int"), F.lit(True), F.concat(acc["got"], F.array(p["page"].cast("int")))).cast(kind)
-        return F.when(goes, on).otherwise(F.struct(acc["next"], F.lit(False), acc["got"]).cast(kind))
+        def step(acc: Column, p: Column) -> Column:
+            goes = acc["open"] & (p["page"] == acc["next"]) & (F.size(acc["got"]) < limit) & test(t, p)
+            on = F.struct((acc["next"] + 1).cast("int"), F.lit(True), F.concat(acc["got"], F.array(p["page"].cast("int")))).cast(kind)
+            return F.when(goes, on).otherwise(F.struct(acc["next"], F.lit(False), acc["got"]).cast(kind))
 
-    return tables.join(chain, "doc_id").withColumn("consumed", F.aggregate(later, start, step)["got"]).drop("_firsts")
+        later = F.filter("_firsts", lambda p: p["page"] > x["page"])
+        return F.struct(x["page"].alias("page"), x["table_idx"].alias("table_idx"), t.alias("t"), F.aggregate(later, start, step)["got"].alias("consumed"))
+
+    rows = held.withColumn("_tables", F.transform("_tables", chained)).select("doc_id", "_firsts", F.explode("_tables").alias("x"))
+    parts = F.transform(F.filter("_firsts", lambda p: F.array_contains(F.col("x.consumed"), p["page"])), lambda p: p["cells"])
+    return rows.select("doc_id", "x.page", "x.table_idx", "x.t.*", "x.consumed", parts.alias("parts"))
 
 
 def unconsumed(stitched: DataFrame) -> DataFrame:
     """Tables that continue none before them: the first table of a page in another's ``consumed`` goes.
 
-    A table that is consumed consumes nothing, so chains are taken from the top of the document.
+    A table that is consumed consumes nothing, so chains are taken from the top of the document. The places of a document's
+    tables are gathered by a window and folded: the rows stay where they are.
     """
-    kind = "struct<gone:array<int>,kept:array<struct<page:int,table_idx:int>>>"
-    rows = stitched.withColumn("_first", F.row_number().over(Window.partitionBy(*PAGE).orderBy("table_idx")) == 1)
-    held = rows.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(F.col("page").cast("int").alias("page"), F.col("table_idx").cast("int").alias("table_idx"), "_first", "consumed"))).alias("_rows"))
-    start = F.struct(F.array().cast("array<int>").alias("gone"), F.array().cast("array<struct<page:int,table_idx:int>>").alias("kept")).cast(kind)
+    place = lambda page, idx: F.struct(page.cast("int").alias("page"), idx.cast("int").alias("table_idx"))
+    rows = stitched.withColumn("_rows", F.array_sort(F.collect_list(F.struct(F.col("page").cast("int").alias("page"), F.col("table_idx").cast("int").alias("table_idx"), "consumed")).over(Window.partitionBy("doc_id"))))
+    start = F.struct(F.array().cast("array<int>").alias("gone"), F.array().cast("array<struct<page:int,table_idx:int>>").alias("kept"), F.lit(0).alias("page")).cast("struct<gone:array<int>,kept:array<struct<page:int,table_idx:int>>,page:int>")
 
     def step(acc: Column, r: Column) -> Column:
-        stays = ~(r["_first"] & F.array_contains(acc["gone"], r["page"]))
-        took = F.struct(F.concat(acc["gone"], r["consumed"]), F.concat(acc["kept"], F.array(F.struct(r["page"], r["table_idx"])))).cast(kind)
-        return F.when(stays, took).otherwise(acc)
-
-    kept = held.select("doc_id", F.explode(F.aggregate("_rows", start, step)["kept"]).alias("k")).select("doc_id", F.col("k.page").alias("page"), F.col("k.table_idx").alias("table_idx"))
-    return stitched.join(kept, ["doc_id", "page", "table_idx"], "left_semi")
+        first = r["page"] != acc["page"]
+        stays = ~(first & F.array_contains(acc["gone"], r["page"]))
+        gone = F.when(stays, F.concat(acc["gone"], r["consumed"])).otherwise(acc["gone"])
+        kept = F.when(stays, F.concat(acc["kept"], F.array(place(r["page"], r["table_idx"])))).otherwise(acc["kept"])
+        return F.struct(gone, kept, r["page"]).cast("struct<gone:array<int>,kept:array<struct<page:int,table_idx:int>>,page:int>")
+
+    kept = F.aggregate("_rows", start, step)["kept"]
+    return rows.where(F.array_contains(kept, place(F.col("page"), F.col("table_idx")))).drop("_rows")
 
 
 def backfill_titles(nodes: DataFrame, detected: DataFrame) -> DataFrame:

@@ -70,13 +70,13 @@ def section_patterns(spark, d):
 _FAMILIES = "['ph', 'mm', 'ip', 'psm', 'ad', 'st', 'dqm', 'zz']"
 BATCH_SQL = f"""{layout.WORDS_SQL},
 manifest AS (SELECT doc_id, {_FAMILIES}[(doc_id % 8) + 1] AS prefix, max(page) AS n_pages FROM words GROUP BY doc_id),
-batch AS (SELECT doc_id, prefix || '_' || CAST(doc_id AS VARCHAR) || '.pdf' AS filename, prefix, n_pages, CASE WHEN n_pages > 3 THEN 'skipped' ELSE 'selected' END AS status FROM manifest)
+batch AS (SELECT doc_id, prefix || '_' || CAST(doc_id AS VARCHAR) || '.pdf' AS filename, prefix, n_pages, CASE WHEN n_pages > 10 THEN 'skipped' ELSE 'selected' END AS status FROM manifest)
 """
 
 
 def _batch(spark, d):
     docs = _docs(spark, d)
-    return C.split_batch(layout.manifest(layout.words(docs), docs), max_pages=3)
+    return C.split_batch(layout.manifest(layout.words(docs), docs))
 
 
 @query(f"WITH {BATCH_SQL} SELECT * FROM batch")
@@ -156,8 +156,7 @@ def note_absorption(spark, d):
 
 
 def _sectioned(spark, d):
-    lines = L.raw_lines(layout.words(_docs(spark, d)))
-    return S.sections(S.assign_segments(lines, S.boundaries(lines)))
+    return S.sections(S.segmented(L.raw_lines(layout.words(_docs(spark, d)))))
 
 
 @query(
@@ -184,7 +183,7 @@ def _footnotes(spark, d):
     lines = _sectioned(spark, d)
     text = F.when(F.col("top") % 5 == 0, F.concat(F.lit("* "), "text")).when(F.col("top") % 7 == 0, F.concat(F.lit("FDA – "), "text")).otherwise(F.col("text"))
     small = lines.withColumn("text", text).withColumn("size", F.when((F.col("doc_id") % 2 == 0) & (F.col("size") < 12), 8.0).otherwise(F.col("size")))
-    return N.footnote_flag(small, layout.boxes(lines))
+    return N.footnote_flag(small, layout.boxes(_docs(spark, d)))
 
 
 _FOOT = f"""{_RUNS},

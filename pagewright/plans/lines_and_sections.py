@@ -169,8 +169,8 @@ def raw_lines(spark, d):
 
 @query(f"WITH {RAW_SQL} SELECT doc_id, page, top, (doc_id % 2 = 0 AND top BETWEEN 350 AND 410) AS in_table FROM raw")
 def in_table_exists(spark, d):
-    words = _words(spark, d)
-    return L.raw_lines(words, layout.boxes(words)).select("doc_id", "page", "top", "in_table")
+    docs = _docs(spark, d)
+    return L.raw_lines(layout.words(docs), layout.boxes(docs)).select("doc_id", "page", "top", "in_table")
 
 
 def _halves(lines: DataFrame) -> DataFrame:
@@ -270,8 +270,7 @@ assigned AS (SELECT r.doc_id, r.page, r.top, r.text, r.size, r.bold, r.x0, coale
 
 
 def _assigned(spark, d):
-    lines = _lines(spark, d)
-    return S.assign_segments(lines, S.boundaries(lines))
+    return S.segmented(_lines(spark, d))
 
 
 @query(f"WITH {_ASOF} SELECT doc_id, page, CAST(top AS DOUBLE) AS top, segment FROM assigned")
@@ -279,6 +278,37 @@ def asof_segment(spark, d):
     return _assigned(spark, d).select("doc_id", "page", "top", "segment")
 
 
+def _regions(spark, d):
+    """Regions of tables (as ``layout.boxes`` places them) as rows to be assigned: doc_id, page, top."""
+    return layout.boxes(_docs(spark, d)).where("page <= 3").select("doc_id", "page", F.col("box_top").alias("top"))
+
+
+def _feet(spark, d):
+    """Footer rules, made up: at the foot of page 2 of documents with an id divisible by 4."""
+    return _docs(spark, d).where("doc_id % 4 = 0 and text is not null").select("doc_id", F.lit(2).alias("page"), F.lit(300.0).alias("top"))
+
+
+_REGIONS_SQL = "regions AS (SELECT doc_id, CAST(p AS INTEGER) AS page, 350.0::DOUBLE AS top FROM (SELECT doc_id, unnest(range(1, least(length(text) // 90 + 1, 3) + 1)) AS p FROM documents WHERE doc_id % 2 = 0 AND text IS NOT NULL))"
+_FEET_SQL = "footed AS (SELECT doc_id, segment, page, top, page * 10000 + top AS k FROM bounds UNION ALL SELECT doc_id, 'footer', 2, 300.0, 20300.0 FROM documents WHERE doc_id % 4 = 0 AND text IS NOT NULL)"
+
+
+@query(f"WITH {SECTIONS_SQL}, {_REGIONS_SQL}, {_FEET_SQL} SELECT r.doc_id, r.page, r.top, coalesce(b.segment, '') AS segment FROM (SELECT *, page * 10000 + top AS k FROM regions) r ASOF LEFT JOIN footed b ON r.doc_id = b.doc_id AND r.k >= b.k")
+def asof_table_segment(spark, d):
+    bounds = S.boundaries(_lines(spark, d), _feet(spark, d))
+    return S.assign_segments(_regions(spark, d), bounds, "")
+
+
+@query(f"WITH {SECTIONS_SQL}, {_REGIONS_SQL} SELECT r.doc_id, r.page, r.top, b.segment FROM (SELECT *, page * 10000 + top AS k FROM regions) r ASOF JOIN (SELECT *, page * 10000 + top AS k FROM bounds WHERE segment <> 'header') b ON r.doc_id = b.doc_id AND r.k >= b.k")
+def asof_table_section(spark, d):
+    bounds = S.boundaries(_lines(spark, d)).where("segment != 'header'")
+    return S.assign_segments(_regions(spark, d), bounds, None).where("segment is not null")
+
+
+@query(f"WITH {SECTIONS_SQL}, {_FEET_SQL} SELECT r.doc_id, r.page, CAST(r.top AS DOUBLE) AS top, coalesce(b.segment, 'header') AS segment FROM (SELECT *, page * 10000 + top AS k FROM raw) r ASOF LEFT JOIN footed b ON r.doc_id = b.doc_id AND r.k >= b.k")
+def footer_segment(spark, d):
+    return S.segmented(_lines(spark, d), footers=_feet(spark, d)).select("doc_id", "page", "top", "segment")
+
+
 _RUNS = f"""{_ASOF},
 changed AS (SELECT *, CASE WHEN lag(segment) OVER w IS NULL OR lag(segment) OVER w <> segment THEN 1 ELSE 0 END AS c FROM assigned WINDOW w AS (PARTITION BY doc_id ORDER BY page, top)),
 runs AS (SELECT *, sum(c) OVER (PARTITION BY doc_id ORDER BY page, top) AS section_id FROM changed)

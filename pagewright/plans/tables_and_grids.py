@@ -30,9 +30,18 @@ def _tables(spark: SparkSession, d: str) -> DataFrame:
     return grids.tables(spark.read.parquet(f"{d}/part.parquet"))
 
 
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    return grids.pages(spark.read.parquet(f"{d}/part.parquet"))
+
+
 def _all(spark, d):
-    t = _tables(spark, d)
-    return t, grids.words(t), grids.rects(t)
+    pages = _pages(spark, d)
+    return _tables(spark, d), grids.words(pages), grids.rects(pages)
+
+
+def _detected(spark, d):
+    """Tables of whole pages with what the detector finds: the source is read once."""
+    return B.detect_pages(_pages(spark, d))
 
 
 def _q(values) -> str:
@@ -101,8 +110,7 @@ ready AS (SELECT c.*, substr(coalesce(b.title, ''), 1, 80) AS title, coalesce(l.
 
 @query(f"WITH {CONT_SQL} SELECT doc_id, page, table_idx, is_continuation, title, left_text FROM ready")
 def table_continuation(spark, d):
-    t, w, r = _all(spark, d)
-    return B.detect(t, w, r).select(*KEYS, "is_continuation", "title", "left_text")
+    return _detected(spark, d).select(*KEYS, "is_continuation", "title", "left_text")
 
 
 _NORM = "regexp_replace(regexp_replace(title, '([A-Z]) ([A-Z])', '\\1\\2', 'g'), '([A-Z]) ([A-Z])', '\\1\\2', 'g')"
@@ -128,14 +136,12 @@ typed AS (SELECT *, CASE WHEN spurious THEN 'spurious' WHEN first = 'Type of Rev
 
 @query(f"WITH {TYPE_SQL} SELECT doc_id, page, table_idx, table_type, table_type NOT IN ('spurious', 'unknown') AS covered FROM typed")
 def table_type_cascade(spark, d):
-    t, w, r = _all(spark, d)
-    return B.detect(t, w, r).select(*KEYS, "table_type", "covered")
+    return _detected(spark, d).select(*KEYS, "table_type", "covered")
 
 
 @query(f"WITH {TYPE_SQL} SELECT DISTINCT doc_id, page, greatest(0, top - CASE WHEN table_type = 'criteria' THEN 30 ELSE 5 END) AS box_top, bottom AS box_bottom FROM typed WHERE table_type NOT IN ('spurious', 'unknown')")
 def covered_regions(spark, d):
-    t, w, r = _all(spark, d)
-    return B.covered_regions(B.detect(t, w, r))
+    return B.covered_regions(_detected(spark, d))
 
 
 _NULL_FIRST = "len([r for r in cells[1:3] if r[1] IS NULL]) > 0"
@@ -153,30 +159,31 @@ handled AS (SELECT *, CASE WHEN first = 'Type of Revision' THEN 'revision' WHEN
 
 
 def _handled(spark, d):
-    t, w, r = _all(spark, d)
-    return B.detect(t, w, r).withColumn("handler", B.handler()), w, r
+    return _detected(spark, d).withColumn("handler", B.handler())
 
 
 @query(f"WITH {HANDLER_SQL} SELECT doc_id, page, table_idx, handler FROM handled WHERE buildable")
 def builder_cascade(spark, d):
-    return B.buildable(_handled(spark, d)[0]).select(*KEYS, "handler")
+    return B.buildable(_handled(spark, d)).select(*KEYS, "handler")
 
 
-_FIRSTS = """firsts AS (SELECT f.* FROM handled f JOIN (SELECT doc_id, page, min(table_idx) AS table_idx FROM handled GROUP BY ALL) USING (doc_id, page, table_idx)),
+_SEG = "CASE WHEN doc_id % 4 = 1 AND page > 2 THEN 'Coding' ELSE 'Overview' END AS seg"
+_FIRSTS = f"""firsts AS (SELECT f.*, {_SEG} FROM handled f JOIN (SELECT doc_id, page, min(table_idx) AS table_idx FROM handled GROUP BY ALL) USING (doc_id, page, table_idx)),
 wordtop AS (SELECT doc_id, page, min(top) AS w FROM gwords GROUP BY ALL),
-bh AS (SELECT t.*, EXISTS (SELECT 1 FROM gwords w WHERE w.doc_id = t.doc_id AND w.page = t.page AND contains(w.fontname, 'Bold') AND w.top BETWEEN t.top AND t.top + 20 AND w.x0 BETWEEN t.x0 AND t.x1) AS bold_header FROM handled t),
+bh AS (SELECT t.*, {_SEG}, EXISTS (SELECT 1 FROM gwords w WHERE w.doc_id = t.doc_id AND w.page = t.page AND contains(w.fontname, 'Bold') AND w.top BETWEEN t.top AND t.top + 20 AND w.x0 BETWEEN t.x0 AND t.x1) AS bold_header FROM handled t),
 goes AS (SELECT a.doc_id, a.page, a.table_idx, a.handler, f.page AS next_page, CASE a.handler
-  WHEN 'dql' THEN w >= f.top - 5 WHEN 'revision' THEN w >= f.top - 5 AND len(f.cells[1]) <= 3 AND NOT contains(f.full3, 'Mechanism of Action') AND NOT contains(f.full0, 'HCPCS') AND NOT contains(f.full0, 'CPT') AND f.first <> 'Product'
-  WHEN 'fda_dosing' THEN abs(f.x0 - a.x0) < 10 AND f.top < 140 AND w >= f.top - 5 WHEN 'titled_generic' THEN a.bold_header AND abs(f.x0 - a.x0) < 10 AND f.top < 140 AND w >= f.top - 5 WHEN 'known_kw' THEN a.bold_header AND abs(f.x0 - a.x0) < 10 AND f.top < 140 AND w >= f.top - 5
-  WHEN 'moa' THEN abs(f.x0 - a.x0) < 10 AND f.top < 120 AND (len(f.cells[1]) = len(a.cells[1]) OR len(f.cells[1]) = 3) WHEN 'criteria' THEN abs(f.x0 - a.x0) < 10 AND f.top < 140 WHEN 'rev_flex' THEN true ELSE false END AS ok
+  WHEN 'dql' THEN w >= f.top - 5 AND f.seg = a.seg WHEN 'revision' THEN w >= f.top - 5 AND f.seg = a.seg AND len(f.cells[1]) <= 3 AND NOT contains(f.full3, 'Mechanism of Action') AND NOT contains(f.full0, 'HCPCS') AND NOT contains(f.full0, 'CPT') AND f.first <> 'Product'
+  WHEN 'fda_dosing' THEN abs(f.x0 - a.x0) < 10 AND f.top < 140 AND w >= f.top - 5 WHEN 'titled_generic' THEN f.seg = a.seg AND a.bold_header AND abs(f.x0 - a.x0) < 10 AND f.top < 140 AND w >= f.top - 5 WHEN 'known_kw' THEN f.seg = a.seg AND a.bold_header AND abs(f.x0 - a.x0) < 10 AND f.top < 140 AND w >= f.top - 5
+  WHEN 'moa' THEN f.seg = a.seg AND abs(f.x0 - a.x0) < 10 AND f.top < 120 AND (len(f.cells[1]) = len(a.cells[1]) OR len(f.cells[1]) = 3) WHEN 'criteria' THEN f.seg = a.seg AND abs(f.x0 - a.x0) < 10 AND f.top < 140 WHEN 'rev_flex' THEN true ELSE false END AS ok
   FROM bh a JOIN firsts f ON f.doc_id = a.doc_id AND f.page > a.page JOIN wordtop ON wordtop.doc_id = f.doc_id AND wordtop.page = f.page),
 ended AS (SELECT t.doc_id, t.page, t.table_idx, t.handler, coalesce((SELECT min(p) FROM range(t.page + 1, t.page + 9) AS x(p) WHERE NOT EXISTS (SELECT 1 FROM goes g WHERE g.doc_id = t.doc_id AND g.page = t.page AND g.table_idx = t.table_idx AND g.next_page = p AND g.ok)), t.page + 9) AS stop FROM handled t)
 """
 
 
 def _stitched(spark, d):
-    t, w, _ = _handled(spark, d)
-    return B.stitch(B.bold_header(t, w.where("top >= 0")).withColumn("segment", F.lit("Overview")), w)
+    """Tables stitched over pages; sections change between pages 2 and 3 of every fourth document."""
+    segment = F.when((F.col("doc_id") % 4 == 1) & (F.col("page") > 2), "Coding").otherwise("Overview")
+    return B.stitch(_handled(spark, d).withColumn("segment", segment))
 
 
 @query(f"WITH {HANDLER_SQL}, {_FIRSTS} SELECT doc_id, page, table_idx, CASE WHEN handler IN ('dql', 'fda_dosing', 'rev_flex') THEN least(stop - page - 1, 1) ELSE stop - page - 1 END AS n_consumed FROM ended")
@@ -184,7 +191,16 @@ def page_stitching(spark, d):
     return _stitched(spark, d).select(*KEYS, F.size("consumed").alias("n_consumed"))
 
 
-@query()
+# from the top of the document: a table that stays takes the pages of its chain, and their first tables go
+_KEPT = f"""{_FIRSTS},
+taken AS (SELECT e.*, t.page = t.page AND t.table_idx = (SELECT min(x.table_idx) FROM handled x WHERE x.doc_id = t.doc_id AND x.page = t.page) AS is_first, row_number() OVER (PARTITION BY e.doc_id ORDER BY e.page, e.table_idx) AS k,
+  range(e.page + 1, e.page + 1 + CASE WHEN e.handler IN ('dql', 'fda_dosing', 'rev_flex') THEN least(stop - e.page - 1, 1) ELSE stop - e.page - 1 END) AS eats FROM ended e JOIN handled t USING (doc_id, page, table_idx)),
+walk AS (SELECT doc_id, page, table_idx, handler, k, true AS stays, eats AS gone FROM taken WHERE k = 1
+  UNION ALL SELECT t.doc_id, t.page, t.table_idx, t.handler, t.k, NOT (t.is_first AND list_contains(w.gone, t.page)), CASE WHEN t.is_first AND list_contains(w.gone, t.page) THEN w.gone ELSE list_concat(w.gone, t.eats) END FROM walk w JOIN taken t ON t.doc_id = w.doc_id AND t.k = w.k + 1)
+"""
+
+
+@query(f"WITH RECURSIVE {HANDLER_SQL}, {_KEPT} SELECT doc_id, page, table_idx, handler FROM walk WHERE stays")
 def consumed_antijoin(spark, d):
     return B.unconsumed(_stitched(spark, d)).select(*KEYS, "handler")
 
@@ -203,9 +219,8 @@ def title_words_above(spark, d):
 
 @query(f"WITH {TYPE_SQL}, n AS (SELECT doc_id, page, table_idx, top, CASE WHEN table_idx = 0 THEN '' ELSE 'own' END AS title FROM tables), k AS (SELECT doc_id, page, round_even(round(top, 1), 0) AS rt, arg_max(title, table_idx) AS dt FROM typed GROUP BY ALL) SELECT n.doc_id, n.page, n.table_idx, coalesce(nullif(n.title, ''), k.dt, '') AS title FROM n LEFT JOIN k ON k.doc_id = n.doc_id AND k.page = n.page AND k.rt = round_even(n.top, 0)")
 def title_backfill(spark, d):
-    t, w, r = _all(spark, d)
-    nodes = t.select(*KEYS, F.col("bbox.top").alias("top"), F.when(F.col("table_idx") == 0, F.lit("")).otherwise(F.lit("own")).alias("title"))
-    return B.backfill_titles(nodes, B.detect(t, w, r)).select(*KEYS, "title")
+    nodes = _tables(spark, d).select(*KEYS, F.col("bbox.top").alias("top"), F.when(F.col("table_idx") == 0, F.lit("")).otherwise(F.lit("own")).alias("title"))
+    return B.backfill_titles(nodes, _detected(spark, d)).select(*KEYS, "title")
 
 
 @query()
@@ -424,14 +439,13 @@ def references_range(spark, d):
 @query(f"""WITH {TYPE_SQL}, regions AS (SELECT doc_id, page, greatest(0, top - CASE WHEN table_type = 'criteria' THEN 30 ELSE 5 END) AS a, bottom AS b FROM typed WHERE table_type NOT IN ('spurious', 'unknown') AND doc_id % 4 <> 1)
     SELECT doc_id, page, table_idx, CASE WHEN spurious OR (doc_id % 3 = 0 AND (page, top) > (2, 100.0) AND (doc_id % 6 <> 0 OR (page, top) < (3, 200.0))) THEN 'SPURIOUS' WHEN EXISTS (SELECT 1 FROM regions r WHERE r.doc_id = t.doc_id AND r.page = t.page AND r.a <= t.top + 10 AND r.b >= t.bottom - 10) THEN 'OK' ELSE 'MISSED' END AS status FROM typed t""")
 def missed_tables(spark, d):
-    t, w, r = _all(spark, d)
-    found = B.detect(t, w, r)
-    return Q.coverage(found, B.covered_regions(found.where("doc_id % 4 <> 1")), Q.references_range(_bounds(t))).select(*KEYS, "status")
+    found = _detected(spark, d)
+    return Q.coverage(found, B.covered_regions(found.where("doc_id % 4 <> 1")), Q.references_range(_bounds(_tables(spark, d)))).select(*KEYS, "status")
 
 
 def _expected(spark, d):
-    t, _, r = _all(spark, d)
-    t = B.gray_bottom(t, r)
+    """Rows that tables should give; the tops of rows are made up, 25 points each."""
+    t = _detected(spark, d).select(*KEYS, "bbox", "cells", "gray_bottom")
     tops = t.select(*KEYS, F.posexplode("cells").alias("r", "row"), "bbox").select(*KEYS, "r", (F.col("bbox.top") + 25 * F.col("r")).alias("row_top"))
     return t, Q.expected_rows(t, tops)
 
@@ -445,14 +459,15 @@ def expected_rows(spark, d):
 
 
 def _losses(spark, d):
+    """Rendered nodes are made up, with a number of rows by document, so that some lose rows (``converted_rows`` judges tables that are built)."""
     t, expected = _expected(spark, d)
     sources = t.join(expected, KEYS)
     html = F.concat(F.lit("<tbody>"), F.expr("repeat('<tr>', cast(doc_id % 6 as int))"), F.lit("</tbody>"))
-    nodes = t.where("table_idx = 0").select("doc_id", "page", F.when(F.col("doc_id") % 9 == 0, "moa").otherwise("generic").alias("table_type"), (F.col("bbox.top") + 3).alias("top"), html.alias("html"))
+    nodes = t.select("doc_id", "page", F.when(F.col("doc_id") % 9 == 0, "moa").otherwise("generic").alias("table_type"), (F.col("bbox.top") + 3).alias("top"), html.alias("html"))
     return Q.row_loss(nodes, sources)
 
 
-_LOSS = f"{_EXPECTED}, nodes AS (SELECT doc_id, page, table_idx, top + 3 AS top, doc_id % 6 AS actual FROM tables WHERE table_idx = 0 AND doc_id % 9 <> 0), near AS (SELECT n.doc_id, n.page, n.top, n.actual, (SELECT arg_min(expected, e.table_idx) FROM ex e WHERE e.doc_id = n.doc_id AND e.page = n.page AND abs(e.top - n.top) <= 20) AS expected FROM nodes n), loss AS (SELECT doc_id, page, 'generic' AS table_type, top, expected, actual, expected - actual AS missing FROM near WHERE expected IS NOT NULL AND actual < expected - 1)"
+_LOSS = f"{_EXPECTED}, nodes AS (SELECT doc_id, page, table_idx, top + 3 AS top, doc_id % 6 AS actual FROM tables WHERE doc_id % 9 <> 0), near AS (SELECT n.doc_id, n.page, n.top, n.actual, (SELECT arg_min(expected, e.table_idx) FROM ex e WHERE e.doc_id = n.doc_id AND e.page = n.page AND abs(e.top - n.top) <= 20) AS expected FROM nodes n), loss AS (SELECT doc_id, page, 'generic' AS table_type, top, expected, actual, expected - actual AS missing FROM near WHERE expected IS NOT NULL AND actual < expected - 1)"
 
 
 @query(f"WITH {_LOSS} SELECT * FROM loss")
@@ -483,8 +498,7 @@ def tolerant_title(spark, d):
 
 @query(f"WITH {TYPE_SQL} SELECT doc_id, page, table_idx, CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE table_type END AS table_type FROM typed")
 def type_attach(spark, d):
-    t, w, r = _all(spark, d)
-    return Q.with_types(t, B.detect(t, w, r).where("doc_id % 3 != 0")).select(*KEYS, "table_type")
+    return Q.with_types(_tables(spark, d), _detected(spark, d).where("doc_id % 3 != 0")).select(*KEYS, "table_type")
 
 
 @query("""WITH p AS (SELECT p_partkey AS doc_id, generate_subscripts(string_split(p_name, ''), 1) - 1 AS i, unnest(string_split(p_name, '')) AS ch FROM part)

@@ -5,7 +5,7 @@ Scaffolding, not an operator. doc_id, page, table_idx, bbox (struct x0, top, x1,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEADERS = [
@@ -44,38 +44,52 @@ def tables(part: DataFrame) -> DataFrame:
     ).where("page != 3 or doc_id % 5 != 0")  # some pages have none
 
 
-def words(tables_: DataFrame) -> DataFrame:
-    """Words around the tables: a bold title 12 points above, a code at the left, tiny rotated headers on some pages."""
-    t = tables_.select("doc_id", "page", "table_idx", "bbox")
-    entry = lambda i, text, x0, x1, top, font, size: F.struct(F.lit(i).alias("i"), text.alias("text"), x0.cast("double").alias("x0"), x1.cast("double").alias("x1"), top.cast("double").alias("top"), F.lit(font).alias("fontname"), F.lit(size).alias("size"))
-    b, title = F.col("bbox"), F.element_at(F.array(*[F.lit(x) for x in ("Table 1. Products", "FDA Approved", "Preferred Products", "Plain Title", "Dosing")]), (F.pmod(F.col("doc_id") + F.col("page"), F.lit(5)) + 1).cast("int"))
-    rows = F.array(
+def pages(part: DataFrame) -> DataFrame:
+    """The tables as whole pages, as a reader gives them: doc_id, page, tables, words, rects (arrays)."""
+    held = tables(part).groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("table_idx", "bbox", "cells"))).alias("tables"))
+    some = lambda a: F.array_sort(F.filter(F.flatten(a), lambda x: x.isNotNull()))
+    return held.select("doc_id", "page", "tables", some(F.transform("tables", _words_of)).alias("words"), some(F.transform("tables", _rects_of)).alias("rects"))
+
+
+def _words_of(t: Column) -> Column:
+    """Words around a table: a bold title 12 points above, a code at the left, tiny rotated headers on some pages."""
+
+    def entry(i, text, x0, x1, top, font, size) -> Column:
+        return F.struct((t["table_idx"] * 1000 + i).cast("long").alias("word_idx"), text.alias("text"), x0.cast("double").alias("x0"), x1.cast("double").alias("x1"), top.cast("double").alias("top"), F.lit(font).alias("fontname"), F.lit(size).alias("size"))
+
+    b, title = t["bbox"], F.element_at(F.array(*[F.lit(x) for x in ("Table 1. Products", "FDA Approved", "Preferred Products", "Plain Title", "Dosing")]), (F.pmod(F.col("doc_id") + F.col("page"), F.lit(5)) + 1).cast("int"))
+    plain = F.array(
         entry(0, title, b["x0"], b["x0"] + 80, b["top"] - 12, "Arial-Bold", 10.0),
         entry(1, F.lit("note"), b["x0"] + 90, b["x0"] + 120, b["top"] - 12, "Arial", 10.0),
         entry(2, F.when(F.col("doc_id") % 7 == 0, F.lit("CPT")).otherwise(F.lit("left")), b["x0"] - 40, b["x0"] - 5, b["top"] + 10, "Arial", 9.0),
         entry(3, F.lit("Head"), b["x0"] + 5, b["x0"] + 30, b["top"] + 5, "Arial-Bold", 9.0),
     )
-    tiny = F.explode(F.sequence(F.lit(0), F.lit(19)))
-    plain = t.select("doc_id", "page", "table_idx", F.explode(rows).alias("w")).select("doc_id", "page", (F.col("table_idx") * 1000 + F.col("w.i")).alias("word_idx"), "w.text", "w.x0", "w.x1", "w.top", "w.fontname", "w.size")
-    rotated = t.where("doc_id % 6 = 1 and table_idx = 0 and page % 2 = 0").select("doc_id", "page", tiny.alias("k"))
-    rotated = rotated.select("doc_id", "page", (F.col("k") + 5000).alias("word_idx"), F.lit("ab").alias("text"), (60.0 + 16 * (F.col("k") % 5)).alias("x0"), (66.0 + 16 * (F.col("k") % 5)).alias("x1"), (200.0 + 8 * F.expr("k div 5")).alias("top"), F.lit("Arial").alias("fontname"), F.lit(6.0).alias("size"))
-    return plain.unionByName(rotated)
+    tiny = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda k: entry(k + 5000, F.lit("ab"), 60.0 + 16 * (k % 5), 66.0 + 16 * (k % 5), 200.0 + 8 * F.floor(k / 5), "Arial", 6.0))
+    return F.when((F.col("doc_id") % 6 == 1) & (t["table_idx"] == 0) & (F.col("page") % 2 == 0), F.concat(plain, tiny)).otherwise(plain)
 
 
-def rects(tables_: DataFrame) -> DataFrame:
+def _rects_of(t: Column) -> Column:
     """Rectangles: a gray header band, vertical borders that reach above some tables, a green stripe in others."""
-    b = F.col("bbox")
-    entry = lambda i, x0, x1, top, bottom, fill, color: F.struct(F.lit(i).alias("i"), x0.alias("x0"), x1.alias("x1"), top.alias("top"), bottom.alias("bottom"), F.lit(fill).alias("fill"), F.array(*[F.lit(c) for c in color]).alias("color"))
-    i = F.col("doc_id") + F.col("table_idx")
-    some = F.filter(
-        F.array(
-            entry(0, b["x0"], b["x1"], b["top"], b["top"] + 20, True, (0.8, 0.8, 0.8)),
-            F.when(i % 3 == 0, entry(1, b["x0"] + 1, b["x0"] + 2, b["top"] - 25, b["top"] + 5, False, (0.0, 0.0, 0.0))),
-            F.when(i % 19 == 0, entry(2, b["x0"], b["x1"], b["top"] + 30, b["top"] + 44, True, (0.0, 0.65, 0.3))),
-        ),
-        lambda r: r.isNotNull(),
+
+    def entry(i, x0, x1, top, bottom, fill, color) -> Column:
+        return F.struct((t["table_idx"] * 100 + i).cast("long").alias("rect_idx"), x0.alias("x0"), x1.alias("x1"), top.alias("top"), bottom.alias("bottom"), F.lit(fill).alias("fill"), F.array(*[F.lit(c) for c in color]).alias("color"))
+
+    b, i = t["bbox"], F.col("doc_id") + t["table_idx"]
+    return F.array(
+        entry(0, b["x0"], b["x1"], b["top"], b["top"] + 20, True, (0.8, 0.8, 0.8)),
+        F.when(i % 3 == 0, entry(1, b["x0"] + 1, b["x0"] + 2, b["top"] - 25, b["top"] + 5, False, (0.0, 0.0, 0.0))),
+        F.when(i % 19 == 0, entry(2, b["x0"], b["x1"], b["top"] + 30, b["top"] + 44, True, (0.0, 0.65, 0.3))),
     )
-    return tables_.select("doc_id", "page", "table_idx", F.explode(some).alias("r")).select("doc_id", "page", (F.col("table_idx") * 100 + F.col("r.i")).alias("rect_idx"), "r.x0", "r.x1", "r.top", "r.bottom", "r.fill", "r.color")
+
+
+def words(pages_: DataFrame) -> DataFrame:
+    """The pages' words, a row each."""
+    return pages_.select("doc_id", "page", F.explode("words").alias("w")).select("doc_id", "page", "w.*")
+
+
+def rects(pages_: DataFrame) -> DataFrame:
+    """The pages' rectangles, a row each."""
+    return pages_.select("doc_id", "page", F.explode("rects").alias("r")).select("doc_id", "page", "r.*")
 
 
 def _sql_header(h: list) -> str:
