@@ -115,9 +115,10 @@ def rowspans(rows: DataFrame) -> DataFrame:
 
 
 def dql_layout(tables: DataFrame) -> DataFrame:
-    """doc_id, page, table_idx and the fixed places of a one-product quantity table: product, strength, retail, delivery (a copy of retail)."""
+    """doc_id, page, table_idx and the fixed places of a one-product quantity table, rows 2 to 4: product, strengths and quantities, those filled; the second quantity is a copy of the first."""
     at = lambda r, c: T.one_line_cell(F.get(F.get("cells", F.lit(r)), F.lit(c)))
-    return tables.select(*TABLE, at(2, 0).alias("product"), at(2, 1).alias("strength"), at(3, 1).alias("retail"), at(3, 1).alias("delivery"))
+    some = lambda *xs: F.filter(F.array(*xs), lambda x: x != "")
+    return tables.select(*TABLE, at(2, 0).alias("product"), some(at(2, 1), at(3, 1), at(4, 1)).alias("strengths"), some(at(2, 2), at(2, 2), at(4, 2)).alias("quantities"))
 
 
 def revision_rows(rows: DataFrame) -> DataFrame:

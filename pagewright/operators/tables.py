@@ -297,8 +297,8 @@ def covered_regions(detected: DataFrame) -> DataFrame:
     return detected.where("covered").select(*PAGE, F.greatest(F.lit(0.0), F.col("bbox.top") - expand).alias("box_top"), F.col("bbox.bottom").alias("box_bottom")).distinct()
 
 
-def handler() -> Column:
-    """Name of the builder's handler for a table (columns cells, title, tiny_cols): the first that fits."""
+def handler(but: Column | None = None) -> Column:
+    """Name of the builder's handler for a table (columns cells, title, tiny_cols): the first that fits, ``but`` left out."""
     cells = F.col("cells")
     row0 = F.get(cells, F.lit(0))
     c0 = _at(row0, 0)
@@ -308,25 +308,30 @@ def handler() -> Column:
     is_product = _any_cell(row0, lambda c: T.cell(c).isin("Product", "Product Name"))
     quantity = F.arrays_overlap(F.split(F.lower(F.array_join(F.transform(row0, lambda c: F.coalesce(c, F.lit(""))), " ")), r"\s+"), F.array(*[F.lit(k) for k in ("strength", "retail", "home", "delivery", "maximum", "quantity", "limit", "limits", "days", "supply", "dosage")]))
     null_first = F.exists(F.slice(cells, 1, 3), lambda r: F.get(r, F.lit(0)).isNull())
-    return (
-        F.when(c0 == "Type of Revision", "revision")
-        .when(lower.contains("fda") & lower.contains("dosing") & null_first, "fda_dosing")
-        .when(is_product & quantity, "dql")
-        .when((F.coalesce(F.col("tiny_cols"), F.lit(0)) >= 4) & ~_any_cell(row0, lambda c: T.cell(c) == "Product"), "availability")
-        .when(~is_product & _any_cell(row0, lambda c: T.cell(c) == "Criteria"), "criteria")
-        .when(T.contains_any(raw0, ["HCPCS", "CPT"]) | T.contains_any(raw1, ["HCPCS", "CPT"]) | raw0.contains("ICD-10"), "hcpcs")
-        .when((c0 == "Date") & raw1.contains("EUA"), "eua")
-        .when(flat0.contains("Drug") & flat0.contains("Prescribing"), "fda_rx")
-        .when(_any_cell(row0, lambda c: F.coalesce(c, F.lit("")).contains("Summary of Changes")), "rev_flex")
-        .when(flat0.contains("Exception Criteria") | (flat0.contains("Non-Preferred") & flat0.contains("Criteria")) | flat0.contains("Criteria for Use"), "nonpref")
-        .when(T.contains_any(flat0, ["Non-Covered Brand", "Bioequivalent"]), "drug_equiv")
-        .when(flat0.contains("Medication") & flat3.contains("Mode of Administration"), "medication_moa")
-        .when(flat0.contains("Condition") & flat3.contains("Criteria for Use"), "condition_criteria")
-        .when(T.contains_any(flat0, V.KNOWN_KW), "known_kw")
-        .when(titled(F.col("title"), V.TITLED_GENERIC_KW), "titled_generic")
-        .when(T.flat(cells, 3).contains("Mechanism of Action") & (c0 == ""), "moa")
-        .otherwise("catch_all")
-    )
+    fits = {
+        "revision": c0 == "Type of Revision",
+        "fda_dosing": lower.contains("fda") & lower.contains("dosing") & null_first,
+        "dql": is_product & quantity,
+        "availability": (F.coalesce(F.col("tiny_cols"), F.lit(0)) >= 4) & ~_any_cell(row0, lambda c: T.cell(c) == "Product"),
+        "criteria": ~is_product & _any_cell(row0, lambda c: T.cell(c) == "Criteria"),
+        "hcpcs": T.contains_any(raw0, ["HCPCS", "CPT"]) | T.contains_any(raw1, ["HCPCS", "CPT"]) | raw0.contains("ICD-10"),
+        "eua": (c0 == "Date") & raw1.contains("EUA"),
+        "fda_rx": flat0.contains("Drug") & flat0.contains("Prescribing"),
+        "rev_flex": _any_cell(row0, lambda c: F.coalesce(c, F.lit("")).contains("Summary of Changes")) & (c0 != "Type of Revision"),
+        "nonpref": flat0.contains("Exception Criteria") | (flat0.contains("Non-Preferred") & flat0.contains("Criteria")) | flat0.contains("Criteria for Use"),
+        "drug_equiv": T.contains_any(flat0, ["Non-Covered Brand", "Bioequivalent"]),
+        "medication_moa": flat0.contains("Medication") & flat3.contains("Mode of Administration"),
+        "condition_criteria": flat0.contains("Condition") & flat3.contains("Criteria for Use"),
+        "known_kw": T.contains_any(flat0, V.KNOWN_KW),
+        "titled_generic": titled(F.col("title"), V.TITLED_GENERIC_KW),
+        "moa": T.flat(cells, 3).contains("Mechanism of Action") & (c0 == ""),
+    }
+    found = None
+    for name, test in fits.items():
+        if but is not None:
+            test = test & (but != name)
+        found = F.when(test, name) if found is None else found.when(test, name)
+    return found.otherwise("catch_all")
 
 
 def buildable(tables: DataFrame) -> DataFrame:

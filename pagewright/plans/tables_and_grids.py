@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions import vocabulary as V
+from pagewright.operators import build as H
 from pagewright.operators import corpus as C
 from pagewright.operators import grids as G
 from pagewright.operators import qa as Q
@@ -282,9 +283,13 @@ def rowspan(spark, d):
     return G.rowspans(G.grid_rows(_tables(spark, d))).select(*KEYS, "r", "rowspan")
 
 
-@query(f"WITH {grids.GRIDS_SQL} SELECT doc_id, page, table_idx, {_CELL.format('cells[3][1]')} AS product, {_CELL.format('cells[3][2]')} AS strength, {_CELL.format('cells[4][2]')} AS retail, {_CELL.format('cells[4][2]')} AS delivery FROM tables")
+def _picks(*cells: str) -> str:
+    return "array_to_string([x for x in [" + ", ".join(_CELL.format(c) for c in cells) + "] if x <> ''], '|')"
+
+
+@query(f"WITH {grids.GRIDS_SQL} SELECT doc_id, page, table_idx, {_CELL.format('cells[3][1]')} AS product, {_picks('cells[3][2]', 'cells[4][2]', 'cells[5][2]')} AS strengths, {_picks('cells[3][3]', 'cells[3][3]', 'cells[5][3]')} AS quantities FROM tables")
 def dql_layout(spark, d):
-    return G.dql_layout(_tables(spark, d))
+    return G.dql_layout(_tables(spark, d)).select(*KEYS, "product", F.array_join("strengths", "|").alias("strengths"), F.array_join("quantities", "|").alias("quantities"))
 
 
 @query(f"WITH {_GROWS}, k AS (SELECT doc_id, page, table_idx, r, {_CELL.format('row[1]')} AS c0, {_CELL.format('row[2]')} AS c1, {_CELL.format('row[3]')} AS c2 FROM grows WHERE r > 0) SELECT doc_id, page, table_idx, r, coalesce(last_value(nullif(c0, '') IGNORE NULLS) OVER (PARTITION BY doc_id, page, table_idx ORDER BY r), '') AS c0, c1, c2 FROM k WHERE c0 <> '' OR c1 <> '' OR c2 <> ''")
