@@ -6,26 +6,33 @@ of one length share a table: the shift of a block of words is its least distance
 window, so positions that end no window are skipped; a block with shift 0 leads to the bucket of the
 windows that end with it, and direct comparison confirms each.
 
-Items are held in shards of at most SHARD_BYTES of text; beyond one shard the documents pass by one
-after the other, still without a shuffle. A null text has no words and is clean; empty and repeated
+Items of SHARD_BYTES of text together are broadcast. More are dealt to shards by hash, broadcast one by one: documents stream past
+every shard once, each task builds a shard's tables once, and what the shards find meets by document. A null text has no
+words and is clean; empty and repeated
 items change nothing; an item with a null id marks words but isn't counted; an empty benchmark leaves
 every document clean. Repeated documents are judged one by one.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from ._common import annotate, fresh, lower_alnum_words
+from ._common import annotate, flush, fresh, lower_alnum_words, rows, tidy, written
+from ._repeats import merge
 
 WINDOW = 13
-#: Bytes of item texts whose tables a task holds at once.
-SHARD_BYTES = 32 << 20
+#: Bytes of item texts whose tables a task holds at once, some 75 times as large.
+SHARD_BYTES = 2 << 20
 
 
 class WuManber:
@@ -33,25 +40,28 @@ class WuManber:
 
     def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.codes: dict[bytes, int] = {}
-        patterns: dict[tuple[int, ...], set[str]] = {}
+        by_length: dict[int, dict[tuple[int, ...], frozenset]] = {}
+        none: frozenset = frozenset()
         for item, words in items:
             coded = [self.codes.setdefault(w, len(self.codes) + 1) for w in words]
+            mine = none if item is None else frozenset([item])
+            own = by_length.setdefault(min(window, len(coded)), {})
             for at in range(max(1, len(coded) - window + 1) if coded else 0):
-                owners = patterns.setdefault(tuple(coded[at : at + window]), set())
-                if item is not None:
-                    owners.add(item)
+                p = tuple(coded[at : at + window])
+                before = own.get(p, none)
+                own[p] = mine if not before else before if mine <= before else before | mine
         self.base = len(self.codes) + 1
         self.tables = []
-        for length in sorted({len(p) for p in patterns}):
-            own = {p: o for p, o in patterns.items() if len(p) == length}
+        for length, own in sorted(by_length.items()):
+            if not own:
+                continue
             block = 3 if length >= 6 else min(2, length)
             shift: dict[int, int] = {}
-            buckets: dict[int, dict[int, list]] = {}
+            for end in range(block, length + 1):  # nearer ends of a window overwrite
+                shift.update(dict.fromkeys((self._key(p[end - block : end]) for p in own), length - end))
+            buckets: dict[int, list] = {}
             for p, owners in own.items():
-                for end in range(block, length + 1):
-                    key = self._key(p[end - block : end])
-                    shift[key] = min(shift.get(key, length), length - end)
-                buckets.setdefault(self._key(p[-block:]), {}).setdefault(p[0], []).append((list(p), owners))
+                buckets.setdefault(self._key(p[-block:]), []).append((p, owners))
             self.tables.append((length, block, shift, buckets))
 
     def _key(self, words) -> int:
@@ -60,7 +70,7 @@ class WuManber:
             key = key * self.base + w
         return key
 
-    def find(self, words: list[bytes]) -> list[tuple[int, int, set[str]]]:
+    def find(self, words: list[bytes]) -> list[tuple[int, int, frozenset]]:
         """(first word, past the last word, items) of each place."""
         coded = list(map(self.codes.get, words, repeat(0)))
         found, n, base = [], len(coded), self.base
@@ -78,18 +88,39 @@ class WuManber:
                     i += step
                     continue
                 start = i - length
-                for pattern, owners in buckets[key].get(coded[start], ()):
-                    if coded[start:i] == pattern:
-                        found.append((start, i, owners))
+                first, here = coded[start], None
+                for pattern, owners in buckets[key]:
+                    if pattern[0] == first:
+                        here = here or tuple(coded[start:i])
+                        if here == pattern:
+                            found.append((start, i, owners))
+                            break  # patterns differ from one another
                 i += 1
         return found
 
 
-def _shards(benchmark: DataFrame) -> list[list[tuple[str | None, bytes]]]:
-    items = benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").cast("binary").alias("t")).where("t is not null").distinct()
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    n = max(1, -(-2 * total // SHARD_BYTES) if total > SHARD_BYTES else 1)
-    return [items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k) for k in range(n)]
+_FIELDS = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<long>"
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string").alias("i"), F.col("text").cast("string").cast("binary").alias("t")).where("t is not null").distinct()
+
+
+def _tables(items: list[tuple[str | None, bytes]], window: int) -> WuManber:
+    return WuManber([(i, lower_alnum_words(t)) for i, t in items], window)
+
+
+def _judged(n_words: int, edges: list[tuple[int, int]], items: set[str], share: int) -> tuple:
+    """The fields of a document, from the places and owners of windows in it."""
+    steps = np.zeros(n_words + 1, np.int64)
+    for start, end in edges:
+        steps[start] += 1
+        steps[end] -= 1
+    hit = np.cumsum(steps) > 0
+    n_hit = int(hit.sum())
+    bounds = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).tolist() if n_hit else []
+    sha = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    return (n_words, n_hit, len(items), sha, n_hit > 0 and share * n_hit >= n_words, bounds)
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = WINDOW, share: int = 20, name: str = "_pw") -> DataFrame:
@@ -98,40 +129,78 @@ def flag(docs: DataFrame, benchmark: DataFrame, keep: list[str], window: int = W
     A document is contaminated if at least one word in ``share`` is hit.
     """
     spark = docs.sparkSession
-    shards = [spark.sparkContext.broadcast([(r.i, bytes(r.t)) for r in s.collect()]) for s in _shards(benchmark)]
+    items = _items(benchmark)
+    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    if total > SHARD_BYTES:
+        return _flag_by_shards(docs, items, -(-2 * total // SHARD_BYTES), keep, window, share, name)
+    shard = spark.sparkContext.broadcast([(r.i, bytes(r.t)) for r in items.collect()])  # SHARD_BYTES at most
 
     def make():
-        tables = [None]
-
-        def search(held, texts):
-            if len(shards) > 1 or tables[0] is None:
-                tables[0] = WuManber([(i, lower_alnum_words(t)) for i, t in held.value], window)
-            return [tables[0].find(t) for t in texts]
+        tables = _tables(shard.value, window)
 
         def work(texts: list[bytes | None]) -> list[tuple]:
-            split = [lower_alnum_words(t or b"") for t in texts]
-            found: list[list] = [[] for _ in split]
-            for held in shards:
-                for mine, more in zip(found, search(held, split)):
-                    mine += more
             out = []
-            for words, places in zip(split, found):
-                edges = np.zeros(len(words) + 1, np.int64)
-                items: set[str] = set()
-                for start, end, owners in places:
-                    edges[start] += 1
-                    edges[end] -= 1
-                    items |= owners
-                hit = np.cumsum(edges) > 0
-                n_hit = int(hit.sum())
-                bounds = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).tolist() if n_hit else []
-                sha = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-                out.append((len(words), n_hit, len(items), sha, n_hit > 0 and share * n_hit >= len(words), bounds))
+            for text in texts:
+                words = lower_alnum_words(text or b"")
+                found = tables.find(words)
+                out.append(_judged(len(words), [f[:2] for f in found], set().union(*(f[2] for f in found)), share))
             return out
 
         return work
 
-    return annotate(docs, keep, "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<long>", make, name)
+    return annotate(docs, keep, _FIELDS, make, name)
+
+
+def _flag_by_shards(docs: DataFrame, items: DataFrame, shards: int, keep: list[str], window: int, share: int, name: str) -> DataFrame:
+    """``flag`` with the items dealt to so many shards, each about half of SHARD_BYTES."""
+    spark = docs.sparkSession
+    keep = [c for c in keep if c != name]
+    taken = [*docs.columns, name, "text"]
+    rid, found = fresh(taken, "_rid"), fresh(taken, "_found")
+    text = fresh(taken, "_words_of")
+    # a row's number is fixed once it is written
+    held = written(docs.select(*[f"`{c}`" for c in keep], F.col("text").cast("string").cast("binary").alias(text)).withColumn(rid, F.monotonically_increasing_id()), "contamination")
+    kind = "rid long, edges array<long>, items array<string>"
+
+    def search(k: int):
+        shard = spark.sparkContext.broadcast([(r.i, bytes(r.t)) for r in items.where(F.pmod(F.xxhash64("i", "t"), F.lit(shards)) == k).collect()])
+
+        @tidy
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tables = _tables(shard.value, window)
+            schema = pa.schema([("rid", pa.int64()), ("edges", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+            out: list[list] = [[] for _ in schema]
+            for row, words in rows(batches):
+                places = tables.find(lower_alnum_words(words or b""))
+                if places:
+                    start, end = merge(np.array([p[0] for p in places]), np.array([p[1] for p in places]))
+                    for column, x in zip(out, (row, np.stack([start, end], 1).reshape(-1).tolist(), sorted(set().union(*(p[2] for p in places))))):
+                        column.append(x)
+                if len(out[0]) >= 1024:
+                    yield flush(out, schema)
+            yield flush(out, schema)
+
+        return held.select(rid, text).mapInArrow(run, kind)
+
+    hits = functools.reduce(DataFrame.unionAll, [search(k) for k in range(shards)])  # rows of documents with a window alone
+    by_row = hits.groupBy("rid").agg(F.flatten(F.collect_list("edges")).alias("edges"), F.flatten(F.collect_list("items")).alias("items"))
+    joined = held.join(by_row.select(F.col("rid").alias(rid), F.struct("edges", "items").alias(found)), rid, "left")
+
+    @tidy
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                out = []
+                for words, places in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    edges = np.array(places["edges"] if places else [], np.int64).reshape(-1, 2)
+                    out.append(_judged(len(lower_alnum_words(words or b"")), edges.tolist(), set(places["items"] if places else ()), share))
+                kinds = [to_arrow_type(f.dataType) for f in schema_of]
+                structs = pa.StructArray.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], schema_of.names)
+                yield pa.RecordBatch.from_arrays([*part.columns[2:], structs], names=[*keep, name])
+
+    schema_of = _parse_datatype_string(_FIELDS)
+    return joined.select(text, found, *[f"`{c}`" for c in keep]).mapInArrow(finish, StructType([*held.select(*[f"`{c}`" for c in keep]).schema, StructField(name, schema_of)]))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
