@@ -3,10 +3,11 @@
 Vectors are compared if their labels are equal, in double precision. Equal vectors
 of a label are one node with a count. The nodes are scaled to length 1 and turned to their principal
 axes, the strongest first, by a rotation that the sums of products over all vectors give; a rotation changes
-no product. A label's nodes are cut into tiles along the first axis. A pair of tiles accumulates the
+no product, so vectors of a size that few have (under one in SIZES) or that is above MOST_AXES go as they are. A label's nodes are cut into tiles
+along the first axis. A pair of tiles accumulates the
 products of the leading axes and bounds the rest by the product of the suffix norms; a pair of vectors
-stops as soon as its cosine cannot reach the threshold, a pair of tiles without pairs left stops, and
-tiles too far apart on the first axis are never met. What is left is judged by the cosine of the
+stops as soon as its cosine cannot reach the threshold, a pair of tiles without pairs left stops, and tiles meet by bins of the first axis, so that
+those too far apart never do. What is left is judged by the cosine of the
 original vectors.
 
 A tile pair sends the number of links of each node and a spanning forest of the links, never the pairs
@@ -24,13 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, merged, partitions, rows, written
+from ._common import NULL_ID, merged, partitions, rows, skewed_join, tidy, written
 from ._components import Forest, connected_components
 
 THRESHOLD = 0.93
 #: Vectors of a tile, and axes accumulated at a step.
 TILE = 1024
 STEP = 8
+#: Sizes of vectors that are turned: those of one vector in SIZES at least, up to MOST_AXES components.
+SIZES = 16
+MOST_AXES = 2048
+#: Vectors with one in so many rows as copies are joined by broadcast: there are that many at most.
+HOT_SHARE = 1000
 #: Allowance for rounding where a bound rules a pair out; pairs kept are judged exactly.
 SLACK = 1e-9
 
@@ -61,48 +67,58 @@ def tile_pairs(a: np.ndarray, b: np.ndarray, same: bool, threshold: float, step:
     return i, j
 
 
-def principal_axes(unit: DataFrame, size: int) -> np.ndarray:
-    """Columns are the axes, the strongest first, of the unit vectors (column ``unit``: binary doubles) of ``size`` components."""
+def principal_axes(nodes: DataFrame, sizes: list[int]) -> dict[int, np.ndarray]:
+    """For each of some sizes the axes (columns), the strongest first, of the unit vectors of ``nodes`` (size, raw). One job for all."""
+    if not sizes:
+        return {}
 
+    @tidy
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((size, size))
+        total = {n: np.zeros((n, n)) for n in sizes}
         for b in batches:
-            x = np.frombuffer(b"".join(b.column(0).to_pylist()), "<f8").reshape(-1, size)
-            total += x.T @ x
-        yield pa.RecordBatch.from_pydict({"row": pa.array(range(size), pa.int32()), "sums": [r.astype("<f8").tobytes() for r in total]})
+            for n, at, raw in _by_size(b):
+                if n in total:
+                    x = _unit(raw)
+                    total[n] += x.T @ x
+        for n, sums in total.items():
+            yield pa.RecordBatch.from_pydict({"size": pa.array([n] * n, pa.int32()), "row": pa.array(range(n), pa.int32()), "sums": [r.astype("<f8").tobytes() for r in sums]})
 
     def added(t: pa.Table) -> pa.Table:
         sums = np.sum([np.frombuffer(x, "<f8") for x in t.column("sums").to_pylist()], axis=0)
-        return pa.table({"row": t.column("row")[:1], "sums": pa.array([sums.tobytes()], pa.binary())})
+        return pa.table({"size": t.column("size")[:1], "row": t.column("row")[:1], "sums": pa.array([sums.tobytes()], pa.binary())})
 
-    # a row of the matrix from each task, and size rows to the driver
-    partial = unit.select("unit").mapInArrow(products, "row int, sums binary")
-    matrix = np.zeros((size, size))
-    for r in partial.groupBy("row").applyInArrow(added, "row int, sums binary").collect():
-        matrix[r["row"]] = np.frombuffer(r["sums"], "<f8")
-    _, axes = np.linalg.eigh((matrix + matrix.T) / 2)
-    return axes[:, ::-1]
+    # a row of a matrix from each task; the driver gets at most SIZES matrices
+    kind = "size int, row int, sums binary"
+    matrices = {n: np.zeros((n, n)) for n in sizes}
+    for r in nodes.select("size", "raw").mapInArrow(products, kind).groupBy("size", "row").applyInArrow(added, kind).collect():
+        matrices[r["size"]][r["row"]] = np.frombuffer(r["sums"], "<f8")
+    return {n: np.linalg.eigh((m + m.T) / 2)[1][:, ::-1] for n, m in matrices.items()}
 
 
+def _by_size(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The batch's vectors (columns size, raw) by size: size, rows, matrix."""
+    raw, size = b.column("raw").to_pylist(), b.column("size").to_numpy()
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        yield int(n), at, np.frombuffer(b"".join(raw[i] for i in at), "<f8").reshape(-1, n)
+
+
+@tidy
 def _usable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, label and the raw vector as doubles, null where it links with nothing: a row per row."""
-    for key, label, vector in rows(batches):
-        raw = None
-        if label is not None and vector and not any(x is None for x in vector):
-            v = np.array(vector, "<f8")
-            raw = v.tobytes() if np.isfinite(v).all() and v.any() else None
-        yield pa.RecordBatch.from_pydict({"key": pa.array([key], pa.int64()), "label": pa.array([label], pa.string()), "raw": pa.array([raw], pa.binary())})
-
-
-def _batched(it: Iterator[pa.RecordBatch], n: int = 1024) -> Iterator[pa.RecordBatch]:
-    held: list[pa.RecordBatch] = []
-    for b in it:
-        held.append(b)
-        if len(held) >= n:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    """key, label and the raw vector as doubles, null where it links with nothing: a row per row, in whole arrays."""
+    for batch in batches:
+        key, label, vector = batch.columns
+        starts, flat = vector.offsets.to_numpy(), vector.values
+        gaps = flat.is_null().to_numpy(zero_copy_only=False) if flat.null_count else None
+        values = flat.fill_null(0.0).to_numpy(zero_copy_only=False) if flat.null_count else flat.to_numpy()
+        bad = ~np.isfinite(values)
+        if gaps is not None:
+            bad |= gaps
+        count = lambda mask: (sums := np.concatenate([[0], np.cumsum(mask)]))[starts[1:]] - sums[starts[:-1]]
+        ok = (count(bad) == 0) & (count(values != 0) > 0)
+        ok &= ~vector.is_null().to_numpy(zero_copy_only=False) & ~label.is_null().to_numpy(zero_copy_only=False)
+        raw = [values[a:b].astype("<f8").tobytes() if good else None for a, b, good in zip(starts[:-1].tolist(), starts[1:].tolist(), ok.tolist())]
+        yield pa.RecordBatch.from_arrays([key, label, pa.array(raw, pa.binary())], names=["key", "label", "raw"])
 
 
 def _unit(raw: np.ndarray) -> np.ndarray:
@@ -117,49 +133,41 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
     """
     ids = F.coalesce(F.col("vec_id").cast("long"), F.lit(NULL_ID))
     every = embeddings.select(ids.alias("key"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
-    judged = every.mapInArrow(lambda b: _batched(_usable(b)), "key long, label string, raw binary")
+    judged = every.mapInArrow(_usable, "key long, label string, raw binary")
     judged = written(judged.withColumn("size", F.octet_length("raw") / F.lit(8)).withColumn("size", F.col("size").cast("int")), "vectors")
     usable = judged.where("raw is not null")
     nodes = usable.groupBy("label", "size", "raw").agg(F.count("*").alias("copies"), F.min("key").alias("least"))
     nodes = written(merged(nodes).withColumn("node", F.monotonically_increasing_id()), "vector-nodes")  # fixed once written
-    sizes = [r["size"] for r in nodes.select("size").distinct().limit(10_001).collect()]
-    if len(sizes) > 10_000:
-        raise ValueError("vectors of more than 10,000 different sizes")
-
-    def directions(axes: dict[int, np.ndarray]):
-        def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                raw, size = b.column("raw").to_pylist(), b.column("size").to_numpy()
-                out: list[bytes] = [b""] * len(raw)
-                first = np.zeros(len(raw))
-                for n in np.unique(size):
-                    at = np.flatnonzero(size == n)
-                    unit = _unit(np.frombuffer(b"".join(raw[i] for i in at), "<f8").reshape(-1, n))
-                    turned = unit @ axes[n] if n in axes else unit
-                    first[at] = turned[:, 0]
-                    for i, row in zip(at, turned):
-                        out[i] = row.tobytes()
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary()), pa.array(first)], names=[*b.schema.names, "unit", "first"])
-
-        return turn
-
-    kinds = "label string, size int, raw binary, copies long, node long, unit binary, first double"
     bare = nodes.select("label", "size", "raw", "copies", "node")
-    plain = bare.mapInArrow(directions({}), kinds)
-    axes = {n: principal_axes(plain.where(F.col("size") == n), n) for n in sizes}
+    by_size = nodes.groupBy("size").agg(F.count("*").alias("n"), F.sum("copies").alias("rows"))
+    totals = by_size.agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).first()
+    common = by_size.where((F.col("n") * SIZES >= (totals["n"] or 0)) & (F.col("size") <= MOST_AXES)).collect()  # SIZES rows at most
+    axes = principal_axes(bare, sorted(r["size"] for r in common))
+
+    @tidy
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            first = np.zeros(b.num_rows)
+            for n, at, raw in _by_size(b):
+                first[at] = _unit(raw) @ axes[n][:, 0] if n in axes else _unit(raw)[:, 0]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(first)], names=[*b.schema.names, "first"])
+
     # tiles along the first axis: a range partition of (label, size, first), cut into at most ``tile`` rows
     turned = (
-        bare.mapInArrow(directions(axes), kinds)
-        .drop("unit")
+        bare.mapInArrow(turn, "label string, size int, raw binary, copies long, node long, first double")
         .repartitionByRange(partitions(embeddings.sparkSession), "label", "size", "first", "node")
         .sortWithinPartitions("label", "size", "first", "node")
         .withColumn("place", F.monotonically_increasing_id())  # its first row's place names a tile
     )
     tiles = written(turned.mapInArrow(lambda b: _tiles(b, tile), "label string, size int, tile long, low double, high double, narrow boolean, data binary"), "vector-tiles")
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-9  # unit vectors with this cosine are no farther apart, on any axis
-    left = tiles.select("label", "size", F.col("tile").alias("s"), "low", "high")
-    right = tiles.select("label", "size", F.col("tile").alias("t"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    met = left.join(right, ["label", "size"]).where((F.col("s") <= F.col("t")) & (F.col("low2") <= F.col("high") + reach) & (F.col("low") <= F.col("high2") + reach))
+    wide = max(reach, 1e-3)  # of a bin
+    place = lambda c: F.floor(c / F.lit(wide)).cast("int")
+    # a tile lies in the bins it covers and looks into those within reach; a pair meets in the first bin that both have
+    left = tiles.select("label", "size", F.col("tile").alias("s"), "low", "high", place(F.col("low") - reach).alias("from1"), F.explode(F.sequence(place(F.col("low") - reach), place(F.col("high") + reach))).alias("bin"))
+    right = tiles.select("label", "size", F.col("tile").alias("t"), F.col("low").alias("low2"), F.col("high").alias("high2"), place(F.col("low")).alias("from2"), F.explode(F.sequence(place(F.col("low")), place(F.col("high")))).alias("bin"))
+    near = (F.col("s") <= F.col("t")) & (F.col("low2") <= F.col("high") + reach) & (F.col("low") <= F.col("high2") + reach)
+    met = left.join(right, ["label", "size", "bin"]).where(near & (F.col("bin") == F.greatest("from1", "from2")))
     bodies = tiles.select("tile", "narrow", "data")  # the vectors alone: a task turns them again, which costs less than to send them twice
     pairs = (
         met.select("s", "t", "size")
@@ -175,13 +183,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, tile: i
     known = (
         nodes.join(counts, "node", "left")
         .join(roots.join(named, "root"), "node", "left")
-        .select("label", "raw", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("first_key", "least").alias("component"))
+        .select("label", "raw", "copies", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("first_key", "least").alias("component"))
     )
-    linked = usable.join(known, ["label", "raw"]).select("key", "n_links", "component")
+    linked = skewed_join(usable.select("key", "label", "raw"), written(known, "vector-known"), ["label", "raw"], F.col("copies") * HOT_SHARE >= (totals["rows"] or 0)).select("key", "n_links", "component")
     alone = judged.where("raw is null").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component"))
     return merged(linked).union(merged(alone))
 
 
+@tidy
 def _tiles(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows of one label and size, in order, as tiles: ids, copies and raw vectors in one blob, in single precision where that loses nothing."""
     held: list[tuple] = []
@@ -207,6 +216,7 @@ def _tiles(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBa
         yield out()
 
 
+@tidy
 def _compared(batches: Iterator[pa.RecordBatch], threshold: float, axes: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     """For each tile pair: (node, null, copies linked) of nodes with links, and (node, other, 0) of a spanning forest."""
 
@@ -215,7 +225,7 @@ def _compared(batches: Iterator[pa.RecordBatch], threshold: float, axes: dict[in
         n = len(data) // (16 + kind.itemsize * size)
         ids, copies = np.frombuffer(data, "<i8", n), np.frombuffer(data, "<i8", n, 8 * n)
         raw = np.frombuffer(data, kind, n * size, 16 * n).reshape(n, size).astype("<f8")
-        return ids, copies, raw, _unit(raw) @ axes[size]
+        return ids, copies, raw, _unit(raw) @ axes[size] if size in axes else _unit(raw)
 
     for s, t, size, narrow_a, a, narrow_b, b in (r for batch in batches for i in range(batch.num_rows) for r in rows([batch.slice(i, 1)])):
         ids, copies, raw, unit = parts(a, size, narrow_a)
