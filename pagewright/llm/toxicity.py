@@ -2,15 +2,16 @@
 
 Examples are at most SAMPLE labelled documents of the learning folds (those with the smallest hashes of
 doc_id; the bound is a parameter). Terms are words (``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z in lower case)
-and the first PREFIX bytes of longer ones; those that go with toxic examples (chi-squared of MIN_CHI2
-or more, LIFT times as often toxic as all, at least MIN_DOCS examples) are kept, TERMS at most. That gate is a test of
-significance and passes fewer terms where examples are few; documents without such a term are searched among the
-same examples by the TERMS terms of greatest chi-squared, whatever it is. A document's weights are (1 + ln tf) * idf, scaled to
+and the first PREFIX bytes of longer ones. The leaning terms are those of whose examples more than half are toxic, and which chance
+can't explain: the binomial test of their toxic share against that of all examples passes at LEVEL over all terms tested (Bonferroni),
+whatever the number of examples. Documents without such a term are searched among the
+same examples by the wide vocabulary: terms of MIN_DOCS examples or more whose chi-squared with the label passes WIDE (one in a hundred
+by chance). A document's weights are (1 + ln tf) * idf, scaled to
 length 1, with document frequencies counted over the whole corpus.
 
 The index holds, for every term, postings in blocks of BLOCK examples and the block's greatest weight. A
-query sums the greatest weights of its terms to a bound for each block, visits blocks by falling bound,
-and stops when no bound can pass the K-th best cosine: the neighbours are the exact K nearest.
+query sums the greatest weights of its terms to a bound for each block, visits the FIRST_BLOCKS blocks of greatest bound, and then
+those whose bound can pass the K-th best cosine: the neighbours are the exact K nearest.
 
 Each neighbour votes with weight 1 / (DISTANCE + 1 - cosine). The share of toxic votes is turned into a
 probability by isotonic regression on the examples, each judged by the others (for the second search, on examples
@@ -34,14 +35,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import annotate, fresh, lower_alnum_words, text_bytes
+from ._common import annotate, fresh, lower_alnum_words, text_bytes, tidy, written
 
-SAMPLE = 8192
+SAMPLE = 4096
 PREFIX = 5
-MIN_CHI2 = 40.0
-LIFT = 2.0
+#: Chance that any term leans by accident, over all terms tested.
+LEVEL = 0.05
+#: Chi-squared of the wide vocabulary (one degree of freedom, one in a hundred), and the fewest examples for which it holds.
+WIDE = 6.635
 MIN_DOCS = 5
-TERMS = 4096
 BLOCK = 64
 #: Blocks of a query's first visit.
 FIRST_BLOCKS = 8
@@ -61,11 +63,11 @@ def terms(words: list[bytes]) -> Iterator[bytes]:
     return chain(words, [b"^" + w[:PREFIX] for w in words if len(w) > PREFIX])
 
 
-def chi_squared(both: np.ndarray, term: np.ndarray, toxic: int, n: int) -> np.ndarray:
-    """Of presence and label, from the number of examples with both, with the term, toxic, and in all."""
-    other = term - both
-    rest = np.maximum(term * (n - term) * toxic * (n - toxic), 1.0)
-    return n * (both * (n - toxic - other) - other * (toxic - both)) ** 2 / rest
+def log_tail(both: int, n: int, rate: float) -> float:
+    """Logarithm of the chance that ``both`` or more of ``n`` draws hit at ``rate``."""
+    ln = [math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1) + x * math.log(rate) + (n - x) * math.log1p(-rate) for x in range(both, n + 1)]
+    most = max(ln)
+    return most + math.log(sum(math.exp(v - most) for v in ln))
 
 
 class BlockMaxIndex:
@@ -98,10 +100,7 @@ class BlockMaxIndex:
         return found, scores[found]
 
     def nearest(self, query: dict[int, float], k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The k (cosine, example) of greatest cosine above zero, ties by example; ``but`` is left out.
-
-        Blocks are visited by falling bound, each time twice as many as before, until no bound left can pass the k-th best.
-        """
+        """The k (cosine, example) of greatest cosine above zero, ties by example; ``but`` is left out."""
         if not query or not self.n:
             return []
         terms_, weights = np.fromiter(query.keys(), np.int64, len(query)), np.fromiter(query.values(), float, len(query))
@@ -109,19 +108,16 @@ class BlockMaxIndex:
         order = np.argsort(-bounds, kind="stable")
         order = order[: np.count_nonzero(bounds)]
         docs, scores = np.zeros(0, np.int64), np.zeros(0)
-        at, many = 0, FIRST_BLOCKS
-        while at < len(order):
-            some = order[at : at + many]
+        for some in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
             if len(scores) == k:
                 some = some[bounds[some] * (1 + 1e-12) >= scores[-1]]
-                if not len(some):
-                    break
+            if not len(some):
+                break
             more, cosines = self._scores(terms_, weights, some)
             keep = more != but
             docs, scores = np.concatenate([docs, more[keep]]), np.concatenate([scores, cosines[keep]])
             best = np.lexsort((docs, -scores))[:k]
             docs, scores = docs[best], scores[best]
-            at, many = at + many, 2 * many
         return list(zip(scores.tolist(), docs.tolist()))
 
 
@@ -141,7 +137,7 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Vocabulary, index and calibration; as large as SAMPLE and TERMS allow. Terms of examples outside the vocabulary don't count.
+    """Vocabulary, index and calibration; as large as SAMPLE documents make them. Terms of examples outside the vocabulary don't count.
 
     ``wide`` is the vocabulary for documents without a term; ``judged``: the examples (by place) that calibrate, all if None.
     """
@@ -211,8 +207,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
     chosen = F.broadcast(taught.withColumnRenamed("doc_id", "_id"))  # ``sample`` rows at most
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text_bytes().alias("_text")).join(chosen, "_id")
+    # their texts, a row for each that differs: a table of their own, read three times
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), text_bytes().alias("_text")).join(chosen, "_id").withColumn("_th", F.xxhash64("_text"))
+    rows = written(rows.groupBy("_id", "_th", "_toxic").agg(F.first("_text").alias("_text")), "examples")
+    first = rows.select("_id", "_th").orderBy(F.xxhash64("_id"), "_id", "_th").limit(sample)
+    rows = rows.join(F.broadcast(first), ["_id", "_th"])  # also where ids repeat with other texts
 
+    @tidy
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -227,19 +228,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 yield pa.RecordBatch.from_pydict({"term": pa.array(list(n), pa.binary()), "n": list(n.values()), "both": [both[t] for t in n]})
 
     counts = rows.select("_text", "_toxic").mapInArrow(present, "term binary, n long, both long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("both").alias("both"))
-    counts = counts.where(F.col("n") >= MIN_DOCS).persist()
-    try:
-        total = counts.where(F.col("term") == b"").first() or {"n": 0, "both": 0}
-        n, toxic = total["n"], total["both"]
-        score = F.lit(float(n)) * F.pow(F.col("both") * float(n - toxic) - (F.col("n") - F.col("both")) * float(toxic), 2) / F.greatest(F.col("n") * (float(n) - F.col("n")) * float(toxic) * float(n - toxic), F.lit(1.0))
-        scored = counts.where(F.col("term") != b"").withColumn("chi2", score)
-        top = scored.where((F.col("chi2") >= MIN_CHI2) & (F.col("both") * float(n) >= LIFT * toxic * F.col("n"))).orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
-        ranked = scored.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()
-    finally:
-        counts.unpersist()
-    vocabulary, wide = [bytes(r["term"]) for r in top], [bytes(r["term"]) for r in ranked]
+    counts = written(counts, "terms")
+    total = counts.where(F.col("term") == b"").first() or {"n": 0, "both": 0}
+    n, toxic, tested = total["n"], total["both"], counts.count() - 1
+    vocabulary: list[bytes] = []
+    if 0 < toxic < n:
+        least = math.log(LEVEL / max(1, tested))
+        leaning = counts.where((F.col("term") != b"") & (F.col("both") * 2 > F.col("n")) & (F.col("both") * math.log(toxic / n) <= least))  # what all hits could reach
+        vocabulary = sorted(bytes(r["term"]) for r in leaning.collect() if log_tail(r["both"], r["n"], toxic / n) <= least)
+    score = F.lit(float(n)) * F.pow(F.col("both") * float(n - toxic) - (F.col("n") - F.col("both")) * float(toxic), 2) / F.greatest(F.col("n") * (float(n) - F.col("n")) * float(toxic) * float(n - toxic), F.lit(1.0))
+    wide = sorted(bytes(r["term"]) for r in counts.where((F.col("term") != b"") & (F.col("n") >= MIN_DOCS) & (score >= WIDE)).select("term").collect())
     wanted = frozenset(vocabulary + wide)
 
+    @tidy
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         words_, prefixes = frozenset(t for t in wanted if t[:1] != b"^"), {t[1:]: t for t in wanted if t[:1] == b"^"}
@@ -253,8 +254,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         yield pa.RecordBatch.from_pydict({"term": pa.array(list(held), pa.binary()), "n": pa.array(list(held.values()), pa.int64())})
 
     df = docs.select(text_bytes()).mapInArrow(frequencies, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = {bytes(r["term"]): r["n"] for r in df.collect()}  # 2 * TERMS + 1 rows at most
+    found = {bytes(r["term"]): r["n"] for r in df.collect()}  # a row a term of the examples
 
+    @tidy
     def example(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, toxics = batch.column(0).to_pylist(), batch.column(2).to_pylist()
@@ -265,7 +267,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     taught_rows = rows.select("_id", "_text", "_toxic").mapInArrow(example, "id long, toxic int, terms array<binary>, counts array<long>").collect()
     examples = sorted({(r["id"], tuple(zip(map(bytes, r["terms"]), r["counts"])), r["toxic"]) for r in taught_rows})
-    return Model(vocabulary, found, found.get(b"", 0), [(i, dict(t), y) for i, t, y in examples[: 2 * sample]], wide)
+    return Model(vocabulary, found, found.get(b"", 0), [(i, dict(t), y) for i, t, y in examples], wide)
 
 
 def flag(docs: DataFrame, labels: DataFrame, keep: list[str], name: str = "_pw") -> DataFrame:
