@@ -11,8 +11,10 @@ entries bytes of chunks, then (but for the last level) ceil(entries / 512) u32 r
 64 bytes of bitmap for each such block.
 
 ``write_token_files`` gives the documents' ids in ascending doc_id order (null first; equal ids by the
-text's CRC-32, then the text): the ids of bucket b come before those of bucket b + 1, segment s before s + 1.
-``read_token_files`` reads them back. A null text has the end id alone; an empty table gives no
+text's CRC-32, then the token ids): the ids of bucket b come before those of bucket b + 1, segment s before s + 1. Texts become ids where they
+are read; ids alone are shuffled, two bytes each where all of a document fit.
+``read_token_files`` reads them back; ``tokens_at`` gives single tokens of documents: the directory says which segment holds one, and of
+those segments each token takes a byte and a rank a level. A null text has the end id alone; an empty table gives no
 rows; repeated rows are documents of their own; other columns are ignored.
 """
 
@@ -26,15 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import doc_key, few_files, flush, from_key, partitions, rows, scratch, text_bytes
+from ._common import doc_key, few_files, flush, from_key, partitions, remove, rows, scratch, text_bytes, tidy, written
 from ._tokens import encoder, in_groups, vocabulary
 
 MAGIC = b"DAC1"
 BLOCK_BITS = 512
 #: A segment ends with the document that brings it to so many ids.
-SEGMENT_IDS = 1_000_000
+SEGMENT_IDS = 1 << 17
+#: Segments that are named to the reader of a table; more are joined.
+NAMED = 1000
 
-_SEGMENT = "bucket int, segment int, n_ids long, doc_ids binary, lengths binary, payload binary"
+#: ``before``: ids of the bucket that stand before the segment.
+_SEGMENT = "bucket int, segment int, before long, n_ids long, doc_ids binary, lengths binary, payload binary"
 
 
 def dac_encode(ids: np.ndarray) -> bytes:
@@ -106,30 +111,49 @@ class DacReader:
         return values
 
 
-def _segments(batches: Iterator[pa.RecordBatch], path: str, kind: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
+def _packed(ids: bytes) -> bytes:
+    """Little-endian ids in two bytes each after a zero byte, or as they are after a one."""
+    wide = np.frombuffer(ids, "<u4")
+    return b"\0" + wide.astype("<u2").tobytes() if wide.max(initial=0) < 1 << 16 else b"\1" + ids
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u2" if data[0] == 0 else "<u4", offset=1).astype("<u4")
 
-    schema = pa.schema([("bucket", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("payload", pa.binary())])
+
+@tidy
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, kind: str, end_id: int) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("key", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
     encode, end = encoder(path, kind).encode_all, struct.pack("<I", end_id)
-    bucket, segment, docs, parts, held = TaskContext.get().partitionId(), 0, [], [], 0
+    for group in in_groups(rows(batches), 2):
+        ids = encode([t for _, _, t in group])
+        yield flush([[k for k, _, _ in group], [c for _, c, _ in group], [_packed(x + end) for x in ids]], schema)
+
+
+@tidy
+def _segments(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    from pyspark import TaskContext
+
+    schema = pa.schema([("bucket", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("payload", pa.binary())])
+    bucket, segment, before, docs, parts, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
     def segment_row() -> pa.RecordBatch:
-        ids = np.frombuffer(b"".join(parts), "<u4")
-        lengths = np.array([len(p) // 4 for p in parts], "<i8").tobytes()
-        return flush([[bucket], [segment], [len(ids)], [np.array(docs, "<i8").tobytes()], [lengths], [dac_encode(ids)]], schema)
-
-    for group in in_groups(rows(batches), 1):
-        for (doc, _), ids in zip(group, encode([t for _, t in group])):
-            docs.append(doc)
-            parts.append(ids + end)
-            held += len(ids) // 4 + 1
-            if held >= SEGMENT_IDS:
-                yield segment_row()
-                segment, docs, parts, held = segment + 1, [], [], 0
+        ids = np.concatenate(parts)
+        lengths = np.array([len(p) for p in parts], "<i8").tobytes()
+        return flush([[bucket], [segment], [before], [len(ids)], [np.array(docs, "<i8").tobytes()], [lengths], [dac_encode(ids)]], schema)
+
+    for doc, data in rows(batches):
+        docs.append(doc)
+        parts.append(_unpacked(data))
+        held += len(parts[-1])
+        if held >= most:
+            yield segment_row()
+            segment, before, docs, parts, held = segment + 1, before + held, [], [], 0
     if parts:
         yield segment_row()
 
 
+@tidy
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("key", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())])
     for before, doc_ids, lengths, payload in rows(batches):
@@ -141,41 +165,80 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield flush([docs[some].tolist(), (before + ends[some] - sizes[some]).tolist(), [ids[e - n : e].tobytes() for e, n in zip(ends[some], sizes[some])]], schema)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "word", end_id: int = 1) -> None:
+@tidy
+def _directory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where each document stands: key, bucket, segment, at, n."""
+    for bucket, segment, doc_ids, lengths in rows(batches):
+        keys, sizes = np.frombuffer(doc_ids, "<i8"), np.frombuffer(lengths, "<i8")
+        n = len(keys)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(n, bucket, np.int32)), pa.array(np.full(n, segment, np.int32)), pa.array(np.cumsum(sizes) - sizes), pa.array(sizes)], names=["key", "bucket", "segment", "at", "n"])
+
+
+@tidy
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("key", pa.int64()), ("place", pa.int64()), ("token", pa.int64())])
+    for payload, wanted in rows(batches):
+        reader = DacReader(payload)
+        yield flush([[w["key"] for w in wanted], [w["place"] for w in wanted], [reader[w["at"] + w["place"]] for w in wanted]], schema)
+
+
+def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "word", end_id: int = 1, segment_ids: int = SEGMENT_IDS) -> None:
     """Writes the documents' ids as a table of segments.
 
     A bucket is a range partition of doc_id and CRC-32 of the text, numbered in ascending order.
     """
-    keyed = docs.select(doc_key().alias("key"), text_bytes().alias("text")).withColumn("crc", F.crc32("text"))
+    keyed = docs.select(doc_key().alias("key"), F.crc32(text_bytes()).alias("crc"), text_bytes().alias("text"))
+    encoded = keyed.mapInArrow(lambda b: _encoded(b, tokenizer_path, kind, end_id), "key long, crc long, ids binary")
+    ids = scratch(docs.sparkSession, "ids")  # written once: ranges are sampled before they are dealt
+    encoded.write.parquet(ids)
     (
-        keyed.repartitionByRange(partitions(docs.sparkSession), "key", "crc")
-        .sortWithinPartitions("key", "crc", "text")
-        .select("key", "text")
-        .mapInArrow(lambda b: _segments(b, tokenizer_path, kind, end_id), _SEGMENT)
+        docs.sparkSession.read.schema(encoded.schema).parquet(ids)
+        .repartitionByRange(partitions(docs.sparkSession), "key", "crc")
+        .sortWithinPartitions("key", "crc", "ids")
+        .select("key", "ids")
+        .mapInArrow(lambda b: _segments(b, segment_ids), _SEGMENT)
         .write.parquet(path)
-    )
+    )
+    remove(docs.sparkSession, ids)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it) and ids (binary, little-endian unsigned 32-bit)."""
     segments = spark.read.schema(_SEGMENT).parquet(path)
-    buckets = segments.groupBy("bucket").agg(F.sum("n_ids").alias("n"))
+    buckets = segments.groupBy("bucket").agg(F.sum("n_ids").alias("n"))  # a row a range partition, however many documents
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("bucket_start"))
-    within = Window.partitionBy("bucket").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        segments.select("bucket", "segment", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("inner"))
-        .join(buckets, "bucket")
-        .select("bucket", "segment", (F.col("bucket_start") + F.col("inner")).alias("before"))
-    )
     return (
-        segments.join(starts, ["bucket", "segment"])
-        .select("before", "doc_ids", "lengths", "payload")
+        segments.join(F.broadcast(buckets) if partitions(spark) <= 100_000 else buckets, "bucket")
+        .select((F.col("bucket_start") + F.col("before")).alias("before"), "doc_ids", "lengths", "payload")
         .mapInArrow(_documents, "key long, start long, ids binary")
         .select(from_key(F.col("key")).alias("doc_id"), "start", "ids")
     )
 
 
+def tokens_at(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """doc_id, place, token of ``wanted`` (doc_id, place: from 0 within the document), for places that a document of that id has.
+
+    Reads the directory, then the segments that hold any of them, and of each the bytes of the tokens wanted.
+    """
+    segments = spark.read.schema(_SEGMENT).parquet(path)
+    directory = segments.select("bucket", "segment", "doc_ids", "lengths").mapInArrow(_directory, "key long, bucket int, segment int, at long, n long")
+    asked = wanted.select(doc_key().alias("key"), F.col("place").cast("long").alias("place"))
+    found = written(asked.join(directory, "key").where("place >= 0 and place < n"), "wanted")
+    where = found.select("bucket", "segment").distinct().limit(NAMED + 1).collect()
+    if len(where) <= NAMED:  # so few are named to the reader
+        some = F.lit(False)
+        for bucket in sorted({w["bucket"] for w in where}):
+            some = some | ((F.col("bucket") == bucket) & F.col("segment").isin([w["segment"] for w in where if w["bucket"] == bucket]))
+        segments = segments.where(some)
+    by_segment = found.groupBy("bucket", "segment").agg(F.collect_list(F.struct("key", "place", "at")).alias("wanted"))
+    return (
+        segments.select("bucket", "segment", "payload").join(by_segment, ["bucket", "segment"])
+        .select("payload", "wanted").mapInArrow(_single, "key long, place long, token long")
+        .select(from_key(F.col("key")).alias("doc_id"), "place", "token")
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = scratch(spark, "tokens")
