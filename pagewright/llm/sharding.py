@@ -68,11 +68,11 @@ def _number(df: DataFrame, name: str) -> Column:
 def assign(docs: DataFrame, keep: list[str], dimensions: list[str] | None = None, shards: int = SHARDS, bits: int = BITS, name: str = "_pw") -> DataFrame:
     """``keep`` columns and a struct ``name``: size, text_crc32, law, shard, slot, grown_shard (null by this law), hilbert.
 
-    ``dimensions``: columns that order the rows; by default those of source, lang and doc_id that are there,
-    and the size.
+    ``dimensions``: columns that order the rows; by default those of source and lang that are there,
+    and the size, so that equal texts of one source and language are neighbours (a group is cut only where a shard ends).
     """
     keep = [c for c in keep if c != name]
-    named = dimensions if dimensions is not None else [c for c in ("source", "lang", "doc_id") if c in docs.columns]
+    named = dimensions if dimensions is not None else [c for c in ("source", "lang") if c in docs.columns]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = (F.octet_length(text) + ROW_BYTES).cast("long")
     slim = written(
@@ -90,9 +90,9 @@ def assign(docs: DataFrame, keep: list[str], dimensions: list[str] | None = None
         F.coalesce(sum([(F.col("dims")[i] > float(c)).cast("int") for c in cuts[i] or []] or [F.lit(0)], F.lit(0)), F.lit(0))
         for i in range(n_dims)
     ]
+    placed = written(slim.withColumn("hilbert", hilbert_index(level, bits)).drop("dims"), "shard-index")  # the curve once, before ranges are sampled
     ordered = written(
-        slim.withColumn("hilbert", hilbert_index(level, bits))
-        .drop("dims")
+        placed
         .repartitionByRange(partitions(docs.sparkSession), "hilbert", "crc", "size", "key")
         .sortWithinPartitions("hilbert", "crc", "size", "key")
         .withColumn("part", F.spark_partition_id())
