@@ -6,9 +6,10 @@ the input, not on what is left.
 
 Automata of every shard of the corpus, broadcast to every task, would take work and memory by the
 square of the corpus. So ``_repeats`` first brings together those stretches that can share a window: each
-bucket of them is a reference shard with an automaton of its own, and the same stretches stream through it for
-their matching statistics. A window that ends where the statistic reaches ``length`` repeats if its state
-ends at two places or more.
+bucket of them is a reference shard with an automaton of its own, and the stretches of all documents that have any part in it
+stream through for their matching statistics. A window that ends where the statistic reaches ``length`` repeats if its state
+ends at two places or more; maximal spans of such windows go. Stretches that are equal altogether are told by their hashes (192 bits)
+before, and one goes on.
 
 A null text has no words. Rows that repeat doc_id and text are one document (not a copy of each other) and get its result
 each; null ids sort first. An empty table gives no rows.
@@ -16,8 +17,6 @@ each; null ids sort first. An empty table gives no rows.
 
 from __future__ import annotations
 
-from itertools import groupby
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,18 +96,8 @@ class SuffixAutomaton:
 def repeated_runs(contexts: list[tuple[int, int, int, int, bytes]], window: int) -> list[tuple[int, int, int, int]]:
     """Runs (key, th, start, end) of words in windows that occur at two places, among contexts (gram, key, th, start, words)."""
     stretches: list[tuple[int, int, int, list[bytes]]] = []
-    runs, longer = [], []
-    for _, group in groupby(sorted(contexts), key=lambda c: c[0]):
-        own = list(group)
-        if any(c[4].count(b" ") != window - 1 for c in own):
-            longer += own
-            continue
-        # a gram dealt by window: each is one window, and repeats if it is met at two places
-        same: dict[bytes, set[tuple[int, int, int]]] = {}
-        for _, key, th, start, text in own:
-            same.setdefault(text, set()).add((key, th, start))
-        runs += [(*place, place[2] + window) for places in same.values() if len(places) > 1 for place in places]
-    for _, key, th, start, text in sorted(longer, key=lambda c: c[1:4]):
+    runs = []
+    for _, key, th, start, text in sorted(contexts, key=lambda c: c[1:4]):
         words = text.split()
         if stretches and stretches[-1][:2] == (key, th) and start <= stretches[-1][2] + len(stretches[-1][3]):
             mine = stretches[-1]

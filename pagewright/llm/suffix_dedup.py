@@ -5,10 +5,10 @@ starts earlier: in a document with a smaller doc_id, or earlier in the same one.
 documents; they are judged on the input, not on what is left.
 
 ``_repeats`` brings every string together with its equals; where their contexts differ, a suffix array
-of the contexts, sorted as far as ``length`` bytes, decides. Neighbours in suffix order that share
-``length`` bytes form runs; a suffix has an earlier match of that length exactly if its
-longest-previous-factor value reaches it, that is, if the previous or next smaller position in
-suffix order lies in its run.
+of the contexts decides: the suffixes are sorted as far as ``length`` bytes, with the length that neighbours share, the
+previous and the next smaller position in suffix order give each suffix its longest previous factor (up to ``length``), and
+the bytes of factors of ``length`` go. Equal contexts are runs in that order already, told by their hashes (192 bits); the same
+rule decides there.
 
 A null text is an empty one. Rows that repeat doc_id and text are one document and get its result each; rows
 that repeat a doc_id with different texts are ordered by the texts' hashes; null ids sort first. An
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import few_files, flush, from_key
-from ._repeats import Units, merge, repeats
+from ._repeats import Units, longest_previous_factor, merge, repeats
 
 LENGTH = 100
 #: Bytes of the grams that bring strings together.
@@ -34,12 +34,12 @@ GRAM = 32
 
 def suffix_array(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes at ``starts`` (each with ``length`` bytes) in the order of their first ``length`` bytes, ties by place in
-    ``starts``, and for each whether it shares those bytes with the one before."""
+    ``starts``, and for each how many of those bytes it shares with the one before."""
     m = len(starts)
-    order, shares = np.arange(m), np.ones(m, bool)
+    order, shares, lcp = np.arange(m), np.ones(m, bool), np.full(m, length, np.int32)
     if not m:
-        return order, shares
-    shares[0] = False
+        return order, lcp
+    shares[0], lcp[0] = False, 0
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     window = np.lib.stride_tricks.sliding_window_view(padded, 8)
     for at in range(0, length, 8):
@@ -51,39 +51,19 @@ def suffix_array(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.
         suffixes, tie = order[active], np.cumsum(~shares)[active]
         head = np.ascontiguousarray(window[starts[suffixes] + at]).view(">u8").reshape(-1).astype(np.uint64)
         if at + 8 > length:
-            head >>= np.uint64(8 * (at + 8 - length))
+            head &= np.uint64((1 << 64) - (1 << 8 * (at + 8 - length)))
         by = np.lexsort((suffixes, head, tie))
         order[active] = suffixes[by]
-        head = head[by]
-        same = np.concatenate([[False], (head[1:] == head[:-1]) & (tie[1:] == tie[:-1])])
-        shares[active] = same
-    return order, shares
-
-
-def longest_previous_factor(text: bytes) -> np.ndarray:
-    """For each position of a text, the longest match with a string that starts earlier: by previous and next smaller positions in suffix order."""
-    n = len(text)
-    order = np.array(sorted(range(n), key=lambda i: text[i:]), int)
-    lcp = lambda a, b: next((k for k in range(n) if max(a, b) + k >= n or text[a + k] != text[b + k]), n)
-    out = np.zeros(n, int)
-    for ranks in (range(n), range(n - 1, -1, -1)):
-        smaller: list[int] = []
-        for r in ranks:
-            while smaller and smaller[-1] > order[r]:
-                smaller.pop()
-            if smaller:
-                out[order[r]] = max(out[order[r]], lcp(smaller[-1], order[r]))
-            smaller.append(order[r])
-    return out
-
-
-def has_smaller_in_run(place: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    """For places in suffix order: whether a previous or next smaller one lies in the run of suffixes that share their first bytes."""
-    if not len(place):
-        return np.zeros(0, bool)
-    begin = np.flatnonzero(~shares)
-    least = np.minimum.reduceat(place, begin)
-    return place > least[np.cumsum(~shares) - 1]
+        head, tie = head[by], tie[by]
+        tied = np.concatenate([[False], tie[1:] == tie[:-1]])
+        differs = np.concatenate([np.zeros(1, np.uint64), head[1:] ^ head[:-1]])
+        parted = np.flatnonzero(tied & (differs != 0))
+        bits = np.frexp((differs[parted] >> np.uint64(11)).astype(np.float64))[1] + 11  # of the highest that differs, exact but for the lowest 11
+        small = differs[parted] < np.uint64(1 << 11)
+        bits[small] = np.frexp(differs[parted][small].astype(np.float64))[1]
+        lcp[active[parted]] = at + (64 - bits) // 8
+        shares[active] = tied & (differs == 0)
+    return order, lcp
 
 
 def earlier_matches(contexts: list[tuple[int, int, int, int, bytes]], length: int) -> list[tuple[int, int, int, int]]:
@@ -101,8 +81,8 @@ def earlier_matches(contexts: list[tuple[int, int, int, int, bytes]], length: in
     number = {d: i for i, d in enumerate(ids)}
     document = np.array([number[c[1:3]] for c in contexts])
     place = (document[which] << 32) + np.array([c[3] for c in contexts])[which] + offset  # in the order of the whole corpus
-    order, shares = suffix_array(data, base[which] + offset, length)
-    hit = order[has_smaller_in_run(place[order], shares)]
+    order, lcp = suffix_array(data, base[which] + offset, length)
+    hit = order[longest_previous_factor(place[order], lcp) >= length]
     if not len(hit):
         return []
     place = np.unique(place[hit])
