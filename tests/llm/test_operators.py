@@ -175,6 +175,64 @@ def test_licenses(spark, nothing):
     assert licenses.scan(nothing, ["doc_id"]).count() == 0
 
 
+def brute_labels(index, words):
+    """Labels and best share, with every template tried at every place."""
+    labels, best = set(), 0.0
+    for k, t in enumerate(licenses.TEMPLATES):
+        for begin in range(-len(t.words), len(words)):
+            if t.phrase:
+                share = float(begin >= 0 and words[begin : begin + len(t.words)] == t.words)
+            else:
+                near = range(max(0, begin + t.key_at - licenses.WOBBLE), max(0, begin + t.key_at + licenses.WOBBLE + 1))
+                share = index.share(k, begin, words) if any(words[p : p + len(t.key)] == t.key for p in near) else 0.0
+            best = max(best, share)
+            if share >= (1 if t.phrase else licenses.NOTICE_SHARE):
+                labels.add(t.label)
+    return labels, best
+
+
+def test_license_labels_against_every_place():
+    rnd = random.Random(11)
+    index = licenses.RareTokenIndex(1000, {w: rnd.choice([0, 3, 40, 400, 990]) for w in licenses.VOCABULARY})
+    common = [f"w{i}".encode() for i in range(50)] + sorted(licenses.VOCABULARY)[:40]
+    right = wanted = 0
+    for _ in range(150):
+        words = [rnd.choice(common) for _ in range(rnd.randrange(0, 30))]
+        for t in rnd.sample(licenses.TEMPLATES, rnd.randrange(0, 3)):
+            text = [w for w in t.words if rnd.random() > 0.06]
+            text = [rnd.choice(common) if rnd.random() < 0.05 else w for w in text]
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = text
+        want, best = brute_labels(index, words)
+        got = index.scan(words)
+        labels = set(got[5].split(",")) - {""}
+        assert labels <= want and got[6] <= best + 1e-9
+        phrases = {t.label for t in licenses.TEMPLATES if t.phrase and any(words[i : i + len(t.words)] == t.words for i in range(len(words)))}
+        assert phrases <= labels
+        right, wanted = right + len(labels), wanted + len(want)
+    assert right >= 0.97 * wanted and wanted > 80
+
+
+@pytest.mark.parametrize(
+    ("text", "labels"),
+    [
+        ("SPDX-License-Identifier: MIT", {"mit"}), ("SPDX-License-Identifier: Apache-2.0", {"apache"}), ("the BSD 3-Clause text", {"bsd"}),
+        ("Creative Commons Attribution-ShareAlike 4.0", {"cc-by", "cc-by-sa"}), ("GNU Affero General Public License", {"agpl"}),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", {"mit"}),
+        ("This is free and unencumbered software, released into the public domain.", {"unlicense"}), ("free software", set()),
+    ],
+)
+def test_license_names_and_identifiers(text, labels):
+    found = licenses.RareTokenIndex(10, {}).scan(WORD.findall(lower(text.encode())))
+    assert set(found[5].split(",")) - {""} == labels and found[6] == (1.0 if labels else 0.0)
+
+
+def test_license_columns_may_clash(spark):
+    df = spark.createDataFrame([(1, "mit license", 5, "x")], "doc_id long, text string, _pw int, labels string")
+    out = licenses.scan(df, df.columns)
+    assert out.columns == ["doc_id", "text", "labels", "_pw"] and out.first()["_pw"]["labels"] == "mit"
+
+
 # Embeddings --------------------------------------------------------------------------------------
 
 
@@ -228,6 +286,25 @@ def test_embeddings_with_null_and_repeated_ids(spark):
 # Decontamination ---------------------------------------------------------------------------------
 
 
+def test_embeddings_of_many_sizes(spark, monkeypatch):
+    """Sizes that few vectors have aren't turned, and common vectors are joined by broadcast: the result can't differ."""
+    rnd = np.random.default_rng(9)
+    rows = []
+    for size in range(1, 41):
+        base = rnd.normal(size=(3, size))
+        rows += [(len(rows) + i, (base[i % 3] + rnd.normal(scale=0.1, size=size)).tolist(), size % 3) for i in range(6)]
+    rows += [(1000 + i, rows[0][1], 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    vectors = [np.array(v) for _, v, _ in rows]
+    linked = lambda i, j: i != j and rows[i][2] == rows[j][2] and len(vectors[i]) == len(vectors[j]) and float(vectors[i] @ vectors[j] / np.linalg.norm(vectors[i]) / np.linalg.norm(vectors[j])) >= 0.93
+    near = [[j for j in range(len(rows)) if linked(i, j)] for i in range(len(rows))]
+    roots = reachable(len(rows), lambda u: near[u])
+    want = sorted((rows[i][0], len(near[i]), rows[roots[i]][0]) for i in range(len(rows)))
+    for share, tile in ((1000, 1024), (10**9, 3)):
+        monkeypatch.setattr(embeddings, "HOT_SHARE", share)
+        assert sorted(tuple(r) for r in embeddings.near_duplicates(df, tile=tile).select("key", "n_links", "component").collect()) == want
+
+
 def test_decontamination(spark, docs, rows, nothing):
     rnd = random.Random(9)
     texts = [r[1] for r in rows if r[1] and len(r[1].split()) > 30]
@@ -289,9 +366,9 @@ def test_segments_give_any_id():
 
 
 def test_token_files_round_trip(spark, docs, rows, nothing, tmp_path, monkeypatch):
-    monkeypatch.setattr(token_files, "SEGMENT_IDS", 500)
     path = f"file://{tmp_path}/tokens"
-    token_files.write_token_files(docs, path, _tokens.vocabulary("word_bpe_49k.json"))
+    token_files.write_token_files(docs, path, _tokens.vocabulary("word_bpe_49k.json"), segment_ids=500)
+    assert spark.read.parquet(path).count() > 10
     found = sorted(((r["start"], r["doc_id"], bytes(r["ids"])) for r in token_files.read_token_files(spark, path).collect()))
     encode = _tokens.encoder(_tokens.vocabulary("word_bpe_49k.json"), "word").tokenizer.encode
     keys = [r[1] for r in found]
@@ -302,8 +379,16 @@ def test_token_files_round_trip(spark, docs, rows, nothing, tmp_path, monkeypatc
     for start, _, ids in found:
         assert start == at
         at += len(ids) // 4
+    ids = {k: np.frombuffer(x, "<u4") for _, k, x in found if [f[1] for f in found].count(k) == 1}
+    wanted = [(k, p) for k, x in ids.items() for p in {0, len(x) // 2, len(x) - 1, len(x)}] + [(99_999, 0), (2000, -1)]
+    for named in (1000, 1):
+        monkeypatch.setattr(token_files, "NAMED", named)
+        got = token_files.tokens_at(spark, path, spark.createDataFrame(wanted, "doc_id long, place long")).collect()
+        assert sorted((r["doc_id"] or -1, r["place"], r["token"]) for r in got) == sorted((k or -1, p, int(ids[k][p])) for k, p in wanted if k in ids and 0 <= p < len(ids[k]))
     token_files.write_token_files(nothing, f"{path}-none", _tokens.vocabulary("word_bpe_49k.json"))
     assert token_files.read_token_files(spark, f"{path}-none").count() == 0
+    wide = np.array([0, 65_535, 65_536, 2**32 - 1], "<u4")
+    assert all(token_files._unpacked(token_files._packed(x.tobytes())).tolist() == x.tolist() for x in (wide, wide[:2], wide[:0]))
 
 
 # Packing -----------------------------------------------------------------------------------------
@@ -396,20 +481,67 @@ def test_toxicity_held_out(spark, nothing):
     assert [r["score"] for r in none] == [0.0]
 
 
-def test_every_document_is_searched_however_few_the_examples(spark):
-    """With few examples no term passes the gate; documents with words still get their nearest examples."""
-    rows = toxic_corpus(60)
+def test_documents_without_a_leaning_term_are_searched_by_the_wide_vocabulary(spark):
+    """With few examples no term leans beyond chance; the wide vocabulary still finds the nearest examples."""
+    rows = toxic_corpus(120)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(5000, "")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
-    model = toxicity.fit(docs, labels)
-    assert not model.number and model.wide.number
+    model = toxicity.fit(docs, labels, sample=40)
+    assert model.wide.number and len(model.wide.ids) <= 40 and len(model.ids) < 40
     taught = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1}
-    texts = {i: t for i, t, _ in rows}
-    for r in toxicity.flag(docs, labels, ["doc_id"]).select("doc_id", "_pw.*").collect():
-        query = model.wide.vector(WORD.findall(lower(texts.get(r["doc_id"], "").encode())))
-        assert (len(r["neighbours"]) > 0) == bool(query) and set(r["neighbours"]) <= taught
-        assert r["cosines"] == sorted(r["cosines"], reverse=True) and 0 <= r["score"] <= 1
-        assert query or r["doc_id"] == 5000
+    for i, text, _ in [*rows, (5000, "", 0)]:
+        words = WORD.findall(lower(text.encode()))
+        query = model.vector(words) or model.wide.vector(words)
+        score, near, cosines = model.score(text.encode())
+        assert (len(near) > 0) == bool(query) and set(near) <= taught
+        assert cosines == sorted(cosines, reverse=True) and 0 <= score <= 1
+
+
+def test_scores_against_brute_force(spark):
+    """The whole score of every document from the definition: weights, all cosines, votes and the curve."""
+    rows = toxic_corpus(600)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    words = {i: list(toxicity.terms(WORD.findall(lower(t.encode())))) for i, t, _ in rows}
+    taught = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    toxic = {i: y for i, _, y in rows}
+    n, rate = len(taught), sum(toxic[i] for i in taught) / len(taught)
+    have = defaultdict(set)
+    for i in taught:
+        for t in words[i]:
+            have[t].add(i)
+    tail = lambda b, m: sum(math.comb(m, x) * rate**x * (1 - rate) ** (m - x) for x in range(b, m + 1))
+    lean = {t: sum(toxic[i] for i in d) for t, d in have.items()}
+    vocabulary = {t for t, d in have.items() if 2 * lean[t] > len(d) and tail(lean[t], len(d)) <= toxicity.LEVEL / len(have)}
+    wide = {t for t, d in have.items() if len(d) >= 5 and n * (lean[t] * (n - rate * n) - (len(d) - lean[t]) * rate * n) ** 2 / (len(d) * (n - len(d)) * rate * n * (n - rate * n)) >= toxicity.WIDE}
+    df = {t: sum(t in set(words[i]) for i, _, _ in rows) for t in vocabulary | wide}
+
+    def vector(i, terms_):
+        v = {t: (1 + math.log(words[i].count(t))) * (math.log((len(rows) + 1) / (df[t] + 1)) + 1) for t in set(words[i]) & terms_}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / norm for t, x in v.items()}
+
+    def judge(terms_, calibrate):
+        known = [(i, v) for i in taught if (v := vector(i, terms_))]
+
+        def vote(v, but=None):
+            near = sorted(((c, i) for i, w in known if i != but and (c := sum(x * w.get(t, 0) for t, x in v.items())) > 0), key=lambda x: (-round(x[0], 12), x[1]))[: toxicity.K]
+            weights = [1 / (toxicity.DISTANCE + max(0, 1 - c)) for c, _ in near]
+            return sum(w * toxic[i] for w, (_, i) in zip(weights, near)) / sum(weights) if near else None
+
+        votes = [(x, toxic[i]) for i, v in known if calibrate(i) and (x := vote(v, i)) is not None]
+        curve = toxicity.isotonic(np.array([x for x, _ in votes]), np.array([float(y) for _, y in votes]))
+        without = [toxic[i] for i in taught if i not in {k for k, _ in known}]
+        return vote, curve, (sum(without) + rate) / (len(without) + 1)
+
+    first = judge(vocabulary, lambda i: True)
+    second = judge(wide, lambda i: not vector(i, vocabulary))
+    found = {r["doc_id"]: r["score"] for r in toxicity.flag(docs, labels, ["doc_id"]).select("doc_id", "_pw.score").collect()}
+    for i, _, _ in rows:
+        v = vector(i, vocabulary)
+        (vote, curve, unknown), v = (first, v) if v else (second, vector(i, wide))
+        x = vote(v) if v else None
+        assert abs(found[i] - (unknown if x is None else float(np.interp(x, *curve)))) < 1e-6, i
 
 
 def test_labels_of_the_held_out_fold_change_nothing(spark):

@@ -87,6 +87,23 @@ def test_run_gives_the_last_stage(spark, tiny, stages):
     assert sorted(map(tuple, corpus_pipeline.run(spark, tiny).collect())) == sorted(map(tuple, stages[5].collect()))
 
 
+def test_stages_with_odd_inputs(spark, tiny, docs, nothing, tmp_path):
+    """Nulls, empty and long texts, repeated rows, ids shared by texts, clashing columns; and no rows at all."""
+    folder = f"file://{tmp_path}/in"
+    spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(60)] + [(None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, None), (2, ""), (None, "some words of an item"), (3, docs.where("doc_id = 2000").first()["text"][:400])], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    for start in (docs, nothing):
+        held = start
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = written(stage(spark, held, folder), f"odd-{name}")
+            assert after.columns == start.columns and after.count() <= held.count()
+            held = after
+        assert (held.count() == 0) == (start is nothing)
+        packed = corpus_pipeline.STAGES[-1][1](spark, held, folder).collect()
+        assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in held.collect()}
+        assert all(len(r["ids"]) == 4 * r["length"] for r in packed)
+
+
 def test_registered():
     names = list(entry.queries())
     assert "pipeline" in names and [n.split("_")[0] for n in names if n.startswith("op")].__len__() == 10

@@ -157,10 +157,18 @@ def test_lengths_over_a_byte(spark):
         assert kept[i] == b" ".join(w for w, m in zip(units, mask) if not m), i
 
 
-def test_longest_previous_factor():
-    text = b"abracadabra abracadabra"
-    for i, n in enumerate(suffix_dedup.longest_previous_factor(text)):
-        assert n == max([0, *(k for j in range(i) for k in range(1, len(text) - i + 1) if text[j : j + k] == text[i : i + k])])
+@pytest.mark.parametrize("seed", range(6))
+def test_longest_previous_factor(seed):
+    rnd = random.Random(seed)
+    length = rnd.choice([5, 8, 13, 20])
+    text = bytes(rnd.choice([b"ab", b"abc", b"\xff\x00a"][seed % 3]) for _ in range(rnd.randrange(40, 160))) * (1 + seed % 2)
+    starts = np.arange(len(text) - length + 1)
+    order, lcp = suffix_dedup.suffix_array(np.frombuffer(text, np.uint8), starts, length)
+    assert [text[i : i + length] for i in order] == sorted(text[i : i + length] for i in starts)
+    shared = lambda i, j: next((k for k in range(length) if text[i + k] != text[j + k]), length)
+    assert lcp.tolist() == [0, *(shared(a, b) for a, b in zip(order, order[1:]))]
+    factors = _repeats.longest_previous_factor(order, lcp)
+    assert factors.tolist() == [max((shared(i, j) for j in range(i)), default=0) for i in order]
 
 
 def test_suffix_automaton_counts_places():
