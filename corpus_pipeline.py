@@ -34,8 +34,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces placed in sequences of at most 1024 tokens."""
-    return packing.pack(docs, vocabulary("byte_bpe_50k.json"), with_ids=False)
+    """Token pieces, with their ids, placed in sequences of at most 1024 tokens."""
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
 STAGES = [
