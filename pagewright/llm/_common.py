@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -10,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of an Arrow batch between Spark and Python, where the session has Spark's own 10,000: texts are long.
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: Stands for a null doc_id inside an operator, so that it sorts before every other id.
 NULL_ID = -(2**63)
 
@@ -21,13 +27,44 @@ ALNUM_TABLE = bytes(
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder in spark.checkpoint.dir (a local one only where it is unset)."""
+    """A fresh path below the shared folder in spark.checkpoint.dir.
+
+    A session in one process without that setting gets a temporary folder as its own; on a cluster the setting is needed.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = f"file://{tempfile.gettempdir()}/pagewright-scratch"
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='pagewright-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """A scratch table that nothing reads any more goes."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def tidy(f):
+    """A generator function for ``mapInArrow`` that gives memory back to the system when it ends, as its worker stays."""
+
+    @functools.wraps(f)
+    def run(*args, **named):
+        try:
+            yield from f(*args, **named)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except AttributeError:  # not with every C library
+                pass
+
+    return run
+
+
 def merged(df: DataFrame, merge: int = 4) -> DataFrame:
     """``df`` with so many small shuffle partitions to a task, and so to a file where it is written.
 
@@ -93,6 +130,13 @@ def fresh(columns: list[str], name: str = "_pw") -> str:
     return name
 
 
+def skewed_join(left: DataFrame, right: DataFrame, keys: list[str], hot: Column) -> DataFrame:
+    """Inner join with ``right``, a row a key. ``hot`` marks the keys of a share of all rows, so few that they are broadcast: no task gets all rows of one."""
+    few = F.broadcast(right.where(hot))
+    rest = left.join(F.broadcast(right.where(hot).select(*keys)), keys, "left_anti").join(right.where(~hot), keys)
+    return left.join(few, keys).unionByName(rest)
+
+
 def annotate(docs: DataFrame, keep: list[str], fields: str, make, name: str = "_pw") -> DataFrame:
     """The ``keep`` columns of ``docs`` and a struct column ``name`` of ``fields`` worked out from the text.
 
@@ -104,6 +148,7 @@ def annotate(docs: DataFrame, keep: list[str], fields: str, make, name: str = "_
     kept = docs.select(*[f"`{c}`" for c in keep]).schema
     names = [x.split()[0] for x in fields.split(", ")]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import remove, scratch, skewed_join
 
 
 class Forest:
@@ -52,13 +52,28 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"a": pa.array([s[0] for s in stars], pa.int64()), "b": pa.array([s[1] for s in stars], pa.int64())})
 
 
+#: A node with so large a share of all edges is broadcast: there are at most twice as many.
+HOT_SHARE = 1000
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (long columns a and b); root is the smallest node reachable.
 
     A union-find within each task first, then alternating large and small stars (Kiveris et al.,
-    2014) over all edges until nothing changes. Each round is a table in the shared folder.
+    2014) over all edges until nothing changes. Each round is a table in the shared folder; the one before goes.
     """
-    now = written(edges.where("a != b").select("a", "b").mapInArrow(_local, "a long, b long").distinct(), "edges", 8)
+    spark = edges.sparkSession
+    path = ""
+
+    def round_(df: DataFrame) -> DataFrame:
+        nonlocal path
+        before, path = path, scratch(spark, "edges")
+        df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)).write.parquet(path)
+        if before:
+            remove(spark, before)
+        return spark.read.schema("a long, b long").parquet(path)
+
+    now = round_(edges.where("a != b").select("a", "b").mapInArrow(_local, "a long, b long").distinct())
     mark = None
     while True:
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
@@ -66,9 +81,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         mark = tuple(seen)
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select("b", "a"))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        met = skewed_join(both.where("v > u"), low, ["u"], F.col("n") * HOT_SHARE >= 2 * seen[0])
+        large = met.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))  # a node leads to few others by now, each smaller than it
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = written(small.select("e.*").where("a != b").distinct(), "edges", 8)
+        now = round_(small.select("e.*").where("a != b").distinct())
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())

@@ -13,7 +13,7 @@ anchors travel: about two of every ``window - gram`` units.
    share the gram and one half of the context may share some windows; their contexts are requested.
 3. ``contexts``: the requested contexts are cut from the documents and meet by gram again, where the
    operator's own index (a suffix array, a suffix automaton) decides every window. A gram with more
-   than HOT contexts sends its windows one by one, dealt by their own hash. Equal windows are settled
+   than HOT contexts sends its windows one by one, dealt by their own hash, to the same index. Equal windows are settled
    within each task first and one place goes on from each HELD, so a window that a third of all documents
    share sends a few rows a task, not one a document.
 
@@ -36,11 +36,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from ._common import doc_key, flush, partitions, rows, text_bytes, written
+from ._common import doc_key, flush, partitions, rows, text_bytes, tidy, written
 
 #: Units hashed at once, and anchors a task settles at once.
 PIECE = 1 << 18
-BATCH = 1 << 19
+BATCH = 1 << 18
 #: Contexts of a gram that one task compares; beyond that they are dealt by window. An automaton takes more memory than an array.
 HOT = {"bytes": 30_000, "words": 4_000}
 #: Single windows a task settles at once.
@@ -187,6 +187,33 @@ def _covers(schema: pa.Schema, key, th, start, end, target) -> list[pa.RecordBat
     return [pa.RecordBatch.from_arrays([pa.array(target[cut], pa.int32()), pa.array(key[cut], pa.int64()), pa.array(th[cut], pa.int64()), pa.array(spans, pa.binary()), none, pa.nulls(len(cut), pa.int64()), none], schema=schema)]
 
 
+def longest_previous_factor(place: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """For suffixes in suffix order, with their places and the length each shares with the one before: the longest match with a suffix that begins earlier.
+
+    That is the longer of the matches with the previous and with the next smaller place in suffix order, each the least length
+    shared on the way there. All suffixes look for theirs at once: one that finds a place that isn't smaller goes on from where
+    that place has got to.
+    """
+    n = len(place)
+    out = np.zeros(n, lcp.dtype)
+    for back in (False, True):
+        p = place[::-1] if back else place
+        at = np.arange(n) - 1  # what lies between an entry's ``at`` and itself isn't smaller
+        least = np.concatenate([[0], lcp[1:][::-1] if back else lcp[1:]]).astype(lcp.dtype) if n else lcp
+        todo = np.arange(1, n)
+        todo = todo[least[todo] > 0]
+        at[least == 0] = -1
+        while len(todo):
+            todo = todo[at[todo] >= 0]
+            seen = at[todo]
+            todo, seen = (x[p[seen] >= p[todo]] for x in (todo, seen))
+            least[todo] = np.minimum(least[todo], least[seen])
+            at[todo] = at[seen]
+        found = np.where(at >= 0, least, 0)
+        out = np.maximum(out, found[::-1] if back else found)
+    return out
+
+
 def merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs that overlap or touch, as one."""
     order = np.argsort(start, kind="stable")
@@ -230,6 +257,7 @@ def _unpack(blob: bytes, units: Units) -> dict[str, np.ndarray]:
     return out
 
 
+@tidy
 def _anchors(batches: Iterator[pa.RecordBatch], units: Units, targets: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
     finder = Anchors(units)
     docs: list[tuple[int, int]] = []
@@ -283,7 +311,10 @@ def _anchors(batches: Iterator[pa.RecordBatch], units: Units, targets: int, keep
 
 
 def _classes(a: dict[str, np.ndarray], keep_first: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The first place of each class, and the places that repeat in full. Equal places count once."""
+    """The first place of each class, and the places that repeat in full. Equal places count once.
+
+    A class is a run in the order of contexts, so with ``keep_first`` its places repeat where their longest previous factor is the whole context.
+    """
     n = len(a["pos"])
     first, covered = np.ones(n, bool), np.zeros(n, bool)
     order = np.argsort(a["gram"], kind="stable")
@@ -300,14 +331,15 @@ def _classes(a: dict[str, np.ndarray], keep_first: bool) -> tuple[np.ndarray, np
     as_before = {f: np.concatenate([[False], b[f][order[1:]] == b[f][order[:-1]]]) for f in fields}
     same = np.logical_and.reduce([as_before[f] for f in fields[:4]])  # class
     new_place = ~(same & as_before["key"] & as_before["th"] & as_before["pos"])
-    number, begin = np.cumsum(~same) - 1, np.flatnonzero(~same)
-    total, seen = np.bincount(number, new_place), np.cumsum(new_place)
-    again = (seen - seen[begin][number] > 0) if keep_first else total[number] > 1
+    number = np.cumsum(~same) - 1
+    total, rank = np.bincount(number, new_place), np.cumsum(new_place)
+    again = longest_previous_factor(rank, same.astype(np.int8)) > 0 if keep_first else total[number] > 1
     first[some[order[same]]] = False
     covered[some[order[again]]] = True
     return first, covered
 
 
+@tidy
 def _resolve(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool) -> Iterator[pa.RecordBatch]:
     held = []
     for batch in batches:
@@ -343,6 +375,7 @@ def _resolve(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool)
         yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int32()), pa.array(a["key"][some]), pa.array(a["th"][some]), pa.nulls(m, pa.binary()), pa.array(a["pos"][some].astype(np.int32)), pa.array(a["gram"][some].view(np.int64)), pa.array(among[x : x + 65536].astype(np.int32))], schema=_FLOW)
 
 
+@tidy
 def _contexts(batches: Iterator[pa.RecordBatch], units: Units, targets: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("bucket", pa.int32()), ("gram", pa.int64()), ("key", pa.int64()), ("th", pa.int64()), ("start", pa.int32()), ("units", pa.binary())])
     out: list[list] = [[] for _ in schema]
@@ -368,6 +401,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], units: Units, targets: int) ->
     yield flush(out, schema)
 
 
+@tidy
 def _settled(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool) -> Iterator[pa.RecordBatch]:
     """Rows of ``_contexts``; of equal rows of just one window the first place goes on, and places known to repeat leave as runs (start -1, units the run)."""
     held: dict[tuple[int, int, bytes], set[tuple[int, int, int]]] = {}
@@ -435,6 +469,7 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
     )
     runs = flow.where("blob is not null").select("key", "th", "blob").union(found).groupBy("key", "th").agg(F.collect_list("blob").alias("runs"))
 
+    @tidy
     def done(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -450,6 +485,7 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
     return dealt.join(runs.hint("shuffle_hash"), ["key", "th"], "left").select("key", "text", "runs", "carried").mapInArrow(done, schema)
 
 
+@tidy
 def _decided(batches: Iterator[pa.RecordBatch], decide: Callable) -> Iterator[pa.RecordBatch]:
     """Contexts by gram, whole grams together up to about a million units at a time."""
     held = []

@@ -22,7 +22,7 @@ from unicodedata import is_normalized
 import numpy as np
 
 #: Chunks remembered by a Python worker, and the longest that is. The first ones seen stay: frequent chunks come early.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000
 CACHED_BYTES = 40
 #: Bytes of text cut at once, whole documents.
 GROUP_BYTES = 1 << 18

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import doc_key, flush, fresh, from_key, merged, rows, text_bytes, written
+from ._common import doc_key, flush, fresh, from_key, merged, rows, text_bytes, tidy, written
 from ._components import connected_components
 
 SHINGLE = 3
@@ -69,6 +69,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+@tidy
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("key", pa.int64()), ("th", pa.int64()), ("fp", pa.int64())])
     out: list[list] = [[], [], []]
@@ -111,10 +112,13 @@ def components(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, with the columns it had: that with the smallest doc_id (then text hash); of rows that repeat both, one."""
+    """One document of each component, with the columns it had: that with the smallest doc_id (then text hash); of rows that repeat both, one.
+
+    Keys alone decide; the rows move once, to meet the keys that stay, in as many tasks as their bytes call for.
+    """
     key, th = fresh(docs.columns, "_key"), fresh(docs.columns, "_th")
     kept = components(docs).where("key = component and th = component_th").select(F.col("key").alias(key), F.col("th").alias(th)).distinct()
-    return merged(_keyed(docs, key, th).join(kept, [key, th], "left_semi").dropDuplicates([key, th]).drop(key, th))
+    return _keyed(docs, key, th).join(written(kept, "kept"), [key, th], "left_semi").dropDuplicates([key, th]).drop(key, th)
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
