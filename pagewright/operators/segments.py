@@ -83,6 +83,19 @@ def boundaries(lines: DataFrame, footers: DataFrame | None = None, vocab: list[s
     return out
 
 
+def with_family(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``family`` of their document (``metadata``), without a second pass."""
+    kind = F.when(F.col("page") <= 2, policy_type(F.col("text"), F.col("bold")))
+    last = F.max_by(kind, F.when(kind.isNotNull(), F.struct("page", "top"))).over(Window.partitionBy("doc_id"))
+    return lines.withColumn("family", family(F.coalesce(last, F.lit("commercial"))))
+
+
+def marked_by_family(lines: DataFrame) -> DataFrame:
+    """``marked`` with the vocabulary of each document's family (column ``family``)."""
+    both = marked(marked(lines, V.SECTION_VOCAB).withColumnRenamed("_mark", "_drug"), V.MM_SECTION_VOCAB)
+    return both.withColumn("_mark", F.when(F.col("family") == "mm", F.col("_mark")).otherwise(F.col("_drug"))).drop("_drug")
+
+
 def segmented(lines: DataFrame, vocab: list[str] = V.SECTION_VOCAB, footers: DataFrame | None = None, default: str | None = "header") -> DataFrame:
     """``lines`` with the segment each belongs to: the boundary is marked on the line itself, so the lines are read and shuffled once.
 
@@ -91,7 +104,7 @@ def segmented(lines: DataFrame, vocab: list[str] = V.SECTION_VOCAB, footers: Dat
     """
     here = Window.partitionBy("doc_id").orderBy("page", "top").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     own = F.last("_mark", ignorenulls=True).over(here)
-    out = marked(lines, vocab)
+    out = lines if "_mark" in lines.columns else marked(lines, vocab)
     if footers is None:
         found = own
     else:
@@ -136,14 +149,19 @@ def family(policy_type: Column, filename: Column | None = None) -> Column:
     return F.when(policy_type.isin("medical_policy", "administrative_policy"), "mm").otherwise("drug")
 
 
+def policy_type(text: Column, bold: Column) -> Column:
+    """The type a bold line names; null if none."""
+    lower = F.lower(text)
+    return (
+        F.when(bold & (lower.contains("drug coverage") | lower.contains("drug and biologic")), "drug_policy")
+        .when(bold & lower.contains("medical coverage"), "medical_policy")
+        .when(bold & lower.contains("administrative policy"), "administrative_policy")
+    )
+
+
 def metadata(lines: DataFrame) -> DataFrame:
     """doc_id, title, publish_date, policy_number, policy_type, doc_type from the first two pages: large bold lines make the title; of dates, numbers and types the last counts."""
-    lower = F.lower("text")
-    kind = (
-        F.when(F.col("bold") & (lower.contains("drug coverage") | lower.contains("drug and biologic")), "drug_policy")
-        .when(F.col("bold") & lower.contains("medical coverage"), "medical_policy")
-        .when(F.col("bold") & lower.contains("administrative policy"), "administrative_policy")
-    )
+    kind = policy_type(F.col("text"), F.col("bold"))
     at = F.struct("page", "top")
     date, number = T.effective_date(F.col("text")), T.policy_number(F.col("text"))
     head = lines.where("page <= 2").withColumn("_date", F.nullif(date, F.lit(""))).withColumn("_number", F.nullif(number, F.lit(""))).withColumn("_kind", kind)

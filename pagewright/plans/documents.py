@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import vocabulary as V
 from pagewright.operators import blocks as K
+from pagewright.operators import convert as D
 from pagewright.operators import corpus as C
 from pagewright.operators import lines as L
 from pagewright.operators import render as R
@@ -130,12 +131,64 @@ def _list_lines(spark, d):
     return lines.withColumn("text", F.concat(kind, "text")).withColumn("x0", x0).withColumn("marker_type", mark).withColumn("bold", F.lit(False))
 
 
-@query()
+# entries of a block of eight lines: lines that a note before them takes in are none
+_ENTRIES = f"""{layout.WORDS_SQL},
+body AS (SELECT *, CASE WHEN starts_with(text, '•') AND NOT contains(fontname, 'Wingdings') THEN nullif(ltrim(text, '• '), '') ELSE text END AS b FROM words WHERE size >= 6),
+held AS (SELECT doc_id, page, ln, coalesce(string_agg(b, ' ' ORDER BY x0, word_idx), '') AS text, coalesce(arg_min(x0, (x0, word_idx)) FILTER (b IS NOT NULL), min(x0)) AS fx, bool_or(starts_with(text, '•')) AS had, coalesce(arg_max(size, (length(b), -x0, -word_idx)) FILTER (b IS NOT NULL), arg_min(size, (x0, word_idx))) AS size FROM body GROUP BY doc_id, page, ln),
+shaped AS (SELECT doc_id, page, ln, ln // 8 AS block_id, ln % 8 AS k, 72 + 14 * (ln % 45) AS top, size, CASE ln % 8 WHEN 1 THEN '1. ' WHEN 2 THEN 'A) ' WHEN 3 THEN 'i. ' WHEN 5 THEN 'Note: ' ELSE '' END || trim(regexp_replace(text, '[\\s\\x{{00A0}}]+', ' ', 'g')) AS text,
+  CASE ln % 8 WHEN 2 THEN 70.0 WHEN 3 THEN 90.0 WHEN 1 THEN 54.0 ELSE fx END AS x0, CASE WHEN doc_id % 3 = 0 AND ln % 8 = 6 THEN 'bullet' WHEN doc_id % 3 = 0 AND ln % 8 = 7 THEN 'sub_bullet' END AS mark FROM held WHERE text <> '' OR had),
+kinds AS (SELECT *, CASE WHEN mark IS NOT NULL THEN mark WHEN starts_with(text, 'Note:') OR starts_with(text, 'Note :') THEN 'note' WHEN x0 <= 65 AND regexp_matches(text, '^\\d+\\.') THEN 'num' WHEN x0 BETWEEN 85 AND 100 AND regexp_matches(text, '^[ivxIVX]+\\.\\s') THEN 'roman' WHEN x0 BETWEEN 68 AND 78 AND regexp_matches(text, '^[A-E]\\)') THEN 'letter' ELSE 'plain' END AS kind FROM shaped),
+marks AS (SELECT *, kind = 'plain' AND size < 12 AS soft FROM kinds),
+after AS (SELECT *, last_value(CASE WHEN NOT soft THEN kind END IGNORE NULLS) OVER w AS hard, sum(CASE WHEN kind = 'note' THEN 1 ELSE 0 END) OVER w AS note_no FROM marks WINDOW w AS (PARTITION BY doc_id, block_id ORDER BY ln)),
+taken AS (SELECT *, soft AND coalesce(hard = 'note', false) AS absorbed FROM after),
+notes AS (SELECT doc_id, block_id, note_no, trim(string_agg(CASE WHEN kind = 'note' THEN text WHEN regexp_matches(text, '^\\d+[)]') THEN '<br>' || text ELSE ' ' || text END, '' ORDER BY ln)) AS whole FROM taken WHERE absorbed OR kind = 'note' GROUP BY ALL),
+entries AS (SELECT t.doc_id, t.block_id, t.page, t.x0, t.kind, CASE WHEN t.kind = 'note' THEN n.whole ELSE t.text END AS text, row_number() OVER (PARTITION BY t.doc_id, t.block_id ORDER BY t.ln) AS e
+  FROM taken t LEFT JOIN notes n ON n.doc_id = t.doc_id AND n.block_id = t.block_id AND n.note_no = t.note_no AND t.kind = 'note' WHERE NOT t.absorbed)
+"""
+# the fold: which levels are open (as items), and what an entry becomes: a new item under another, or more text of an open one
+_FOLD = f"""{_ENTRIES},
+fold AS (SELECT doc_id, block_id, 0::BIGINT AS e, -1 AS n, NULL::INT AS bullet, NULL::INT AS sub, NULL::INT AS num, NULL::INT AS letter, NULL::INT AS roman, NULL::INT AS note, NULL::INT AS under_num, NULL::INT AS bp, NULL::DOUBLE AS bx, NULL::INT AS item, NULL::INT AS parent, '' AS shown, '' AS text FROM (SELECT DISTINCT doc_id, block_id FROM entries)
+  UNION ALL SELECT doc_id, block_id, e, n + CASE WHEN is_new THEN 1 ELSE 0 END,
+    CASE WHEN kind = 'bullet' THEN n + 1 WHEN kind = 'num' OR dedent THEN NULL ELSE bullet END,
+    CASE WHEN kind IN ('bullet', 'num') OR dedent THEN NULL WHEN kind = 'sub_bullet' AND bullet IS NOT NULL THEN n + 1 ELSE sub END,
+    CASE WHEN kind = 'num' THEN n + 1 WHEN kind = 'bullet' THEN NULL ELSE num END,
+    CASE WHEN kind = 'letter' THEN n + 1 WHEN kind IN ('bullet', 'num') THEN NULL ELSE letter END,
+    CASE WHEN kind = 'roman' THEN n + 1 WHEN kind IN ('bullet', 'num', 'sub_bullet', 'letter', 'note') THEN NULL ELSE roman END,
+    CASE WHEN kind = 'note' THEN n + 1 WHEN kind IN ('bullet', 'num', 'sub_bullet', 'letter', 'roman') THEN NULL ELSE note END,
+    CASE WHEN kind = 'letter' AND num IS NOT NULL THEN n + 1 WHEN kind IN ('bullet', 'num') THEN NULL ELSE under_num END,
+    CASE WHEN kind = 'bullet' THEN page ELSE bp END, CASE WHEN kind = 'bullet' THEN x0 ELSE bx END,
+    CASE WHEN is_new THEN n + 1 ELSE goes END,
+    CASE WHEN NOT is_new THEN NULL WHEN kind = 'sub_bullet' THEN coalesce(bullet, -1) WHEN kind = 'letter' THEN coalesce(num, -1) WHEN kind = 'roman' THEN coalesce(letter, under_num, -1) WHEN kind = 'note' THEN coalesce(roman, -1) ELSE -1 END,
+    CASE WHEN NOT is_new THEN NULL WHEN kind = 'sub_bullet' AND bullet IS NULL OR kind = 'letter' AND num IS NULL OR kind = 'roman' AND coalesce(letter, under_num) IS NULL OR kind = 'note' AND coalesce(roman, num, letter) IS NULL THEN 'plain' ELSE kind END, text
+  FROM (SELECT *, kind <> 'plain' OR goes IS NULL AS is_new FROM (SELECT f.n, f.bullet, f.sub, f.num, f.letter, f.roman, f.note, f.under_num, f.bp, f.bx, t.doc_id, t.block_id, t.e, t.page, t.x0, t.kind, t.text,
+      t.kind = 'plain' AND coalesce(f.roman, f.note, f.sub) IS NULL AND f.bullet IS NOT NULL AND t.x0 < CASE WHEN t.page = f.bp THEN f.bx - 2 ELSE f.bx + 0.5 END AS dedent,
+      CASE WHEN t.kind <> 'plain' THEN NULL WHEN coalesce(f.roman, f.note, f.sub) IS NOT NULL THEN coalesce(f.roman, f.note, f.sub) WHEN f.bullet IS NOT NULL THEN CASE WHEN t.x0 < CASE WHEN t.page = f.bp THEN f.bx - 2 ELSE f.bx + 0.5 END THEN NULL ELSE f.bullet END ELSE coalesce(f.under_num, f.num) END AS goes
+    FROM fold f JOIN entries t ON t.doc_id = f.doc_id AND t.block_id = f.block_id AND t.e = f.e + 1))),
+grown AS (SELECT doc_id, block_id, item, max(parent) AS parent, max(shown) AS kind, string_agg(text, ' ' ORDER BY e) AS text FROM fold WHERE e > 0 AND (text <> '' OR shown IS NOT NULL) GROUP BY ALL),
+bare AS (SELECT *, bool_and(kind = 'plain') OVER (PARTITION BY doc_id, block_id) AS all_plain FROM grown),
+items AS (SELECT doc_id, block_id, item, parent, kind, text FROM bare WHERE NOT all_plain UNION ALL SELECT doc_id, block_id, 0, -1, 'text', string_agg(text, ' ' ORDER BY item) FROM bare WHERE all_plain GROUP BY doc_id, block_id)
+"""
+
+
+@query(f"WITH RECURSIVE {_FOLD} SELECT * FROM items")
 def list_hierarchy_fold(spark, d):
     return K.list_items(_list_lines(spark, d))
 
 
-@query()
+_ESC = "replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+_NOTE_HTML = "'  <p style=\"margin-left:20px\"><em><strong>Note:</strong> ' || array_to_string(list_transform(string_split(trim(regexp_replace(text, '^Note ?:', '')), '<br>'), lambda p: " + _ESC.format("trim(p)") + "), '<br>') || '</em></p>'"
+
+
+@query(
+    f"""WITH RECURSIVE {_FOLD},
+    fit AS (SELECT *, starts_with(text, 'Note:') OR starts_with(text, 'Note :') AS is_note, kind = 'plain' AND NOT (starts_with(text, 'Note:') OR starts_with(text, 'Note :')) AND NOT regexp_matches(text, '^[A-E]\\)') AND NOT regexp_matches(text, '^[ivxIVX]+\\.') AS joins FROM items WHERE kind <> 'plain' OR text <> ''),
+    prior AS (SELECT *, lag(joins) OVER w AS pj, lag(text) OVER w AS pt FROM fit WINDOW w AS (PARTITION BY doc_id, block_id ORDER BY item)),
+    run AS (SELECT *, sum(CASE WHEN joins AND coalesce(pj AND NOT regexp_matches(rtrim(pt), '[.:?!;]$'), false) THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, block_id ORDER BY item) AS g FROM prior),
+    merged AS (SELECT doc_id, block_id, string_agg(text, ' ' ORDER BY item) AS text, arg_min(kind, item) AS kind, min(item) AS item FROM run GROUP BY doc_id, block_id, g),
+    shown AS (SELECT *, starts_with(text, 'Note:') OR starts_with(text, 'Note :') AS is_note, {_ESC.format("text")} AS e FROM merged)
+    SELECT doc_id, block_id, item, CASE WHEN kind = 'note' OR (kind IN ('plain', 'text') AND is_note) THEN {_NOTE_HTML} WHEN kind = 'plain' AND regexp_matches(text, '^[A-E]\\)') THEN '  <p style="margin-left:40px">' || e || '</p>' WHEN kind = 'plain' AND regexp_matches(text, '^[ivxIVX]+\\.') THEN '  <p style="margin-left:60px">' || e || '</p>'
+      WHEN kind = 'bullet' THEN '  <p style="margin-left:20px">• ' || e || '</p>' WHEN kind = 'num' THEN '  <p style="margin-left:20px">' || e || '</p>' WHEN kind = 'sub_bullet' THEN '  <p style="margin-left:40px">○ ' || e || '</p>' WHEN kind = 'letter' THEN '  <p style="margin-left:40px">' || e || '</p>' WHEN kind = 'roman' THEN '  <p style="margin-left:60px">' || e || '</p>' ELSE '  <p>' || e || '</p>' END AS html FROM shown"""
+)
 def sentence_merge(spark, d):
     return R.merge_sentences(K.list_items(_list_lines(spark, d)))
 
@@ -187,7 +240,7 @@ def _footnotes(spark, d):
 
 
 _FOOT = f"""{_RUNS},
-fx AS (SELECT doc_id, section_id, page, CAST(top AS DOUBLE) AS top, bold, CASE WHEN doc_id % 2 = 0 AND size < 12 THEN 8.0 ELSE size END AS size, CASE WHEN top % 5 = 0 THEN '* ' || text WHEN top % 7 = 0 THEN 'FDA – ' || text ELSE text END AS text FROM runs),
+fx AS (SELECT doc_id, section_id, segment, page, CAST(top AS DOUBLE) AS top, bold, CASE WHEN doc_id % 2 = 0 AND size < 12 THEN 8.0 ELSE size END AS size, CASE WHEN top % 5 = 0 THEN '* ' || text WHEN top % 7 = 0 THEN 'FDA – ' || text ELSE text END AS text FROM runs),
 ff AS (SELECT *, (size <= 9.5 AND NOT bold AND (regexp_matches(text, '^[A-Z]{{2,5}}\\s*[–-]') OR starts_with(text, '*') OR starts_with(text, '†') OR (doc_id % 2 = 0 AND top BETWEEN 410 AND 440) OR (top > 675 AND size <= 8.5))) AS footnote FROM fx)
 """
 
@@ -233,27 +286,106 @@ def _placed(spark, d):
     return N.inject_tables(nodes, tables)
 
 
-@query()
+_TREE = f"""{_FOOT},
+headed AS (SELECT *, CASE WHEN bold AND top % 3 = 0 AND size < 11.5 THEN CASE WHEN doc_id % 2 = 0 THEN 'Availability' ELSE 'Drug Quantity Limits' END END AS heading FROM ff),
+broken AS (SELECT *, heading IS NOT NULL OR footnote AS br FROM headed),
+around AS (SELECT *, lag(page) OVER w AS pp, lag(top) OVER w AS pt, lag(br) OVER w AS pb FROM broken WINDOW w AS (PARTITION BY doc_id, section_id ORDER BY page, top)),
+blocked AS (SELECT *, sum(CASE WHEN pp IS NULL OR br OR pb OR (pp = page AND top - pt > 20) OR (bold AND regexp_matches(text, '^Table\\s+\\d+[.\\s]')) THEN 1 ELSE 0 END) OVER w AS block, sum(CASE WHEN heading IS NOT NULL THEN 1 ELSE 0 END) OVER w AS sub FROM around WINDOW w AS (PARTITION BY doc_id, section_id ORDER BY page, top)),
+grouped AS (SELECT doc_id, section_id, segment, sub, block, CASE WHEN heading IS NOT NULL THEN 'subsection' WHEN footnote THEN 'footnote' ELSE 'paragraph' END AS kind, string_agg(text, ' ' ORDER BY page, top, text) AS t, max(heading) AS heading, min({{'page': page, 'top': top}}) AS place FROM blocked GROUP BY ALL),
+nodes AS (SELECT doc_id, section_id, segment, CASE WHEN kind = 'subsection' OR sub = 0 THEN 'section' ELSE 'sub' || CAST(sub AS INTEGER) END AS parent, row_number() OVER (PARTITION BY doc_id, section_id ORDER BY place, block) AS ord, kind, heading, CASE WHEN kind <> 'subsection' THEN t END AS text, place.page AS page, place.top AS top, CAST(sub AS INTEGER) AS sub FROM grouped)
+"""
+
+
+@query(f"WITH {_TREE} SELECT doc_id, section_id, parent, ord, kind, heading FROM nodes")
 def tree_nodes(spark, d):
     return _nodes(spark, d).select("doc_id", "section_id", "parent", "ord", "kind", "heading")
 
 
-@query()
+def _put(nodes: str, at: str, kind: str) -> str:
+    """SQL: a list of nodes with a table after the first ``at``."""
+    return f"list_concat(list_concat({nodes}[1:{at}], [{{'kind': 'table', 'text': NULL, 'sub': 0, 'name': '{kind}', 'heading': 'Table 1. Products'}}]), {nodes}[({at}) + 1:])"
+
+
+def _step(number: int, kind: str, test: str, at: str, sub: str | None = None, inner_at: str = "0") -> str:
+    """SQL: a table put in by its rule: among the children at ``at`` where ``test`` holds, in subsection number ``sub`` where there is one, else at the end."""
+    end = "coalesce(list_position([x.kind IN ('paragraph', 'footnote') AND (contains(lower(x.text), 'publisher') OR contains(lower(x.text), 'operating subsidiaries') OR contains(x.text, '© 20')) for x in kids], true) - 1, len(kids))"
+    n = number
+    if sub is None:
+        return f"s{n} AS (SELECT doc_id, section_id, h, tp, tt, {_put('kids', f'(CASE WHEN {test} THEN {at} ELSE {end} END)', kind)} AS kids, subs FROM s{n - 1})"
+    return (
+        f"a{n} AS (SELECT *, {sub} AS d FROM s{n - 1}), "
+        f"s{n} AS (SELECT doc_id, section_id, h, tp, tt, CASE WHEN d IS NULL THEN {_put('kids', end, kind)} ELSE kids END AS kids, list_transform(subs, lambda s: CASE WHEN s.sub = d THEN {{'sub': s.sub, 'heading': s.heading, 'page': s.page, 'top': s.top, 'kids': {_put('s.kids', inner_at, kind)}}} ELSE s END) AS subs FROM a{n})"
+    )
+
+
+_FIRST_SUB = "[s.sub for s in subs if {0}][1]"
+_TITLE_END = "coalesce(list_position([x.kind = 'paragraph' AND starts_with(x.text, 'Table 1. Products') for x in s.kids], true), len(s.kids))"
+_PLACED = f"""{_TREE},
+sections AS (SELECT doc_id, section_id, any_value(lower(segment)) AS h, min(page) AS tp, min(top) + 100 AS tt FROM nodes GROUP BY ALL),
+kids AS (SELECT doc_id, section_id, list({{'kind': kind, 'text': text, 'sub': CASE WHEN kind = 'subsection' THEN sub ELSE 0 END, 'name': NULL::VARCHAR, 'heading': heading}} ORDER BY ord) AS kids FROM nodes WHERE parent = 'section' GROUP BY ALL),
+inner_ AS (SELECT doc_id, section_id, parent, list({{'kind': kind, 'text': text, 'sub': 0, 'name': NULL::VARCHAR, 'heading': heading}} ORDER BY ord) AS kids FROM nodes WHERE parent <> 'section' GROUP BY ALL),
+subs AS (SELECT n.doc_id, n.section_id, list({{'sub': n.sub, 'heading': lower(n.heading), 'page': n.page, 'top': n.top, 'kids': coalesce(i.kids, [])}} ORDER BY n.ord) AS subs FROM nodes n LEFT JOIN inner_ i ON i.doc_id = n.doc_id AND i.section_id = n.section_id AND i.parent = 'sub' || n.sub WHERE n.kind = 'subsection' GROUP BY ALL),
+s0 AS (SELECT sections.*, kids, coalesce(subs, []) AS subs FROM sections JOIN kids USING (doc_id, section_id) LEFT JOIN subs USING (doc_id, section_id)),
+{_step(1, "revision", "contains(h, 'revision')", "0")},
+{_step(2, "dql", "", "", _FIRST_SUB.format("contains(s.heading, 'drug quantity') OR contains(s.heading, 'quantity limit')"), "coalesce(list_max([i for i in range(1, len(s.kids) + 1) if s.kids[i].kind = 'table' AND i < coalesce(list_position([x.kind = 'paragraph' for x in s.kids], true), len(s.kids) + 1)]), 0)")},
+{_step(3, "availability", "", "", _FIRST_SUB.format("contains(s.heading, 'availability')"), _TITLE_END)},
+{_step(4, "criteria", "false", "0")},
+{_step(5, "hcpcs", "contains(h, 'coding')", "coalesce(list_max([i for i in range(1, len(kids) + 1) if kids[i].kind = 'paragraph']), list_position([x.kind = 'footnote' for x in kids], true) - 1, len(kids))")},
+{_step(6, "moa", "true", "coalesce(list_position([x.kind = 'footnote' OR (x.kind = 'paragraph' AND starts_with(x.text, '*')) for x in kids], true) - 1, 0)")},
+{_step(7, "generic", "", "", "[s.sub for s in subs if (s.page, s.top) <= (tp, tt)][-1]", f"coalesce(list_min([i for i in range({_TITLE_END} + 1, len(s.kids) + 1) if s.kids[i].kind <> 'table']) - 1, len(s.kids))")},
+outer_ AS (SELECT doc_id, section_id, subs, generate_subscripts(kids, 1) AS i, unnest(kids) AS x FROM s7),
+deep AS (SELECT doc_id, section_id, i, 0 AS j, 'section' AS parent, x FROM outer_ UNION ALL SELECT doc_id, section_id, i, generate_subscripts(own, 1), 'sub' || x0.sub, unnest(own) FROM (SELECT doc_id, section_id, i, x AS x0, [s.kids for s in subs if s.sub = x.sub][1] AS own FROM outer_ WHERE x.kind = 'subsection')),
+placed_nodes AS (SELECT doc_id, section_id, parent, row_number() OVER (PARTITION BY doc_id, section_id ORDER BY i, j) AS ord, x.kind AS kind, x.name AS table_type, x.text AS text, x.heading AS heading FROM deep)
+"""
+
+
+@query(f"WITH {_PLACED} SELECT doc_id, section_id, parent, ord, kind, table_type FROM placed_nodes")
 def table_injection(spark, d):
     return _placed(spark, d).select("doc_id", "section_id", "parent", "ord", "kind", "table_type")
 
 
-@query()
+@query(f"WITH {_TREE} SELECT doc_id, string_agg(CASE WHEN parent = 'section' THEN '  ' ELSE '    ' END || upper(kind) || ' ' || coalesce(heading, substr(text, 1, 60), ''), chr(10) ORDER BY section_id, ord) AS dump FROM nodes GROUP BY doc_id")
 def tree_dump(spark, d):
     return N.printed(_nodes(spark, d))
 
 
-@query()
+@query(
+    f"""WITH {_TREE},
+    j AS (SELECT doc_id, section_id, ord, '{{"ord":' || ord || ',"parent":"' || parent || '","kind":"' || kind || '"' || coalesce(',"heading":' || CAST(to_json(heading) AS VARCHAR), '') || coalesce(',"text":' || CAST(to_json(text) AS VARCHAR), '') || ',"page":' || page || ',"top":' || CAST(top AS VARCHAR) || '}}' AS node FROM nodes),
+    s AS (SELECT doc_id, section_id, '{{"section_id":' || CAST(section_id AS BIGINT) || ',"nodes":[' || string_agg(node, ',' ORDER BY ord) || ']}}' AS sec FROM j GROUP BY doc_id, section_id)
+    SELECT doc_id, '[' || string_agg(sec, ',' ORDER BY section_id) || ']' AS json FROM s GROUP BY doc_id"""
+)
 def tree_json(spark, d):
     return N.as_json(_nodes(spark, d))
 
 
-@query()
+def _head_sql() -> str:
+    """The head of a page as SQL, from the texts that the columns are put together of."""
+    e = _ESC.format
+    lines = (
+        "<!doctype html>\n<html>\n <head>\n  <title>", "id", " ", "title", '</title>\n  <meta http-equiv="Content-Type" content="text/html; charset=utf-8">\n  <meta name="source_url" content="',
+        '">\n </head>\n <body>\n  <h1 style="text-align:center;font-size:22pt">', "kind", '</h1>\n  <p>&nbsp;</p>\n  <table id="docDetails">\n   <tbody>\n    <tr><td colspan="2"><strong>Policy Title:</strong> ', "title",
+        "</td></tr>\n    <tr>\n     <td><strong>Coverage Policy Number:</strong> ", "id", "</td>\n     <td><strong>Effective Date:</strong> ", "day",
+        "</td>\n    </tr>\n   </tbody>\n  </table>\n  <p>&nbsp;</p>\n  <hr>\n  <p>&nbsp;</p>",
+    )
+    values = {"id": "CAST(doc_id AS VARCHAR)", "title": e("title"), "kind": e("doc_type"), "day": e("publish_date")}
+    return " || ".join(values.get(x) or "'" + x.replace("\n", "' || chr(10) || '") + "'" for x in lines)
+
+
+_PARTS = f"""{_PLACED},
+meta_lines AS (SELECT doc_id, page, top, text, size, bold, nullif(regexp_extract(text, '(?i)Effective\\s+Date[.\\s…]+([0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}})', 1), '') AS dt,
+  CASE WHEN bold AND (contains(lower(text), 'drug coverage') OR contains(lower(text), 'drug and biologic') OR contains(lower(text), 'medical coverage') OR contains(lower(text), 'administrative policy')) THEN text END AS kind FROM raw WHERE page <= 2),
+meta AS (SELECT doc_id, coalesce(string_agg(text, ' ' ORDER BY page, top) FILTER (size >= 18 AND bold), '') AS title, coalesce(arg_max(dt, (page, top)) FILTER (dt IS NOT NULL), '') AS publish_date, coalesce(arg_max(kind, (page, top)) FILTER (kind IS NOT NULL), 'Coverage Policy') AS doc_type FROM meta_lines GROUP BY doc_id),
+parts AS (
+  SELECT doc_id, section_id AS s, ord AS o, CASE kind WHEN 'subsection' THEN '  <p><em>' || {_ESC.format("heading")} || '</em></p>' WHEN 'footnote' THEN '  <p><small><em>' || {_ESC.format("coalesce(text, '')")} || '</em></small></p>' WHEN 'table' THEN '  <table><!-- ' || table_type || ' --></table>' ELSE '  <p>' || {_ESC.format("coalesce(text, '')")} || '</p>' END AS html FROM placed_nodes
+  UNION ALL SELECT DISTINCT doc_id, section_id, 0, '{R.STRIPE[0].replace(chr(10), "' || chr(10) || '")}Section ' || CAST(section_id AS BIGINT) || '{R.STRIPE[1].replace(chr(10), "' || chr(10) || '")}' FROM nodes
+  UNION ALL SELECT doc_id, 0, 0, {_head_sql()} FROM meta),
+numbered_parts AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s, o) AS k, contains(html, '<small><em>') AND (contains(lower(html), 'publisher companies') OR contains(html, '© 20') OR contains(html, 'operating subsidiaries')) AS foot FROM parts),
+ruled AS (SELECT doc_id, CAST(k AS DOUBLE) AS k, html FROM numbered_parts UNION ALL SELECT doc_id, coalesce(min(k) FILTER (foot) - 0.5, max(k) + 0.5), '{R.RULE}' FROM numbered_parts GROUP BY doc_id)
+"""
+
+
+@query(f"WITH {_PARTS} SELECT doc_id, string_agg(html, chr(10) ORDER BY k) || chr(10) || ' </body>' || chr(10) || '</html>' AS html FROM ruled GROUP BY doc_id")
 def render_html(spark, d):
     nodes = _placed(spark, d)
     html = R.node_html(F.col("kind"), F.col("heading"), F.col("text"), F.concat(F.lit("  <table><!-- "), "table_type", F.lit(" --></table>")))
@@ -274,3 +406,11 @@ def node_html(spark, d):
     lines = L.raw_lines(layout.words(_docs(spark, d)))
     kind = F.when(F.col("bold"), "footnote").when(F.col("italic"), "subsubsection").otherwise("paragraph")
     return lines.select("doc_id", "page", "top", R.node_html(kind, F.col("text"), F.col("text"), F.lit(None).cast("string")).alias("html"))
+
+
+# Whole documents ---------------------------------------------------------------------------------
+
+
+@query()
+def convert_html(spark, d):
+    return D.convert(layout.pages(_docs(spark, d)))

@@ -236,9 +236,21 @@ def underline_flag(spark, d):
     return L.underline(L.raw_lines(words), _rects(words)).select("doc_id", "page", "top", "underline")
 
 
-@query()
+_LONE = "ln % 9 = 4"
+
+
+# a line's words lie within two points of its first, so they share its bucket; a capital alone on a line goes to the next line, 5 to 7 points on
+@query(
+    f"""WITH {layout.WORDS_SQL},
+    moved AS (SELECT *, {_LONE} AS lone, CASE WHEN {_LONE} THEN top + 8 ELSE top + word_idx % 3 - 1 END AS t FROM words WHERE pos = 0 OR NOT ({_LONE})),
+    buckets AS (SELECT doc_id, page, ln, lone, arg_min(t, word_idx) AS key, count(*) AS n FROM moved GROUP BY ALL),
+    near AS (SELECT *, lead(ln) OVER w AS next_ln, lead(key) OVER w AS next_key FROM buckets WINDOW w AS (PARTITION BY doc_id, page ORDER BY ln))
+    SELECT doc_id, page, CASE WHEN lone AND next_ln = ln + 1 THEN next_key ELSE key END AS line_key, CAST(sum(n) AS BIGINT) AS n_words FROM near GROUP BY ALL"""
+)
 def greedy_bucket(spark, d):
-    w = _words(spark, d).withColumn("top", F.col("top") + F.col("word_idx") % 3 - 1)
+    w, lone = _words(spark, d), F.expr(_LONE)
+    w = w.where((F.col("pos") == 0) | ~lone).withColumn("text", F.when(lone, "O").otherwise(F.col("text"))).withColumn("size", F.when(lone, 10.0).otherwise(F.col("size")))
+    w = w.withColumn("top", F.when(lone, F.col("top") + 8).otherwise(F.col("top") + F.col("word_idx") % 3 - 1))
     return L.greedy_buckets(w).groupBy("doc_id", "page", "line_key").agg(F.count("*").alias("n_words"))
 
 

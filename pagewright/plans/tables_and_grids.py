@@ -206,6 +206,61 @@ def consumed_antijoin(spark, d):
     return B.unconsumed(_stitched(spark, d)).select(*KEYS, "handler")
 
 
+def _sql_lines(*lines: str) -> str:
+    return " || chr(10) || ".join(lines)
+
+
+def _built(spark, d):
+    return H.built(B.unconsumed(B.stitch(B.buildable(_handled(spark, d)).withColumn("segment", F.expr(_SEG.replace(" AS seg", ""))))))
+
+
+@query()
+def built_tables(spark, d):
+    return _built(spark, d).select(*KEYS, "handler", "table_type", "title", "html")
+
+
+# what is built, with the rows that a table's body shows: those with anything in them below the header, or all where no bold header is found; a
+# quantity table of one product has one row and one for each row after the first of the next page
+_CASCADE = HANDLER_SQL[HANDLER_SQL.index("CASE WHEN first = 'Type of Revision' THEN 'revision' WHEN contains(lower(title)") : HANDLER_SQL.index(" AS handler,")]
+_TICKS = _CASCADE[_CASCADE.index("WHEN tiny_cols >= 4") : _CASCADE.index("\n  WHEN len([c for c in cells[1] if", _CASCADE.index("WHEN tiny_cols >= 4"))]
+# no tick stands in these tables, so the tick matrix shows nothing and the next handler takes them
+_BUILDABLE = HANDLER_SQL.replace(" AS handler,", f" AS handler, {_CASCADE.replace(_TICKS, '')} AS next_handler,").replace("handled AS (", "every_handled AS (") + ", handled AS (SELECT * FROM every_handled WHERE buildable)"
+_ROWS_SQL = f"""{_BUILDABLE}, {_KEPT},
+stayed AS (SELECT w.doc_id, w.page, w.table_idx, CASE WHEN w.handler = 'availability' THEN b.next_handler ELSE w.handler END AS handler, t.eats, b.bold_header, b.cells FROM walk w JOIN taken t USING (doc_id, page, table_idx) JOIN bh b USING (doc_id, page, table_idx) WHERE w.stays),
+more AS (SELECT s.doc_id, s.page, s.table_idx, flatten(list(f.cells ORDER BY f.page)) AS rest FROM stayed s JOIN firsts f ON f.doc_id = s.doc_id AND list_contains(s.eats, f.page) GROUP BY ALL),
+whole AS (SELECT s.*, list_concat(s.cells, coalesce(m.rest, [])) AS rows_ FROM stayed s LEFT JOIN more m USING (doc_id, page, table_idx)),
+shown AS (SELECT *, len([r for r in rows_ if len([c for c in r if {_SHUT} <> '']) > 0]) - CASE WHEN handler IN ('known_kw', 'titled_generic', 'catch_all') AND NOT bold_header THEN 0 WHEN len([c for c in rows_[1] if {_SHUT} <> '']) > 0 THEN 1 ELSE 0 END AS n_rows FROM whole)
+"""
+
+
+@query(f"WITH RECURSIVE {_ROWS_SQL} SELECT doc_id, page, table_idx, handler, n_rows FROM shown WHERE handler NOT IN ('revision', 'rev_flex', 'dql', 'availability', 'moa', 'fda_dosing')")
+def built_rows(spark, d):
+    found = _built(spark, d).where("handler not in ('revision', 'rev_flex', 'dql', 'availability', 'moa', 'fda_dosing')")
+    body = F.regexp_extract("html", r"(?s)<tbody>(.*)</tbody>", 1)
+    return found.select(*KEYS, "handler", F.regexp_count(body, F.lit("</tr>")).alias("n_rows"))
+
+
+_E = "replace(replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+
+
+def _l(text: str) -> str:
+    return "'" + text.replace("\n", "' || chr(10) || '") + "'"
+
+
+@query(
+    f"""WITH RECURSIVE {_ROWS_SQL},
+    revs AS (SELECT * FROM whole WHERE handler IN ('revision', 'rev_flex')),
+    rr AS (SELECT doc_id, page, table_idx, generate_subscripts(rows_, 1) - 1 AS r, unnest(rows_) AS row FROM revs),
+    rc AS (SELECT doc_id, page, table_idx, r, replace(trim(coalesce(row[1], '')), chr(10), ' ') AS c0, replace(trim(coalesce(row[2], '')), chr(10), ' ') AS c1, replace(trim(coalesce(row[3], '')), chr(10), ' ') AS c2 FROM rr),
+    rf AS (SELECT *, coalesce(last_value(CASE WHEN r > 0 THEN nullif(c0, '') END IGNORE NULLS) OVER (PARTITION BY doc_id, page, table_idx ORDER BY r), '') AS kind FROM rc),
+    rh AS (SELECT doc_id, page, table_idx, max(CASE WHEN r = 0 THEN '     <th>' || {_E.format("c0")} || '</th>' || chr(10) || '     <th>' || {_E.format("c1")} || '</th>' || chr(10) || '     <th>' || {_E.format("c2")} || '</th>' END) AS head,
+      string_agg(CASE WHEN r > 0 AND (c0 <> '' OR c1 <> '' OR c2 <> '') THEN {_l("    <tr>" + chr(10) + H.TOP_CELL)} || {_E.format("kind")} || {_l("</td>" + chr(10) + H.TOP_CELL)} || {_E.format("c1")} || {_l("</td>" + chr(10) + H.DATE_CELL)} || {_E.format("c2")} || {_l("</td>" + chr(10) + "    </tr>")} END, chr(10) ORDER BY r) AS body FROM rf GROUP BY ALL)
+    SELECT doc_id, page, table_idx, {_l(G.TABLE_OPEN + chr(10) + "   <thead>" + chr(10) + G.HEAD_ROW + chr(10))} || head || {_l(chr(10) + "    </tr>" + chr(10) + "   </thead>" + chr(10) + "   <tbody>" + chr(10))} || body || {_l(chr(10) + "   </tbody>" + chr(10) + "  </table>")} AS html FROM rh WHERE body IS NOT NULL"""
+)
+def built_revisions(spark, d):
+    return _built(spark, d).where("table_type = 'revision'").select(*KEYS, "html")
+
+
 @query(f"WITH {grids.GRIDS_SQL} SELECT t.doc_id, t.page, t.table_idx, (SELECT max(r.bottom) FROM grects r WHERE r.doc_id = t.doc_id AND r.page = t.page AND r.fill AND (r.r + r.g + r.b) / 3 BETWEEN 0.3 AND 0.98 AND r.top >= t.top - 2 AND r.bottom <= t.bottom + 2) AS gray_bottom FROM tables t")
 def gray_bottom(spark, d):
     t, _, r = _all(spark, d)
@@ -224,11 +279,33 @@ def title_backfill(spark, d):
     return B.backfill_titles(nodes, _detected(spark, d)).select(*KEYS, "title")
 
 
-@query()
-def title_walk(spark, d):
+def _walk(heading: str) -> str:
+    return f"""{grids.GRIDS_SQL},
+above AS (SELECT t.doc_id, t.page, t.table_idx, w.top, w.x0, w.text, w.size, contains(w.fontname, 'Bold') AS bold, row_number() OVER (PARTITION BY t.doc_id, t.page, t.table_idx ORDER BY w.top DESC, w.x0 DESC, w.text DESC, w.size DESC) AS k
+  FROM tables t JOIN gwords w ON w.doc_id = t.doc_id AND w.page = t.page AND w.top < t.top),
+walk AS (SELECT doc_id, page, table_idx, 0::BIGINT AS k, false AS stop, top AS at, NULL::DOUBLE AS x, NULL::DOUBLE AS sz, ''  AS text FROM tables
+  UNION ALL SELECT a.doc_id, a.page, a.table_idx, a.k, w.at - a.top > 20 OR NOT a.bold OR coalesce({heading}, false), a.top, a.x0, a.size, a.text
+  FROM walk w JOIN above a ON a.doc_id = w.doc_id AND a.page = w.page AND a.table_idx = w.table_idx AND a.k = w.k + 1 WHERE NOT w.stop),
+got AS (SELECT * FROM walk WHERE k > 0 AND NOT stop),
+level AS (SELECT g.*, (SELECT max(o.at) FROM got o WHERE o.doc_id = g.doc_id AND o.page = g.page AND o.table_idx = g.table_idx AND abs(o.at - g.at) <= 6) AS l FROM got g),
+named AS (SELECT doc_id, page, table_idx, string_agg(text, ' ' ORDER BY l, x, text) AS title FROM level GROUP BY ALL)
+SELECT doc_id, page, table_idx, substr(coalesce(title, ''), 1, 80) AS title FROM tables LEFT JOIN named USING (doc_id, page, table_idx)"""
+
+
+def _walked(spark, d, same_size: bool):
     t, w, _ = _all(spark, d)
     lines = w.select("doc_id", "page", "top", "x0", "text", "size", F.col("fontname").contains("Bold").alias("bold"))
-    return B.walked_titles(t, lines).select(*KEYS, "title")
+    return B.walked_titles(t, lines, same_size=same_size).select(*KEYS, "title")
+
+
+@query("WITH RECURSIVE " + _walk("length(a.text) < 30 AND abs(a.x0 - w.x) < 5 AND a.size > w.sz + 0.5"))
+def title_walk(spark, d):
+    return _walked(spark, d, False)
+
+
+@query("WITH RECURSIVE " + _walk("abs(a.size - w.sz) > 1"))
+def title_walk_same_size(spark, d):
+    return _walked(spark, d, True)
 
 
 # Grids -------------------------------------------------------------------------------------------

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,16 +53,31 @@ def write_manifest(df: DataFrame, path: str) -> None:
 
 
 def write_html(documents: DataFrame, path: str, dry_run: bool = False) -> int:
-    """Writes (stem, html) as one row a document, to be laid out as <stem>.htm by a reader of the table; returns the number of documents."""
-    named = documents.select(F.concat("stem", F.lit(".htm")).alias("file"), "html")
+    """Writes (stem, html) as files <stem>.htm below ``path``, each by the task that has it; returns the number of documents.
+
+    Files go to a folder that executors see, by the file system of ``path`` that pyarrow knows (file, hdfs, s3, gs). A task that is tried again
+    writes the same files.
+    """
     if not dry_run:
-        named.write.mode("overwrite").parquet(path)
-    return named.count()
+
+        def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyarrow import fs
+
+            to, root = fs.FileSystem.from_uri(path)
+            to.create_dir(root, recursive=True)
+            for batch in batches:
+                for stem, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    with to.open_output_stream(f"{root}/{stem}.htm") as out:
+                        out.write(html.encode())
+                yield pa.RecordBatch.from_arrays([batch.column(0)], names=["stem"])
+
+        return documents.select("stem", "html").mapInArrow(put, "stem string").count()
+    return documents.count()
 
 
 def write_report(lines: DataFrame, path: str, order: list[str]) -> None:
-    """Text lines (column ``line``) in order, one file a partition."""
-    lines.orderBy(*order).select("line").write.mode("overwrite").text(path)
+    """Text lines (column ``line``) in order, as one file: a report has a line a document that failed."""
+    lines.orderBy(*order).select("line").coalesce(1).write.mode("overwrite").text(path)
 
 
 def write_logs(results: DataFrame, path: str) -> None:

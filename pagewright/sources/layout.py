@@ -49,6 +49,31 @@ def words(docs: DataFrame) -> DataFrame:
     )
 
 
+def pages(docs: DataFrame) -> DataFrame:
+    """Whole pages of the layout, as a reader gives them: doc_id, page, words, rects, tables, annots (arrays).
+
+    Documents with an even id have a ruled table on every page with such lines: at the top (lines 0 to 4) where the id is divisible by 4, else
+    lines 20 to 24; three cells a line, below a header of ``grids.HEADERS`` with gray behind it.
+    """
+    from .grids import HEADERS
+
+    held = words(docs).groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("word_idx", "text", "x0", "x1", "top", "bottom", "fontname", "size", (F.col("ln") % LINES_A_PAGE).cast("int").alias("ln"), "pos"))).alias("words"))
+    first = F.when(F.col("doc_id") % 4 == 0, 0).when(F.col("doc_id") % 2 == 0, 20)
+    cell = lambda line, j: F.array_join(F.transform(F.filter("words", lambda w: (w["ln"] == line) & (F.floor(w["pos"] / 4) == j)), lambda w: w["text"]), " ")
+    lines = F.filter(F.sequence(F.col("_first"), F.col("_first") + 4), lambda n: F.exists("words", lambda w: w["ln"] == n))
+    body = F.transform(lines, lambda n: F.transform(F.sequence(F.lit(0), F.lit(2)), lambda j: cell(n, j)))
+    header = F.get(F.array(*[F.array(*[F.lit(c).cast("string") for c in h]) for h in HEADERS]), ((F.col("doc_id") + F.col("page")) % len(HEADERS)).cast("int"))
+    top = (72 + 14 * F.col("_first")).cast("double")
+    bbox = F.struct(F.lit(54.0).alias("x0"), (top - 2).alias("top"), F.lit(530.0).alias("x1"), (top + 68).alias("bottom"))
+    table = F.struct(F.lit(0).alias("table_idx"), bbox.alias("bbox"), F.concat(F.array(header), body).alias("cells"))
+    gray = F.struct(F.lit(0).cast("long").alias("rect_idx"), F.lit(54.0).alias("x0"), F.lit(530.0).alias("x1"), (top - 2).alias("top"), (top + 12).alias("bottom"), F.lit(True).alias("fill"), F.array(F.lit(0.8), F.lit(0.8), F.lit(0.8)).alias("color"))
+    some = F.col("_first").isNotNull() & (F.size(F.coalesce(lines, F.array().cast("array<int>"))) >= 2)
+    out = held.withColumn("_first", first)
+    none = lambda x: F.filter(F.array(x), lambda _: F.lit(False))
+    out = out.withColumns({"rects": F.when(some, F.array(gray)).otherwise(none(gray)), "tables": F.when(some, F.array(table)).otherwise(none(table)), "annots": F.array().cast("array<struct<uri:string,x0:double,top:double,bottom:double>>")})
+    return out.select("doc_id", "page", F.transform("words", lambda w: F.struct(*[w[c].alias(c) for c in ("word_idx", "text", "x0", "x1", "top", "bottom", "fontname", "size")])).alias("words"), "rects", "tables", "annots")
+
+
 def boxes(docs: DataFrame) -> DataFrame:
     """Regions taken by tables, made up: on every page the band of lines 20 to 24 of documents with an even id.
 

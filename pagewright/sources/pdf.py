@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: One row per page: arrays of its primitives, in the order of the reader.
 SCHEMA = (
@@ -69,3 +70,12 @@ def read_pages(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFr
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
     return files.mapInPandas(pages, SCHEMA)
+
+
+def pages(read: DataFrame) -> DataFrame:
+    """``read_pages`` as whole pages for ``operators.convert``: doc_id (a hash of the path), path, page, words, rects, tables, annots with their indices; pages of files that failed go."""
+    numbered = lambda column, name: F.transform(column, lambda x, i: x.withField(name, i))
+    return read.where("error is null").select(
+        F.xxhash64("path").alias("doc_id"), "path", "page", numbered("words", "word_idx").alias("words"), numbered("rects", "rect_idx").alias("rects"),
+        numbered("tables", "table_idx").alias("tables"), "annots",
+    )
