@@ -11,7 +11,7 @@ entries bytes of chunks, then (but for the last level) ceil(entries / 512) u32 r
 64 bytes of bitmap for each such block.
 
 ``write_token_files`` gives the documents' ids in ascending doc_id order (null first; equal ids by the
-text's CRC-32, then the token ids): the ids of bucket b come before those of bucket b + 1, segment s before s + 1. Texts become ids where they
+text's CRC-32): the ids of bucket b come before those of bucket b + 1, segment s before s + 1. Texts become ids where they
 are read; ids alone are shuffled, two bytes each where all of a document fit.
 ``read_token_files`` reads them back; ``tokens_at`` gives single tokens of documents: the directory says which segment holds one, and of
 those segments each token takes a byte and a rank a level. A null text has the end id alone; an empty table gives no
@@ -21,6 +21,7 @@ rows; repeated rows are documents of their own; other columns are ignored.
 from __future__ import annotations
 
 import struct
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import doc_key, few_files, flush, from_key, partitions, remove, rows, scratch, text_bytes, tidy, written
+from ._common import doc_key, few_files, flush, from_key, partitions, rows, scratch, text_bytes, tidy, written
 from ._tokens import encoder, in_groups, vocabulary
 
 MAGIC = b"DAC1"
 BLOCK_BITS = 512
 #: A segment ends with the document that brings it to so many ids.
 SEGMENT_IDS = 1 << 17
+#: Rows that repeat an id and a text may go to so many buckets.
+SALTS = 1 << 16
 #: Segments that are named to the reader of a table; more are joined.
 NAMED = 1000
 
@@ -121,36 +124,52 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, "<u2" if data[0] == 0 else "<u4", offset=1).astype("<u4")
 
 
+def _cuts(keyed: DataFrame, n: int) -> list[tuple[int, int, int]]:
+    """Where n buckets of about as many documents begin, by (key, crc, salt), from some hundred rows a bucket."""
+    total = keyed.count()
+    rate = min(1.0, 100.0 * n / max(1, total))
+    some = keyed.where(F.rand(7) < rate).select("key", "crc", F.floor(F.rand(11) * SALTS).cast("long").alias("salt")).collect()
+    some = sorted(map(tuple, some))
+    return [some[i * len(some) // n] for i in range(1, n)] if some else []
+
+
 @tidy
-def _encoded(batches: Iterator[pa.RecordBatch], path: str, kind: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("key", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, kind: str, end_id: int, cuts: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
+    """bucket, key, crc, salt, ids: the salt of a row, by its place in the task, deals rows that repeat to several buckets."""
+    from pyspark import TaskContext
+
+    schema = pa.schema([("bucket", pa.int32()), ("key", pa.int64()), ("crc", pa.int64()), ("salt", pa.int32()), ("ids", pa.binary())])
     encode, end = encoder(path, kind).encode_all, struct.pack("<I", end_id)
+    n = TaskContext.get().partitionId() * 2_654_435_761
     for group in in_groups(rows(batches), 2):
-        ids = encode([t for _, _, t in group])
-        yield flush([[k for k, _, _ in group], [c for _, c, _ in group], [_packed(x + end) for x in ids]], schema)
+        out: list[list] = [[] for _ in schema]
+        for (key, crc, _), ids in zip(group, encode([t for _, _, t in group])):
+            n += 40_503
+            salt = (n ^ n >> 16) % SALTS
+            for column, x in zip(out, (bisect_right(cuts, (key, crc, salt)), key, crc, salt, _packed(ids + end))):
+                column.append(x)
+        yield flush(out, schema)
 
 
 @tidy
 def _segments(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
     schema = pa.schema([("bucket", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.binary()), ("lengths", pa.binary()), ("payload", pa.binary())])
-    bucket, segment, before, docs, parts, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
+    segment, before, docs, parts, held = 0, 0, [], [], 0
 
-    def segment_row() -> pa.RecordBatch:
+    def segment_row(bucket: int) -> pa.RecordBatch:
         ids = np.concatenate(parts)
         lengths = np.array([len(p) for p in parts], "<i8").tobytes()
         return flush([[bucket], [segment], [before], [len(ids)], [np.array(docs, "<i8").tobytes()], [lengths], [dac_encode(ids)]], schema)
 
-    for doc, data in rows(batches):
+    for bucket, doc, data in rows(batches):  # of one bucket
         docs.append(doc)
         parts.append(_unpacked(data))
         held += len(parts[-1])
         if held >= most:
-            yield segment_row()
+            yield segment_row(bucket)
             segment, before, docs, parts, held = segment + 1, before + held, [], [], 0
     if parts:
-        yield segment_row()
+        yield segment_row(bucket)
 
 
 @tidy
@@ -185,21 +204,20 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "word", end_id: int = 1, segment_ids: int = SEGMENT_IDS) -> None:
     """Writes the documents' ids as a table of segments.
 
-    A bucket is a range partition of doc_id and CRC-32 of the text, numbered in ascending order.
+    A bucket is a range of doc_id, CRC-32 of the text and a salt, numbered in ascending order. Its bounds come from a sample of
+    the keys, so texts are encoded once, on the way to their bucket.
     """
+    n = partitions(docs.sparkSession)
     keyed = docs.select(doc_key().alias("key"), F.crc32(text_bytes()).alias("crc"), text_bytes().alias("text"))
-    encoded = keyed.mapInArrow(lambda b: _encoded(b, tokenizer_path, kind, end_id), "key long, crc long, ids binary")
-    ids = scratch(docs.sparkSession, "ids")  # written once: ranges are sampled before they are dealt
-    encoded.write.parquet(ids)
+    cuts = _cuts(keyed.select("key", "crc"), n)
     (
-        docs.sparkSession.read.schema(encoded.schema).parquet(ids)
-        .repartitionByRange(partitions(docs.sparkSession), "key", "crc")
-        .sortWithinPartitions("key", "crc", "ids")
-        .select("key", "ids")
+        keyed.mapInArrow(lambda b: _encoded(b, tokenizer_path, kind, end_id, cuts), "bucket int, key long, crc long, salt int, ids binary")
+        .repartitionById(n, "bucket")
+        .sortWithinPartitions("key", "crc", "salt")
+        .select("bucket", "key", "ids")
         .mapInArrow(lambda b: _segments(b, segment_ids), _SEGMENT)
         .write.parquet(path)
-    )
-    remove(docs.sparkSession, ids)
+    )
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
