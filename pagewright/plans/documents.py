@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import vocabulary as V
 from pagewright.operators import blocks as K
-from pagewright.operators import convert as D
 from pagewright.operators import corpus as C
 from pagewright.operators import lines as L
 from pagewright.operators import render as R
@@ -406,11 +405,3 @@ def node_html(spark, d):
     lines = L.raw_lines(layout.words(_docs(spark, d)))
     kind = F.when(F.col("bold"), "footnote").when(F.col("italic"), "subsubsection").otherwise("paragraph")
     return lines.select("doc_id", "page", "top", R.node_html(kind, F.col("text"), F.col("text"), F.lit(None).cast("string")).alias("html"))
-
-
-# Whole documents ---------------------------------------------------------------------------------
-
-
-@query()
-def convert_html(spark, d):
-    return D.convert(layout.pages(_docs(spark, d)))
