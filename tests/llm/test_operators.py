@@ -483,11 +483,11 @@ def test_toxicity_held_out(spark, nothing):
 
 def test_documents_without_a_leaning_term_are_searched_by_the_wide_vocabulary(spark):
     """With few examples no term leans beyond chance; the wide vocabulary still finds the nearest examples."""
-    rows = toxic_corpus(120)
+    rows = toxic_corpus(400)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(5000, "")], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
-    model = toxicity.fit(docs, labels, sample=40)
-    assert model.wide.number and len(model.wide.ids) <= 40 and len(model.ids) <= 40
+    model = toxicity.fit(docs, labels, sample=120)
+    assert model.wide.number and len(model.wide.ids) <= 120 and len(model.ids) <= 120
     taught = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 != 1}
     for i, text, _ in [*rows, (5000, "", 0)]:
         words = WORD.findall(lower(text.encode()))
