@@ -10,7 +10,10 @@ anchors travel: about two of every ``window - gram`` units.
    member of a class goes on from each batch of a task, the others are settled there. So a passage
    that a third of all documents share sends one row a batch.
 2. ``resolve``: anchors meet by gram. Members of a class with several places repeat in full. Classes that
-   share the gram and one half of the context may share some windows; their contexts are requested.
+   share the gram and one half of the context may share some windows; their contexts are requested. A gram that a
+   sample of documents shows to have more than HOT contexts doesn't meet in one task: its anchors meet by gram and half,
+   once for each half, and by context where a half is as frequent; contexts of such a half are requested unseen.
+   The sample decides only where anchors meet, not what is found.
 3. ``contexts``: the requested contexts are cut from the documents and meet by gram again, where the
    operator's own index (a suffix array, a suffix automaton) decides every window. A gram with more
    than HOT contexts sends its windows one by one, dealt by their own hash, to the same index. Equal windows are settled
@@ -45,6 +48,10 @@ BATCH = 1 << 18
 HOT = {"bytes": 30_000, "words": 4_000}
 #: Single windows a task settles at once.
 HELD = 1 << 16
+#: Documents that are looked at for frequent grams (on average), the fewest contexts among them that count, and the most grams (and halves) listed.
+SAMPLED = 8192
+HITS = 32
+LISTED = 1 << 16
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _MASK64 = (1 << 64) - 1
@@ -257,8 +264,65 @@ def _unpack(blob: bytes, units: Units) -> dict[str, np.ndarray]:
     return out
 
 
+@dataclass(frozen=True)
+class Frequent:
+    """Hashes of grams, and of grams with a half of their context, that have too many contexts to meet in one task."""
+
+    grams: np.ndarray
+    halves: np.ndarray
+
+
+NONE = Frequent(np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+
+
+def _half(a: dict[str, np.ndarray], side: str) -> np.ndarray:
+    """Hashes of the anchors' grams with the half of their context on one side."""
+    return _mix(a["gram"] ^ _mix(a[side].astype(np.uint64) + np.uint64(1 << 32 if side == "low" else 1 << 33)))
+
+
+def _dealt(a: dict[str, np.ndarray], frequent: Frequent) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors (by place in ``a``; those of frequent grams twice) and the hash by which each meets its like."""
+    split = np.isin(a["gram"], frequent.grams)
+    twice = np.flatnonzero(split)
+    some, by = [np.flatnonzero(~split)], [a["gram"][~split]]
+    for side in ("low", "high") if len(twice) else ():
+        half = _half(a, side)[twice]
+        some.append(twice)
+        by.append(np.where(np.isin(half, frequent.halves), a["context"][twice], half))
+    return np.concatenate(some), np.concatenate(by)
+
+
+@tidy
+def _tally(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool, grams: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Contexts of each gram, or of each half of ``grams``."""
+    for batch in _anchors(batches, units, 1, keep_first):
+        for blob in batch.filter(batch.column("key").is_null()).column("blob").to_pylist():
+            a = _unpack(blob, units)
+            if grams is not None:
+                among = np.isin(a["gram"], grams)
+                a = {k: v[among] for k, v in a.items()}
+            found = a["gram"] if grams is None else np.concatenate([_half(a, "low"), _half(a, "high")])
+            hashes, n = np.unique(found, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"hash": pa.array(hashes.view(np.int64)), "n": pa.array(n, pa.int64())})
+
+
+def find_frequent(docs: DataFrame, units: Units, keep_first: bool) -> Frequent:
+    """Grams that have more than HOT contexts, as far as about SAMPLED documents show, and such halves of theirs; at most LISTED of each."""
+    share = min(1.0, SAMPLED / max(1, docs.count()))
+    some = docs.sample(share, 42).select(doc_key().alias("key"), F.xxhash64(text_bytes()).alias("th"), text_bytes().alias("text"))
+    least = max(HITS, HOT[units.kind] * share)
+
+    def listed(grams: np.ndarray | None) -> np.ndarray:
+        counts = some.mapInArrow(lambda b: _tally(b, units, keep_first, grams), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+        most = counts.where(F.col("n") > least).orderBy(F.desc("n"), "hash").limit(LISTED).collect()
+        return np.sort(np.array([r["hash"] for r in most], np.int64).view(np.uint64))
+
+    grams = listed(None)
+    return Frequent(grams, listed(grams)) if len(grams) else NONE
+
+
 @tidy
-def _anchors(batches: Iterator[pa.RecordBatch], units: Units, targets: int, keep_first: bool) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], units: Units, targets: int, keep_first: bool, frequent: Frequent = NONE) -> Iterator[pa.RecordBatch]:
     finder = Anchors(units)
     docs: list[tuple[int, int]] = []
     held: list[dict[str, np.ndarray]] = []
@@ -276,7 +340,8 @@ def _anchors(batches: Iterator[pa.RecordBatch], units: Units, targets: int, keep
         target = (a["th"][rows_] % targets).astype(np.int32)
         yield from _covers(_FLOW, a["key"][rows_], a["th"][rows_], pos - a["left"][rows_], pos + a["right"][rows_], target)
         go = np.flatnonzero(first)
-        target = (a["gram"][go] >> np.uint64(20)) % np.uint64(targets)
+        some, by = _dealt({k: a[k][go] for k in ("gram", "context", "low", "high")}, frequent)
+        go, target = go[some], (by >> np.uint64(20)) % np.uint64(targets)
         order = np.lexsort((a["gram"][go], target))
         go, target = go[order], target[order]
         cut = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]])) if len(go) else np.zeros(0, int)
@@ -340,7 +405,7 @@ def _classes(a: dict[str, np.ndarray], keep_first: bool) -> tuple[np.ndarray, np
 
 
 @tidy
-def _resolve(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool) -> Iterator[pa.RecordBatch]:
+def _resolve(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool, frequent: Frequent = NONE) -> Iterator[pa.RecordBatch]:
     held = []
     for batch in batches:
         mine = batch.column("key").is_null().to_numpy(zero_copy_only=False)
@@ -365,11 +430,15 @@ def _resolve(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool)
         equal = (g[1:] == g[:-1]) & (s[1:] == s[:-1])
         asked[order[1:][equal]] = True
         asked[order[:-1][equal]] = True
+    split = np.flatnonzero(np.isin(a["gram"][reps], frequent.grams))
+    if len(split):
+        mine = {k: a[k][reps[split]] for k in ("gram", "low", "high")}
+        asked[split] |= np.isin(_half(mine, "low"), frequent.halves) | np.isin(_half(mine, "high"), frequent.halves)
     go = reps[asked]
     if not len(go):
         return
     _, inverse, counts = np.unique(a["gram"][go], return_inverse=True, return_counts=True)
-    among = counts[inverse]
+    among = np.where(np.isin(a["gram"][go], frequent.grams), HOT[units.kind] + 1, counts[inverse])  # no task has all of a frequent gram
     for x in range(0, len(go), 65536):
         some, m = go[x : x + 65536], len(go[x : x + 65536])
         yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int32()), pa.array(a["key"][some]), pa.array(a["th"][some]), pa.nulls(m, pa.binary()), pa.array(a["pos"][some].astype(np.int32)), pa.array(a["gram"][some].view(np.int64)), pa.array(among[x : x + 65536].astype(np.int32))], schema=_FLOW)
@@ -455,9 +524,10 @@ def repeats(docs: DataFrame, units: Units, keep_first: bool, decide: Callable, f
     carried = F.struct(*carry) if carry else F.lit(None).cast("int")
     whole = docs.select(doc_key().alias("key"), text_bytes().alias("text"), carried.alias("carried")).withColumn("th", F.xxhash64("text"))
     keyed = whole.select("key", "th", "text")
-    flow = keyed.mapInArrow(lambda b: _anchors(b, units, targets, keep_first), _FLOW_DDL)
-    flow = written(flow.repartition(n, "target").mapInArrow(lambda b: _resolve(b, units, keep_first), _FLOW_DDL).drop("target"), "repeats")
-    asked = flow.where("pos is not null").groupBy("key", "th").agg(F.collect_list(F.struct("pos", "gram", "among")).alias("asked"))  # as long as the document at most
+    many = find_frequent(docs, units, keep_first)
+    flow = keyed.mapInArrow(lambda b: _anchors(b, units, targets, keep_first, many), _FLOW_DDL)
+    flow = written(flow.repartition(n, "target").mapInArrow(lambda b: _resolve(b, units, keep_first, many), _FLOW_DDL).drop("target"), "repeats")
+    asked = flow.where("pos is not null").groupBy("key", "th").agg(F.collect_set(F.struct("pos", "gram", "among")).alias("asked"))  # as long as the document at most
     dealt = whole.select("key", "th", "text", "carried").repartition(n, "key", "th")  # shuffled once, for both joins: they take the same columns
     found = (
         dealt.join(asked.hint("shuffle_hash"), ["key", "th"])

@@ -140,6 +140,32 @@ def test_hot_windows_send_a_row_a_task(kind, keep_first, monkeypatch):
         assert got.tolist() == [bool(m) for m in mask]
 
 
+@pytest.mark.parametrize("least", [2, 8, 10**6])
+def test_frequent_grams_meet_by_half(spark, least, monkeypatch):
+    """Grams (and halves) of too many contexts for one task meet elsewhere; the result can't differ."""
+    monkeypatch.setattr(_repeats, "HOT", {"bytes": least, "words": least})
+    monkeypatch.setattr(_repeats, "HITS", 1)
+    rnd = random.Random(11)
+    word = lambda: "".join(chr(rnd.randrange(97, 123)) for _ in range(rnd.randrange(2, 7)))
+    same, left, right = ([word() for _ in range(n)] for n in (20, 18, 18))
+    middles = [[*left[18 - i % 19 :], *same, *right[: i * 7 % 19]] for i in range(48)]
+    texts = [" ".join([*[word() for _ in range(25)], *m, *[word() for _ in range(25)]]) for m in middles]
+    texts += texts[:6] + [" ".join(m) for m in middles[:4]] + [texts[0] + " " + texts[0], "", "one"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for kind in ("bytes", "words"):
+        units = _repeats.Units(kind, 35, substring_dedup.GRAM) if kind == "words" else _repeats.Units(kind, 100, suffix_dedup.GRAM)
+        many = _repeats.find_frequent(df, units, kind == "bytes")
+        assert (len(many.grams) > 0, len(many.halves) > 0) == ((True, True) if least < 10**6 else (False, False))
+    kept = {r["doc_id"]: bytes(r["kept"]) for r in suffix_dedup.dedup(df).collect()}
+    whole = [t.encode() for t in texts]
+    for i, (text, mask) in enumerate(zip(whole, brute(whole, 100, True))):
+        assert kept[i] == bytes(b for b, m in zip(text, mask) if not m), i
+    kept = {r["doc_id"]: bytes(r["kept"]) for r in substring_dedup.dedup(df).collect()}
+    split = [t.split() for t in whole]
+    for i, (units, mask) in enumerate(zip(split, brute(split, 35, False))):
+        assert kept[i] == b" ".join(w for w, m in zip(units, mask) if not m), i
+
+
 def test_lengths_over_a_byte(spark):
     """Copies of a passage in several partitions are found whatever the length of a window."""
     rnd = random.Random(7)
