@@ -337,7 +337,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], units: Units, targets: int, keep
         rows_ = np.flatnonzero(covered)
         rows_ = rows_[np.lexsort((a["pos"][rows_], a["th"][rows_], a["key"][rows_]))]
         pos = a["pos"][rows_]
-        target = (a["th"][rows_] % targets).astype(np.int32)
+        target = (_mix((a["key"][rows_] ^ a["th"][rows_]).view(np.uint64)) % np.uint64(targets)).astype(np.int32)  # any task; copies have one th
         yield from _covers(_FLOW, a["key"][rows_], a["th"][rows_], pos - a["left"][rows_], pos + a["right"][rows_], target)
         go = np.flatnonzero(first)
         some, by = _dealt({k: a[k][go] for k in ("gram", "context", "low", "high")}, frequent)
@@ -491,7 +491,7 @@ def _settled(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool)
         for (key, th), starts in covered.items():
             start = np.array(starts, np.int64)
             runs = np.stack(merge(start, start + units.window), 1).astype("<i4").tobytes()
-            for column, x in zip(out, (th & 0x7FFFFFFF, 0, key, th, -1, runs)):
+            for column, x in zip(out, ((key ^ th) & 0x7FFFFFFF, 0, key, th, -1, runs)):
                 column.append(x)
         yield flush(out, schema)
 
