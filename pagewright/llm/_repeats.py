@@ -11,7 +11,7 @@ anchors travel: about two of every ``window - gram`` units.
    that a third of all documents share sends one row a batch.
 2. ``resolve``: anchors meet by gram. Members of a class with several places repeat in full. Classes that
    share the gram and one half of the context may share some windows; their contexts are requested. A gram that a
-   sample of documents shows to have more than HOT contexts doesn't meet in one task: its anchors meet by gram and half,
+   sample of documents shows to have more than MEET contexts doesn't meet in one task: its anchors meet by gram and half,
    once for each half, and by context where a half is as frequent; contexts of such a half are requested unseen.
    The sample decides only where anchors meet, not what is found.
 3. ``contexts``: the requested contexts are cut from the documents and meet by gram again, where the
@@ -46,6 +46,8 @@ PIECE = 1 << 18
 BATCH = 1 << 18
 #: Contexts of a gram that one task compares; beyond that they are dealt by window. An automaton takes more memory than an array.
 HOT = {"bytes": 30_000, "words": 4_000}
+#: Contexts of a gram whose anchors (about 50 bytes each) meet in one task.
+MEET = 1 << 17
 #: Single windows a task settles at once.
 HELD = 1 << 16
 #: Documents that are looked at for frequent grams (on average), the fewest contexts among them that count, and the most grams (and halves) listed.
@@ -307,10 +309,10 @@ def _tally(batches: Iterator[pa.RecordBatch], units: Units, keep_first: bool, gr
 
 
 def find_frequent(docs: DataFrame, units: Units, keep_first: bool) -> Frequent:
-    """Grams that have more than HOT contexts, as far as about SAMPLED documents show, and such halves of theirs; at most LISTED of each."""
+    """Grams that have more than MEET contexts, as far as about SAMPLED documents show, and such halves of theirs; at most LISTED of each."""
     share = min(1.0, SAMPLED / max(1, docs.count()))
     some = docs.sample(share, 42).select(doc_key().alias("key"), F.xxhash64(text_bytes()).alias("th"), text_bytes().alias("text"))
-    least = max(HITS, HOT[units.kind] * share)
+    least = max(HITS, MEET * share)
 
     def listed(grams: np.ndarray | None) -> np.ndarray:
         counts = some.mapInArrow(lambda b: _tally(b, units, keep_first, grams), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))

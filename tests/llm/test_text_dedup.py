@@ -143,7 +143,7 @@ def test_hot_windows_send_a_row_a_task(kind, keep_first, monkeypatch):
 @pytest.mark.parametrize("least", [2, 8, 10**6])
 def test_frequent_grams_meet_by_half(spark, least, monkeypatch):
     """Grams (and halves) of too many contexts for one task meet elsewhere; the result can't differ."""
-    monkeypatch.setattr(_repeats, "HOT", {"bytes": least, "words": least})
+    monkeypatch.setattr(_repeats, "MEET", least)
     monkeypatch.setattr(_repeats, "HITS", 1)
     rnd = random.Random(11)
     word = lambda: "".join(chr(rnd.randrange(97, 123)) for _ in range(rnd.randrange(2, 7)))
