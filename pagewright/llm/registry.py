@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, embeddings, licenses, packing, sharding, simhash, substring_dedup, suffix_dedup, token_files, toxicity
+from . import decontamination, embeddings, licenses, packing, sharding, simhash, spelling, substring_dedup, suffix_dedup, token_files, toxicity
 
-_MODULES = (toxicity, suffix_dedup, substring_dedup, simhash, sharding, licenses, embeddings, decontamination, token_files, packing)
+_MODULES = (toxicity, suffix_dedup, substring_dedup, simhash, sharding, licenses, embeddings, decontamination, token_files, packing, spelling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
