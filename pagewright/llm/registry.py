@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, embeddings, kmeans, licenses, packing, sharding, simhash, spelling, substring_dedup, suffix_dedup, token_files, toxicity
+from . import decontamination, embeddings, kmeans, licenses, packing, sharding, simhash, spelling, substring_dedup, suffix_dedup, token_files, toxicity, warc
 
-_MODULES = (toxicity, suffix_dedup, substring_dedup, simhash, sharding, licenses, embeddings, decontamination, token_files, packing, kmeans, spelling)
+_MODULES = (toxicity, suffix_dedup, substring_dedup, simhash, sharding, licenses, embeddings, decontamination, token_files, packing, warc, kmeans, spelling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
