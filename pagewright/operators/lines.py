@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from pagewright.functions import text as T
 from pagewright.functions.vocabulary import BULLET_CHARS, SECTION_VOCAB
@@ -13,6 +11,8 @@ from pagewright.functions.vocabulary import BULLET_CHARS, SECTION_VOCAB
 from .relational import inside_any
 
 GRID = 4
+#: Parts of the names of fonts that list markers are set in.
+MARKER_FONTS = ["SymbolMT", "Wingdings", "Courier"]
 
 
 def raw_lines(words: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
@@ -118,39 +118,53 @@ def underline(lines: DataFrame, rects: DataFrame) -> DataFrame:
     return lines.join(held, ["doc_id", "page"], "left").withColumn("underline", F.coalesce(~gray & rule, F.lit(False))).drop("_rects")
 
 
+def _opened(words: Column, near: float) -> Column:
+    """Tops of the buckets of a page's words in the order they are opened. Words at one top share a bucket, so the distinct tops are folded, not the words."""
+    tops = F.array_distinct(F.transform(words, lambda w: w["top"].cast("double")))
+    return F.aggregate(tops, F.array().cast("array<double>"), lambda acc, t: F.when(F.exists(acc, lambda k: F.abs(k - t) <= near), acc).otherwise(F.concat(acc, F.array(t))))
+
+
+_LONE = "struct<text:string,font:string,to:double,forward:boolean>"
+
+
+def _moves(buckets: Column) -> Column:
+    """For each bucket (key, n, text, font: of its words of 6 points or more) in order of the page, the key it moves to, or null.
+
+    A bucket of a single capital goes to the next bucket within 8 points, else to the one before if that stays. What moved here from the bucket before counts.
+    """
+
+    def step(acc: Column, i: Column) -> Column:
+        b, last = F.get(buckets, i), F.try_element_at(acc, F.lit(-1))
+        came = F.coalesce(last["forward"], F.lit(False))
+        text, font = F.when(b["n"] == 0, last["text"]).otherwise(b["text"]), F.when(b["n"] == 0, last["font"]).otherwise(b["font"])
+        alone = (b["n"] + came.cast("int") == 1) & (F.char_length(text) == 1) & T.is_upper(text) & ~T.contains_any(font, MARKER_FONTS)
+        after, before = F.get(buckets, i + 1)["key"], F.get(buckets, i - 1)["key"]
+        forward = F.coalesce(alone & (F.abs(after - b["key"]) <= 8), F.lit(False))
+        back = F.coalesce(alone & ~forward & (F.abs(before - b["key"]) <= 8) & last["to"].isNull(), F.lit(False))
+        move = F.struct(text.alias("text"), font.alias("font"), F.when(forward, after).when(back, before).alias("to"), forward.alias("forward")).cast(_LONE)
+        return F.concat(acc, F.array(move))
+
+    places = F.filter(F.sequence(F.lit(0), F.size(buckets)), lambda i: i < F.size(buckets))
+    return F.transform(F.aggregate(places, F.array().cast(f"array<{_LONE}>"), step), lambda m: m["to"])
+
+
 def greedy_buckets(words: DataFrame, low: float = 0.0, high: float = 9999.0, near: float = 2.0) -> DataFrame:
     """``words`` with ``line_key``: each joins the first bucket opened on its page within 2 points, else opens one.
 
-    The order of words decides, so a page's words are folded in order; a lone capital then joins the
-    next bucket within 8 points, else the previous one.
+    The order of words decides, so the tops of a page are folded in their order, as one array; a lone capital then joins the
+    next bucket within 8 points, else the previous one. One shuffle by page.
     """
-
-    def page(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("word_idx")
-        pdf = pdf[(pdf["top"] >= low) & (pdf["top"] <= high)]
-        opened: list[float] = []
-        of = []
-        for top in pdf["top"]:
-            key = next((k for k in opened if abs(k - top) <= near), None)
-            if key is None:
-                opened.append(key := top)
-            of.append(key)
-        pdf = pdf.assign(line_key=of)
-        ordered, moved = sorted(opened), {}
-        for i, key in enumerate(ordered):
-            mine = pdf[(pdf["line_key"] == key) & (pdf["size"] >= 6)]
-            texts = mine["text"].str.strip().tolist()
-            fonts = mine["fontname"].tolist()
-            # words moved here from a bucket before count too
-            texts += [t for k, (to, t, f) in moved.items() if to == key]
-            fonts += [f for k, (to, t, f) in moved.items() if to == key]
-            if len(texts) == 1 and len(texts[0]) == 1 and texts[0].isupper() and not any(m in fonts[0] for m in ("SymbolMT", "Wingdings", "Courier")):
-                for j in (i + 1, i - 1):
-                    if 0 <= j < len(ordered) and abs(ordered[j] - key) <= 8 and ordered[j] not in moved:
-                        moved[key] = (ordered[j], texts[0], fonts[0])
-                        break
-        target = {k: to for k, (to, _, _) in moved.items()}
-        keep = ~((pdf["size"] < 6) & pdf["line_key"].isin(list(target)))
-        return pdf[keep].assign(line_key=pdf["line_key"].map(lambda k: target.get(k, k)))
-
-    return words.groupBy("doc_id", "page").applyInPandas(page, StructType([*words.schema, StructField("line_key", DoubleType())]))
+    columns = words.columns
+    held = words.where(F.col("top").between(low, high)).groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("word_idx", F.struct(*[c for c in columns if c not in ("doc_id", "page")]).alias("w")))).alias("_ws"))
+    held = held.withColumn("_ws", F.transform("_ws", lambda x: x["w"]))
+    held = held.withColumn("_opened", _opened(F.col("_ws"), near))
+    keyed = F.transform("_ws", lambda w: F.struct(w.alias("w"), F.get(F.filter("_opened", lambda k: F.abs(k - w["top"]) <= near), F.lit(0)).alias("key")))
+    held = held.withColumn("_ws", keyed)
+    large = lambda k: F.filter("_ws", lambda x: (x["key"] == k) & (x["w"]["size"] >= 6))
+    bucket = lambda k, own: F.struct(k.alias("key"), F.size(own).alias("n"), T.strip(F.get(own, F.lit(0))["w"]["text"]).alias("text"), F.get(own, F.lit(0))["w"]["fontname"].alias("font"))
+    held = held.withColumn("_buckets", F.transform(F.array_sort("_opened"), lambda k: bucket(k, large(k))))
+    held = held.withColumn("_to", F.arrays_zip(F.transform("_buckets", lambda b: b["key"]).alias("key"), _moves(F.col("_buckets")).alias("to")))
+    target = lambda k: F.get(F.filter("_to", lambda m: m["key"] == k), F.lit(0))["to"]
+    rows = held.select("doc_id", "page", F.explode(F.transform("_ws", lambda x: F.struct(x["w"].alias("w"), x["key"].alias("key"), target(x["key"]).alias("to")))).alias("x"))
+    kept = rows.where(~((F.col("x.w.size") < 6) & F.col("x.to").isNotNull()))
+    return kept.select("doc_id", "page", "x.w.*", F.coalesce("x.to", "x.key").alias("line_key")).select(*columns, "line_key")

@@ -1,6 +1,7 @@
 """Lists, trees, pages, corpus statistics and sources."""
 
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.operators import blocks as K
@@ -11,45 +12,52 @@ from pagewright.sources import files
 from pagewright.streaming import lines as streaming
 
 
+LINES = "doc_id long, block_id long, page int, top double, x0 double, text string, fontname string, size double, bold boolean, marker_type string, in_table boolean"
+
+
+def items_of(lines, compat=False):
+    """Items of one block of lines (dictionaries)."""
+    names = [c.split()[0] for c in LINES.split(", ")]
+    df = SparkSession.getActiveSession().createDataFrame([tuple({"doc_id": 1, "block_id": 1, **x}[c] for c in names) for x in lines], LINES)
+    return [(r["parent"], r["kind"], r["text"]) for r in K.list_items(df, compat).orderBy("item").collect()]
+
+
 def block(*rows, compat=False):
-    """(text, x0, marker_type, more) ten points apart on page 1, or on the page given."""
-    lines = []
-    for i, (text, x0, marker, *more) in enumerate(rows):
-        extra = more[0] if more else {}
-        lines.append({"page": 1, "top": 100.0 + extra.pop("gap", 20) * i if "gap" in extra else 100.0 + 20 * i, "text": text, "x0": x0, "marker_type": marker, "fontname": extra.pop("font", "A"), "size": 10.0, "bold": False, "in_table": False, **extra})
-    return K.hierarchy(K.resolve_markers(lines), compat)
+    """(text, x0, marker_type, more) twenty points apart on page 1, or at the place given."""
+    lines = [{"page": 1, "top": 100.0 + 20 * i, "text": text, "x0": float(x0), "marker_type": marker, "fontname": "A", "size": 10.0, "bold": False, "in_table": False, **(more[0] if more else {})} for i, (text, x0, marker, *more) in enumerate(rows)]
+    return items_of(lines, compat)
 
 
-def test_numbers_letters_romans_and_notes():
+def test_numbers_letters_romans_and_notes(spark):
     out = block(("1. one", 60, None), ("A) two", 70, None), ("i. three", 90, None), ("Note: four", 60, None), ("2. five", 60, None), ("goes on", 60, None))
     assert out == [(-1, "num", "1. one"), (0, "letter", "A) two"), (1, "roman", "i. three"), (2, "note", "Note: four"), (-1, "num", "2. five goes on")]
 
 
-def test_bullets_and_orphans():
+def test_bullets_and_orphans(spark):
     out = block(("a", 60, "bullet"), ("b", 70, "sub_bullet"), ("c", 80, "sub_sub_bullet"), ("d", 80, None), ("left", 50, None))
     assert out == [(-1, "bullet", "a"), (0, "sub_bullet", "b d left"), (1, "sub_sub", "c")]
     assert block(("b", 70, "sub_bullet"), ("a", 60, "bullet"), ("c", 70, "sub_sub_bullet")) == [(-1, "plain", "b"), (-1, "bullet", "a"), (1, "sub_bullet", "c")]
     assert block(("a", 60, "bullet"), ("left", 50, None)) == [(-1, "bullet", "a"), (-1, "plain", "left")]
 
 
-def test_a_bullet_goes_on_over_the_page_only_further_right():
+def test_a_bullet_goes_on_over_the_page_only_further_right(spark):
     over = lambda x0: block(("a", 60, "bullet"), ("next", x0, None, {"page": 2}))
     assert over(60) == [(-1, "bullet", "a"), (-1, "plain", "next")]
     assert over(70) == [(-1, "bullet", "a next")]
 
 
-def test_markers_claim_the_text_beside_them():
+def test_markers_claim_the_text_beside_them(spark):
     out = block(("", 60, "bullet"), ("text", 70, None, {"top": 104.0}), ("•", 60, None, {"top": 140.0}), ("own", 70, None, {"top": 150.0}), ("®", 60, "bullet", {"top": 200.0}), ("mark", 70, None, {"top": 212.0}))
     assert out == [(-1, "bullet", "text"), (-1, "bullet", "own"), (-1, "bullet", "®mark")]
 
 
-def test_notes_take_in_the_lines_after_them():
+def test_notes_take_in_the_lines_after_them(spark):
     out = block(("Note: a", 60, None), ("1) b", 90, None), ("c", 90, None), ("Bold", 90, None, {"bold": True}))
     assert out == [(-1, "text", "Note: a<br>1) b c Bold")]
     assert block(("Note: a", 60, None), ("Bold", 90, None, {"bold": True}), ("1. n", 60, None), compat=True) == [(-1, "plain", "Note: a"), (-1, "num", "1. n")]
 
 
-def test_plain_blocks_are_one_text():
+def test_plain_blocks_are_one_text(spark):
     assert block(("a", 60, None), ("b", 60, None)) == [(-1, "text", "a b")]
     assert block(("", 60, None)) == []
 
