@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import documents, lines_and_sections, tables_and_grids
+from . import conversion, documents, lines_and_sections, tables_and_grids
 
-_MODULES = (lines_and_sections, tables_and_grids, documents)
+_MODULES = (conversion, lines_and_sections, tables_and_grids, documents)
 
 
 def queries() -> dict:

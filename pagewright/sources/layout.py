@@ -53,7 +53,8 @@ def pages(docs: DataFrame) -> DataFrame:
     """Whole pages of the layout, as a reader gives them: doc_id, page, words, rects, tables, annots (arrays).
 
     Documents with an even id have a ruled table on every page with such lines: at the top (lines 0 to 4) where the id is divisible by 4, else
-    lines 20 to 24; three cells a line, below a header of ``grids.HEADERS`` with gray behind it.
+    lines 20 to 24; three cells a line, below a header of ``grids.HEADERS`` with gray behind it. On every
+    page of documents whose id has a remainder of 3 by 5 a coloured rule stands at 500 points: on the last one it begins the footer.
     """
     from .grids import HEADERS
 
@@ -66,11 +67,13 @@ def pages(docs: DataFrame) -> DataFrame:
     top = (72 + 14 * F.col("_first")).cast("double")
     bbox = F.struct(F.lit(54.0).alias("x0"), (top - 2).alias("top"), F.lit(530.0).alias("x1"), (top + 68).alias("bottom"))
     table = F.struct(F.lit(0).alias("table_idx"), bbox.alias("bbox"), F.concat(F.array(header), body).alias("cells"))
-    gray = F.struct(F.lit(0).cast("long").alias("rect_idx"), F.lit(54.0).alias("x0"), F.lit(530.0).alias("x1"), (top - 2).alias("top"), (top + 12).alias("bottom"), F.lit(True).alias("fill"), F.array(F.lit(0.8), F.lit(0.8), F.lit(0.8)).alias("color"))
+    gray = F.struct(F.lit(0).cast("long").alias("rect_idx"), F.lit(54.0).alias("x0"), F.lit(530.0).alias("x1"), (top - 2).alias("top"), (top + 12).alias("bottom"), F.lit(True).alias("fill"), F.array(F.lit(0.8), F.lit(0.8), F.lit(0.8)).alias("color"), F.lit("tuple").alias("color_kind"))
+    rule = F.struct(F.lit(1).cast("long").alias("rect_idx"), F.lit(54.0).alias("x0"), F.lit(530.0).alias("x1"), F.lit(500.0).alias("top"), F.lit(502.0).alias("bottom"), F.lit(True).alias("fill"), F.array(F.lit(0.0), F.lit(0.4), F.lit(0.7)).alias("color"), F.lit("tuple").alias("color_kind"))
     some = F.col("_first").isNotNull() & (F.size(F.coalesce(lines, F.array().cast("array<int>"))) >= 2)
     out = held.withColumn("_first", first)
     none = lambda x: F.filter(F.array(x), lambda _: F.lit(False))
-    out = out.withColumns({"rects": F.when(some, F.array(gray)).otherwise(none(gray)), "tables": F.when(some, F.array(table)).otherwise(none(table)), "annots": F.array().cast("array<struct<uri:string,x0:double,top:double,bottom:double>>")})
+    foot = F.when(F.col("doc_id") % 5 == 3, F.array(rule)).otherwise(none(rule))
+    out = out.withColumns({"rects": F.concat(F.when(some, F.array(gray)).otherwise(none(gray)), foot), "tables": F.when(some, F.array(table)).otherwise(none(table)), "annots": F.array().cast("array<struct<uri:string,x0:double,top:double,bottom:double>>")})
     return out.select("doc_id", "page", F.transform("words", lambda w: F.struct(*[w[c].alias(c) for c in ("word_idx", "text", "x0", "x1", "top", "bottom", "fontname", "size")])).alias("words"), "rects", "tables", "annots")
 
 
@@ -105,3 +108,23 @@ words AS (SELECT doc_id, CAST(ln // 45 AS INTEGER) + 1 AS page, word_idx, ln, po
   CASE WHEN ln % 11 = 0 OR ln % 5 = 2 THEN 'Arial-Bold' WHEN ln % 13 = 4 THEN 'Arial-Italic' ELSE 'Arial' END AS fontname
   FROM phrased WHERE phrase IS NULL OR pos < len(phrase))
 """
+
+
+def _pages_sql() -> str:
+    """DuckDB SQL of ``pages`` as relations: tables, gwords and grects, by the names that the queries over ruled tables use."""
+    from .grids import HEADERS
+
+    heads = ", ".join("[" + ", ".join("NULL" if c is None else f"'{c}'" for c in h) + "]" for h in HEADERS)
+    cell = "coalesce(string_agg(text, ' ' ORDER BY word_idx) FILTER (pos // 4 = {0}), '')"
+    return f"""{WORDS_SQL},
+gwords AS (SELECT doc_id, page, word_idx, text, x0, x1, top, fontname, size FROM words),
+ruled AS (SELECT *, CASE WHEN doc_id % 4 = 0 THEN 0 ELSE 20 END AS first_line FROM words WHERE doc_id % 2 = 0),
+rows_ AS (SELECT doc_id, page, first_line, ln % 45 AS line, [{", ".join(cell.format(j) for j in range(3))}] AS cs FROM ruled WHERE ln % 45 BETWEEN first_line AND first_line + 4 GROUP BY ALL),
+tables AS (SELECT doc_id, page, 0 AS table_idx, 54.0::DOUBLE AS x0, (70 + 14 * first_line)::DOUBLE AS top, 530.0::DOUBLE AS x1, (140 + 14 * first_line)::DOUBLE AS bottom, list_concat([[{heads}][(doc_id + page) % {len(HEADERS)} + 1]], list(cs ORDER BY line)) AS cells
+  FROM rows_ GROUP BY doc_id, page, first_line HAVING count(*) >= 2),
+grects AS (SELECT doc_id, page, 0 AS rect_idx, x0, x1, top, top + 14 AS bottom, true AS fill, 0.8 AS r, 0.8 AS g, 0.8 AS b FROM tables
+  UNION ALL SELECT DISTINCT doc_id, page, 1, 54.0, 530.0, 500.0, 502.0, true, 0.0, 0.4, 0.7 FROM words WHERE doc_id % 5 = 3)
+"""
+
+
+PAGES_SQL = _pages_sql()
