@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import vocabulary as V
 from pagewright.operators import build as H
+from pagewright.operators import dosing as X
 from pagewright.operators import corpus as C
 from pagewright.operators import grids as G
 from pagewright.operators import qa as Q
 from pagewright.operators import tables as B
 from pagewright.sources import grids
+from pagewright.sources.stages import Stages
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -461,6 +463,41 @@ def char_assembly(spark, d):
     return G.assemble_chars(chars, rules).select("doc_id", "text")
 
 
+def _dosing(spark, d):
+    keep = Stages(spark, "dosing")
+    pages = keep(grids.dosing_pages(spark.read.parquet(f"{d}/part.parquet")), "pages")
+    detected = keep(B.detect_pages(pages).withColumn("handler", B.handler()), "detected")
+    whole = keep(B.unconsumed(B.stitch(B.buildable(detected).withColumn("segment", F.lit("Overview")))), "whole")
+    out = keep(H.built(whole.join(X.char_rows(whole, detected, pages), X.TABLE, "left")), "built")
+    keep.close(but=("built",))
+    return out
+
+
+# characters meet the boxes of rows; runs with and without a rule below, lines, rows; a row without an indication goes on in the one above
+@query(
+    f"""WITH p AS (SELECT p_partkey // 6 AS doc_id, p_partkey % 6 AS n, p_partkey % 6 < 4 AS head, p_brand, p_name, p_size, CASE WHEN p_size % 2 = 1 THEN '• ' ELSE '' END || '<' || p_type AS second FROM part),
+    placed AS (SELECT *, n % 3 = 2 AS sub, CASE WHEN head THEN 100.0 + 30 * (n + 1) ELSE 60.0 + 30 * (n - 4) END AS top FROM p),
+    boxes AS (SELECT *, CASE WHEN n % 3 = 1 AND head THEN coalesce(lead(top) OVER (PARTITION BY doc_id, head ORDER BY n), top + 60) ELSE top + 30 END AS bottom FROM placed),
+    written AS (SELECT doc_id, head, n, top, 4 AS down, 58.0 AS left_, p_brand AS t FROM boxes WHERE NOT sub UNION ALL SELECT doc_id, head, n, top, 4, 140.0, p_name FROM boxes UNION ALL SELECT doc_id, head, n, top, 16, 140.0, second FROM boxes),
+    chars AS (SELECT doc_id, head, top + down AS y, left_ + 5 * (generate_subscripts(string_split(t, ''), 1) - 1) AS x, unnest(string_split(t, '')) AS ch FROM written),
+    rules AS (SELECT doc_id, head, top + 13 AS y, 140.0 AS x0, 140.0 + 5 * (instr(p_name, ' ') - 1) AS x1 FROM boxes WHERE p_size % 4 = 0),
+    sides AS (SELECT doc_id, head, n, 'a' AS side, 54 AS x0, 135 AS x1, top, bottom FROM boxes WHERE NOT sub UNION ALL SELECT doc_id, head, n, 'b', 135, 527, top, bottom FROM boxes),
+    met AS (SELECT s.doc_id, s.n, s.side, c.ch, c.x, round_even(c.y / 2, 0) AS line, EXISTS (SELECT 1 FROM rules r WHERE r.doc_id = c.doc_id AND r.head = c.head AND r.y BETWEEN c.y AND c.y + 10 AND r.x0 <= c.x AND c.x + 5 <= r.x1 + 2) AS u
+      FROM sides s JOIN chars c ON c.doc_id = s.doc_id AND c.head = s.head AND c.x >= s.x0 - 2 AND c.x + 5 <= s.x1 + 2 AND c.y >= s.top - 2 AND c.y + 8 <= s.bottom + 2),
+    turns AS (SELECT *, CASE WHEN lag(u) OVER w IS DISTINCT FROM u THEN 1 ELSE 0 END AS t FROM met WINDOW w AS (PARTITION BY doc_id, n, side, line ORDER BY x)),
+    runs AS (SELECT *, sum(t) OVER (PARTITION BY doc_id, n, side, line ORDER BY x) AS run FROM turns),
+    marked AS (SELECT doc_id, n, side, line, run, CASE WHEN u THEN '<u>' ELSE '' END || {_E.format("string_agg(ch, '' ORDER BY x)")} || CASE WHEN u THEN '</u>' ELSE '' END AS m FROM runs GROUP BY doc_id, n, side, line, run, u),
+    lines_ AS (SELECT doc_id, n, side, line, string_agg(m, '' ORDER BY run) AS m FROM marked GROUP BY ALL),
+    cells_ AS (SELECT doc_id, n, side, ltrim(string_agg(CASE WHEN starts_with(trim(m), '•') THEN '<br>' || m ELSE ' ' || m END, '' ORDER BY line)) AS html FROM lines_ GROUP BY ALL),
+    rows_ AS (SELECT doc_id, n, max(html) FILTER (side = 'a') AS a, max(html) FILTER (side = 'b') AS b FROM cells_ GROUP BY ALL),
+    whole AS (SELECT doc_id, max(a) AS a, string_agg(b, '<br>' ORDER BY n) AS b, min(n) AS n FROM (SELECT *, sum(CASE WHEN a IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY n) AS g FROM rows_) WHERE g > 0 GROUP BY doc_id, g)
+    SELECT doc_id, {_l(G.TABLE_OPEN + chr(10) + "   <thead>" + chr(10) + G.HEAD_ROW + chr(10) + "     <th>Indication &amp; use</th>" + chr(10) + "     <th>Doses</th>" + chr(10) + "    </tr>" + chr(10) + "   </thead>" + chr(10) + "   <tbody>" + chr(10))}
+      || string_agg({_l("    <tr>" + chr(10) + H.TOP_CELL)} || a || {_l("</td>" + chr(10) + H.TOP_CELL)} || b || {_l("</td>" + chr(10) + "    </tr>")}, chr(10) ORDER BY n) || {_l(chr(10) + "   </tbody>" + chr(10) + "  </table>")} AS html FROM whole GROUP BY doc_id"""
+)
+def dosing_tables(spark, d):
+    return _dosing(spark, d).where("handler = 'fda_dosing'").select("doc_id", "html")
+
+
 @query(f"WITH {grids.GRIDS_SQL}, f AS (SELECT *, [{_SHUT} for c in cells[1] if {_SHUT} <> ''] AS vs FROM tables) SELECT doc_id, page, table_idx, coalesce(vs[1], '') AS first_label, coalesce(vs[-1], '') AS last_label FROM f")
 def dosing_labels(spark, d):
     return G.dosing_labels(_tables(spark, d))

@@ -82,6 +82,45 @@ def _rects_of(t: Column) -> Column:
     )
 
 
+def dosing_pages(part: DataFrame) -> DataFrame:
+    """Whole pages with dosing tables and their characters: doc_id (a part a row, six parts a document), page, tables, words, rects, chars.
+
+    The first table has a gray header and four rows, the page after goes on with two. Every third part is a row within the row before it, whose box
+    reaches over it; doses are a line of the name, underlined up to its first space where the size is divisible by 4, and a line of the type with a bullet
+    where it is odd.
+    """
+    n = (F.col("p_partkey") % 6).cast("int")
+    p = part.select(F.expr("p_partkey div 6").alias("doc_id"), n.alias("n"), F.when(n < 4, 1).otherwise(2).alias("page"), "p_brand", "p_name", "p_type", "p_size")
+    row = (F.col("n") + F.when(F.col("page") == 1, 1).otherwise(-4)).alias("r")
+    p = p.withColumn("r", row).withColumn("sub", F.col("n") % 3 == 2).withColumn("top", 100.0 + 30 * F.col("r") - F.when(F.col("page") == 2, 40).otherwise(0))
+    p = p.withColumn("tall", (F.col("n") % 3 == 1) & (F.col("page") == 1))
+    box = F.struct(F.when(F.col("sub"), 135.0).otherwise(54.0).alias("x0"), F.col("top").alias("top"), F.lit(527.0).alias("x1"), (F.col("top") + F.when(F.col("tall"), 60).otherwise(30)).alias("bottom"))
+    second = F.concat(F.when(F.col("p_size") % 2 == 1, F.lit("• ")).otherwise(""), F.lit("<"), "p_type")
+    name = lambda text, x0, down: F.transform(F.split(text, ""), lambda c, i: F.struct(c.alias("text"), (x0 + 5.0 * i).alias("x0"), (x0 + 5.0 * i + 5).alias("x1"), (F.col("top") + down).alias("top"), (F.col("top") + down + 8).alias("bottom")))
+    chars = F.concat(F.when(F.col("sub"), F.array_repeat(F.struct(F.lit("").alias("text"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("top"), F.lit(0.0).alias("bottom")), 0)).otherwise(name(F.col("p_brand"), 58.0, 4.0)), name(F.col("p_name"), 140.0, 4.0), name(second, 140.0, 16.0))
+    rule = F.when(F.col("p_size") % 4 == 0, F.struct(F.lit(140.0).alias("x0"), (140.0 + 5 * (F.instr("p_name", " ") - 1)).alias("x1"), (F.col("top") + 13).alias("top"), (F.col("top") + 13.5).alias("bottom"), F.lit(True).alias("fill"), F.array(F.lit(0.0)).alias("color"), F.lit("scalar").alias("color_kind")))
+    cells = F.array(F.when(~F.col("sub"), F.col("p_brand")), F.concat("p_name", F.lit("\n"), second))
+    p = p.withColumns({"box": box, "cs": F.filter(chars, lambda c: c["text"] != ""), "rule": rule, "cells": cells})
+    held = p.groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("r", "cells", "box", "cs", "rule"))).alias("rows"))
+    head, one = F.col("page") == 1, F.lit(1.0)
+    top = F.when(head, 100.0).otherwise(60.0)
+    bbox = F.struct(F.lit(54.0).alias("x0"), top.alias("top"), F.lit(527.0).alias("x1"), (top + 30 * (F.size("rows") + head.cast("int"))).alias("bottom"))
+    header = F.array(F.array(F.lit(None).cast("string"), F.lit("Indication & use"), F.lit("Doses")))
+    head_box = F.array(F.struct((54.0 * one).alias("x0"), (100.0 * one).alias("top"), (527.0 * one).alias("x1"), (130.0 * one).alias("bottom")))
+    of = lambda name: F.transform("rows", lambda x: x[name])
+    gray = F.struct(F.lit(54.0).alias("x0"), F.lit(527.0).alias("x1"), F.lit(100.0).alias("top"), F.lit(130.0).alias("bottom"), F.lit(True).alias("fill"), F.array(F.lit(0.8)).alias("color"), F.lit("scalar").alias("color_kind"))
+    rects = F.concat(F.when(head, F.array(F.struct(*[gray[c].alias(c) for c in RECT]))).otherwise(F.array().cast(f"array<{RECT_TYPE}>")), F.transform(F.filter(of("rule"), lambda r: r.isNotNull()), lambda r: F.struct(*[r[c].alias(c) for c in RECT])))
+    table = F.struct(F.lit(0).alias("table_idx"), bbox.alias("bbox"), F.when(head, F.concat(header, of("cells"))).otherwise(of("cells")).alias("cells"), F.when(head, F.concat(head_box, of("box"))).otherwise(of("box")).alias("row_boxes"))
+    word = lambda i, text, x0, y: F.struct(F.lit(i).cast("long").alias("word_idx"), F.lit(text).alias("text"), F.lit(x0).alias("x0"), F.lit(x0 + 80).alias("x1"), y.alias("top"), F.lit("Arial-Bold").alias("fontname"), F.lit(10.0).alias("size"))
+    words_ = F.when(head, F.array(word(0, "FDA Approved Dosing", 60.0, F.lit(88.0)), word(1, "Head", 60.0, F.lit(104.0)))).otherwise(F.array(word(0, "Row", 60.0, F.lit(64.0))))
+    return held.select("doc_id", "page", F.array(table).alias("tables"), words_.alias("words"), F.transform(rects, lambda r, i: r.withField("rect_idx", i.cast("long"))).alias("rects"), F.flatten(of("cs")).alias("chars"))
+
+
+# Columns of a rectangle of ``dosing_pages``, and its type.
+RECT = ("x0", "x1", "top", "bottom", "fill", "color", "color_kind")
+RECT_TYPE = "struct<x0:double,x1:double,top:double,bottom:double,fill:boolean,color:array<double>,color_kind:string>"
+
+
 def words(pages_: DataFrame) -> DataFrame:
     """The pages' words, a row each."""
     return pages_.select("doc_id", "page", F.explode("words").alias("w")).select("doc_id", "page", "w.*")

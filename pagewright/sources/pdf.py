@@ -21,7 +21,7 @@ SCHEMA = (
     "chars array<struct<text:string,x0:double,x1:double,top:double,bottom:double>>, "
     "rects array<struct<x0:double,x1:double,top:double,bottom:double,fill:boolean,color:array<double>,color_kind:string>>, "
     "annots array<struct<uri:string,x0:double,top:double,bottom:double>>, "
-    "tables array<struct<bbox:struct<x0:double,top:double,x1:double,bottom:double>,cells:array<array<string>>,row_tops:array<double>>>"
+    "tables array<struct<bbox:struct<x0:double,top:double,x1:double,bottom:double>,cells:array<array<string>>,row_tops:array<double>,row_boxes:array<struct<x0:double,top:double,x1:double,bottom:double>>>>"
 )
 
 
@@ -39,7 +39,7 @@ def _page(page) -> dict:
         return [{n: r.get(n) for n in names} for r in rows]
 
     rects = [{**{n: float(r[n]) for n in ("x0", "x1", "top", "bottom")}, "fill": bool(r.get("fill")), **dict(zip(("color", "color_kind"), _colour(r.get("non_stroking_color"))))} for r in page.rects]
-    tables = [{"bbox": dict(zip(("x0", "top", "x1", "bottom"), map(float, t.bbox))), "cells": t.extract() or [], "row_tops": [float(r.bbox[1]) for r in t.rows]} for t in page.find_tables()]
+    tables = [{"bbox": dict(zip(("x0", "top", "x1", "bottom"), map(float, t.bbox))), "cells": t.extract() or [], "row_tops": [float(r.bbox[1]) for r in t.rows], "row_boxes": [dict(zip(("x0", "top", "x1", "bottom"), map(float, r.bbox))) for r in t.rows]} for t in page.find_tables()]
     return {
         "words": pick(page.extract_words(extra_attrs=["fontname", "size"], keep_blank_chars=False, x_tolerance=3, y_tolerance=3), "text", "x0", "x1", "top", "bottom", "fontname", "size"),
         "tiny_words": pick(page.extract_words(extra_attrs=["size"], x_tolerance=2, y_tolerance=2), "text", "x0", "top", "size"),
@@ -73,9 +73,9 @@ def read_pages(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFr
 
 
 def pages(read: DataFrame) -> DataFrame:
-    """``read_pages`` as whole pages for ``operators.convert``: doc_id (a hash of the path), path, page, words, rects, tables, annots with their indices; pages of files that failed go."""
+    """``read_pages`` as whole pages for ``operators.convert``: doc_id (a hash of the path), path, page, words, rects, tables, annots with their indices, and chars; pages of files that failed go."""
     numbered = lambda column, name: F.transform(column, lambda x, i: x.withField(name, i))
     return read.where("error is null").select(
         F.xxhash64("path").alias("doc_id"), "path", "page", numbered("words", "word_idx").alias("words"), numbered("rects", "rect_idx").alias("rects"),
-        numbered("tables", "table_idx").alias("tables"), "annots",
+        numbered("tables", "table_idx").alias("tables"), "annots", "chars",
     )
