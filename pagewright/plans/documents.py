@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from pagewright.functions import vocabulary as V
 from pagewright.operators import blocks as K
+from pagewright.operators import convert as D
 from pagewright.operators import corpus as C
 from pagewright.operators import lines as L
 from pagewright.operators import render as R
 from pagewright.operators import segments as S
 from pagewright.operators import tree as N
 from pagewright.sources import layout
+from pagewright.sources.stages import Stages
 
-from .lines_and_sections import _RUNS, RAW_SQL, _q
+from .lines_and_sections import _RUNS, _ZONE_SQL, RAW_SQL, _q, _zone
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -278,7 +280,11 @@ def _nodes(spark, d):
 
 
 def _placed(spark, d):
-    nodes = _nodes(spark, d)
+    return _with_tables(_nodes(spark, d))
+
+
+def _with_tables(nodes: DataFrame) -> DataFrame:
+    """Nodes with a table of each kind put into every section."""
     ids = nodes.groupBy("doc_id", "section_id").agg(F.min("page").alias("page"), F.min("top").alias("top"))
     kinds = F.posexplode(F.array(*[F.lit(t) for t in N.TABLE_ORDER]))
     tables = ids.select("doc_id", "section_id", "page", (F.col("top") + 100).alias("top"), kinds.alias("position", "table_type")).withColumn("title", F.lit("Table 1. Products"))
@@ -405,3 +411,55 @@ def node_html(spark, d):
     lines = L.raw_lines(layout.words(_docs(spark, d)))
     kind = F.when(F.col("bold"), "footnote").when(F.col("italic"), "subsubsection").otherwise("paragraph")
     return lines.select("doc_id", "page", "top", R.node_html(kind, F.col("text"), F.col("text"), F.lit(None).cast("string")).alias("html"))
+
+
+# Nested documents ----------------------------------------------------------------------------------
+
+def _json(attributes: str = "NULL", children: str = "NULL", heading: str = "NULL", table_type: str = "NULL", text: str = "NULL", kind: str = "kind", ord_: str = "ord") -> str:
+    """SQL of a node as JSON, its keys in order."""
+    one = lambda key, value, quote: "''" if value == "NULL" else f"coalesce('{key}' || {value} || '{quote},', '')"
+    last = lambda key, value, quote: "''" if value == "NULL" else f"coalesce(',{key}' || {value} || '{quote}', '')"
+    shown = lambda v: v if v == "NULL" else f"CAST(to_json({v}) AS VARCHAR)"
+    return f"""'{{' || {one('"attributes":', attributes, "")} || {one('"children":[', children, "]")} || {one('"heading":', shown(heading), "")} || '"kind":"' || {kind} || '","ord":' || {ord_} || {last('"table_type":"', table_type, '"')} || {last('"text":', shown(text), "")} || '}}'"""
+
+
+_TREES = f"""{_PLACED}, {_ZONE_SQL.removeprefix(RAW_SQL).lstrip(", ").lstrip()},
+numbered_nodes AS (SELECT *, CASE WHEN kind = 'subsection' THEN 'sub' || CAST(sum(CASE WHEN kind = 'subsection' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, section_id ORDER BY ord) AS INTEGER) END AS own FROM placed_nodes),
+inner_json AS (SELECT doc_id, section_id, parent, string_agg({_json(heading="heading", table_type="table_type", text="text")}, ',' ORDER BY ord) AS js FROM numbered_nodes WHERE parent <> 'section' GROUP BY ALL),
+child_json AS (SELECT n.doc_id, n.section_id, string_agg({_json(children="i.js", heading="heading", table_type="table_type", text="text")}, ',' ORDER BY ord) AS js FROM numbered_nodes n LEFT JOIN inner_json i ON i.doc_id = n.doc_id AND i.section_id = n.section_id AND i.parent = n.own WHERE n.parent = 'section' GROUP BY ALL),
+section_json AS (SELECT c.doc_id, c.section_id, {_json(children="js", heading="CASE WHEN segment <> 'ifu' THEN segment END", kind="CASE WHEN segment = 'ifu' THEN 'ifu' ELSE 'section' END", ord_="0")} AS js FROM child_json c JOIN (SELECT DISTINCT doc_id, section_id, segment FROM nodes) USING (doc_id, section_id)),
+entries_ AS (SELECT doc_id, top, trim(regexp_replace(trim(regexp_replace(text, '[.…‥\\s]+\\d+\\s*$', '')), '\\s+\\d+\\s*$', '')) AS entry, CAST(top % 10 AS VARCHAR) AS page_no FROM z WHERE x0 < 200),
+entry_rows AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY top, entry) + 1 AS ord FROM entries_ WHERE entry <> ''),
+toc AS (SELECT doc_id, string_agg({_json(attributes="""'{"page":"' || page_no || '"}'""", text="entry", kind="'toc_entry'")}, ',' ORDER BY ord) AS js FROM entry_rows GROUP BY doc_id),
+urls AS (SELECT *, CASE WHEN top BETWEEN 120 AND 180 THEN 'http://a' WHEN top BETWEEN 170 AND 230 THEN 'http://b' ELSE '' END AS url FROM z WHERE x0 >= 200),
+link_rows AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY first_top, url) + 1000001 AS ord FROM (SELECT doc_id, url, string_agg(text, ' ' ORDER BY top) AS text, min(top) AS first_top FROM urls GROUP BY doc_id, url)),
+related AS (SELECT doc_id, string_agg({_json(attributes="""'{"url":"' || url || '"}'""", text="text", kind="'link'")}, ',' ORDER BY ord) AS js FROM link_rows GROUP BY doc_id),
+heads AS (SELECT doc_id, coalesce(string_agg(CASE WHEN page = 1 THEN CASE top WHEN 100 THEN 'Table of Contents' WHEN 268 THEN 'INSTRUCTIONS FOR USE' ELSE trim(substr(text, 1, 20) || ' .... ' || CAST(top % 10 AS VARCHAR)) END ELSE text END, ' ' ORDER BY page, top) FILTER (size >= 18 AND bold AND NOT (page = 1 AND top IN (100, 268))), '') AS title FROM raw WHERE page <= 2 GROUP BY doc_id),
+front_json AS (SELECT h.doc_id, {_json(attributes="""'{"doc_type":"Coverage Policy","policy_number":"","policy_type":"commercial","publish_date":""}'""", heading="title", kind="'header'", ord_="0")}
+  || CASE WHEN t.js IS NOT NULL THEN ',' || {_json(children="t.js", heading="'Table of Contents'", kind="'toc'", ord_="1")} ELSE '' END || CASE WHEN r.js IS NOT NULL THEN ',' || {_json(children="r.js", heading="'Related Coverage Resources'", kind="'related_links'", ord_="1000001")} ELSE '' END AS js FROM heads h LEFT JOIN toc t USING (doc_id) LEFT JOIN related r USING (doc_id))
+"""
+
+
+def _whole_nodes(spark, d, keep):
+    """Nodes of whole documents: front matter of lines made into contents and links, sections, and their parts with tables among them."""
+    lines = keep(L.raw_lines(layout.words(_docs(spark, d))), "lines")
+    found = [("http://a", 120.0, 180.0), ("http://b", 170.0, 230.0)]
+    annots = lines.select("doc_id").distinct().select("doc_id", F.lit(1).alias("page"), F.explode(F.array(*[F.struct(F.lit(i).alias("annot_idx"), F.lit(u).alias("uri"), F.lit(300.0).alias("x0"), F.lit(a).alias("top"), F.lit(b).alias("bottom")) for i, (u, a, b) in enumerate(found)])).alias("a")).select("doc_id", "page", "a.*")
+    front = D.front_nodes(_zone(lines), annots)
+    nodes = keep(_nodes(spark, d), "nodes")
+    special = F.col("segment") == "ifu"
+    sections = nodes.select("doc_id", "section_id", "segment").distinct().select("doc_id", *D.node_columns(F.when(special, "ifu").otherwise("section"), section_id=F.col("section_id"), ord=F.lit(0), heading=F.when(~special, F.col("segment"))))
+    inner = _with_tables(nodes).select("doc_id", *D.node_columns(F.col("kind"), F.col("parent"), **{c: F.col(c) for c in ("section_id", "ord", "heading", "text", "table_type")}))
+    return front.unionByName(sections).unionByName(inner).drop("page", "top", "html")
+
+
+@query(
+    f"""WITH {_TREES}
+    SELECT f.doc_id, '{{"children":[{{"nodes":[' || f.js || '],"section_id":0}}' || coalesce(',' || s.js, '') || '],"kind":"document"}}' AS document
+    FROM front_json f LEFT JOIN (SELECT doc_id, string_agg('{{"nodes":[' || js || '],"section_id":' || CAST(section_id AS BIGINT) || '}}', ',' ORDER BY section_id) AS js FROM section_json GROUP BY doc_id) s USING (doc_id)"""
+)
+def document_tree(spark, d):
+    keep = Stages(spark, "trees")
+    out = keep(N.nested(_whole_nodes(spark, d, keep)).select("doc_id", F.to_json("document").alias("document")), "documents")
+    keep.close(but=("documents",))
+    return out
