@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from pagewright.operators.corpus import FLAGS
 
@@ -52,27 +56,76 @@ def write_manifest(df: DataFrame, path: str) -> None:
     shown.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_html(documents: DataFrame, path: str, dry_run: bool = False) -> int:
-    """Writes (stem, html) as files <stem>.htm below ``path``, each by the task that has it; returns the number of documents.
+@dataclass
+class Staged(WriterCommitMessage):
+    """The folder that a task has written its files to, and how many."""
 
-    Files go to a folder that executors see, by the file system of ``path`` that pyarrow knows (file, hdfs, s3, gs). A task that is tried again
-    writes the same files.
-    """
-    if not dry_run:
+    folder: str
+    files: int
+
+
+class HtmlWriter(DataSourceArrowWriter):
+    """Files of (stem, html) rows. A task writes to a folder of its own; files come to their place when all tasks are done, and none does if one fails."""
+
+    def __init__(self, options: dict):
+        self.path, self.staging = options["path"], f"_staging-{uuid.uuid4().hex}"
+
+    def _opened(self) -> tuple[fs.FileSystem, str]:
+        return fs.FileSystem.from_uri(self.path)
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
+        to, root = self._opened()
+        own, n = f"{root}/{self.staging}/{uuid.uuid4().hex}", 0
+        to.create_dir(own, recursive=True)
+        for batch in iterator:
+            for stem, html in zip(batch.column("stem").to_pylist(), batch.column("html").to_pylist()):
+                with to.open_output_stream(f"{own}/{stem}.htm", compression=None) as out:
+                    out.write(html.encode())
+                n += 1
+        return Staged(own, n)
+
+    def commit(self, messages: list[Staged | None]) -> None:
+        to, root = self._opened()
+        for m in messages:
+            if m is not None and m.files:
+                for f in to.get_file_info(fs.FileSelector(m.folder)):
+                    to.move(f.path, f"{root}/{f.base_name}")
+        self.abort(messages)
 
-        def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            from pyarrow import fs
+    def abort(self, messages: list[Staged | None]) -> None:
+        to, root = self._opened()
+        if to.get_file_info(f"{root}/{self.staging}").type != fs.FileType.NotFound:
+            to.delete_dir(f"{root}/{self.staging}")
 
-            to, root = fs.FileSystem.from_uri(path)
-            to.create_dir(root, recursive=True)
-            for batch in batches:
-                for stem, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    with to.open_output_stream(f"{root}/{stem}.htm") as out:
-                        out.write(html.encode())
-                yield pa.RecordBatch.from_arrays([batch.column(0)], names=["stem"])
 
-        return documents.select("stem", "html").mapInArrow(put, "stem string").count()
-    return documents.count()
+class HtmlFiles(DataSource):
+    """df.write.format("html_files").mode("append").save(path), df with stem and html."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "html_files"
+
+    def schema(self) -> str:
+        return "stem string, html string"
+
+    def writer(self, schema, overwrite: bool) -> HtmlWriter:
+        return HtmlWriter(self.options)
+
+
+def write_html(documents: DataFrame, path: str, dry_run: bool = False) -> int:
+    """Writes (stem, html) as files <stem>.htm below ``path``; returns the number of documents, each of which has a stem of its own.
+
+    ``path`` is a folder that driver and executors share, in a file system that Arrow knows (file, hdfs, s3, gs). A file that is there is replaced. Attempts that
+    failed leave nothing in ``path``.
+    """
+    rows = documents.select("stem", "html")
+    if dry_run:
+        return rows.count()
+    spark = documents.sparkSession
+    spark.dataSource.register(HtmlFiles)
+    seen = Observation()
+    rows.observe(seen, F.count("*").alias("n")).write.format("html_files").mode("append").save(path)
+    return seen.get["n"]
 
 
 def write_report(lines: DataFrame, path: str, order: list[str]) -> None:

@@ -4,6 +4,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagewright.operators import convert as D
 from pagewright.operators import segments as S
@@ -26,6 +27,8 @@ class _Page:
     def extract_words(self, **named):
         return self.p["words"]
     def find_tables(self):
+        if self.p.get("tables") == "never":
+            raise RuntimeError("tables were opened")
         return [_Table(t) for t in self.p.get("tables", [])]
 class _Document:
     def __init__(self, pages):
@@ -96,6 +99,31 @@ def test_pages_of_files(read):
     assert page["tables"][0]["cells"][1] == ["Alpha", "5"] and page["tables"][0]["row_tops"] == [288.0, 304.0, 320.0]
 
 
+def test_only_what_is_asked_for_is_read_by_shares_of_pages(spark, read, tmp_path):
+    pages = [{"words": line(f"page {i}", 40), "tables": "never"} for i in range(23)]
+    (tmp_path / "a.pdf").write_text(json.dumps(pages))
+    (tmp_path / "b.pdf").write_text(json.dumps(pages[:1]))
+    (tmp_path / "other.txt").write_text("[]")
+    found = pdf.read_pages(spark, f"file://{tmp_path}", columns=["words"], bytes_per_task=(tmp_path / "a.pdf").stat().st_size // 5 + 1)
+    assert found.columns == ["path", "page", "error", "words"] and found.rdd.getNumPartitions() == 6
+    rows = found.collect()
+    assert all(r["error"] is None for r in rows)
+    assert sorted((r["path"].rsplit("/", 1)[1], r["page"], r["words"][1]["text"]) for r in rows) == sorted([("a.pdf", i + 1, str(i)) for i in range(23)] + [("b.pdf", 1, "0")])
+    assert {r["error"] for r in pdf.read_pages(spark, f"file://{tmp_path}", columns=["tables"]).collect()} == {"tables were opened"}
+    assert pdf.read_pages(spark, f"file://{tmp_path}", pattern="*.none").count() == 0
+
+
+def test_a_task_that_fails_leaves_no_files(spark, tmp_path):
+    good = spark.range(20).selectExpr("concat('f', id) as stem", "repeat('x', 10) as html").repartition(4)
+    assert files.write_html(good, f"file://{tmp_path}/out") == 20
+    bad = spark.range(20).selectExpr("concat('g', id) as stem", "if(id = 13, raise_error('no'), 'y') as html").repartition(4)
+    with pytest.raises(Exception):  # noqa: B017
+        files.write_html(bad, f"file://{tmp_path}/out")
+    assert sorted(os.listdir(tmp_path / "out")) == sorted(f"f{i}.htm" for i in range(20))
+    assert files.write_html(good.withColumn("html", F.lit("new")), f"file://{tmp_path}/out") == 20
+    assert {p.read_text() for p in (tmp_path / "out").iterdir()} == {"new"}
+
+
 @pytest.fixture(scope="module")
 def nodes(spark, read):
     return D.document_nodes(pdf.pages(read))
