@@ -113,9 +113,14 @@ def batch_rollup(spark, d):
     return C.batch_summary(_results(spark, d))
 
 
-@query(f"WITH {BATCH_SQL} SELECT doc_id, filename, n_pages FROM batch WHERE status = 'skipped' ORDER BY n_pages DESC, doc_id LIMIT 10")
+#: Pages that a document may have before this report names it.
+_MANY_PAGES = 3
+
+
+@query(f"WITH {BATCH_SQL} SELECT doc_id, filename, n_pages FROM batch WHERE n_pages > {_MANY_PAGES} ORDER BY n_pages DESC, doc_id LIMIT 10")
 def skipped_topk(spark, d):
-    return C.largest_skipped(_batch(spark, d)).select("doc_id", "filename", "n_pages")
+    docs = _docs(spark, d)
+    return C.largest_skipped(C.split_batch(layout.manifest(layout.words(docs), docs), _MANY_PAGES)).select("doc_id", "filename", "n_pages")
 
 
 # Lists -------------------------------------------------------------------------------------------

@@ -138,6 +138,44 @@ def write_logs(results: DataFrame, path: str) -> None:
     results.select("prefix", "line").write.mode("overwrite").partitionBy("prefix").text(path)
 
 
-def write_table(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
-    """To a relational database by JDBC (extension)."""
-    df.write.mode("append").jdbc(url, table, properties=properties)
+def write_table(df: DataFrame, url: str, table: str, key: list[str], properties: dict[str, str] | None = None) -> None:
+    """Merges rows into a table of a relational database by ``key``, which is unique in ``df``: rows of the table with a key of ``df`` are replaced, others stay.
+
+    The tasks write to a table of their own; one transaction then takes its rows over. So a job that failed changes nothing, and one that is run again
+    gives the same table. A missing table is made; ``properties`` may have createTableColumnTypes, as keys must be comparable (extension).
+    """
+    spark, properties = df.sparkSession, dict(properties or {})
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    jvm = spark._jvm
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url)
+    quote = dialect.quoteIdentifier
+    options = jvm.org.apache.spark.sql.execution.datasources.jdbc.JDBCOptions(url, table, jvm.PythonUtils.toScalaMap(properties))
+    columns = ", ".join(quote(c) for c in df.columns)
+    same = " AND ".join(f"s.{quote(k)} = {table}.{quote(k)}" for k in key)
+    connection = None
+    try:
+        df.write.mode("overwrite").jdbc(url, staging, properties=properties)
+        df.limit(0).write.mode("append").jdbc(url, table, properties=properties)
+        connection = dialect.createConnectionFactory(options).apply(-1)
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        statement.executeUpdate(f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same})")
+        statement.executeUpdate(f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging}")
+        connection.commit()
+    finally:
+        connection = connection or dialect.createConnectionFactory(options).apply(-1)
+        if not connection.getAutoCommit():
+            connection.rollback()  # nothing after a commit
+            connection.setAutoCommit(True)
+        if _is_there(connection, staging):
+            connection.createStatement().executeUpdate(f"DROP TABLE {staging}")
+        connection.close()
+
+
+def _is_there(connection, table: str) -> bool:
+    """Whether a table is there, in whatever case the database keeps its name."""
+    found = connection.getMetaData().getTables(None, None, "%", None)
+    while found.next():
+        if found.getString("TABLE_NAME").lower() == table.lower():
+            return True
+    return False

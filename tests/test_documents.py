@@ -8,7 +8,7 @@ from pagewright.operators import blocks as K
 from pagewright.operators import corpus as C
 from pagewright.operators import render as R
 from pagewright.operators import tree as N
-from pagewright.sources import files
+from pagewright.sources import files, layout
 from pagewright.streaming import lines as streaming
 
 
@@ -206,3 +206,34 @@ def test_documents_as_a_stream(spark, tiny, tmp_path):
     streaming.section_patterns(stream, f"file://{tmp_path}/out", f"file://{tmp_path}/state").awaitTermination(120)
     out = spark.read.parquet(f"file://{tmp_path}/out")
     assert out.count() == 20 and out.select("batch").distinct().count() == 2
+
+
+def test_counts_of_patterns_over_batches_and_a_restart(spark, tiny, tmp_path):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    paths = [f"file://{tmp_path}/{x}" for x in ("in", "patterns", "counts", "state1", "state2")]
+    for part in range(4):  # the last part comes after a restart of both streams
+        docs.where(f"doc_id % 4 = {part}").coalesce(1).write.mode("append").parquet(paths[0])
+        if part >= 2:
+            streaming.section_patterns(streaming.read_documents(spark, paths[0], 1), paths[1], paths[3]).awaitTermination(120)
+            streaming.pattern_counts(spark, paths[1], paths[2], paths[4], 1).awaitTermination(120)
+    assert spark.read.parquet(paths[2]).select("batch").distinct().count() > 3
+    whole = C.section_patterns(docs.select("doc_id"), C.heading_sequence(layout.words(docs)))
+    key = lambda df: sorted(map(tuple, df.select("pattern", "n_docs", "first_doc").collect()))
+    assert key(streaming.current_counts(spark, paths[2])) == key(C.top_patterns(whole, 10_000))
+
+
+def test_a_table_of_a_database_takes_rows_by_key_and_again(spark, tmp_path):
+    url, properties = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "createTableColumnTypes": "part VARCHAR(64)"}
+    first = spark.createDataFrame([(i, "s", f"old {i}") for i in range(10)], "doc_id long, part string, text string")
+    again = spark.createDataFrame([(i, "s", f"new {i}") for i in range(5, 15)], "doc_id long, part string, text string")
+    for df in (first, again, again):
+        files.write_table(df, url, "nodes", ["doc_id", "part"], properties)
+    found = lambda: sorted(map(tuple, spark.read.jdbc(url, "nodes", properties=properties).collect()))
+    want = sorted([(i, "s", f"old {i}") for i in range(5)] + [(i, "s", f"new {i}") for i in range(5, 15)])
+    assert found() == want
+    bad = again.withColumn("text", F.expr("if(doc_id = 9, raise_error('no'), 'bad')"))
+    with pytest.raises(Exception):  # noqa: B017
+        files.write_table(bad, url, "nodes", ["doc_id", "part"], properties)
+    assert found() == want
+    names = spark.read.jdbc(url, "(SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLETYPE = 'T') t", properties={"driver": properties["driver"]}).collect()
+    assert [r[0] for r in names] == ["NODES"]  # no table of a job is left
