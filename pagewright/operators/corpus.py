@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagewright.functions import text as T
 from pagewright.functions import vocabulary as V
 
+from .tables import profiled_pages
 from .relational import joined
 
 FLAGS = [
@@ -61,6 +62,13 @@ def document_flags(files: DataFrame, tables: DataFrame, rotated: DataFrame | Non
     return out.select(*files.columns, *[F.coalesce(f, F.lit(False)).alias(f) for f in FLAGS])
 
 
+def page_flags(files: DataFrame, pages: DataFrame) -> DataFrame:
+    """``document_flags`` of whole pages: they are read once."""
+    kinds = profiled_pages(pages).withColumn("_kind", corpus_type())
+    seen = kinds.groupBy("doc_id").agg(*[(F.max("tiny_cols") >= 4).alias(f) if f == "has_avail" else F.max(F.coalesce(F.col("_kind") == f, F.lit(False))).alias(f) for f in FLAGS])
+    return files.join(seen, "doc_id", "left").select(*files.columns, *[F.coalesce(f, F.lit(False)).alias(f) for f in FLAGS])
+
+
 def flag_distribution(flags: DataFrame) -> DataFrame:
     """flag, n, percent of documents, for flags that any document has."""
     counted = flags.agg(F.count("*").alias("total"), *[F.count_if(F.col(f)).alias(f) for f in FLAGS])

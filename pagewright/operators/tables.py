@@ -142,15 +142,26 @@ def _word_title(most: int | None) -> Column:
     return F.substring(title, 1, most) if most else title
 
 
-def corpus_titles(tables: DataFrame, words: DataFrame) -> DataFrame:
-    """``tables`` with ``title``: the bold words up to 20 points above that are as large as the nearest of them."""
-    bold = _held(words.where(F.col("fontname").contains("Bold")), ["x0", "word_idx", "size", "text"], "_bold", ["top"])
-    near = F.filter("_bold", lambda w: (w["top"] < F.col("bbox.top")) & (F.col("bbox.top") - w["top"] <= 20))
+def _corpus_title(bold: Column) -> Column:
+    """The title of a table from the bold words of its page (top, x0, word_idx, size, text), in order."""
+    near = F.filter(bold, lambda w: (w["top"] < F.col("bbox.top")) & (F.col("bbox.top") - w["top"] <= 20))
     lowest = F.array_max(F.transform(near, lambda w: w["top"]))
     anchor = F.get(F.array_sort(F.transform(F.filter(near, lambda w: w["top"] == lowest), lambda w: F.struct(w["word_idx"], w["size"]))), F.lit(0))["size"]
     kept = F.filter(near, lambda w: F.abs(w["size"] - anchor) <= 1.0)
-    title = T.strip(T.join_capitals(F.array_join(F.transform(kept, lambda w: w["text"]), " ")))
-    return tables.join(bold, PAGE, "left").withColumn("title", F.coalesce(title, F.lit(""))).drop("_bold")
+    return F.coalesce(T.strip(T.join_capitals(F.array_join(F.transform(kept, lambda w: w["text"]), " "))), F.lit(""))
+
+
+def corpus_titles(tables: DataFrame, words: DataFrame) -> DataFrame:
+    """``tables`` with ``title``: the bold words up to 20 points above that are as large as the nearest of them."""
+    bold = _held(words.where(F.col("fontname").contains("Bold")), ["x0", "word_idx", "size", "text"], "_bold", ["top"])
+    return tables.join(bold, PAGE, "left").withColumn("title", _corpus_title(F.col("_bold"))).drop("_bold")
+
+
+def profiled_pages(pages: DataFrame) -> DataFrame:
+    """``corpus_titles`` and tiny_cols of whole pages, without a shuffle or a join; a page without tables is a row without cells."""
+    bold = F.array_sort(F.transform(F.filter("words", lambda w: w["fontname"].contains("Bold")), lambda w: F.struct(*[w[c].alias(c) for c in ("top", "x0", "word_idx", "size", "text")])))
+    rows = pages.select(*PAGE, F.col("words").alias("_words"), bold.alias("_bold"), F.explode_outer("tables").alias("t")).select(*PAGE, "t.*", "_words", "_bold")
+    return rows.withColumn("title", _corpus_title(F.col("_bold"))).withColumn("tiny_cols", _tiny_columns()).drop("_words", "_bold")
 
 
 def walked_titles(tables: DataFrame, lines: DataFrame, most: int | None = 80, same_size: bool = False) -> DataFrame:

@@ -215,7 +215,11 @@ def note_absorption(spark, d):
 
 
 def _sectioned(spark, d):
-    return S.sections(S.segmented(L.raw_lines(layout.words(_docs(spark, d)))))
+    return S.sections(S.segmented(_raw(spark, d)))
+
+
+def _raw(spark, d):
+    return L.raw_lines(layout.words(_docs(spark, d)))
 
 
 @query(
@@ -239,10 +243,15 @@ def band_join_lines(spark, d):
 
 
 def _footnotes(spark, d):
-    lines = _sectioned(spark, d)
+    return _with_notes(_raw(spark, d))
+
+
+def _with_notes(raw: DataFrame) -> DataFrame:
+    lines = S.sections(S.segmented(raw))
     text = F.when(F.col("top") % 5 == 0, F.concat(F.lit("* "), "text")).when(F.col("top") % 7 == 0, F.concat(F.lit("FDA – "), "text")).otherwise(F.col("text"))
     small = lines.withColumn("text", text).withColumn("size", F.when((F.col("doc_id") % 2 == 0) & (F.col("size") < 12), 8.0).otherwise(F.col("size")))
-    return N.footnote_flag(small, layout.boxes(_docs(spark, d)))
+    bottoms = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit(410.0)))  # of the regions that layout.boxes places
+    return N.footnote_flag(small.withColumn("_bottoms", bottoms))
 
 
 _FOOT = f"""{_RUNS},
@@ -278,7 +287,11 @@ def table_order(spark, d):
 
 
 def _nodes(spark, d):
-    lines = _footnotes(spark, d)
+    return _nodes_of(_raw(spark, d))
+
+
+def _nodes_of(raw: DataFrame) -> DataFrame:
+    lines = _with_notes(raw)
     heading = F.when(F.col("bold") & (F.col("top") % 3 == 0) & (F.col("size") < 11.5), F.when(F.col("doc_id") % 2 == 0, F.lit("Availability")).otherwise(F.lit("Drug Quantity Limits")))
     lines = lines.withColumn("subsection", heading).withColumn("interior", N.interior(F.col("in_table"), F.col("segment")))
     return N.section_nodes(lines)
@@ -290,10 +303,10 @@ def _placed(spark, d):
 
 def _with_tables(nodes: DataFrame) -> DataFrame:
     """Nodes with a table of each kind put into every section."""
-    ids = nodes.groupBy("doc_id", "section_id").agg(F.min("page").alias("page"), F.min("top").alias("top"))
-    kinds = F.posexplode(F.array(*[F.lit(t) for t in N.TABLE_ORDER]))
-    tables = ids.select("doc_id", "section_id", "page", (F.col("top") + 100).alias("top"), kinds.alias("position", "table_type")).withColumn("title", F.lit("Table 1. Products"))
-    return N.inject_tables(nodes, tables)
+    held = N.gathered(nodes)
+    page, top = (F.array_min(F.transform("_nodes", lambda x: x[c])) for c in ("page", "top"))
+    table = lambda kind: F.struct(F.lit(kind).alias("table_type"), F.lit("Table 1. Products").alias("title"), page.alias("page"), (top + 100).alias("top"), F.lit(None).cast("string").alias("html"))
+    return N.put_in(held.withColumn("_tables", F.array(*[table(k) for k in N.TABLE_ORDER])))
 
 
 _TREE = f"""{_FOOT},
@@ -397,14 +410,17 @@ ruled AS (SELECT doc_id, CAST(k AS DOUBLE) AS k, html FROM numbered_parts UNION
 
 @query(f"WITH {_PARTS} SELECT doc_id, string_agg(html, chr(10) ORDER BY k) || chr(10) || ' </body>' || chr(10) || '</html>' AS html FROM ruled GROUP BY doc_id")
 def render_html(spark, d):
-    nodes = _placed(spark, d)
+    keep = Stages(spark, "render")
+    lines = keep(L.raw_lines(layout.words(_docs(spark, d))), "lines")
+    nodes = keep(_with_tables(_nodes_of(lines)), "nodes")
     html = R.node_html(F.col("kind"), F.col("heading"), F.col("text"), F.concat(F.lit("  <table><!-- "), "table_type", F.lit(" --></table>")))
     parts = nodes.select("doc_id", F.struct(F.col("section_id").cast("long").alias("s"), F.col("ord").cast("long").alias("o")).alias("path"), html.alias("html"))
     stripes = nodes.groupBy("doc_id", "section_id").agg(F.min("page").alias("p")).select("doc_id", F.struct(F.col("section_id").cast("long").alias("s"), F.lit(0).cast("long").alias("o")).alias("path"), R.stripe(F.concat(F.lit("Section "), F.col("section_id").cast("string"))).alias("html"))
-    lines = L.raw_lines(layout.words(_docs(spark, d)))
     meta = S.metadata(lines)
     heads = meta.select("doc_id", F.struct(F.lit(0).cast("long").alias("s"), F.lit(0).cast("long").alias("o")).alias("path"), R.header_html(F.col("doc_id").cast("string"), F.col("title"), F.col("doc_type"), F.col("publish_date"), F.lit("")).alias("html"))
-    return R.documents_html(parts.unionByName(stripes).unionByName(heads))
+    out = keep(R.documents_html(parts.unionByName(stripes).unionByName(heads)), "documents")
+    keep.close(but=("documents",))
+    return out
 
 
 @query(
@@ -451,7 +467,7 @@ def _whole_nodes(spark, d, keep):
     found = [("http://a", 120.0, 180.0), ("http://b", 170.0, 230.0)]
     annots = lines.select("doc_id").distinct().select("doc_id", F.lit(1).alias("page"), F.explode(F.array(*[F.struct(F.lit(i).alias("annot_idx"), F.lit(u).alias("uri"), F.lit(300.0).alias("x0"), F.lit(a).alias("top"), F.lit(b).alias("bottom")) for i, (u, a, b) in enumerate(found)])).alias("a")).select("doc_id", "page", "a.*")
     front = D.front_nodes(_zone(lines), annots)
-    nodes = keep(_nodes(spark, d), "nodes")
+    nodes = keep(_nodes_of(lines), "nodes")
     special = F.col("segment") == "ifu"
     sections = nodes.select("doc_id", "section_id", "segment").distinct().select("doc_id", *D.node_columns(F.when(special, "ifu").otherwise("section"), section_id=F.col("section_id"), ord=F.lit(0), heading=F.when(~special, F.col("segment"))))
     inner = _with_tables(nodes).select("doc_id", *D.node_columns(F.col("kind"), F.col("parent"), **{c: F.col(c) for c in ("section_id", "ord", "heading", "text", "table_type")}))

@@ -518,15 +518,12 @@ flags AS (SELECT f.doc_id, coalesce((SELECT max(tiny_cols) >= 4 FROM tiny WHERE
 
 
 def _flags(spark, d):
-    t, w, _ = _all(spark, d)
-    files = spark.read.parquet(f"{d}/documents.parquet").select("doc_id")
-    return C.document_flags(files, B.corpus_titles(t, w), B.rotated_headers(w))
+    return C.page_flags(spark.read.parquet(f"{d}/documents.parquet").select("doc_id"), _pages(spark, d))
 
 
 @query(f"WITH {CORPUS_SQL} SELECT doc_id, page, table_idx, kind FROM kinds")
 def corpus_cascade(spark, d):
-    t, w, _ = _all(spark, d)
-    return B.corpus_titles(t, w).select(*KEYS, C.corpus_type().alias("kind"))
+    return B.profiled_pages(_pages(spark, d)).select(*KEYS, C.corpus_type().alias("kind"))
 
 
 @query(f"WITH {CORPUS_SQL} SELECT * FROM flags")
@@ -545,9 +542,10 @@ _BOUNDS = "bounds AS (SELECT DISTINCT doc_id, 'Overview' AS segment, 1 AS page,
 
 
 def _bounds(t):
-    ids = t.select("doc_id").distinct()
-    one = lambda seg, page, top: ids.select("doc_id", F.lit(seg).alias("segment"), F.lit(page).alias("page"), F.lit(top).alias("top"), F.lit(1).alias("seq"))
-    return one("Overview", 1, 50.0).union(one("References", 2, 100.0).where("doc_id % 3 = 0")).union(one("Appendix", 3, 200.0).where("doc_id % 6 = 0"))
+    one = lambda seg, page, top: F.struct(F.lit(seg).alias("segment"), F.lit(page).alias("page"), F.lit(top).alias("top"), F.lit(1).alias("seq"))
+    some = lambda by, bound: F.when(F.col("doc_id") % by == 0, F.array(bound)).otherwise(F.filter(F.array(bound), lambda x: F.lit(False)))
+    marks = F.concat(F.array(one("Overview", 1, 50.0)), some(3, one("References", 2, 100.0)), some(6, one("Appendix", 3, 200.0)))
+    return t.select("doc_id").distinct().select("doc_id", F.explode(marks).alias("b")).select("doc_id", "b.*")
 
 
 @query(f"WITH {grids.GRIDS_SQL}, {_BOUNDS} SELECT doc_id, 2 AS from_page, 100.0 AS from_top, CASE WHEN doc_id % 6 = 0 THEN 3 END AS to_page, CASE WHEN doc_id % 6 = 0 THEN 200.0 END AS to_top FROM bounds WHERE segment = 'References'")
@@ -558,8 +556,11 @@ def references_range(spark, d):
 @query(f"""WITH {TYPE_SQL}, regions AS (SELECT doc_id, page, greatest(0, top - CASE WHEN table_type = 'criteria' THEN 30 ELSE 5 END) AS a, bottom AS b FROM typed WHERE table_type NOT IN ('spurious', 'unknown') AND doc_id % 4 <> 1)
     SELECT doc_id, page, table_idx, CASE WHEN spurious OR (doc_id % 3 = 0 AND (page, top) > (2, 100.0) AND (doc_id % 6 <> 0 OR (page, top) < (3, 200.0))) THEN 'SPURIOUS' WHEN EXISTS (SELECT 1 FROM regions r WHERE r.doc_id = t.doc_id AND r.page = t.page AND r.a <= t.top + 10 AND r.b >= t.bottom - 10) THEN 'OK' ELSE 'MISSED' END AS status FROM typed t""")
 def missed_tables(spark, d):
-    found = _detected(spark, d)
-    return Q.coverage(found, B.covered_regions(found.where("doc_id % 4 <> 1")), Q.references_range(_bounds(_tables(spark, d)))).select(*KEYS, "status")
+    keep = Stages(spark, "missed")
+    found = keep(_detected(spark, d), "detected")
+    out = keep(Q.coverage(found, B.covered_regions(found.where("doc_id % 4 <> 1")), Q.references_range(_bounds(found))).select(*KEYS, "status"), "missed")
+    keep.close(but=("missed",))
+    return out
 
 
 def _expected(spark, d):
