@@ -3,8 +3,8 @@
 Examples are at most SAMPLE labelled documents of the learning folds (those with the smallest hashes of
 doc_id; the bound is a parameter). Terms are words (``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z in lower case)
 and the first PREFIX bytes of longer ones. The leaning terms are those of whose examples more than half are toxic, and which chance
-can't explain: the binomial test of their toxic share against that of all examples passes at LEVEL over all terms tested (Bonferroni),
-whatever the number of examples. Documents without such a term are searched among the
+can't explain: binomial tests of their toxic share against that of all examples, with a share of LEVEL of false discoveries over all terms tested
+(Benjamini and Hochberg, 1995), whatever the number of examples. Documents without such a term are searched among the
 same examples by the wide vocabulary: terms of MIN_DOCS examples or more whose chi-squared with the label passes WIDE (one in a hundred
 by chance). A document's weights are (1 + ln tf) * idf, scaled to
 length 1, with document frequencies counted over the whole corpus.
@@ -39,7 +39,7 @@ from ._common import annotate, fresh, lower_alnum_words, text_bytes, tidy, writt
 
 SAMPLE = 4096
 PREFIX = 5
-#: Chance that any term leans by accident, over all terms tested.
+#: Share of the leaning terms that may lean by accident.
 LEVEL = 0.05
 #: Chi-squared of the wide vocabulary (one degree of freedom, one in a hundred), and the fewest examples for which it holds.
 WIDE = 6.635
@@ -70,6 +70,13 @@ def log_tail(both: int, n: int, rate: float) -> float:
     return most + math.log(sum(math.exp(v - most) for v in ln))
 
 
+def discoveries(tails: list[tuple[float, bytes]], tested: int) -> list[bytes]:
+    """The terms whose (log tail, term) pass: the smallest tails up to the last that is within its rank's part of LEVEL."""
+    tails = sorted(tails)
+    passed = [k for k, (tail, _) in enumerate(tails, 1) if tail <= math.log(LEVEL * k / tested)]
+    return sorted(term for _, term in tails[: max(passed, default=0)])
+
+
 class BlockMaxIndex:
     """Unit vectors of few terms, found by exact cosine."""
 
@@ -233,9 +240,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     n, toxic, tested = total["n"], total["both"], counts.count() - 1
     vocabulary: list[bytes] = []
     if 0 < toxic < n:
-        least = math.log(LEVEL / max(1, tested))
-        leaning = counts.where((F.col("term") != b"") & (F.col("both") * 2 > F.col("n")) & (F.col("both") * math.log(toxic / n) <= least))  # what all hits could reach
-        vocabulary = sorted(bytes(r["term"]) for r in leaning.collect() if log_tail(r["both"], r["n"], toxic / n) <= least)
+        # what all hits could reach
+        leaning = counts.where((F.col("term") != b"") & (F.col("both") * 2 > F.col("n")) & (F.col("both") * math.log(toxic / n) <= math.log(LEVEL)))
+        vocabulary = discoveries([(log_tail(r["both"], r["n"], toxic / n), bytes(r["term"])) for r in leaning.collect()], tested)
     score = F.lit(float(n)) * F.pow(F.col("both") * float(n - toxic) - (F.col("n") - F.col("both")) * float(toxic), 2) / F.greatest(F.col("n") * (float(n) - F.col("n")) * float(toxic) * float(n - toxic), F.lit(1.0))
     wide = sorted(bytes(r["term"]) for r in counts.where((F.col("term") != b"") & (F.col("n") >= MIN_DOCS) & (score >= WIDE)).select("term").collect())
     wanted = frozenset(vocabulary + wide)

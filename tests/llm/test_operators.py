@@ -512,7 +512,9 @@ def test_scores_against_brute_force(spark):
             have[t].add(i)
     tail = lambda b, m: sum(math.comb(m, x) * rate**x * (1 - rate) ** (m - x) for x in range(b, m + 1))
     lean = {t: sum(toxic[i] for i in d) for t, d in have.items()}
-    vocabulary = {t for t, d in have.items() if 2 * lean[t] > len(d) and tail(lean[t], len(d)) <= toxicity.LEVEL / len(have)}
+    tails = sorted((tail(lean[t], len(d)), t) for t, d in have.items() if 2 * lean[t] > len(d))
+    within = [k for k, (p, _) in enumerate(tails, 1) if p <= toxicity.LEVEL * k / len(have)]
+    vocabulary = {t for _, t in tails[: max(within, default=0)]}
     wide = {t for t, d in have.items() if len(d) >= 5 and n * (lean[t] * (n - rate * n) - (len(d) - lean[t]) * rate * n) ** 2 / (len(d) * (n - len(d)) * rate * n * (n - rate * n)) >= toxicity.WIDE}
     df = {t: sum(t in set(words[i]) for i, _, _ in rows) for t in vocabulary | wide}
 
