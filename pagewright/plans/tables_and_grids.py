@@ -263,6 +263,66 @@ def built_revisions(spark, d):
     return _built(spark, d).where("table_type = 'revision'").select(*KEYS, "html")
 
 
+def _frame(head: str, body: str) -> str:
+    """SQL of a table from the SQL of its labels and of its rows."""
+    return f"""{_l(G.TABLE_OPEN + chr(10) + "   <thead>" + chr(10) + G.HEAD_ROW + chr(10))} || {head} || {_l(chr(10) + "    </tr>" + chr(10) + "   </thead>" + chr(10) + "   <tbody>" + chr(10))} || {body} || {_l(chr(10) + "   </tbody>" + chr(10) + "  </table>")}"""
+
+
+_TD, _END = _l(H.TOP_CELL), _l("</td>" + chr(10))
+_ONE = "replace(trim(coalesce({0}, '')), chr(10), ' ')"
+_MOA_WORDS = _q(w for w in G.MOA_HEADER_WORDS)
+
+
+# mechanisms of action: headings and rows with what goes on in their last cell
+@query(
+    f"""WITH RECURSIVE {_ROWS_SQL},
+    mr AS (SELECT doc_id, page, table_idx, generate_subscripts(rows_, 1) - 1 AS r, unnest(rows_) AS row FROM whole WHERE handler = 'moa'),
+    mc AS (SELECT *, trim(coalesce(row[1], '')) AS c0, [{_ONE.format("c")} for c in row if {_SHUT} <> ''] AS f, trim(coalesce(row[1], '')) <> '' OR trim(coalesce(row[2], '')) <> '' AS low FROM mr),
+    mh AS (SELECT *, c0 = '' AND len(f) = 1 AND low AS headish FROM mc),
+    mb AS (SELECT doc_id, page, table_idx, coalesce(min(r) FILTER (r >= 1 AND c0 <> '' AND lower(c0) NOT IN ({_MOA_WORDS})), 3) AS start FROM mh GROUP BY ALL),
+    ms AS (SELECT doc_id, page, table_idx, coalesce(max(r) FILTER (r < start AND (r < 1 OR NOT headish)), -1) AS barrier FROM mh JOIN mb USING (doc_id, page, table_idx) GROUP BY ALL),
+    md AS (SELECT mh.*, row_number() OVER (PARTITION BY doc_id, page, table_idx ORDER BY r) = 1 AS leads FROM mh JOIN ms USING (doc_id, page, table_idx) WHERE r > barrier AND len(f) > 0),
+    mg AS (SELECT *, sum((headish OR c0 <> '' OR leads)::INT) OVER (PARTITION BY doc_id, page, table_idx ORDER BY r) AS g FROM md),
+    ma AS (SELECT doc_id, page, table_idx, g, arg_min(headish, r) AS heading, arg_min(f, r) AS f, list(array_to_string(f, ' ') ORDER BY r) AS texts FROM mg GROUP BY ALL),
+    ml AS (SELECT *, array_to_string([{_E.format("x")} for x in list_concat([coalesce(f[3], '')], texts[2:]) if x <> ''], '<br>') AS last FROM ma),
+    mt AS (SELECT doc_id, page, table_idx, string_agg(CASE WHEN heading THEN {_l(G.HEAD_ROW + chr(10) + H.MOA_GROUP)} || {_E.format("f[1]")} || {_l("</td>" + chr(10) + "    </tr>")}
+      ELSE {_l("    <tr>" + chr(10))} || {_TD} || {_E.format("f[1]")} || {_END} || {_TD} || {_E.format("coalesce(f[2], '')")} || {_END} || {_TD} || last || {_END} || '    </tr>' END, chr(10) ORDER BY g) AS body FROM ml GROUP BY ALL)
+    SELECT doc_id, page, table_idx, {_frame("(" + " || chr(10) || ".join(_l(f"     <th>{h}</th>") for h in H.MOA_HEADERS) + ")", "body")} AS html FROM mt"""
+)
+def built_moa(spark, d):
+    return _built(spark, d).where("handler = 'moa'").select(*KEYS, "html")
+
+
+_DQL_WORDS = _q([*G.DQL_HEADER_WORDS, ""])
+_LINES_OF = f"array_to_string([{_E.format('trim(x)')} for x in string_split({{0}}, chr(10)) if trim(x) <> ''], '<br>')"
+_JOIN_OF = f"array_to_string([{_E.format('x')} for x in [{{0}}] if x <> ''], '<br>')"
+
+
+def _at_sql(rows: str, r: int, c: int) -> str:
+    return _ONE.format(f"{rows}[{r + 1}][{c + 1}]")
+
+
+# quantity limits: the rows above the first one with a product of its own make the header, and a product spans the rows below it; with a header of
+# one row the places of a table of one product count
+@query(
+    f"""WITH RECURSIVE {_ROWS_SQL},
+    dq AS (SELECT w.doc_id, w.page, w.table_idx, w.cells AS own, coalesce(m.rest, []) AS more, list_max([len(r) for r in w.cells]) AS width FROM whole w LEFT JOIN more m USING (doc_id, page, table_idx) WHERE handler = 'dql'),
+    ds AS (SELECT *, coalesce(list_min([i for i in range(1, len(own) + 1) if trim(coalesce(own[i][1], '')) <> '' AND len([x for x in regexp_split_to_array(lower(trim(own[i][1])), '\\s+') if x NOT IN ({_DQL_WORDS})]) > 0]) - 1, 1) AS start FROM dq),
+    dl AS (SELECT *, [array_to_string([trim(coalesce(r[c], '')) for r in own[1:start] if trim(coalesce(r[c], '')) <> ''], ' ') for c in range(1, width + 1)] AS labels, list_concat(own[start + 1:], [r[1:width] for r in more if len([c for c in r if {_SHUT} <> '']) > 0]) AS rows2 FROM ds WHERE start > 1),
+    dr AS (SELECT doc_id, page, table_idx, labels, width, generate_subscripts(rows2, 1) AS i, unnest(rows2) AS row, len(rows2) AS n FROM dl),
+    df AS (SELECT *, trim(coalesce(row[1], '')) <> '' AS filled, lead(CASE WHEN trim(coalesce(row[1], '')) <> '' THEN i END IGNORE NULLS) OVER (PARTITION BY doc_id, page, table_idx ORDER BY i) AS next_filled FROM dr),
+    dx AS (SELECT *, CASE WHEN filled THEN coalesce(next_filled, n + 1) - i ELSE 0 END AS span FROM df),
+    dh AS (SELECT doc_id, page, table_idx, any_value(labels) AS labels, string_agg({_l("    <tr>" + chr(10))} || CASE WHEN span = 0 THEN '' ELSE {_l(H.TOP_CELL[:-1])} || CASE WHEN span > 1 THEN ' rowspan="' || span || '"' ELSE '' END || '>' || {_E.format("trim(row[1])")} || {_END} END
+      || array_to_string([{_TD} || {_E.format("trim(coalesce(row[c], ''))")} || {_END} for c in range(2, width + 1)], '') || '    </tr>', chr(10) ORDER BY i) FILTER (len([c for c in row[1:width] if {_SHUT} <> '']) > 0) AS body FROM dx GROUP BY ALL)
+    SELECT doc_id, page, table_idx, {_frame(f"array_to_string(['     <th>' || {_E.format('x')} || '</th>' for x in labels], chr(10))", "body")} AS html FROM dh
+    UNION ALL SELECT doc_id, page, table_idx, {_frame(f"array_to_string(['     <th>' || {_E.format('x')} || '</th>' for x in [{_at_sql('own', 0, 0)}, {_at_sql('own', 0, 1)}, trim({_at_sql('own', 0, 3)} || ' ' || {_at_sql('own', 1, 3)})]], chr(10))",
+      f"array_to_string(list_concat([{_l('    <tr>' + chr(10))} || {_TD} || " + _LINES_OF.format("coalesce(own[3][1], '') || chr(10) || coalesce(more[1][1], '')") + f" || {_END} || {_TD} || " + _JOIN_OF.format(", ".join(_at_sql("own", r, 1) for r in (2, 3, 4))) + f" || {_END} || {_TD} || " + _JOIN_OF.format(", ".join(_at_sql("own", r, 2) for r in (2, 2, 4))) + f" || {_END} || '    </tr>'], ["
+      + f"{_l('    <tr>' + chr(10) + '     <td>')} || " + _E.format(_ONE.format("r[1]")) + f" || {_l('</td>' + chr(10) + '     <td>')} || " + _LINES_OF.format("coalesce(r[2], '')") + f" || {_l('</td>' + chr(10) + '     <td>')} || " + _E.format(_ONE.format("r[3]")) + f" || {_l('</td>' + chr(10) + '    </tr>')} for r in more[2:] if trim(coalesce(r[1], '')) <> '' OR trim(coalesce(r[2], '')) <> '' OR trim(coalesce(r[3], '')) <> '']), chr(10))")} AS html FROM ds WHERE start = 1"""
+)
+def built_limits(spark, d):
+    return _built(spark, d).where("handler = 'dql'").select(*KEYS, "html")
+
+
 @query(f"WITH {grids.GRIDS_SQL} SELECT t.doc_id, t.page, t.table_idx, (SELECT max(r.bottom) FROM grects r WHERE r.doc_id = t.doc_id AND r.page = t.page AND r.fill AND (r.r + r.g + r.b) / 3 BETWEEN 0.3 AND 0.98 AND r.top >= t.top - 2 AND r.bottom <= t.bottom + 2) AS gray_bottom FROM tables t")
 def gray_bottom(spark, d):
     t, _, r = _all(spark, d)
