@@ -107,10 +107,15 @@ def near_pairs(words: DataFrame) -> DataFrame:
     return named.where(F.levenshtein("u", "v", 1) == 1).select("a", "b")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``written``, never to be broadcast through the driver: a vocabulary is many times as large in memory as its files."""
+    return written(df, name).hint("merge")
+
+
 def variants(docs: DataFrame, one_in: int = ONE_IN, min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT) -> DataFrame:
     """word, form, root, n, n_near, form_n: a row for each word of the vocabulary."""
     spark = docs.sparkSession
-    words = written(vocabulary(docs, one_in, min_length, min_count).withColumn("id", F.monotonically_increasing_id()), "words")
+    words = kept(vocabulary(docs, one_in, min_length, min_count).withColumn("id", F.monotonically_increasing_id()), "words")
     both = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
     links = near_pairs(words).select(both.alias("e")).select(F.col("e.a").alias("id"), F.col("e.b").alias("near"))
     others = words.select(F.col("id").alias("near"), F.struct((-F.col("n")).alias("less"), "word", F.col("id").alias("to")).alias("best"))
@@ -120,7 +125,7 @@ def variants(docs: DataFrame, one_in: int = ONE_IN, min_length: int = MIN_LENGTH
         "id", "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(often, F.col("best.word")).alias("form"), F.when(often, -F.col("best.less")).alias("form_n"), F.when(often, F.col("best.to")).alias("up"),
     )
-    formed = written(formed, "formed")
+    formed = kept(formed, "formed")
     roots = roots_of(formed.where("up is not null").select("id", "up"))
     named = roots.join(words.select(F.col("id").alias("root_id"), F.col("word").alias("root")), F.col("up") == F.col("root_id")).select("id", "root")
     return formed.join(named, "id", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
@@ -132,7 +137,7 @@ def roots_of(steps: DataFrame) -> DataFrame:
     path = scratch(spark, "roots")
     steps.write.parquet(path)
     while True:
-        now = spark.read.schema("id long, up long").parquet(path)
+        now = spark.read.schema("id long, up long").parquet(path).hint("merge")
         on = now.select(F.col("id").alias("up"), F.col("up").alias("further"))
         if now.join(on, "up", "left_semi").isEmpty():
             return now

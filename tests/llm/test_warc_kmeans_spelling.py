@@ -283,3 +283,12 @@ def test_keys_compare_places(spark):
     words = spark.createDataFrame([(0, "abcd"), (1, "bacd"), (2, "aab"), (3, "aa"), (4, "abb"), (5, "xaa")], "id long, word string")
     assert sorted(map(tuple, spelling.near_pairs(words).collect())) == [(2, 3), (2, 4), (3, 5)]
     assert len(spelling.keys_of(["a" * 100_000])[0]) == 2
+
+
+def test_no_vocabulary_goes_through_the_driver(spark):
+    """Tables that are read back are joined by merges, however small their files are."""
+    words = spelling.kept(spark.createDataFrame([(0, "aab"), (1, "aa")], "id long, word string"), "words")
+    assert list(map(tuple, spelling.near_pairs(words).collect())) == [(0, 1)]
+    assert "Broadcast" not in spelling.near_pairs(words)._jdf.queryExecution().sparkPlan().toString()
+    plan = spelling.variants(spark.createDataFrame([(0, "abcde abcde abcde")], "doc_id long, text string"))._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
