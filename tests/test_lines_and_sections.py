@@ -121,3 +121,19 @@ def test_shared_joins(spark):
 def test_medical_levels(spark, underline, section, text, want):
     df = spark.createDataFrame([(text, section, underline)], "t string, s string, u boolean")
     assert df.select(S.mm_heading_level(F.col("t"), F.lit(True), F.lit(10.0), F.lit(50.0), F.lit(False), F.col("u"), F.col("s"))).first()[0] == want
+
+
+def test_words_are_neither_shuffled_nor_sorted(spark, tiny):
+    """Texts are dealt once by doc_id; lines, sections and rectangles are made of them where they are."""
+    from pagewright.operators import lines as L
+    from pagewright.operators import segments as S
+    from pagewright.plans import lines_and_sections as P
+    from pagewright.sources import layout
+
+    words = layout.words(spark.read.parquet(f"{tiny}/documents.parquet"))
+    plan = S.sections(S.segmented(L.raw_lines(words)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    lines = L.raw_lines(words)
+    assert L.underline(lines, P._rects(words)).count() == lines.count()
+    rows = words.where("doc_id < 20").groupBy("doc_id").agg({"word_idx": "max", "ln": "max"}).count()
+    assert rows == words.where("doc_id < 20").select("doc_id").distinct().count()
