@@ -184,3 +184,12 @@ def test_marks_on_lines_equal_the_asof_join(spark, tiny):
     assert key(S.segmented(lines)) == key(S.assign_segments(lines, S.boundaries(lines)))
     assert key(S.segmented(lines, footers=feet)) == key(S.assign_segments(lines, S.boundaries(lines, feet)))
     assert set(S.with_family(lines).select("family").distinct().toPandas()["family"]) <= {"mm", "drug"}
+
+
+def test_tables_of_stages_are_not_broadcast(spark):
+    """Small files may be large tables: joins of what a stage gives are merges, not broadcasts through the driver."""
+    stages = Stages(spark, "job")
+    left, right = (stages(spark.range(5).selectExpr("id", f"id as {n}"), n) for n in ("a", "b"))
+    plan = left.join(right.groupBy("id").agg({"b": "max"}), "id", "left")
+    assert "Broadcast" not in plan._jdf.queryExecution().sparkPlan().toString() and plan.count() == 5
+    stages.close()
