@@ -137,3 +137,9 @@ def test_words_are_neither_shuffled_nor_sorted(spark, tiny):
     assert L.underline(lines, P._rects(words)).count() == lines.count()
     rows = words.where("doc_id < 20").groupBy("doc_id").agg({"word_idx": "max", "ln": "max"}).count()
     assert rows == words.where("doc_id < 20").select("doc_id").distinct().count()
+
+
+def test_texts_of_lines_are_put_together_once(spark):
+    """Tests of a line's text don't work it out anew."""
+    plan = L.raw_lines(words(spark, ("a", 10, 100, "A", 9)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(ws") == 1
