@@ -119,9 +119,8 @@ def underline(lines: DataFrame, rects: DataFrame) -> DataFrame:
     return lines.join(held, ["doc_id", "page"], "left").withColumn("underline", F.coalesce(~gray & rule, F.lit(False))).drop("_rects")
 
 
-def _opened(words: Column, near: float) -> Column:
-    """Tops of the buckets of a page's words in the order they are opened. Words at one top share a bucket, so the distinct tops are folded, not the words."""
-    tops = F.array_distinct(F.transform(words, lambda w: w["top"].cast("double")))
+def _opened(tops: Column, near: float) -> Column:
+    """Of the distinct tops of a page, in the order of its words, those that open a bucket."""
     return F.aggregate(tops, F.array().cast("array<double>"), lambda acc, t: F.when(F.exists(acc, lambda k: F.abs(k - t) <= near), acc).otherwise(F.concat(acc, F.array(t))))
 
 
@@ -158,14 +157,22 @@ def greedy_buckets(words: DataFrame, low: float = 0.0, high: float = 9999.0, nea
     columns = words.columns
     held = words.where(F.col("top").between(low, high)).groupBy("doc_id", "page").agg(F.array_sort(F.collect_list(F.struct("word_idx", F.struct(*[c for c in columns if c not in ("doc_id", "page")]).alias("w")))).alias("_ws"))
     held = held.withColumn("_ws", F.transform("_ws", lambda x: x["w"]))
-    held = held.withColumn("_opened", _opened(F.col("_ws"), near))
-    keyed = F.transform("_ws", lambda w: F.struct(w.alias("w"), F.get(F.filter("_opened", lambda k: F.abs(k - w["top"]) <= near), F.lit(0)).alias("key")))
-    held = held.withColumn("_ws", keyed)
-    large = lambda k: F.filter("_ws", lambda x: (x["key"] == k) & (x["w"]["size"] >= 6))
-    bucket = lambda k, own: F.struct(k.alias("key"), F.size(own).alias("n"), T.strip(F.get(own, F.lit(0))["w"]["text"]).alias("text"), F.get(own, F.lit(0))["w"]["fontname"].alias("font"))
-    held = held.withColumn("_buckets", F.transform(F.array_sort("_opened"), lambda k: bucket(k, large(k))))
-    held = held.withColumn("_to", F.arrays_zip(F.transform("_buckets", lambda b: b["key"]).alias("key"), _moves(F.col("_buckets")).alias("to")))
-    target = lambda k: F.get(F.filter("_to", lambda m: m["key"] == k), F.lit(0))["to"]
-    rows = held.select("doc_id", "page", F.explode(F.transform("_ws", lambda x: F.struct(x["w"].alias("w"), x["key"].alias("key"), target(x["key"]).alias("to")))).alias("x"))
+    # what holds for a top is worked out for the distinct tops of the page; a word keeps the place of its own
+    held = held.withColumn("_tops", F.array_distinct(F.transform("_ws", lambda w: w["top"].cast("double"))))
+    held = held.withColumn("_opened", _opened(F.col("_tops"), near))
+    held = held.withColumn("_keys", F.transform("_tops", lambda t: F.get(F.filter("_opened", lambda k: F.abs(k - t) <= near), F.lit(0))))
+    held = held.withColumn("_ws", F.transform("_ws", lambda w: F.struct(w.alias("w"), (F.array_position("_tops", w["top"].cast("double")) - 1).cast("int").alias("at"))))
+    held = held.withColumn("_large", F.filter("_ws", lambda x: x["w"]["size"] >= 6))
+    held = held.withColumn("_large_keys", F.transform("_large", lambda x: F.get("_keys", x["at"])))
+
+    def bucket(k: Column) -> Column:
+        first = F.get("_large", (F.array_position("_large_keys", k) - 1).cast("int"))["w"]
+        return F.struct(k.alias("key"), (F.size("_large_keys") - F.size(F.array_remove("_large_keys", k))).alias("n"), T.strip(first["text"]).alias("text"), first["fontname"].alias("font"))
+
+    held = held.withColumn("_order", F.array_sort("_opened")).withColumn("_buckets", F.transform("_order", bucket))
+    # an array of one: the moves of a page are worked out once, not for every top
+    goes = lambda to: F.transform("_keys", lambda k: F.struct(k.alias("key"), F.get(to, (F.array_position("_order", k) - 1).cast("int")).alias("to")))
+    held = held.withColumn("_goes", F.get(F.transform(F.array(_moves(F.col("_buckets"))), goes), F.lit(0)))
+    rows = held.select("doc_id", "page", F.explode(F.transform("_ws", lambda x: F.struct(x["w"].alias("w"), F.get("_goes", x["at"])["key"].alias("key"), F.get("_goes", x["at"])["to"].alias("to")))).alias("x"))
     kept = rows.where(~((F.col("x.w.size") < 6) & F.col("x.to").isNotNull()))
     return kept.select("doc_id", "page", "x.w.*", F.coalesce("x.to", "x.key").alias("line_key")).select(*columns, "line_key")
