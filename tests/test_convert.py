@@ -193,3 +193,20 @@ def test_tables_of_stages_are_not_broadcast(spark):
     plan = left.join(right.groupBy("id").agg({"b": "max"}), "id", "left")
     assert "Broadcast" not in plan._jdf.queryExecution().sparkPlan().toString() and plan.count() == 5
     stages.close()
+
+
+def test_shuffle_files_of_a_stage_go_once_its_table_is_written(spark):
+    """A job of many stages takes the disk of its largest, not of all."""
+    import time
+
+    jvm, held = spark._jvm, spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses()
+    jvm.System.gc()
+    time.sleep(2)
+    before = held.size()
+    stages = Stages(spark, "job")
+    for name in ("a", "b", "c"):
+        assert stages(spark.range(1000).groupBy(F.expr("id % 7")).count(), name).count() == 7
+    jvm.Thread.sleep(2000)
+    # what counted the rows of the last table may still be there
+    assert held.size() <= before + 1
+    stages.close()
