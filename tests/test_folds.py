@@ -83,3 +83,11 @@ def test_inject_tables(spark):
         assert r["ord"] == len(got[r["section_id"]]) + 1
         got[r["section_id"]].append((r["parent"], r["kind"], r["heading"], r["text"], r["table_type"], r["page"], r["top"]))
     assert got == want
+
+
+def test_nodes_of_a_section_are_numbered_once(spark):
+    """They aren't numbered anew for every subsection whose nodes are looked up."""
+    nodes = spark.createDataFrame([(1, 1, "x", "section", 1, "paragraph", None, "a", None, 1, 1.0, None)], "doc_id long, section_id long, segment string, parent string, ord int, kind string, heading string, text string, table_type string, page int, top double, sub long")
+    tables = spark.createDataFrame([(1, 1, 1, "generic", "t", 1, 1.0)], "doc_id long, section_id long, position int, table_type string, title string, page int, top double")
+    plan = N.inject_tables(nodes, tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(transform(_nodes" not in plan and "transform(array(transform(_nodes" in plan
