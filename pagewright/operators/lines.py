@@ -103,9 +103,9 @@ def paragraph_lines(words: DataFrame, line: str = "line_key") -> DataFrame:
     dominant = F.coalesce("longest", F.struct(first["size"].alias("size"), first["fontname"].alias("fontname")))
     x0 = F.coalesce(F.get(texts, F.lit(0))["_x0"], F.get("ws", F.lit(1))["x0"], first["x0"])
     return (
-        lines.withColumn("text", T.squeeze(F.array_join(F.transform(texts, lambda w: w["_text"]), " ")))
+        # as in raw_lines, the text is worked out once, not for its test as well
+        lines.withColumn("text", F.explode(F.filter(F.array(T.squeeze(F.array_join(F.transform(texts, lambda w: w["_text"]), " "))), lambda t: (t != "") | F.col("marker_type").isNotNull())))
         .withColumn("x0", x0).withColumn("_d", dominant)
-        .where((F.col("text") != "") | F.col("marker_type").isNotNull())
         .select(*keys, "x0", "text", F.col("_d.size").alias("size"), F.col("_d.fontname").alias("fontname"), T.is_bold(F.col("_d.fontname")).alias("bold"), T.is_italic(F.col("_d.fontname")).alias("italic"), "marker_type")
     )
 

@@ -149,3 +149,8 @@ def test_buckets_are_settled_once_a_page(spark):
     """The moves of a page aren't worked out for every word or top, and its words aren't gone through for every bucket."""
     plan = L.greedy_buckets(words(spark, ("a", 10, 100, "A", 9)))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("filter(_ws") == 1 and "transform(array(transform(aggregate(" in plan
+
+
+def test_texts_of_paragraph_lines_are_put_together_once(spark):
+    plan = L.paragraph_lines(words(spark, ("a", 10, 100, "A", 9)).withColumn("line_key", F.col("top")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_join(") == 1
