@@ -22,22 +22,23 @@ def raw_lines(words: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
     those of the longest word of 8 points or more (the leftmost of equals), else of the first. Footers are dropped.
     ``boxes`` (doc_id, page, box_top, box_bottom) mark lines within tables. One shuffle by (doc_id, page, top).
     """
-    glue = lambda acc, w: F.when(w["size"] >= 8, F.when(acc == "", w["text"]).otherwise(F.concat(acc, F.lit(" "), w["text"]))).when(acc == "", acc).otherwise(F.concat(acc, w["text"]))
-    rank = F.when(F.col("size") >= 8, F.struct(F.char_length("text").alias("n"), (-F.col("x0")).alias("x"), (-F.col("word_idx")).alias("i")))
-    # as an array of one, the text is worked out once a line; a filter would be moved before it, with the text put together anew for every test
-    text = T.clean(F.aggregate("ws", F.lit(""), glue))
+    # structs and orders are worked out in generated code: no function is called for a word, but where a line begins with a small one
+    large = F.coalesce(F.col("size") >= 8, F.lit(False))
+    length = F.when(large, F.coalesce(F.char_length("text"), F.lit(0))).otherwise(-1)
+    word = F.struct("x0", "word_idx", F.when(large, F.concat(F.lit(" "), "text")).otherwise(F.col("text")).alias("piece"), length.alias("n"), "size", "fontname")
+    glue = lambda acc, w: F.when((acc != "") | (w["n"] > 0), F.concat(acc, w["piece"])).otherwise(acc)
+    text = F.when(F.get("ws", F.lit(0))["n"] > 0, F.substr(F.array_join("ws.piece", ""), F.lit(2))).otherwise(F.aggregate("ws", F.lit(""), glue))
+    # the first of the longest; without a large word all are alike, so the first
+    dominant = F.get("ws", F.array_position("ws.n", F.array_max("ws.n")).cast("int") - 1)
+    # from an array of one, a text is worked out once a line; a filter would be moved before it, with the text put together anew for every test
     lines = (
-        words.withColumn("line_top", T.quantize(F.col("top"), GRID).cast("int"))
-        .groupBy("doc_id", "page", "line_top")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("x0", "word_idx", "text", "size"))).alias("ws"),
-            F.max_by(F.struct("size", "fontname"), rank).alias("longest"),
-            F.min_by(F.struct("size", "fontname"), F.struct("x0", "word_idx")).alias("first"),
-        )
-        .where(F.col("line_top") <= FOOTER_TOP)
-        .withColumn("text", F.explode(F.filter(F.array(text), lambda t: (t != "") & ~T.is_footer(F.col("line_top"), t))))
-        .withColumn("dominant", F.coalesce("longest", "first"))
-        .select("doc_id", "page", F.col("line_top").alias("top"), F.get("ws", F.lit(0))["x0"].alias("x0"), "text", "dominant.size", "dominant.fontname")
+        words.select("doc_id", "page", T.quantize(F.col("top"), GRID).cast("int").alias("top"), word.alias("w"))
+        .where(F.col("top") <= FOOTER_TOP)
+        .groupBy("doc_id", "page", "top")
+        .agg(F.sort_array(F.collect_list("w")).alias("ws"))
+        .select("doc_id", "page", "top", F.get("ws", F.lit(0))["x0"].alias("x0"), dominant.alias("d"), F.explode(F.array(text)).alias("_text"))
+        .select("doc_id", "page", "top", "x0", F.explode(F.array(T.clean(F.col("_text")))).alias("text"), "d.size", "d.fontname")
+        .where((F.col("text") != "") & ~T.is_footer(F.col("top"), F.col("text")))
         .withColumn("bold", T.is_bold(F.col("fontname")))
         .withColumn("italic", T.is_italic(F.col("fontname")))
     )

@@ -154,3 +154,31 @@ def test_buckets_are_settled_once_a_page(spark):
 def test_texts_of_paragraph_lines_are_put_together_once(spark):
     plan = L.paragraph_lines(words(spark, ("a", 10, 100, "A", 9)).withColumn("line_key", F.col("top")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("array_join(") == 1
+
+
+def test_lines_of_odd_words(spark):
+    """Small, empty and white words, no-break spaces, quotes: as put together word by word."""
+    import random
+
+    r = random.Random(7)
+    rows = [(r.choice(["a", "Drug", "®", "", " ", "x y", "‘q’", "naïve", "“", "\t", "z\n", " e"]), r.choice([10, 20, 30, 40]), 100 + 8 * r.randrange(80), r.choice("AB"), r.choice([5, 7.9, 8, 9, 10])) for _ in range(600)]
+    want = {}
+    for top in {y for _, _, y, _, _ in rows}:
+        ws = [w for _, _, w in sorted((w[1], i, w) for i, w in enumerate(rows) if w[2] == top)]
+        text = ""
+        for t, _, _, _, size in ws:
+            text = (f"{text} {t}" if text else t) if size >= 8 else text + t if text else text
+        text = " ".join(text.split()).translate(str.maketrans("’‘“”", "''\"\""))
+        large = [w for w in ws if w[4] >= 8]
+        first = max(large, key=lambda w: len(w[0])) if large else ws[0]
+        if text and top <= 715:
+            want[top] = (text, float(ws[0][1]), first[3], float(first[4]))
+    assert {x["top"]: (x["text"], x["x0"], x["fontname"], x["size"]) for x in L.raw_lines(words(spark, *rows)).collect()} == want
+
+
+def test_words_of_a_line_are_put_in_order_by_generated_code(spark, tiny):
+    """No function is called for a word or for a comparison of two; words are counted in one window."""
+    from pagewright.sources import layout
+
+    plan = L.raw_lines(layout.words(spark.read.parquet(f"{tiny}/documents.parquet")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_sort(" not in plan and "bround(" not in plan and "filter(split(" not in plan and plan.count("Window [") == 1
