@@ -182,3 +182,41 @@ def test_words_of_a_line_are_put_in_order_by_generated_code(spark, tiny):
 
     plan = L.raw_lines(layout.words(spark.read.parquet(f"{tiny}/documents.parquet")))._jdf.queryExecution().optimizedPlan().toString()
     assert "array_sort(" not in plan and "bround(" not in plan and "filter(split(" not in plan and plan.count("Window [") == 1
+
+
+def test_marks_of_random_lines(spark):
+    """First bullets, instructions and lines that are both, by a walk through the lines."""
+    import random
+
+    r = random.Random(3)
+    texts = ["• a", "Instructions for use", "• Instructions for Use", "Overview", "plain", "following coverage policy", "Appendix", "Revision Details", " • b", "Page 1 of 2"]
+    rows = [(d, 1 + i // 4, float(100 + i), r.choice(texts), r.random() < 0.6, False, 12.0, 54.0, False) for d in range(300) for i in range(r.randrange(1, 9))]
+    lines_ = spark.createDataFrame(rows, "doc_id long, page int, top double, text string, bold boolean, italic boolean, size double, x0 double, in_table boolean")
+    want, seen = {}, {}
+    for d, page, top, text, bold, *_ in rows:
+        ifu, product, revised = seen.get(d, (False, False, False))
+        live, lower = not text.startswith("Page"), text.lower()
+        is_ifu, mark = live and bold and "instructions for use" in lower, None
+        if live and page == 1 and text.strip().startswith("•") and not ifu and not product:
+            product, mark = True, "applicable_products"
+        elif is_ifu and not ifu:
+            ifu, mark = True, "ifu"
+        elif live and bold and text in ("Overview", "Appendix", "Revision Details"):
+            mark = text if text != "Appendix" or revised else None
+            revised = revised or text == "Revision Details"
+        elif is_ifu and text == "Instructions for use":
+            mark = "Instructions For Use"
+        seen[d], want[d, top] = (ifu, product, revised), mark
+    assert {(x["doc_id"], x["top"]): x["_mark"] for x in S.marked(lines_).collect()} == want
+
+
+def test_lines_of_sections_are_sorted_once_and_go_through_few_windows(spark, tiny):
+    """One window for all that comes before a line; the type of a place doesn't change between sorts; link ids aren't taken from lines made a second time."""
+    from pagewright.sources import layout
+
+    docs = spark.read.parquet(f"{tiny}/documents.parquet")
+    plan = S.sections(S.segmented(L.raw_lines(layout.words(docs))))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2 and plan.count("Window [") == 6  # paragraphs of texts, then lines
+    from pagewright.plans import lines_and_sections as P
+
+    assert P.related_links(spark, tiny)._jdf.queryExecution().optimizedPlan().toString().count("collect_list(w") == 1
