@@ -33,7 +33,8 @@ def is_italic(font: Column) -> Column:
 
 def is_upper(text: Column) -> Column:
     """At least one cased letter, none in lower case."""
-    return (F.upper(text) == text) & (F.lower(text) != text)
+    # most texts have a small letter of ASCII: only the others are changed to both cases
+    return F.when(text.rlike("[a-z]"), False).otherwise((F.upper(text) == text) & (F.lower(text) != text))
 
 
 def join_capitals(text: Column) -> Column:

@@ -15,28 +15,74 @@ GRID = 4
 MARKER_FONTS = ["SymbolMT", "Wingdings", "Courier"]
 
 
+def _word(text: Column, x0: Column, word_idx: Column, size: Column, font: Column) -> Column:
+    """What a line needs of a word."""
+    large = F.coalesce(size >= 8, F.lit(False))
+    length = F.when(large, F.coalesce(F.char_length(text), F.lit(0))).otherwise(-1)
+    piece = F.when(large, F.concat(F.lit(" "), text)).otherwise(text)
+    return F.struct(x0.alias("x0"), word_idx.alias("word_idx"), piece.alias("piece"), length.alias("n"), size.alias("size"), font.alias("fontname"))
+
+
+def _span(of) -> Column:
+    """What a line needs of a span: its place, its text, and font and size if they are large."""
+    large = F.coalesce(of("size") >= 8, F.lit(False))
+    piece = F.when(large, F.concat(F.lit(" "), F.array_join("texts", " "))).otherwise(F.array_join("texts", ""))
+    look = F.when(large, F.struct(of("size").alias("size"), of("fontname").alias("fontname")))
+    return F.struct(F.get("xs", F.lit(0)).alias("x0"), "word_idx", F.try_element_at("xs", F.lit(-1)).alias("last"), piece.alias("piece"), look.alias("look"), "xs", "texts", "size", "fontname")
+
+
+def _is_plain(spans: Column) -> Column:
+    """Whether the spans of a line follow one another, begin with a word of 8 points or more and have one font and size but for smaller words: there are no words to go through then."""
+    first = F.get(spans, F.lit(0))
+    meet = F.exists(F.sequence(F.lit(1), F.size(spans) - 1), lambda i: F.get(spans, i)["x0"] <= F.get(spans, i - 1)["last"])
+    apart = F.when(F.size(spans) == 1, F.lit(True)).otherwise((F.array_min(spans["look"]) == F.array_max(spans["look"])) & ~meet)
+    return F.coalesce(first["look"].isNotNull() & (F.get(first["texts"], F.lit(0)) != "") & apart, F.lit(False))
+
+
+def _words_of(spans: Column) -> Column:
+    return F.flatten(F.transform(spans, lambda s: F.transform(s["texts"], lambda t, i: _word(t, F.get(s["xs"], i), s["word_idx"] + i, s["size"], s["fontname"]))))
+
+
 def raw_lines(words: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
     """Words of a page on a grid of 4 points, as lines from left to right.
 
     A word below 8 points is glued to the word before it and dropped where it comes first. Font and size are
     those of the longest word of 8 points or more (the leftmost of equals), else of the first. Footers are dropped.
+    ``words`` are a row each, or come in spans: words of one top, font and size from left to right, with doc_id, page, top, word_idx (of the first), size,
+    fontname, texts and xs (arrays). Spans of a line that don't follow one another are put together word by word.
     ``boxes`` (doc_id, page, box_top, box_bottom) mark lines within tables. One shuffle by (doc_id, page, top).
     """
-    # structs and orders are worked out in generated code: no function is called for a word, but where a line begins with a small one
-    large = F.coalesce(F.col("size") >= 8, F.lit(False))
-    length = F.when(large, F.coalesce(F.char_length("text"), F.lit(0))).otherwise(-1)
-    word = F.struct("x0", "word_idx", F.when(large, F.concat(F.lit(" "), "text")).otherwise(F.col("text")).alias("piece"), length.alias("n"), "size", "fontname")
+    # structs and orders are worked out in generated code: no function is called for a word that is a row, but where a line begins with a small one
+    in_spans = "texts" in words.columns
+    word = _span(F.col) if in_spans else _word(*map(F.col, ("text", "x0", "word_idx", "size", "fontname")))
+    held = (
+        words.select("doc_id", "page", T.quantize(F.col("top"), GRID).cast("int").alias("top"), word.alias("w"))
+        .where(F.col("top") <= FOOTER_TOP)
+        .groupBy("doc_id", "page", "top")
+        .agg(F.sort_array(F.collect_list("w")).alias("ws"))
+    )
+    first = F.get("ws", F.lit(0))
     glue = lambda acc, w: F.when((acc != "") | (w["n"] > 0), F.concat(acc, w["piece"])).otherwise(acc)
-    text = F.when(F.get("ws", F.lit(0))["n"] > 0, F.substr(F.array_join("ws.piece", ""), F.lit(2))).otherwise(F.aggregate("ws", F.lit(""), glue))
     # the first of the longest; without a large word all are alike, so the first
     dominant = F.get("ws", F.array_position("ws.n", F.array_max("ws.n")).cast("int") - 1)
+    dominant = F.struct(dominant["size"].alias("size"), dominant["fontname"].alias("fontname"))
+    text = F.substr(F.array_join("ws.piece", ""), F.lit(2))
+    late = F.aggregate("ws", F.lit(""), glue)
+    x0 = first["x0"]
+    if in_spans:
+        held = held.withColumnRenamed("ws", "_spans").withColumn("_plain", _is_plain(F.col("_spans")))
+        held = held.withColumn("ws", F.when(~F.col("_plain"), F.sort_array(_words_of(F.col("_spans")))))
+        one = F.get("_spans", F.lit(0))
+        plain = F.substr(F.array_join("_spans.piece", ""), F.lit(2))
+        # a text that isn't put together here is there already
+        held = held.select("doc_id", "page", "top", F.when(F.col("_plain"), one["x0"]).otherwise(x0).alias("x0"), F.when(F.col("_plain"), one["look"]).otherwise(dominant).alias("d"), F.when(F.col("_plain"), plain).when(first["n"] > 0, text).otherwise(late).alias("_late"))
+        text = F.col("_late")
+    else:
+        held = held.select("doc_id", "page", "top", "ws", F.when(first["n"] <= 0, late).alias("_late"), x0.alias("x0"), dominant.alias("d"))
+        text = F.coalesce("_late", text)
     # from an array of one, a text is worked out once a line; a filter would be moved before it, with the text put together anew for every test
     lines = (
-        words.select("doc_id", "page", T.quantize(F.col("top"), GRID).cast("int").alias("top"), word.alias("w"))
-        .where(F.col("top") <= FOOTER_TOP)
-        .groupBy("doc_id", "page", "top")
-        .agg(F.sort_array(F.collect_list("w")).alias("ws"))
-        .select("doc_id", "page", "top", F.get("ws", F.lit(0))["x0"].alias("x0"), dominant.alias("d"), F.explode(F.array(text)).alias("_text"))
+        held.select("doc_id", "page", "top", "x0", "d", F.explode(F.array(text)).alias("_text"))
         .select("doc_id", "page", "top", "x0", F.explode(F.array(T.clean(F.col("_text")))).alias("text"), "d.size", "d.fontname")
         .where((F.col("text") != "") & ~T.is_footer(F.col("top"), F.col("text")))
         .withColumn("bold", T.is_bold(F.col("fontname")))

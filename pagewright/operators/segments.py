@@ -38,6 +38,12 @@ def section_of(text: Column, bold: Column, size: Column, x0: Column, vocab: list
     )
 
 
+def _may_head(text: Column, vocab: list[str]) -> Column:
+    """False for texts that ``section_of`` gives nothing for, whatever their case: longer than any entry, and of another first letter than the one that is told by its beginning."""
+    bare = F.replace(text, F.lit(" "), F.lit(""))
+    return (F.char_length(bare) <= max(len(v.replace(" ", "")) for v in vocab)) | F.substring(bare, 1, 1).isin("C", "c")
+
+
 def marked(lines: DataFrame, vocab: list[str] = V.SECTION_VOCAB) -> DataFrame:
     """``lines`` with ``_mark``: the section that begins at the line; null at the others.
 
@@ -46,12 +52,12 @@ def marked(lines: DataFrame, vocab: list[str] = V.SECTION_VOCAB) -> DataFrame:
     All windows share one partitioning and order. Headings are normalised for bold lines alone.
     """
     before = Window.partitionBy("doc_id").orderBy("page", "top").rowsBetween(Window.unboundedPreceding, -1)
-    lower = F.lower(T.strip(F.col("text")))
+    named = lambda words: F.col("text").rlike(f"(?i){words}")
     # a condition of a case, as what follows an "and" is worked out beforehand where it is used twice
     if_bold = lambda value, other: F.when(F.coalesce("bold", F.lit(True)), value).otherwise(other)
-    is_ifu = if_bold(F.col("bold") & (lower.contains("instructions for use") | ((F.col("size") <= 11) & lower.contains("following coverage policy"))), F.lit(False))
+    is_ifu = if_bold(F.col("bold") & (named("instructions for use") | ((F.col("size") <= 11) & named("following coverage policy"))), F.lit(False))
     bullet = (F.col("page") == 1) & F.col("text").contains("•") & T.strip(F.col("text")).startswith("•")
-    live = lines.withColumn("_live", ~T.is_footer(F.col("top"), F.col("text"))).withColumn("_norm", if_bold(T.normalize_heading(F.col("text")), F.lit(None)))
+    live = lines.withColumn("_live", ~T.is_footer(F.col("top"), F.col("text"))).withColumn("_norm", if_bold(F.when(_may_head(F.col("text"), vocab), T.normalize_heading(F.col("text"))), F.lit(None)))
     live = live.withColumn("_ifu", F.col("_live") & is_ifu).withColumn("_bullet", F.col("_live") & bullet)
     # one window for what comes before: instructions, bullets, and whether the first line of either kind is both
     first = F.first(F.when(F.col("_ifu") | F.col("_bullet"), F.coalesce(F.col("_ifu") & F.col("_bullet"), F.lit(False))), ignorenulls=True)

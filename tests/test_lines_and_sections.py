@@ -220,3 +220,49 @@ def test_lines_of_sections_are_sorted_once_and_go_through_few_windows(spark, tin
     from pagewright.plans import lines_and_sections as P
 
     assert P.related_links(spark, tiny)._jdf.queryExecution().optimizedPlan().toString().count("collect_list(w") == 1
+
+
+def test_lines_of_spans_are_those_of_their_words(spark):
+    """Spans that follow one another, that cross, of several fonts, small ones first, empty words: the same lines as from the words one by one."""
+    import random
+
+    r = random.Random(11)
+    rows, spans = [], []
+    for line in range(400):
+        top, at, idx = 20 + 8 * (line % 80), 10.0, 1000 * line
+        for _ in range(r.randrange(1, 5)):
+            texts = [r.choice(["a", "Drug", "®", "", "x y", "‘q”", "naïve", "longest word", " e"]) for _ in range(r.randrange(1, 4))]
+            at = max(10.0, at + r.choice([10, 10, 10, 0, -30]))
+            xs = [at + 10 * i for i in range(len(texts))]
+            font, size, y = r.choice("AAAB"), float(r.choice([10, 10, 10, 9, 6])), float(top + r.choice([0, 0, 1]))
+            spans.append((line // 80, 1, y, idx, size, font, texts, xs))
+            rows += [(line // 80, 1, idx + i, t, x, y, font, size) for i, (t, x) in enumerate(zip(texts, xs))]
+            at, idx = xs[-1], idx + len(texts)
+    of_words = L.raw_lines(spark.createDataFrame(rows, WORDS)).collect()
+    of_spans = L.raw_lines(spark.createDataFrame(spans, "doc_id long, page int, top double, word_idx int, size double, fontname string, texts array<string>, xs array<double>")).collect()
+    assert len(of_words) > 300 and sorted(of_spans) == sorted(of_words)
+
+
+def test_spans_of_the_layout_hold_its_words(spark):
+    """No row a word on the way to the lines: spans have the words of ``layout.words``, and the queries take them."""
+    from pagewright.plans import documents as D
+    from pagewright.plans import lines_and_sections as P
+    from pagewright.sources import layout
+
+    docs = spark.createDataFrame([(-7, "a b  c\n\n d " + "w " * 40), (-1, ""), (5, None), (None, "x"), (6, "\n \n"), (7, "é  ñ \n" * 30), (8, "Page 1 of 3\n" + "z\t y x “q” " * 60)], "doc_id long, text string")
+    columns = ["doc_id", "page", "ln", "top", "word_idx", "size", "fontname", "x0", "text"]
+    each = layout.spans(docs).select("*", F.posexplode(F.arrays_zip("xs", "texts")).alias("i", "z")).withColumns({"word_idx": F.col("word_idx") + F.col("i"), "x0": F.col("z.xs"), "text": F.col("z.texts")})
+    assert sorted(each.select(columns).collect()) == sorted(layout.words(docs).select(columns).collect())
+    for q in (D.tree_dump, D.footnote_merge, P.footer_segment, P.asof_table_section, P.segment_text):
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "posexplode(ws" not in plan and plan.count("collect_list(w") == 1
+
+
+def test_headings_are_told_without_changing_the_case_of_long_lines(spark):
+    """As ``section_of`` with every text normalised: letters that become ASCII in lower case, letter-spacing, long lines that begin like a coverage policy."""
+    texts = ["Overview", "O VERVIEW", "OVERVIEW ÉTÉ", "  References ", "coverage policy " + "é " * 90, "COVERAGE POLICY AND " * 9 + "x", "C OVERAGE P OLICY", "Co verage", "bacKground", "BacKground", "İnstructions for use", "INSTRUCTIONS FOR USE É", "Ünstructions", "the following Coverage Policy É", "A" * 200, "É" * 5, "x" * 200]
+    lines_ = lines(spark, *[(i + 2, 100, t, True, 10 + i % 2, 50) for i, t in enumerate(texts)])
+    want = {x["page"]: x["s"] for x in lines_.select("page", S.section_of(F.col("text"), F.col("bold"), F.col("size"), F.col("x0")).alias("s")).collect()}
+    found = {x["page"]: x["_mark"] for x in S.marked(lines_).collect()}
+    ifu = 2 + texts.index("INSTRUCTIONS FOR USE É")
+    assert found.pop(ifu) == "ifu" and {k: v for k, v in want.items() if k != ifu} == found
