@@ -10,7 +10,7 @@ from pagewright.operators import convert as D
 from pagewright.operators import segments as S
 from pagewright.operators import tree as N
 from pagewright.sources import files, pdf
-from pagewright.sources.stages import Stages
+from pagewright.sources.stages import Stages, batches
 
 READER = '''
 import io, json
@@ -210,3 +210,38 @@ def test_shuffle_files_of_a_stage_go_once_its_table_is_written(spark):
     # what counted the rows of the last table may still be there
     assert held.size() <= before + 1
     stages.close()
+
+
+def test_batches_hold_every_row_once(spark):
+    docs = spark.range(-50, 50).selectExpr("id as doc_id", "repeat('é', 5) as text")
+    parts = lambda least, most, of=docs: batches(of, "doc_id", F.octet_length("text"), least, most)
+    for least, most, n in ((1000, 16, 1), (999, 16, 2), (100, 16, 10), (1, 16, 16)):
+        held = [[r["doc_id"] for r in part.collect()] for part in parts(least, most)]
+        assert len(held) == n and sorted(x for h in held for x in h) == list(range(-50, 50))
+    assert [part.count() for part in parts(1, 16, docs.where("false"))] == [0]
+
+
+def test_documents_are_converted_batch_by_batch(spark, tiny, monkeypatch):
+    """Tables of a batch go before the next one's, so that the disk is that of a batch; the documents are those of the SQL."""
+    import duckdb
+
+    from pagewright.plans import conversion
+
+    first, left = Stages.__call__, []
+
+    def watched(self, df, name, *more, **named):
+        if name == "pages":
+            held = os.path.dirname(self.root.removeprefix("file:").replace("//", "/", 1))
+            left.append([t for job in os.listdir(held) if job.startswith("converted-") for t in os.listdir(f"{held}/{job}") if t != "counts"])
+        return first(self, df, name, *more, **named)
+
+    monkeypatch.setattr(Stages, "__call__", watched)
+    monkeypatch.setattr(conversion, "BATCH", 1)
+    monkeypatch.setattr(conversion, "BATCHES", 2)
+    out = conversion.converted_documents(spark, tiny)
+    with duckdb.connect() as c:
+        c.execute(f"create view documents as select * from '{tiny}/documents.parquet'")
+        want = c.execute(conversion.ORACLES["converted_documents"])
+        columns = [x[0] for x in want.description]
+        assert sorted(map(tuple, out.select(columns).collect())) == sorted(want.fetchall())
+    assert left == [[], []]
